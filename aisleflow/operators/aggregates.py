@@ -80,11 +80,11 @@ def indicator_total(per_order: DataFrame) -> DataFrame:
     return per_order.groupBy("userId").agg(F.sum("count").alias("purchasedCount"))
 
 
-def visit_type_pivot(visit_types: DataFrame) -> DataFrame:
-    """Visits (not users) of each type per store and day."""
-    return visit_types.groupBy(*STORE_DAY).agg(
-        F.count(F.when(F.col("visitType") == REPEAT, 1)).alias("repeated_visitors"),
-        F.count(F.when(F.col("visitType") == NEW, 1)).alias("new_visitors"),
+def visit_type_pivot(visit_days: DataFrame) -> DataFrame:
+    """Visits (not users) of each type per store and day, from typed visit days."""
+    visits_of = lambda t: F.sum(F.when(F.col("visitType") == t, F.col("visits")).otherwise(0))
+    return visit_days.groupBy(*STORE_DAY).agg(
+        visits_of(REPEAT).alias("repeated_visitors"), visits_of(NEW).alias("new_visitors")
     )
 
 

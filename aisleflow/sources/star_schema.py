@@ -281,3 +281,8 @@ def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def visit_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return events.select("event_id", trim_time("ts").cast("string").alias("text"))
+
+
+def rack_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third rack's product as an allergen indicator, for the event purchases."""
+    return racks(spark, sf_dir).filter(F.col("rackId") % 3 == 0).select(F.col("rackId").cast("bigint").alias("productId"))

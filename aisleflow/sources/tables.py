@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.errors import AnalysisException
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
