@@ -9,10 +9,10 @@ good event. Lines that cannot be used end in the dead letters.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from aisleflow.model import (
     CHECKOUT_EVENT,
@@ -56,8 +56,13 @@ REQUIRED = {
 }
 
 
+@lru_cache(maxsize=None)
+def _schema(fields: str) -> StructType:
+    return StructType.fromDDL(fields)
+
+
 def _names(fields: str) -> list[str]:
-    return StructType.fromDDL(fields).names
+    return _schema(fields).names
 
 
 def _envelope(fields: str) -> str:
@@ -65,8 +70,8 @@ def _envelope(fields: str) -> str:
 
 
 def _both_types(generation: Generation) -> StructType:
-    location = StructType.fromDDL(generation.location)
-    checkout = StructType.fromDDL(generation.checkout)
+    location = _schema(generation.location)
+    checkout = _schema(generation.checkout)
     extra = [f for f in checkout if f.name not in location.names]
     return StructType(location.fields + extra)
 
@@ -77,11 +82,8 @@ def parse_messages(lines: DataFrame, generation: Generation = CURRENT) -> DataFr
     ``problem`` is null for usable lines and for event types nobody handles.
     """
     both = _both_types(generation)
-    fast = F.from_json(
-        "value",
-        StructType.fromDDL(f"eventType STRING, {CORRUPT} STRING").add("event", both),
-        JSON_OPTIONS,
-    )
+    fields = [*_schema(f"eventType STRING, {CORRUPT} STRING"), StructField("event", both)]
+    fast = F.from_json("value", StructType(fields), JSON_OPTIONS)
     parsed = (
         lines.filter(F.trim("value") != "")
         .select("value", fast.alias("m"))
@@ -227,13 +229,13 @@ def to_current_location(rows: DataFrame) -> DataFrame:
 
 def _cast_like(rows: DataFrame, fields: str) -> DataFrame:
     return rows.select(*[
-        F.col(f.name).try_cast(f.dataType).alias(f.name) for f in StructType.fromDDL(fields)
+        F.col(f.name).try_cast(f.dataType).alias(f.name) for f in _schema(fields)
     ])
 
 
 def to_current_checkout(rows: DataFrame) -> DataFrame:
     """String-id checkout rows as current rows."""
-    item = StructType.fromDDL(CURRENT.checkout)["orderItems"].dataType.elementType
+    item = _schema(CURRENT.checkout)["orderItems"].dataType.elementType
     items = F.transform(
         "orderItems",
         lambda i: F.struct(*[i[f.name].try_cast(f.dataType).alias(f.name) for f in item]),

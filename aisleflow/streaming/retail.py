@@ -9,33 +9,38 @@ event changes the products of its own day.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aisleflow.functions.dates import with_calendar
-from aisleflow.model import EVENTS_TABLE, LOCATION_EVENT, STATE_TABLES, STORE_USER
+from aisleflow.model import EVENTS_TABLE
 from aisleflow.operators.aggregates import (
     daily_category_totals,
-    new_repeat_flag_totals,
     user_first_visit,
     visits_per_user,
 )
 from aisleflow.plans import allergens, conversion, footfall, sales, visitors
 from aisleflow.sources.events import checkout_rows, dead_letter, location_rows, parse_messages
 from aisleflow.sources.tables import overwrite_table, read_table
-from aisleflow.streaming.state import StateLog, only_days
+from aisleflow.streaming.state import StateLog, listed_days, only_days
 
 TRIGGER = "3 seconds"
 
-PRODUCTS = {
-    "dailyCategoryFootfall",
-    "dailyCategorySaleWithCountAgg",
-    "dailyVisitors",
-    "dailyVisitorsCategoryWise",
-    "dailyVisit",
-}
+# The logs products are computed from.
+LOGS = ["dailyCategoryFootFallTemp", "dailyCategorySale", "converted_static", "userVisit", "userVisitType"]
+
+
+def run_together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Independent writes as concurrent Spark jobs; a failure of any is raised."""
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for running in [pool.submit(in_session(job)) for job in jobs]:
+            running.result()
 
 
 def for_each_batch(lines: DataFrame, run, checkpoint: str, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
@@ -70,7 +75,8 @@ class RetailStream:
 
     First visits come from the ``events_path`` table another system fills, or,
     without one, from the visits this stream has seen. ``indicators`` switches
-    allergy notifications on.
+    allergy notifications on. ``state`` names the folder of the state logs when
+    it is not the one below ``root``, as after a compaction.
     """
 
     spark: SparkSession
@@ -80,9 +86,10 @@ class RetailStream:
     entry_only: bool = True
     legacy: bool = False
     indicators: DataFrame | None = None
+    state: str | None = None
 
     def log(self, table: str) -> StateLog:
-        return StateLog(self.spark, self.root, table)
+        return StateLog(self.spark, self.state or f"{self.root}/state", table)
 
     def product(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/product/{name}").drop("event_date")
@@ -94,32 +101,39 @@ class RetailStream:
         archive_raw_messages(lines, self.root, batch_id)
         parsed = parse_messages(lines).persist()
         try:
-            dead_letter(parsed).write.mode("overwrite").parquet(f"{self.root}/dead_letter/batch_id={batch_id}")
+            usable = parsed.filter(F.col("problem").isNull() & F.col("event").isNotNull())
+            days = listed_days(usable.select(F.to_date("event.createdStamp").alias("event_date")))
             location = location_rows(parsed)
             if self.entry_only:
                 location = visitors.entry_events(location)
             items = sales.order_items(checkout_rows(parsed))
-            self._write_facts(location, items, batch_id)
-            days = parsed.filter(F.col("problem").isNull() & F.col("event").isNotNull()).select(
-                F.to_date("event.createdStamp").alias("event_date")
-            ).distinct()
-            self._write_products(days, batch_id)
-            if self.indicators is not None:
-                self._write_notifications(items, batch_id)
+            run_together(self.spark, [
+                lambda: self._write_dead_letters(parsed, batch_id),
+                *self._fact_writes(location, items, batch_id),
+            ])
+            run_together(self.spark, [*self._product_writes(days, batch_id), *self._notification_writes(items, batch_id)])
         finally:
             parsed.unpersist()
 
-    def _write_facts(self, location: DataFrame, items: DataFrame, batch_id: int) -> None:
+    def _write_dead_letters(self, parsed: DataFrame, batch_id: int) -> None:
+        dead_letter(parsed).write.mode("overwrite").parquet(f"{self.root}/dead_letter/batch_id={batch_id}")
+
+    def _fact_writes(self, location: DataFrame, items: DataFrame, batch_id: int) -> list[Callable[[], None]]:
         facts = {
             "dailyCategoryFootFallTemp": footfall.footfall_facts(location, self.dims),
             "dailyCategorySale": sales.sale_facts(items, self.dims),
             "converted_static": conversion.converted_facts(items, self.dims),
             "userVisit": visitors.visit_facts(location),
         }
-        for table, rows in facts.items():
-            self.log(table).write_batch(rows, batch_id)
-        types = visitors.typed_visit_days(location, self._first_visits(location, batch_id), self.legacy)
-        self.log("userVisitType").write_batch(types, batch_id)
+        if self.indicators is not None:
+            facts["userProfile"] = allergens.user_profile(items, self.dims, self.legacy)
+
+        def write_types():
+            types = visitors.typed_visit_days(location, self._first_visits(location, batch_id), self.legacy)
+            self.log("userVisitType").write_batch(types, batch_id)
+
+        writes = [lambda t=t, df=df: self.log(t).write_batch(df, batch_id) for t, df in facts.items()]
+        return [*writes, write_types]
 
     def _first_visits(self, location: DataFrame, batch_id: int) -> DataFrame:
         if self.events_path:
@@ -129,10 +143,8 @@ class RetailStream:
         log.write_batch(user_first_visit(location), batch_id)
         return user_first_visit(log.as_of(batch_id), "firstTime")
 
-    def _write_products(self, days: DataFrame, batch_id: int) -> None:
-        logs = {t: only_days(self.log(t).as_of(batch_id), days).drop("event_date")
-                for t in ("dailyCategoryFootFallTemp", "dailyCategorySale", "converted_static",
-                          "userVisitType", "userVisit")}
+    def _product_writes(self, days: list | DataFrame, batch_id: int) -> list[Callable[[], None]]:
+        logs = {t: only_days(self.log(t).as_of(batch_id), days).drop("event_date") for t in LOGS}
         footfalls = logs["dailyCategoryFootFallTemp"]
         products = {
             "dailyCategoryFootfall": with_calendar(
@@ -148,18 +160,22 @@ class RetailStream:
             ),
             "dailyVisit": visits_per_user(logs["userVisit"], ["orgId", "storeId", "time", "userId"]),
         }
-        for name, rows in products.items():
-            dated = rows.withColumn("event_date", F.to_date("time"))
-            overwrite_table(dated, f"{self.root}/product/{name}", ["event_date"])
+        return [lambda n=n, df=df: self._write_product(n, df) for n, df in products.items()]
+
+    def _write_product(self, name: str, rows: DataFrame) -> None:
+        dated = rows.withColumn("event_date", F.to_date("time"))
+        balanced = dated.hint("rebalance", "event_date")
+        overwrite_table(balanced, f"{self.root}/product/{name}", ["event_date"])
 
-    def _write_notifications(self, items: DataFrame, batch_id: int) -> None:
+    def _notification_writes(self, items: DataFrame, batch_id: int) -> list[Callable[[], None]]:
         """Notifications for the users who bought something in this batch."""
-        profile = self.log("userProfile")
-        profile.write_batch(allergens.user_profile(items, self.dims, self.legacy), batch_id)
+        if self.indicators is None:
+            return []
         users = items.select("userId").distinct()
-        purchases = profile.as_of(batch_id).select(*allergens.PURCHASE).join(users, "userId", "left_semi")
-        rows = allergens.allergy_notifications(purchases, self.indicators)
-        rows.write.mode("overwrite").parquet(f"{self.root}/notification/batch_id={batch_id}")
+        stored = self.log("userProfile").as_of(batch_id).select(*allergens.PURCHASE)
+        rows = allergens.allergy_notifications(stored.join(users, "userId", "left_semi"), self.indicators)
+        path = f"{self.root}/notification/batch_id={batch_id}"
+        return [lambda: rows.write.mode("overwrite").parquet(path)]
 
     def notifications(self) -> DataFrame:
         return read_table(
@@ -168,12 +184,13 @@ class RetailStream:
             "userId STRING, purchasedCount BIGINT, Allergy STRING, batch_id BIGINT",
         )
 
-    def compact(self, batch_id: int) -> None:
-        for table in ("dailyCategoryFootFallTemp", "dailyCategorySale", "converted_static",
-                      "userVisit", "userVisitType"):
-            self.log(table).compact(batch_id)
-        if not self.events_path:
-            self.log("userFirstVisit").compact(batch_id)
+    def compact(self, batch_id: int, state: str) -> RetailStream:
+        """This stream with its logs up to the batch merged into a new state folder."""
+        tables = LOGS if self.events_path else [*LOGS, "userFirstVisit"]
+        if self.indicators is not None:
+            tables = [*tables, "userProfile"]
+        run_together(self.spark, [lambda t=t: self.log(t).compact(batch_id, state) for t in tables])
+        return replace(self, state=state)
 
 
 def footfall_30s_counts(location: DataFrame, late_by: str = "1 minute") -> DataFrame:

@@ -22,6 +22,7 @@ MERGE = {
     "converted_static": lambda df: df.distinct(),
     "userVisit": lambda df: visits_per_user(df, [*STORE_USER, "time"]).withColumnRenamed("VisitCount", "visitCount"),
     "userFirstVisit": lambda df: user_first_visit(df, "firstTime"),
+    "userProfile": lambda df: df,
 }
 
 
@@ -34,60 +35,49 @@ def _columns(table: str) -> list[str]:
 
 
 class StateLog:
-    """One log below a root folder all executors can reach."""
+    """One log below a folder all executors can reach."""
 
-    def __init__(self, spark: SparkSession, root: str, table: str):
+    def __init__(self, spark: SparkSession, folder: str, table: str):
         self.spark = spark
         self.table = table
         self.columns = _columns(table)
-        self.batches = f"{root}/state/{table}"
-        self.compacted = f"{root}/compacted/{table}"
+        self.path = f"{folder}/{table}"
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        self._write(df, f"{self.batches}/batch_id={batch_id}")
-
-    def _write(self, df: DataFrame, path: str) -> None:
         dated = df.select(*self.columns).withColumn("event_date", F.to_date(_time_column(self.table)))
         # Rebalancing by day gives few files per day and splits a day too large for one.
-        dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
+        balanced = dated.hint("rebalance", "event_date")
+        balanced.write.mode("overwrite").partitionBy("event_date").parquet(f"{self.path}/batch_id={batch_id}")
 
     def as_of(self, batch_id: int) -> DataFrame:
         """All rows of the batches up to and including this one, with ``event_date``."""
-        upto = self._compacted_upto(batch_id)
-        rows = self._read(self.batches, "batch_id").filter(
-            (F.col("batch_id") > upto) & (F.col("batch_id") <= batch_id)
-        )
-        if upto >= 0:
-            base = self._read(self.compacted, "upto").filter(F.col("upto") == upto)
-            rows = rows.drop("batch_id").unionByName(base.drop("upto"))
+        schema = f"{STATE_TABLES[self.table]}, batch_id BIGINT, event_date DATE"
+        rows = read_table(self.spark, self.path, schema).filter(F.col("batch_id") <= batch_id)
         return rows.select(*self.columns, "event_date")
 
-    def compact(self, batch_id: int) -> None:
-        """Merge the batches up to this one into one folder that later reads start from."""
-        merged = MERGE[self.table](self.as_of(batch_id).select(*self.columns))
-        self._write(merged, f"{self.compacted}/upto={batch_id}")
-
-    def _read(self, path: str, folder_column: str) -> DataFrame:
-        schema = f"{STATE_TABLES[self.table]}, {folder_column} BIGINT, event_date DATE"
-        return read_table(self.spark, path, schema)
+    def compact(self, batch_id: int, folder: str) -> None:
+        """Merge the batches up to this one into the one batch of a new folder.
 
-    def _compacted_upto(self, batch_id: int) -> int:
-        folders = self._read(self.compacted, "upto").filter(F.col("upto") <= batch_id)
-        newest = folders.agg(F.max("upto")).first()[0]
-        return -1 if newest is None else newest
+        A stream started with the new folder goes on from there; the old one is
+        left as it is.
+        """
+        merged = MERGE[self.table](self.as_of(batch_id).select(*self.columns))
+        StateLog(self.spark, folder, self.table).write_batch(merged, batch_id)
 
 
-def touched_days(rows: DataFrame, time: str) -> DataFrame:
-    return rows.select(F.to_date(time).alias("event_date")).distinct()
+def listed_days(rows: DataFrame) -> list | DataFrame:
+    """The distinct days of ``event_date``: listed if few, else as a frame."""
+    days = rows.select("event_date").distinct()
+    listed = [r[0] for r in days.limit(MAX_LISTED_DAYS + 1).collect()]
+    return listed if len(listed) <= MAX_LISTED_DAYS else days
 
 
-def only_days(log: DataFrame, days: DataFrame) -> DataFrame:
+def only_days(log: DataFrame, days: list | DataFrame) -> DataFrame:
     """Log rows of the given days.
 
     A batch rarely touches many days; their dates then become a partition
     filter, so other days' files are not read. Beyond that a join selects them.
     """
-    listed = [r[0] for r in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(listed) <= MAX_LISTED_DAYS:
-        return log.filter(F.col("event_date").isin(listed)) if listed else log.limit(0)
+    if isinstance(days, list):
+        return log.filter(F.col("event_date").isin(days))
     return log.join(days, "event_date", "left_semi")
