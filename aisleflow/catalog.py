@@ -50,15 +50,12 @@ def _dims(spark, d):
 
 def _location(spark, d):
     """Location events as (history, current)."""
-    return star.split_time(star.location_events(spark, d), star.EVENTS_SPLIT)
-
-
-def _items(spark, d):
-    return star.split_time(star.checkout_items(spark, d), star.ORDERS_SPLIT)
+    return star.split_time(star.location_events(spark, d))
 
 
 def _purchases(spark, d):
-    return star.split_time(star.purchase_items(spark, d), star.EVENTS_SPLIT)
+    """Purchase events as (history, current)."""
+    return star.split_time(star.purchase_items(spark, d))
 
 
 def _events(spark, d):
@@ -440,12 +437,14 @@ def profiled_users(spark, d):
 @query
 def allergen_products(spark, d):
     purchases = star.checkout_items(spark, d).select("userId", "orderId", "productId", "quantity")
-    return joins.allergen_products(purchases, star.allergen_indicators(spark, d))
+    return joins.allergen_products(purchases, star.allergen_indicators(spark, d), star.hot_products(spark, d))
 
 
 @query
 def allergen_profile_input(spark, d):
-    return allergens.user_allergen_profile_input(star.checkout_items(spark, d), star.store_products(spark, d))
+    return allergens.user_allergen_profile_input(
+        star.checkout_items(spark, d), star.store_products(spark, d), star.hot_products(spark, d)
+    )
 
 
 QUERIES["user_allergen_profile_input"] = allergen_profile_input
@@ -585,8 +584,9 @@ def union_history(spark, d):
 
 @query
 def union_profile(spark, d):
-    history, current = (part.select(*allergens.PURCHASE) for part in _items(spark, d))
-    return aggregates.union_history(history, current)
+    """Stored purchases (events) before the current ones (line items)."""
+    stored, current = star.purchase_items(spark, d), star.checkout_items(spark, d)
+    return aggregates.union_history(stored.select(*allergens.PURCHASE), current)
 
 
 # --- scalar functions ----------------------------------------------------------
@@ -685,14 +685,14 @@ def daily_category_footfall_legacy(spark, d):
 
 @query
 def daily_category_sale_count(spark, d):
-    history, current = _items(spark, d)
+    history, current = _purchases(spark, d)
     dims = _dims(spark, d)
     return sales.daily_category_sale_count(current, dims, sales.sale_facts(history, dims))
 
 
 @query
 def daily_category_sale_amount(spark, d):
-    history, current = _items(spark, d)
+    history, current = _purchases(spark, d)
     dims = _dims(spark, d)
     amounts = sales.daily_category_sale_amount(current, dims, sales.sale_facts(history, dims))
     return _cents(amounts, "saleAmountAgg")
@@ -700,7 +700,13 @@ def daily_category_sale_amount(spark, d):
 
 @query
 def daily_category_sale_summary(spark, d):
-    history, current = _items(spark, d)
+    summary = sales.daily_category_sale_summary(star.checkout_items(spark, d), _dims(spark, d))
+    return _cents(summary, "saleAmountAgg")
+
+
+@query
+def daily_category_sale_summary_history(spark, d):
+    history, current = _purchases(spark, d)
     dims = _dims(spark, d)
     summary = sales.daily_category_sale_summary(current, dims, sales.sale_facts(history, dims))
     return _cents(summary, "saleAmountAgg")
@@ -795,8 +801,13 @@ def user_profile(spark, d):
 
 @query
 def allergy_notifications(spark, d):
-    history, current = _items(spark, d)
-    return allergens.allergy_notifications(current, star.allergen_indicators(spark, d), history)
+    """Current purchases are line items, stored ones purchase events."""
+    return allergens.allergy_notifications(
+        star.checkout_items(spark, d),
+        star.allergen_indicators(spark, d),
+        star.purchase_items(spark, d).select(*allergens.PURCHASE),
+        star.hot_products(spark, d),
+    )
 
 
 @query

@@ -70,6 +70,8 @@ STATE_TABLES = {
         "orgId INT, storeId INT, userId STRING, time TIMESTAMP_NTZ, visitCount BIGINT",
     "userFirstVisit":
         "orgId INT, storeId INT, userId STRING, firstTime TIMESTAMP_NTZ",
+    "userIndicatorPurchases":
+        "userId STRING, time TIMESTAMP_NTZ, purchasedCount BIGINT",
     "userProfile":
         "userId STRING, orgId INT, storeId INT, orderId BIGINT, productId BIGINT, quantity INT, "
         "unitPrice STRING, discountApplied DOUBLE, orderItemId BIGINT, "

@@ -65,17 +65,21 @@ def profiled_users(qualifying: DataFrame, profile: DataFrame) -> DataFrame:
     return spread_lookup_join(profile, users, ["userId"], "left_semi")
 
 
-def allergen_products(purchases: DataFrame, indicators: DataFrame) -> DataFrame:
-    return spread_lookup_join(purchases, indicators, ["productId"])
+def allergen_products(
+    purchases: DataFrame, indicators: DataFrame, hot_products: DataFrame | None = None
+) -> DataFrame:
+    return spread_lookup_join(purchases, indicators, ["productId"], hot=hot_products)
 
 
-def allergen_profile_input(items: DataFrame, products: DataFrame) -> DataFrame:
+def allergen_profile_input(
+    items: DataFrame, products: DataFrame, hot_products: DataFrame | None = None
+) -> DataFrame:
     """Items with the allergens of their product.
 
     The older form paired every item with every product of its store; the
     product id in the key keeps each item to its own product.
     """
-    return spread_lookup_join(items, products, ["orgId", "storeId", "productId"])
+    return spread_lookup_join(items, products, ["orgId", "storeId", "productId"], hot=hot_products)
 
 
 def minor_to_rack(beacon_events: DataFrame, beacons: DataFrame) -> DataFrame:

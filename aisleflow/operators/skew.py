@@ -12,38 +12,42 @@ HOT_SHARE = 0.001
 def hot_keys(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
     """Every key combination holding at least ``share`` of the rows.
 
-    One pass with a summary of at most ``1 / share`` keys per task. It may name
-    keys that are less frequent, never more than ``1 / share`` keys in all.
+    One pass with a summary of at most ``1 / share`` keys per task. It may also
+    name less frequent keys, but never more than ``1 / share`` keys in all.
     """
     frequent = facts.select(F.struct(*on).alias("k")).stat.freqItems(["k"], share)
     return frequent.select(F.explode("k_freqItems").alias("k")).select("k.*")
 
 
 def spread_lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", share: float = HOT_SHARE
+    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None
 ) -> DataFrame:
     """Join facts with a lookup by equality, hot keys spread over all shuffle partitions.
 
     Facts of a hot key are dealt out over ``n`` salts and its lookup rows are
     repeated for each of them; all other rows keep salt 0 and are shuffled once.
-    The hot list is at most ``1 / share`` rows, so broadcasting it is safe. A
-    salt comes from the row's place in its input partition, not from its
+    A salt comes from the row's place in its input partition, not from its
     content, so equal copies spread too and a task run again gives the same.
+
+    ``hot`` may give the hot values of some of the ``on`` columns, from
+    ``hot_keys`` of a table cheaper to read than ``facts``; without it they are
+    found in ``facts``. Either way it is a list of bounded length, so
+    broadcasting it is safe, and which keys it names never changes the result.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"facts must be the kept side, not {how}")
     salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, on, share).withColumn("_hot", F.lit(True))
+    hot = hot_keys(facts, on) if hot is None else hot
+    named = hot.columns
+    flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))
 
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     dealt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    salted = facts.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, dealt).otherwise(F.lit(0))
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = (
-        lookup.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    salted = facts.join(flagged, named, "left").select(
+        *facts.columns, F.when(F.col("_hot") | no_key, dealt).otherwise(F.lit(0)).alias("_salt")
     )
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.join(flagged, named, "left").select(*lookup.columns, F.explode(copies).alias("_salt"))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

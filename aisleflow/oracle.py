@@ -315,7 +315,8 @@ FROM (SELECT event_id, {GOOD} AS good FROM events) WHERE event_id % 8 BETWEEN 1
     "distinct_rows": "SELECT DISTINCT orgId, storeId, userId, Allergen FROM met",
     # set operations
     "union_history": f"SELECT orgId, storeId, userId, {DAY} AS time FROM loc",
-    "union_profile": "SELECT userId, orderId, productId, quantity FROM items",
+    "union_profile": "SELECT userId, orderId, productId, quantity FROM items "
+                     "UNION ALL SELECT userId, orderId, productId, quantity FROM buy",
     # scalar functions
     "day_of": "SELECT event_id, CAST(day(ts) AS INTEGER) AS day FROM events",
     "month_of": f"SELECT event_id, CAST(month({FUTURE}) AS INTEGER) AS month, "
@@ -350,9 +351,12 @@ FROM (SELECT event_id, {GOOD} AS good FROM events) WHERE event_id % 8 BETWEEN 1
     # products
     "daily_category_footfall": _calendar(_footfall("loc"), "footfallCount"),
     "daily_category_footfall_legacy": _calendar(_footfall("loc"), "footfallCount", DMY_LEGACY),
-    "daily_category_sale_count": _calendar(_sales("sold", UNITS), "saleCountAgg"),
-    "daily_category_sale_amount": _calendar(_sales("sold", AMOUNT), "saleAmountAgg"),
+    "daily_category_sale_count": _calendar(_sales(KNOWN_BUY, UNITS), "saleCountAgg"),
+    "daily_category_sale_amount": _calendar(_sales(KNOWN_BUY, AMOUNT), "saleAmountAgg"),
     "daily_category_sale_summary": _calendar(_sales("sold", f"{AMOUNT}, {UNITS}"), "saleAmountAgg, saleCountAgg"),
+    "daily_category_sale_summary_history": _calendar(
+        _sales(KNOWN_BUY, f"{AMOUNT}, {UNITS}"), "saleAmountAgg, saleCountAgg"
+    ),
     "daily_category_sale_summary_fanout": _calendar(
         _sales("(SELECT items.* FROM items JOIN dims USING (categoryId))", f"{AMOUNT}, {UNITS}"),
         "saleAmountAgg, saleCountAgg",
@@ -382,7 +386,8 @@ USING (orgId, storeId, time)""",
                     "orderTimestamp, categoryId, CAST(day(createdStamp) AS INTEGER) AS day, "
                     "CAST(month(createdStamp) AS INTEGER) AS month, CAST(year(createdStamp) AS INTEGER) AS year FROM sold",
     "allergy_notifications": f"SELECT userId, count(*) AS purchasedCount, {_allergy('count(*)')} "
-                             f"FROM {INDICATED} GROUP BY userId",
+                             "FROM (SELECT userId, productId FROM items UNION ALL SELECT userId, productId FROM buy) "
+                             "JOIN indicators USING (productId) GROUP BY userId",
     "allergen_profile": _profile(3),
     "allergen_profile_min_orders": _profile(10),
     "footfall_30s": "SELECT userId, rackId, createdStamp AS ts, time_bucket(INTERVAL 30 SECOND, createdStamp) AS bucket "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from aisleflow.functions.dates import day_of, month_of, year_of
+from aisleflow.functions.dates import day_of, month_of, trim_time, year_of
 from aisleflow.functions.retail import allergen_list, allergy_flag
 from aisleflow.operators.aggregates import union_history, user_order_count
 from aisleflow.operators.joins import allergen_products, items_with_category
@@ -54,22 +54,47 @@ def user_profile(items: DataFrame, dims: DataFrame, legacy: bool = False) -> Dat
     )
 
 
-def allergy_notifications(
-    current: DataFrame, indicators: DataFrame, stored: DataFrame | None = None
+def indicated_purchases(
+    purchases: DataFrame, indicators: DataFrame, hot_products: DataFrame | None = None
 ) -> DataFrame:
-    """Per user, how often indicator products were bought and what that says.
+    """Purchases of indicator products, with how often the product is listed.
 
-    An indicator listed several times counts each time, so listings are counted
-    per product first and every purchase is joined once.
+    An indicator listed several times counts each time; listings are counted
+    per product first, so that every purchase is joined once.
     """
-    purchases = union_history(current.select(*PURCHASE), stored)
     listed = indicators.groupBy("productId").agg(F.count(F.lit(1)).alias("listings"))
-    bought = allergen_products(purchases.select("userId", "productId"), listed)
-    counts = bought.groupBy("userId").agg(F.sum("listings").alias("purchasedCount"))
-    return counts.withColumn("Allergy", allergy_flag("purchasedCount"))
+    return allergen_products(purchases, listed, hot_products)
+
+
+def notifications_of(counts: DataFrame) -> DataFrame:
+    """Notifications from counted purchases: (userId, purchasedCount) rows, several per user."""
+    totals = counts.groupBy("userId").agg(F.sum("purchasedCount").alias("purchasedCount"))
+    return totals.withColumn("Allergy", allergy_flag("purchasedCount"))
+
+
+def allergy_notifications(
+    current: DataFrame,
+    indicators: DataFrame,
+    stored: DataFrame | None = None,
+    hot_products: DataFrame | None = None,
+) -> DataFrame:
+    """Per user, how often indicator products were bought and what that says."""
+    purchases = union_history(current.select(*PURCHASE), stored).select("userId", "productId")
+    bought = indicated_purchases(purchases, indicators, hot_products)
+    return notifications_of(bought.withColumnRenamed("listings", "purchasedCount"))
+
 
+def indicator_facts(items: DataFrame, dims: DataFrame, indicators: DataFrame) -> DataFrame:
+    """Counted purchases of indicator products per user and day, of known categories."""
+    day = trim_time("createdStamp").alias("time")
+    known = items_with_category(items, dims).select("userId", "productId", day)
+    bought = indicated_purchases(known, indicators)
+    return bought.groupBy("userId", "time").agg(F.sum("listings").alias("purchasedCount"))
 
-def user_allergen_profile_input(items: DataFrame, products: DataFrame) -> DataFrame:
+
+def user_allergen_profile_input(
+    items: DataFrame, products: DataFrame, hot_products: DataFrame | None = None
+) -> DataFrame:
     """Items with their product's allergens: the rows profiles are built from."""
     rows = items.select("orgId", "storeId", "userId", "createdStamp", "productId")
-    return joins.allergen_profile_input(rows, products)
+    return joins.allergen_profile_input(rows, products, hot_products)

@@ -21,6 +21,12 @@ def user_first_visit(events: DataFrame, entry_only: bool = False) -> DataFrame:
     return aggregates.user_first_visit(entry_events(events) if entry_only else events)
 
 
+def first_visits_of(visitors: DataFrame, events: DataFrame, entry_only: bool = False) -> DataFrame:
+    """First visits of the given visitors only, where they are few beside the history."""
+    wanted = visitors.select(*STORE_USER).distinct()
+    return user_first_visit(events.join(wanted, STORE_USER, "left_semi"), entry_only)
+
+
 def visit_days(location: DataFrame) -> DataFrame:
     """Visits per store, user and day: what a first-visit test needs of an event."""
     return location.groupBy(*STORE_USER, trim_time("createdStamp").alias("time")).agg(

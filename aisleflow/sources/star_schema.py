@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aisleflow.functions.dates import trim_time
+from aisleflow.operators.skew import hot_keys, spread_lookup_join
 
-# First day of the current part; earlier rows are the stored history.
+# First day of the current part of the events; earlier ones are the stored history.
 EVENTS_SPLIT = "2024-01-16"
-ORDERS_SPLIT = "1998-06-01"
 ORG = 1
 
 
@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def split_time(df: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+def split_time(df: DataFrame, day: str = EVENTS_SPLIT) -> tuple[DataFrame, DataFrame]:
     """Rows before the day and rows from it on."""
     start = F.lit(day).cast("timestamp_ntz")
     return df.filter(F.col("createdStamp") < start), df.filter(F.col("createdStamp") >= start)
@@ -79,13 +79,13 @@ def purchase_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def checkout_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as sold items of their order's customer and day."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     orders = table(spark, sf_dir, "orders")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return spread_lookup_join(lines, orders, ["o_orderkey"]).select(
         F.col("o_custkey").cast("string").alias("userId"),
         F.lit(ORG).alias("orgId"),
         _store("o_custkey").alias("storeId"),
-        F.col("l_orderkey").alias("orderId"),
+        F.col("o_orderkey").alias("orderId"),
         F.col("o_orderdate").alias("createdStamp"),
         F.col("l_partkey").alias("productId"),
         F.col("l_quantity").cast("int").alias("quantity"),
@@ -97,6 +97,11 @@ def checkout_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products holding a large share of the line items, read from their one column."""
+    return hot_keys(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("productId")), ["productId"])
+
+
 def checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as nested checkouts of none, one or two items (line number mod 3)."""
     item = lambda n: F.struct(

@@ -19,11 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aisleflow.functions.dates import with_calendar
 from aisleflow.model import EVENTS_TABLE
-from aisleflow.operators.aggregates import (
-    daily_category_totals,
-    user_first_visit,
-    visits_per_user,
-)
+from aisleflow.operators.aggregates import daily_category_totals, visits_per_user
 from aisleflow.plans import allergens, conversion, footfall, sales, visitors
 from aisleflow.sources.events import checkout_rows, dead_letter, location_rows, parse_messages
 from aisleflow.sources.tables import overwrite_table, read_table
@@ -54,11 +50,11 @@ def for_each_batch(lines: DataFrame, run, checkpoint: str, available_now: bool =
     )
 
 
-def archive_raw_messages(lines: DataFrame, root: str, batch_id: int) -> None:
-    """Keep every line as it came, before anything is parsed."""
-    lines.select(F.col("value").alias("msg")).write.mode("overwrite").parquet(
-        f"{root}/message/batch_id={batch_id}"
-    )
+def archive_raw_messages(lines: DataFrame, root: str, batch_id: int) -> str:
+    """Keep every line as it came, before anything is parsed; gives the archive's folder."""
+    folder = f"{root}/message/batch_id={batch_id}"
+    lines.select(F.col("value").alias("msg")).write.mode("overwrite").parquet(folder)
+    return folder
 
 
 def raw_messages(spark: SparkSession, root: str) -> DataFrame:
@@ -98,8 +94,10 @@ class RetailStream:
         return for_each_batch(lines, self.process, f"{self.root}/checkpoint", available_now, every)
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
-        archive_raw_messages(lines, self.root, batch_id)
-        parsed = parse_messages(lines).persist()
+        # Parsing reads the archive, so the source is read once per batch.
+        archive = archive_raw_messages(lines, self.root, batch_id)
+        kept = read_table(self.spark, archive, "msg STRING").withColumnRenamed("msg", "value")
+        parsed = parse_messages(kept).persist()
         try:
             usable = parsed.filter(F.col("problem").isNull() & F.col("event").isNotNull())
             days = listed_days(usable.select(F.to_date("event.createdStamp").alias("event_date")))
@@ -127,6 +125,7 @@ class RetailStream:
         }
         if self.indicators is not None:
             facts["userProfile"] = allergens.user_profile(items, self.dims, self.legacy)
+            facts["userIndicatorPurchases"] = allergens.indicator_facts(items, self.dims, self.indicators)
 
         def write_types():
             types = visitors.typed_visit_days(location, self._first_visits(location, batch_id), self.legacy)
@@ -138,10 +137,11 @@ class RetailStream:
     def _first_visits(self, location: DataFrame, batch_id: int) -> DataFrame:
         if self.events_path:
             events = read_table(self.spark, self.events_path, EVENTS_TABLE)
-            return visitors.user_first_visit(events, self.entry_only)
+            return visitors.first_visits_of(location, events, self.entry_only)
         log = self.log("userFirstVisit")
-        log.write_batch(user_first_visit(location), batch_id)
-        return user_first_visit(log.as_of(batch_id), "firstTime")
+        log.write_batch(visitors.user_first_visit(location), batch_id)
+        seen = log.as_of(batch_id).withColumnRenamed("firstTime", "createdStamp")
+        return visitors.first_visits_of(location, seen)
 
     def _product_writes(self, days: list | DataFrame, batch_id: int) -> list[Callable[[], None]]:
         logs = {t: only_days(self.log(t).as_of(batch_id), days).drop("event_date") for t in LOGS}
@@ -172,8 +172,8 @@ class RetailStream:
         if self.indicators is None:
             return []
         users = items.select("userId").distinct()
-        stored = self.log("userProfile").as_of(batch_id).select(*allergens.PURCHASE)
-        rows = allergens.allergy_notifications(stored.join(users, "userId", "left_semi"), self.indicators)
+        counted = self.log("userIndicatorPurchases").as_of(batch_id)
+        rows = allergens.notifications_of(counted.join(users, "userId", "left_semi"))
         path = f"{self.root}/notification/batch_id={batch_id}"
         return [lambda: rows.write.mode("overwrite").parquet(path)]
 
@@ -188,7 +188,7 @@ class RetailStream:
         """This stream with its logs up to the batch merged into a new state folder."""
         tables = LOGS if self.events_path else [*LOGS, "userFirstVisit"]
         if self.indicators is not None:
-            tables = [*tables, "userProfile"]
+            tables = [*tables, "userProfile", "userIndicatorPurchases"]
         run_together(self.spark, [lambda t=t: self.log(t).compact(batch_id, state) for t in tables])
         return replace(self, state=state)
 

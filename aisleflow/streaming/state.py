@@ -22,6 +22,9 @@ MERGE = {
     "converted_static": lambda df: df.distinct(),
     "userVisit": lambda df: visits_per_user(df, [*STORE_USER, "time"]).withColumnRenamed("VisitCount", "visitCount"),
     "userFirstVisit": lambda df: user_first_visit(df, "firstTime"),
+    "userIndicatorPurchases": lambda df: df.groupBy("userId", "time").agg(
+        F.sum("purchasedCount").alias("purchasedCount")
+    ),
     "userProfile": lambda df: df,
 }
 
