@@ -19,15 +19,24 @@ def hot_keys(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataF
     return frequent.select(F.explode("k_freqItems").alias("k")).select("k.*")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Catalyst's size estimate lets it broadcast the frame of its own accord."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def spread_lookup_join(
     facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None
 ) -> DataFrame:
     """Join facts with a lookup by equality, hot keys spread over all shuffle partitions.
 
-    Facts of a hot key are dealt out over ``n`` salts and its lookup rows are
-    repeated for each of them; all other rows keep salt 0 and are shuffled once.
-    A salt comes from the row's place in its input partition, not from its
-    content, so equal copies spread too and a task run again gives the same.
+    A lookup small enough to be broadcast is joined as it is: its facts are not
+    shuffled, so no key can pile up. Beyond that size, facts of a hot key are
+    dealt out over ``n`` salts and its lookup rows are repeated for each of
+    them; all other rows keep salt 0 and are shuffled once. A salt comes from
+    the row's place in its input partition, not from its content, so equal
+    copies spread too and a task run again gives the same.
 
     ``hot`` may give the hot values of some of the ``on`` columns, from
     ``hot_keys`` of a table cheaper to read than ``facts``; without it they are
@@ -36,6 +45,8 @@ def spread_lookup_join(
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"facts must be the kept side, not {how}")
+    if is_small(lookup):
+        return facts.join(lookup, on, how)
     salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(facts, on) if hot is None else hot
     named = hot.columns

@@ -1,9 +1,7 @@
 """JSON messages to typed event rows.
 
-Every line is parsed once, against one envelope holding the fields of both
-event types. Only a line the fast parse finds fault with is parsed again against
-the fields of its own type, so a stray field of the other type never costs a
-good event. Lines that cannot be used end in the dead letters.
+The event type is read first, then the payload by the fields of that type
+alone. Lines that cannot be used end in the dead letters.
 """
 
 from __future__ import annotations
@@ -12,7 +10,7 @@ from dataclasses import dataclass
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from aisleflow.model import (
     CHECKOUT_EVENT,
@@ -49,6 +47,9 @@ class Generation:
 CURRENT = Generation(LOCATION_FIELDS, CHECKOUT_FIELDS)
 STRING_IDS = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS)
 
+# Column of a parsed line that holds the payload of an event type.
+PAYLOAD = {LOCATION_EVENT: "location", CHECKOUT_EVENT: "checkout"}
+
 # Without these a row belongs to no store, day or visitor.
 REQUIRED = {
     LOCATION_EVENT: ["orgId", "storeId", "userId", "rackId", "createdStamp"],
@@ -66,75 +67,62 @@ def _names(fields: str) -> list[str]:
 
 
 def _envelope(fields: str) -> str:
-    return f"eventType STRING, event STRUCT<{fields}>, {CORRUPT} STRING"
+    return f"event STRUCT<{fields}>, {CORRUPT} STRING"
+
 
+def _computed_once(*columns: Column) -> Column:
+    """Columns as the output of a generator.
 
-def _both_types(generation: Generation) -> StructType:
-    location = _schema(generation.location)
-    checkout = _schema(generation.checkout)
-    extra = [f for f in checkout if f.name not in location.names]
-    return StructType(location.fields + extra)
+    Filters on them stay above it; pushed below a projection they would carry
+    the parsing of the text along and repeat it for every condition.
+    """
+    return F.inline(F.array(F.struct(*columns)))
 
 
 def parse_messages(lines: DataFrame, generation: Generation = CURRENT) -> DataFrame:
-    """``value`` lines to (value, eventType, event, problem); blank lines are skipped.
+    """``value`` lines to (value, eventType, location, checkout, problem); blank lines are skipped.
 
+    ``location`` and ``checkout`` hold the payload of a line of their type.
     ``problem`` is null for usable lines and for event types nobody handles.
     """
-    both = _both_types(generation)
-    fields = [*_schema(f"eventType STRING, {CORRUPT} STRING"), StructField("event", both)]
-    fast = F.from_json("value", StructType(fields), JSON_OPTIONS)
-    parsed = (
-        lines.filter(F.trim("value") != "")
-        .select("value", fast.alias("m"))
-        .select("value", "m.eventType", "m.event", f"m.{CORRUPT}")
-    )
-    at_fault = F.col(CORRUPT).isNotNull()
-    for event_type in (LOCATION_EVENT, CHECKOUT_EVENT):
-        own = F.from_json("value", _envelope(generation.fields(event_type)), JSON_OPTIONS)
-        mine = at_fault & (F.col("eventType") == event_type)
-        parsed = parsed.withColumn(event_type, F.when(mine, own))
-    again = F.coalesce(
-        _widened(LOCATION_EVENT, generation, both), _widened(CHECKOUT_EVENT, generation, both)
-    )
-    still_corrupt = F.coalesce(F.col(f"{LOCATION_EVENT}.{CORRUPT}"), F.col(f"{CHECKOUT_EVENT}.{CORRUPT}"))
+    filled = lines.filter(F.trim("value") != "")
+    head = F.from_json("value", f"eventType STRING, {CORRUPT} STRING", JSON_OPTIONS).alias("head")
+    typed = filled.select("value", _computed_once(head)).select("value", "head.*")
+    payloads = [
+        F.when(
+            F.col("eventType") == event_type,
+            F.from_json("value", _envelope(generation.fields(event_type)), JSON_OPTIONS),
+        ).alias(column)
+        for event_type, column in PAYLOAD.items()
+    ]
+    parsed = typed.select("value", "eventType", CORRUPT, _computed_once(*payloads))
     return parsed.select(
         "value",
         "eventType",
-        F.when(at_fault, again).otherwise(F.col("event")).alias("event"),
-        F.when(at_fault & F.col("eventType").isNull(), F.lit("unreadable"))
-        .when(still_corrupt.isNotNull(), F.lit("unreadable"))
-        .alias("unreadable"),
-    ).select("value", "eventType", "event", _problem().alias("problem"))
-
-
-def _widened(event_type: str, generation: Generation, both: StructType) -> Column:
-    """The payload parsed by its own fields, given the fields of both types."""
-    own = _names(generation.fields(event_type))
-    columns = [
-        (F.col(f"{event_type}.event.{f.name}") if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in both
-    ]
-    return F.when(F.col(f"{event_type}.event").isNotNull(), F.struct(*columns))
+        *[F.col(f"{column}.event").alias(column) for column in PAYLOAD.values()],
+        _problem().alias("problem"),
+    )
 
 
 def _problem() -> Column:
-    known = F.col("eventType").isin(*REQUIRED)
-    problem = (
-        F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
-        .when(F.col("eventType").isNull(), F.lit("no event type"))
-        .when(known & F.col("event").isNull(), F.lit("no payload"))
+    problem = F.when(F.col(CORRUPT).isNotNull(), F.lit("unreadable")).when(
+        F.col("eventType").isNull(), F.lit("no event type")
     )
-    for event_type, names in REQUIRED.items():
-        missing = reduce(lambda a, b: a | b, [F.col(f"event.{n}").isNull() for n in names])
-        problem = problem.when((F.col("eventType") == event_type) & missing, F.lit("missing field"))
+    for event_type, column in PAYLOAD.items():
+        missing = reduce(lambda a, b: a | b, [F.col(f"{column}.event.{n}").isNull() for n in REQUIRED[event_type]])
+        problem = problem.when(
+            F.col("eventType") == event_type,
+            F.when(F.col(f"{column}.{CORRUPT}").isNotNull(), F.lit("unreadable"))
+            .when(F.col(f"{column}.event").isNull(), F.lit("no payload"))
+            .when(missing, F.lit("missing field")),
+        )
     return problem
 
 
 def event_type(lines: DataFrame) -> DataFrame:
     """Each line with its event type; the payload is not looked at."""
-    own = F.from_json("value", "eventType STRING", JSON_OPTIONS)
-    return lines.select("value", own["eventType"].alias("eventType"))
+    own = F.from_json("value", "eventType STRING", JSON_OPTIONS)["eventType"].alias("eventType")
+    return lines.select("value", _computed_once(own))
 
 
 def route_location(lines: DataFrame) -> DataFrame:
@@ -155,8 +143,8 @@ def checkout_rows(parsed: DataFrame, generation: Generation = CURRENT) -> DataFr
 
 def _rows(parsed: DataFrame, event_type: str, generation: Generation) -> DataFrame:
     usable = (F.col("eventType") == event_type) & F.col("problem").isNull()
-    names = _names(generation.fields(event_type))
-    return parsed.filter(usable).select(*[f"event.{n}" for n in names])
+    column = PAYLOAD[event_type]
+    return parsed.filter(usable).select(*[f"{column}.{n}" for n in _names(generation.fields(event_type))])
 
 
 def parse_location_events(lines: DataFrame) -> DataFrame:
@@ -217,7 +205,7 @@ def _legacy(lines: DataFrame, event_type: str) -> DataFrame:
     envelope = F.from_json(
         "value", f"eventType STRING, Event STRUCT<{LEGACY_FIELDS}>, {CORRUPT} STRING", JSON_OPTIONS
     )
-    parsed = lines.select("value", envelope.alias("m")).select("value", "m.*")
+    parsed = lines.select("value", _computed_once(envelope.alias("m"))).select("value", "m.*")
     usable = (F.col("eventType") == event_type) & F.col(CORRUPT).isNull() & F.col("Event").isNotNull()
     return parsed.filter(usable).select("value", "Event.*")
 

@@ -99,8 +99,9 @@ class RetailStream:
         kept = read_table(self.spark, archive, "msg STRING").withColumnRenamed("msg", "value")
         parsed = parse_messages(kept).persist()
         try:
-            usable = parsed.filter(F.col("problem").isNull() & F.col("event").isNotNull())
-            days = listed_days(usable.select(F.to_date("event.createdStamp").alias("event_date")))
+            stamp = F.coalesce("location.createdStamp", "checkout.createdStamp")
+            usable = parsed.filter(F.col("problem").isNull() & stamp.isNotNull())
+            days = listed_days(usable.select(F.to_date(stamp).alias("event_date")))
             location = location_rows(parsed)
             if self.entry_only:
                 location = visitors.entry_events(location)

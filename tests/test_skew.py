@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from aisleflow.operators.skew import hot_keys, repeat_rows, spread_lookup_join
+from aisleflow.operators.skew import hot_keys, is_small, repeat_rows, spread_lookup_join
 from tests.conftest import rows
 
 N = 60_000
@@ -23,18 +23,26 @@ def lookup(spark):
     return spark.range(0, 4000).select(n.alias("k"), (n % 2).alias("g"), (n * 10).alias("v"))
 
 
+@pytest.fixture
+def large_lookups(spark):
+    """No lookup counts as small, as at full scale."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def counted(df):
     return rows(df.groupBy(*df.columns).count())
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 @pytest.mark.parametrize("on", [["k"], ["k", "g"]])
-def test_same_rows_as_a_plain_join(facts, lookup, how, on):
+def test_same_rows_as_a_plain_join(facts, lookup, large_lookups, how, on):
     side = lookup if len(on) == 2 else lookup.select("k", "v")
     assert counted(spread_lookup_join(facts, side, on, how)) == counted(facts.join(side, on, how))
 
 
-def test_lookup_rows_may_repeat(facts, lookup):
+def test_lookup_rows_may_repeat(facts, lookup, large_lookups):
     side = lookup.select("k", "v")
     side = side.union(side.filter("k < 10"))
     assert counted(spread_lookup_join(facts, side, ["k"])) == counted(facts.join(side, "k"))
@@ -50,20 +58,30 @@ def test_hot_key_is_found_and_the_list_is_bounded(facts):
     assert 7 in found and len(found) <= 100
 
 
-def test_hot_rows_are_dealt_to_many_partitions(spark, facts, lookup):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_hot_rows_are_dealt_to_many_partitions(spark, facts, lookup, large_lookups):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    per_task = lambda df: df.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
     try:
-        joined = spread_lookup_join(facts, lookup.select("k", "v"), ["k"])
-        sizes = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
-        plain = facts.join(lookup.select("k", "v"), "k").filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        side = lookup.select("k", "v")
+        sizes, plain = per_task(spread_lookup_join(facts, side, ["k"])), per_task(facts.join(side, "k"))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(plain) == 1
     assert len(sizes) >= 4 and max(r["count"] for r in sizes) <= 0.5 * sum(r["count"] for r in sizes)
 
 
+def test_hot_keys_may_come_from_elsewhere_and_name_part_of_the_key(spark, facts, lookup, large_lookups):
+    hot = spark.createDataFrame([(7,), (8,), (99,)], "k BIGINT")
+    joined = spread_lookup_join(facts, lookup, ["k", "g"], hot=hot)
+    assert counted(joined) == counted(facts.join(lookup, ["k", "g"]))
+
+
+def test_small_lookup_is_joined_as_it_is(facts, lookup):
+    assert is_small(lookup)
+    tree = spread_lookup_join(facts, lookup.select("k", "v"), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in tree and "_salt" not in tree
+
+
 def test_repeat_rows_cuts_large_counts(spark):
     df = spark.createDataFrame([("a", 25_001), ("b", 1), ("c", 0), ("d", 10_000)], "k STRING, n BIGINT")
     repeated = repeat_rows(df, "n", chunk=1000)
