@@ -620,7 +620,7 @@ _on_events("repeat_flag", flag=lambda: retail.repeat_flag(F.col("event_id") % 4
 _on_events("allergy_flag", flag=lambda: retail.allergy_flag(F.col("event_id") % 4 - 1))
 _on_events("cast_int", amount=lambda: F.floor("value").cast("int"))
 _on_events(
-    "visit_type_of",
+    "visit_type",
     visitType=lambda: retail.visit_type(_spread_day(), "ts"),
     legacy=lambda: retail.visit_type(_spread_day(), "ts", True),
 )
@@ -833,3 +833,14 @@ def daily_category_footfall_by_name(spark, d):
 @query
 def category_footfall_by_second(spark, d):
     return footfall.category_footfall_by_second(star.location_events(spark, d), _dims(spark, d))
+
+
+@query
+def category_sale_amount_by_second(spark, d):
+    amounts = sales.category_sale_amount_by_second(star.checkout_items(spark, d), _dims(spark, d))
+    return _cents(amounts, "saleAmountAgg")
+
+
+@query
+def daily_category_sales_by_name(spark, d):
+    return _cents(sales.daily_category_sales_by_name(star.checkout_items(spark, d), _dims(spark, d)), "saleAmountAgg")

@@ -286,8 +286,8 @@ FROM (SELECT event_id, {GOOD} AS good FROM events) WHERE event_id % 8 BETWEEN 1
                      "WHERE rackId NOT IN (SELECT rackId FROM racks)",
     "product_code_lookup": "SELECT l_orderkey AS orderId, 'P-' || l_partkey AS productCode, "
                            "CAST(l_quantity AS INTEGER) AS quantity, p_partkey AS productId, "
-                           "CAST(p_partkey % 75 AS INTEGER) AS rackId, CAST(p_partkey % 50 + 1 AS INTEGER) AS categoryId "
-                           "FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 2 = 0) ON l_partkey = p_partkey",
+                           "CAST(p_partkey % 75 AS INTEGER) AS rackId, CAST(p_partkey % 50 + 1 AS INTEGER) AS categoryId, "
+                           "p_retailprice AS unitPrice FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 2 = 0) ON l_partkey = p_partkey",
     # aggregates
     "user_first_visit": "SELECT * FROM first_visit",
     "user_first_visit_entries": "SELECT * FROM first_entry",
@@ -337,7 +337,7 @@ FROM (SELECT event_id, {GOOD} AS good FROM events) WHERE event_id % 8 BETWEEN 1
     "allergy_flag": "SELECT event_id, CASE WHEN event_id % 4 > 2 THEN 'allergy detected' "
                     "ELSE 'no allergy detected uptil now' END AS flag FROM events",
     "cast_int": "SELECT event_id, CAST(floor(value) AS INTEGER) AS amount FROM events",
-    "visit_type_of": f"SELECT event_id, {_visit_type(FUTURE, 'ts', 'CAST({} AS DATE)')} AS visitType, "
+    "visit_type": f"SELECT event_id, {_visit_type(FUTURE, 'ts', 'CAST({} AS DATE)')} AS visitType, "
                      f"{_visit_type(FUTURE, 'ts', 'day({})')} AS legacy FROM events",
     "sale_amount": "SELECT orderId, productId, quantity, CASE WHEN productId % 10 <> 0 THEN "
                    "round(CAST(unitPrice AS DOUBLE) * quantity, 2) END AS saleAmount FROM items",
@@ -398,6 +398,12 @@ USING (orgId, storeId, time)""",
                                        "count(*) AS FootFallCount FROM loc JOIN dims USING (rackId) GROUP BY ALL",
     "category_footfall_by_second": "SELECT orgId, storeId, createdStamp AS time, categoryId, categoryName, "
                                    "count(*) AS FootFallCount FROM loc JOIN dims USING (rackId) GROUP BY ALL",
+    "category_sale_amount_by_second": "SELECT orgId, storeId, createdStamp AS time, categoryId, 'cat' || categoryId "
+                                      f"AS categoryName, {AMOUNT} FROM sold GROUP BY ALL",
+    "daily_category_sales_by_name": "SELECT orgId, storeId, CAST(day(createdStamp) AS INTEGER) AS day, "
+                                    "CAST(month(createdStamp) AS INTEGER) AS month, "
+                                    "CAST(year(createdStamp) AS INTEGER) AS year, 'cat' || categoryId AS category, "
+                                    f"count(*) AS saleCount, {AMOUNT} FROM sold GROUP BY ALL",
 }
 _SELECTS["store_conversion_join"] = _SELECTS["store_conversion"]
 _SELECTS["user_allergen_profile_input"] = _SELECTS["allergen_profile_input"]

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from aisleflow.functions.dates import trim_time, with_calendar
+from aisleflow.functions.dates import day_of, month_of, trim_time, with_calendar, year_of
 from aisleflow.functions.retail import sale_amount
 from aisleflow.model import CATEGORY_DAY
 from aisleflow.operators.aggregates import daily_category_totals, union_history
@@ -76,12 +76,38 @@ def daily_category_sale_summary(
     return with_calendar(complete, legacy)
 
 
-def daily_category_sale_lines(items: DataFrame, dims: DataFrame) -> DataFrame:
-    """Older measure: item lines sold, under the category's name."""
-    lines = items.groupBy("orgId", "storeId", trim_time("createdStamp").alias("time"), "categoryId").agg(
-        F.count(F.lit(1)).alias("saleCount")
-    )
-    names = dims.select("categoryId", "categoryName").distinct()
-    return lines.join(names, "categoryId").select(
-        "orgId", "storeId", "time", "categoryId", "categoryName", "saleCount"
+def _category_names(dims: DataFrame) -> DataFrame:
+    return dims.select("categoryId", "categoryName").distinct()
+
+
+def _sold(items: DataFrame, time: Column) -> DataFrame:
+    """Item lines and amount per store, time and category."""
+    return items.groupBy("orgId", "storeId", time.alias("time"), "categoryId").agg(
+        F.count(F.lit(1)).alias("saleCount"),
+        F.sum(sale_amount("unitPrice", "quantity")).alias("saleAmountAgg"),
     )
+
+
+def daily_category_sale_lines(items: DataFrame, dims: DataFrame) -> DataFrame:
+    """Older measure: item lines sold, with the category's name."""
+    lines = _sold(items, trim_time("createdStamp")).join(_category_names(dims), "categoryId")
+    return lines.select("orgId", "storeId", "time", "categoryId", "categoryName", "saleCount")
+
+
+def category_sale_amount_by_second(items: DataFrame, dims: DataFrame) -> DataFrame:
+    """Older grain: the order's own time, not its day."""
+    amounts = _sold(items, F.col("createdStamp")).join(_category_names(dims), "categoryId")
+    return amounts.select("orgId", "storeId", "time", "categoryId", "categoryName", "saleAmountAgg")
+
+
+def daily_category_sales_by_name(items: DataFrame, dims: DataFrame, legacy: bool = False) -> DataFrame:
+    """Older grain: calendar columns and the category's name, counting item lines."""
+    sold = _sold(items, trim_time("createdStamp")).join(_category_names(dims), "categoryId")
+    return sold.groupBy(
+        "orgId",
+        "storeId",
+        day_of("time").alias("day"),
+        month_of("time", legacy).alias("month"),
+        year_of("time", legacy).alias("year"),
+        F.col("categoryName").alias("category"),
+    ).agg(F.sum("saleCount").alias("saleCount"), F.sum("saleAmountAgg").alias("saleAmountAgg"))

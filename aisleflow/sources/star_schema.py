@@ -181,6 +181,7 @@ def product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("productId"),
         (F.col("p_partkey") % 75).cast("int").alias("rackId"),
         (F.col("p_partkey") % 50 + 1).cast("int").alias("categoryId"),
+        F.col("p_retailprice").alias("unitPrice"),
     )
 
 

@@ -21,7 +21,16 @@ from aisleflow.functions.dates import with_calendar
 from aisleflow.model import EVENTS_TABLE
 from aisleflow.operators.aggregates import daily_category_totals, visits_per_user
 from aisleflow.plans import allergens, conversion, footfall, sales, visitors
-from aisleflow.sources.events import checkout_rows, dead_letter, location_rows, parse_messages
+from aisleflow.sources.events import (
+    CURRENT,
+    Generation,
+    checkout_rows,
+    dead_letter,
+    location_rows,
+    parse_messages,
+    to_current_checkout,
+    to_current_location,
+)
 from aisleflow.sources.tables import overwrite_table, read_table
 from aisleflow.streaming.state import StateLog, listed_days, only_days
 
@@ -72,7 +81,8 @@ class RetailStream:
     First visits come from the ``events_path`` table another system fills, or,
     without one, from the visits this stream has seen. ``indicators`` switches
     allergy notifications on. ``state`` names the folder of the state logs when
-    it is not the one below ``root``, as after a compaction.
+    it is not the one below ``root``, as after a compaction. ``generation`` is
+    that of the messages; string ids are cast to the current model.
     """
 
     spark: SparkSession
@@ -83,6 +93,7 @@ class RetailStream:
     legacy: bool = False
     indicators: DataFrame | None = None
     state: str | None = None
+    generation: Generation = CURRENT
 
     def log(self, table: str) -> StateLog:
         return StateLog(self.spark, self.state or f"{self.root}/state", table)
@@ -97,15 +108,13 @@ class RetailStream:
         # Parsing reads the archive, so the source is read once per batch.
         archive = archive_raw_messages(lines, self.root, batch_id)
         kept = read_table(self.spark, archive, "msg STRING").withColumnRenamed("msg", "value")
-        parsed = parse_messages(kept).persist()
+        parsed = parse_messages(kept, self.generation).persist()
         try:
             stamp = F.coalesce("location.createdStamp", "checkout.createdStamp")
             usable = parsed.filter(F.col("problem").isNull() & stamp.isNotNull())
             days = listed_days(usable.select(F.to_date(stamp).alias("event_date")))
-            location = location_rows(parsed)
-            if self.entry_only:
-                location = visitors.entry_events(location)
-            items = sales.order_items(checkout_rows(parsed))
+            location, checkouts = self._events(parsed)
+            items = sales.order_items(checkouts)
             run_together(self.spark, [
                 lambda: self._write_dead_letters(parsed, batch_id),
                 *self._fact_writes(location, items, batch_id),
@@ -114,6 +123,13 @@ class RetailStream:
         finally:
             parsed.unpersist()
 
+    def _events(self, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        location = location_rows(parsed, self.generation)
+        checkouts = checkout_rows(parsed, self.generation)
+        if self.generation is not CURRENT:
+            location, checkouts = to_current_location(location), to_current_checkout(checkouts)
+        return visitors.entry_events(location) if self.entry_only else location, checkouts
+
     def _write_dead_letters(self, parsed: DataFrame, batch_id: int) -> None:
         dead_letter(parsed).write.mode("overwrite").parquet(f"{self.root}/dead_letter/batch_id={batch_id}")
 

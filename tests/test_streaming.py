@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aisleflow.plans import conversion, footfall, sales, visitors
-from aisleflow.sources.events import checkout_rows, location_rows, parse_messages
+from aisleflow.sources.events import STRING_IDS, checkout_rows, location_rows, parse_messages
 from aisleflow.sources.streams import read_event_stream
 from aisleflow.streaming.retail import RetailStream, dead_letters, footfall_30s_counts, raw_messages
 from tests.conftest import checkout, leading_zeros, lines_frame, location, rows, two_days, two_users_one_day
@@ -76,7 +76,7 @@ def test_archive_and_dead_letters_keep_lines(spark, streamed):
 def test_replayed_batch_changes_nothing(spark, streamed):
     stream, _ = streamed
     before = contents(stream)
-    last = open(os.path.join(stream.root.replace("/out", "/in"), "part-3.txt")).read().splitlines()
+    last = [r.msg for r in spark.read.parquet(f"{stream.root}/message/batch_id=3").collect()]
     stream.process(lines_frame(spark, last), 3)
     assert contents(stream) == before
 
@@ -151,3 +151,13 @@ def test_thirty_second_counts_close_behind_the_watermark(spark, tmp_path):
     assert [tuple(r) for r in closed.orderBy("bucket").select(F.date_format("bucket", "mm:ss"), "footfall").collect()] == [
         ("05:00", 3), ("05:30", 1)
     ]
+
+
+def test_string_id_messages(spark, tmp_path, dims):
+    line = (
+        '{"eventType":"LocationEvent","event":{"eventId":"1","userId":"u1","orgId":"1","storeId":"4","rackId":"2",'
+        '"locEventType":"0","createdStamp":"2016-11-11 11:10:10"}}'
+    )
+    stream = RetailStream(spark, str(tmp_path), dims, generation=STRING_IDS)
+    stream.process(lines_frame(spark, [line]), 0)
+    assert rows(stream.product("dailyCategoryFootfall"), "orgId", "storeId", "categoryId", "footfallCount") == [(1, 4, 2, 1)]
