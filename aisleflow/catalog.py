@@ -80,7 +80,7 @@ def _stream(spark, d) -> RetailStream:
     if key not in _streamed:
         root = work_folder(spark, "retail")
         events = f"{root}/events"
-        whole_seconds = F.date_trunc("second", "createdStamp").cast("timestamp_ntz")
+        whole_seconds = F.substring(F.col("createdStamp").cast("string"), 1, 19).cast("timestamp_ntz")
         star.location_events(spark, d).withColumn("createdStamp", whole_seconds).write.parquet(events)
         dims = load_dimensions(star.racks(spark, d), star.category(spark, d))
         stream = RetailStream(

@@ -46,7 +46,11 @@ def _store(key) -> Column:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    """The number in an event's properties, -1 where there is none.
+
+    Never null, so that joins on it add no null check that would read the JSON twice.
+    """
+    return F.coalesce(F.get_json_object("props", "$.k").cast("int"), F.lit(-1))
 
 
 def racks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +211,7 @@ def _json(*parts) -> Column:
 
 
 def _second() -> Column:
-    return F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return F.substring(F.col("ts").cast("string"), 1, 19)
 
 
 def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
