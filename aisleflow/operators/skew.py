@@ -26,6 +26,20 @@ def is_small(df: DataFrame) -> bool:
     return int(str(size)) <= limit
 
 
+def listed(hot: DataFrame) -> DataFrame:
+    """The hot keys as fixed rows.
+
+    Both sides of a join must see the same list. The summary behind it may keep
+    other rare keys when it is run again, so it is run once and its at most
+    ``1 / HOT_SHARE`` rows are taken as they are.
+    """
+    limit = round(1 / HOT_SHARE)
+    rows = hot.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} hot keys given")
+    return hot.sparkSession.createDataFrame(rows, hot.schema)
+
+
 def spread_lookup_join(
     facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None
 ) -> DataFrame:
@@ -35,25 +49,26 @@ def spread_lookup_join(
     shuffled, so no key can pile up. Beyond that size, facts of a hot key are
     dealt out over ``n`` salts and its lookup rows are repeated for each of
     them; all other rows keep salt 0 and are shuffled once. A salt comes from
-    the row's place in its input partition, not from its content, so equal
-    copies spread too and a task run again gives the same.
+    the row's content and its input partition: rows of one key spread by their
+    content, equal copies by where they are read, and a task run again after a
+    lost executor gives the same salts whatever order its rows arrive in.
 
     ``hot`` may give the hot values of some of the ``on`` columns, from
     ``hot_keys`` of a table cheaper to read than ``facts``; without it they are
-    found in ``facts``. Either way it is a list of bounded length, so
-    broadcasting it is safe, and which keys it names never changes the result.
+    found in ``facts``. Which keys it names never changes the result.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"facts must be the kept side, not {how}")
     if is_small(lookup):
         return facts.join(lookup, on, how)
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, on) if hot is None else hot
-    named = hot.columns
-    flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    # More salts than partitions, so that their hashes fill the partitions evenly.
+    salts = 4 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fixed = listed(hot_keys(facts, on) if hot is None else hot)
+    named = fixed.columns
+    flagged = F.broadcast(fixed.withColumn("_hot", F.lit(True)))
 
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    dealt = F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
     salted = facts.join(flagged, named, "left").select(
         *facts.columns, F.when(F.col("_hot") | no_key, dealt).otherwise(F.lit(0)).alias("_salt")
     )

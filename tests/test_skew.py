@@ -14,7 +14,7 @@ def facts(spark):
     """A third of the rows are equal copies of one key, some keys are null."""
     n = F.col("id")
     key = F.when(n % 3 == 0, 7).when(n % 1000 == 1, None).otherwise(n % 5000)
-    return spark.range(0, N, 1, 8).select(key.cast("bigint").alias("k"), (n % 2).alias("g"))
+    return spark.range(0, N, 1, 32).select(key.cast("bigint").alias("k"), (n % 2).alias("g"))
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +76,26 @@ def test_hot_keys_may_come_from_elsewhere_and_name_part_of_the_key(spark, facts,
     assert counted(joined) == counted(facts.join(lookup, ["k", "g"]))
 
 
+def test_a_hot_list_must_be_bounded(spark, facts, lookup, large_lookups):
+    with pytest.raises(ValueError, match="hot keys"):
+        spread_lookup_join(facts, lookup, ["k"], hot=spark.range(2000).withColumnRenamed("id", "k"))
+
+
+def test_salts_do_not_depend_on_row_order(spark, facts, lookup, large_lookups):
+    """The rows of each input partition, sorted one way or the other, go to the same salts."""
+    hot = spark.createDataFrame([(7,)], "k BIGINT")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = [
+            rows(spread_lookup_join(facts.sortWithinPartitions(order), lookup.select("k", "v"), ["k"], hot=hot)
+                 .groupBy("k", "g", F.spark_partition_id().alias("p")).count())
+            for order in (F.col("g"), F.col("g").desc())
+        ]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spread[0] == spread[1]
+
+
 def test_small_lookup_is_joined_as_it_is(facts, lookup):
     assert is_small(lookup)
     tree = spread_lookup_join(facts, lookup.select("k", "v"), ["k"])._jdf.queryExecution().executedPlan().toString()
