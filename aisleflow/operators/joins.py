@@ -1,9 +1,9 @@
 """The joins of the data model.
 
-Small dimensions carry no hint here: Catalyst broadcasts them when their files,
-or the measured rows of ``load_dimensions``, are small and shuffles them
-otherwise. Joins of row-grain facts with sides that grow with the data go
-through ``spread_lookup_join``.
+Dimensions carry no hint here: Catalyst broadcasts them when their files, or the
+measured rows of ``load_dimensions``, are small and shuffles them otherwise.
+Joins of row-grain facts go through ``spread_lookup_join``, which keeps a hot
+key from piling up when its other side is too large to broadcast.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ def rack_category_dim(racks: DataFrame, category: DataFrame) -> DataFrame:
 
 def location_with_category(location: DataFrame, dims: DataFrame) -> DataFrame:
     """Location events with their categories; events at unknown racks drop out."""
-    return location.join(dims, "rackId")
+    return spread_lookup_join(location, dims, ["rackId"])
 
 
 def items_with_category(items: DataFrame, dims: DataFrame, fanout: bool = False) -> DataFrame:
@@ -29,9 +29,18 @@ def items_with_category(items: DataFrame, dims: DataFrame, fanout: bool = False)
     ``fanout`` repeats an item for every rack of its category, as a plain join
     with the rack dimension does.
     """
+    known = dims.select("categoryId")
     if fanout:
-        return items.join(dims.select("categoryId"), "categoryId").select(items.columns)
-    return items.join(dims.select("categoryId").distinct(), "categoryId", "left_semi").select(items.columns)
+        return spread_lookup_join(items, known, ["categoryId"]).select(items.columns)
+    return spread_lookup_join(items, known.distinct(), ["categoryId"], "left_semi").select(items.columns)
+
+
+def sums_of_known_category(sums: DataFrame, dims: DataFrame, fanout: bool = False) -> DataFrame:
+    """The same check on sums per store, day and category, of which no category has many."""
+    known = dims.select("categoryId")
+    if fanout:
+        return sums.join(known, "categoryId").select(sums.columns)
+    return sums.join(known.distinct(), "categoryId", "left_semi").select(sums.columns)
 
 
 def sale_count_with_amount(counts: DataFrame, amounts: DataFrame) -> DataFrame:

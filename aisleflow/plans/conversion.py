@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from aisleflow.functions.dates import trim_time, with_calendar
 from aisleflow.model import CATEGORY_DAY, STORE_DAY, STORE_USER
-from aisleflow.operators.aggregates import distinct_users, union_history
+from aisleflow.operators.aggregates import daily_category_totals, distinct_users, union_history
 from aisleflow.operators.joins import items_with_category, store_conversion_join, total_converted_outer
 from aisleflow.plans.footfall import footfall_facts
-from aisleflow.operators.aggregates import daily_category_totals
 
 
 def converted_facts(items: DataFrame, dims: DataFrame) -> DataFrame:
     """Each buyer of a known category once per store and day."""
-    buyers = items.select(*STORE_USER, "categoryId", trim_time("createdStamp").alias("time")).distinct()
-    return items_with_category(buyers, dims)
+    buyers = items.select(*STORE_USER, "categoryId", trim_time("createdStamp").alias("time"))
+    return items_with_category(buyers, dims).distinct()
 
 
 def converted_users(items: DataFrame, dims: DataFrame, history: DataFrame | None = None) -> DataFrame:

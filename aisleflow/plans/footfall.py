@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from aisleflow.functions.dates import day_of, month_of, trim_time, with_calendar, year_of
 from aisleflow.operators.aggregates import daily_category_totals, union_history
-from aisleflow.operators.joins import location_with_category
 
 
 def footfall_facts(location: DataFrame, dims: DataFrame) -> DataFrame:
@@ -19,7 +18,7 @@ def footfall_facts(location: DataFrame, dims: DataFrame) -> DataFrame:
     per_rack = location.groupBy("orgId", "storeId", trim_time("createdStamp").alias("time"), "rackId").agg(
         F.count(F.lit(1)).alias("footfall")
     )
-    return location_with_category(per_rack, dims).select("orgId", "storeId", "time", "categoryId", "footfall")
+    return per_rack.join(dims, "rackId").select("orgId", "storeId", "time", "categoryId", "footfall")
 
 
 def category_footfall(location: DataFrame, dims: DataFrame, history: DataFrame | None = None) -> DataFrame:
@@ -39,7 +38,7 @@ def daily_category_footfall_by_name(location: DataFrame, dims: DataFrame, legacy
     per_rack = location.groupBy("orgId", "storeId", day.alias("time"), "rackId").agg(
         F.count(F.lit(1)).alias("footfall")
     )
-    return location_with_category(per_rack, dims).groupBy(
+    return per_rack.join(dims, "rackId").groupBy(
         "orgId",
         "storeId",
         day_of("time").alias("day"),
@@ -54,7 +53,7 @@ def category_footfall_by_second(location: DataFrame, dims: DataFrame) -> DataFra
     per_rack = location.groupBy("orgId", "storeId", F.col("createdStamp").alias("time"), "rackId").agg(
         F.count(F.lit(1)).alias("footfall")
     )
-    return location_with_category(per_rack, dims).groupBy(
+    return per_rack.join(dims, "rackId").groupBy(
         "orgId", "storeId", "time", "categoryId", "categoryName"
     ).agg(F.sum("footfall").alias("FootFallCount"))
 

@@ -8,7 +8,7 @@ from aisleflow.functions.dates import day_of, month_of, trim_time, with_calendar
 from aisleflow.functions.retail import sale_amount
 from aisleflow.model import CATEGORY_DAY
 from aisleflow.operators.aggregates import daily_category_totals, union_history
-from aisleflow.operators.joins import items_with_category
+from aisleflow.operators.joins import sums_of_known_category
 
 
 def order_items(checkouts: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def sale_facts(items: DataFrame, dims: DataFrame, fanout: bool = False) -> DataF
     sums = items.groupBy("orgId", "storeId", day, "categoryId").agg(
         F.sum("quantity").alias("sale"), F.sum(sale_amount("unitPrice", "quantity")).alias("saleAmount")
     )
-    return items_with_category(sums, dims, fanout)
+    return sums_of_known_category(sums, dims, fanout)
 
 
 def _totals(

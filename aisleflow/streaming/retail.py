@@ -48,7 +48,9 @@ def run_together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
             running.result()
 
 
-def for_each_batch(lines: DataFrame, run, checkpoint: str, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
+def for_each_batch(
+    lines: DataFrame, run, checkpoint: str, available_now: bool = False, every: str = TRIGGER
+) -> StreamingQuery:
     """Run ``run(batch_df, batch_id)`` per micro-batch; progress is kept in the checkpoint."""
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return (

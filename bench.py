@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-Each query is run once to warm up and then timed over whole tables, its rows
-written to Spark's noop sink. ``stream_batch`` is one micro-batch of the retail
+Each query is run once to warm up and then timed twice over whole tables, the
+better time kept, its rows written to Spark's noop sink. ``stream_batch`` is one micro-batch of the retail
 stream over every message, from text to written products.
 """
 
@@ -62,7 +62,7 @@ def main() -> None:
     for name in HEADLINE:
         run = lambda: QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()  # noqa: E731, B023
         run()
-        timings[name] = seconds(run)
+        timings[name] = min(seconds(run), seconds(run))
 
     root = work_folder(spark, "bench")
     star.message_lines(spark, SF_DIR).repartition(int(CPUS)).write.text(f"{root}/messages")
