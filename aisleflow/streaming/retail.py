@@ -163,23 +163,26 @@ class RetailStream:
         return visitors.first_visits_of(location, seen)
 
     def _product_writes(self, days: list | DataFrame, batch_id: int) -> list[Callable[[], None]]:
-        logs = {t: only_days(self.log(t).as_of(batch_id), days).drop("event_date") for t in LOGS}
-        footfalls = logs["dailyCategoryFootFallTemp"]
+        """One job per product; each reads its own logs, so they are also planned side by side."""
+
+        def log(table: str) -> DataFrame:
+            return only_days(self.log(table).as_of(batch_id), days).drop("event_date")
+
         products = {
-            "dailyCategoryFootfall": with_calendar(
-                daily_category_totals(footfalls, footfallCount="footfall"), self.legacy
+            "dailyCategoryFootfall": lambda: with_calendar(
+                daily_category_totals(log("dailyCategoryFootFallTemp"), footfallCount="footfall"), self.legacy
             ),
-            "dailyCategorySaleWithCountAgg": with_calendar(
-                daily_category_totals(logs["dailyCategorySale"], saleAmountAgg="saleAmount", saleCountAgg="sale"),
+            "dailyCategorySaleWithCountAgg": lambda: with_calendar(
+                daily_category_totals(log("dailyCategorySale"), saleAmountAgg="saleAmount", saleCountAgg="sale"),
                 self.legacy,
             ),
-            "dailyVisitors": visitors.daily_visitors_of(logs["userVisitType"], legacy=self.legacy),
-            "dailyVisitorsCategoryWise": conversion.visitors_category_wise(
-                footfalls, logs["converted_static"], self.legacy
+            "dailyVisitors": lambda: visitors.daily_visitors_of(log("userVisitType"), legacy=self.legacy),
+            "dailyVisitorsCategoryWise": lambda: conversion.visitors_category_wise(
+                log("dailyCategoryFootFallTemp"), log("converted_static"), self.legacy
             ),
-            "dailyVisit": visits_per_user(logs["userVisit"], ["orgId", "storeId", "time", "userId"]),
+            "dailyVisit": lambda: visits_per_user(log("userVisit"), ["orgId", "storeId", "time", "userId"]),
         }
-        return [lambda n=n, df=df: self._write_product(n, df) for n, df in products.items()]
+        return [lambda n=n, make=make: self._write_product(n, make()) for n, make in products.items()]
 
     def _write_product(self, name: str, rows: DataFrame) -> None:
         dated = rows.withColumn("event_date", F.to_date("time"))
