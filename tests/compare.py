@@ -11,7 +11,7 @@ TABLES = (
 
 SPARK_TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
-    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
 }
 
 
