@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from aisleflow.session import work_folder
 
@@ -24,6 +26,12 @@ def materialised(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table, with this package on the path of Python workers started from another folder."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def work_groups(sizes, most: int):
     """Neighbouring items as (start, end) groups of about ``most`` units; a larger item stands alone."""
     start, held = 0, 0

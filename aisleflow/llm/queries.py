@@ -4,19 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aisleflow.llm import decontaminate, licences
+from aisleflow.llm import decontaminate, languages, licences, pages, sentencepieces
+from aisleflow.llm.common import read_table
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+def _remainder(n: int):
+    """crc32 of the doc_id as text, modulo n; null if the id is."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = languages.learn(docs, _remainder(4) != 2)
+    return languages.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.size("lang_spans").alias("n_spans"),
+    )
+
+
+def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(read_table(spark, sf_dir, "pages"))
 
 
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan(_table(spark, sf_dir, "documents"), licences.known_digests(spark))
+    return licences.scan(read_table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",
         "n_words",
@@ -27,8 +47,16 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepieces.encode(read_table(spark, sf_dir, "documents"), PIECES)
+    return encoded.select("doc_id", F.when(F.col("ids").isNotNull(), F.size("ids")).alias("n_ids"), "ids", "round_trip")
+
+
 QUERIES = {
+    "op1_languages": op1_languages,
+    "op3_pages": op3_pages,
     "op5_licences": op5_licences,
+    "op8_pieces": op8_pieces,
     "op9_decontaminate": op9_decontaminate,
 }
 
