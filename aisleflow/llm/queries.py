@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aisleflow.llm import decontaminate, languages, licences, pages, sentencepieces
+from aisleflow.llm import decontaminate, hidden_markov, languages, licences, pages, sentencepieces
 from aisleflow.llm.common import read_table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -31,6 +31,19 @@ def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return hidden_markov.score_texts(docs, _remainder(5) != 1).select(
+        "doc_id",
+        F.coalesce(_remainder(5) == 1, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read_table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
@@ -55,6 +68,7 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_languages": op1_languages,
     "op3_pages": op3_pages,
+    "op4_hidden_markov": op4_hidden_markov,
     "op5_licences": op5_licences,
     "op8_pieces": op8_pieces,
     "op9_decontaminate": op9_decontaminate,
