@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aisleflow.llm import decontaminate, hidden_markov, languages, licences, pages, sentencepieces
+from aisleflow.llm import decontaminate, hidden_markov, languages, licences, near_copies, pages, sentencepieces
 from aisleflow.llm.common import read_table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -65,6 +65,10 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.when(F.col("ids").isNotNull(), F.size("ids")).alias("n_ids"), "ids", "round_trip")
 
 
+def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.classes(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_languages": op1_languages,
     "op3_pages": op3_pages,
@@ -72,6 +76,7 @@ QUERIES = {
     "op5_licences": op5_licences,
     "op8_pieces": op8_pieces,
     "op9_decontaminate": op9_decontaminate,
+    "op10_near_copies": op10_near_copies,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
