@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aisleflow.llm import decontaminate, hidden_markov, languages, licences, near_copies, pages, sentencepieces
+from aisleflow.llm import decontaminate, hidden_markov, languages, licences, near_copies, pages, repeats, sentencepieces
 from aisleflow.llm.common import read_table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -27,6 +27,16 @@ def op1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        F.col("rep_bytes").alias("n_bytes"),
+        F.col("rep_removed").alias("n_removed"),
+        F.col("rep_spans").alias("n_spans"),
+        F.sha2("rep_kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(read_table(spark, sf_dir, "pages"))
 
@@ -71,6 +81,7 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_languages": op1_languages,
+    "op2_repeats": op2_repeats,
     "op3_pages": op3_pages,
     "op4_hidden_markov": op4_hidden_markov,
     "op5_licences": op5_licences,
@@ -90,6 +101,32 @@ def _quoted(text: str) -> str:
 _KNOWN_SQL = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in licences.KNOWN.items())
 
 ORACLE_SQL = {
+    "op2_repeats": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), w AS (
+            SELECT r, doc_id, i, substr(h, 2 * i + 1, {2 * repeats.WIDTH}) AS s
+            FROM (SELECT *, unnest(range(0, len(h) // 2 - {repeats.WIDTH - 1})) AS i FROM d WHERE doc_id IS NOT NULL)
+        ), smallest AS (
+            SELECT s, min(doc_id) AS m FROM w GROUP BY s
+        ), gone AS (
+            SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS step
+            FROM w JOIN smallest USING (s) WHERE m < doc_id
+        ), runs AS (
+            SELECT r, min(i) AS a, max(i) + {repeats.WIDTH} AS b
+            FROM (SELECT r, i, sum(CASE WHEN step <= {repeats.WIDTH} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS k FROM gone)
+            GROUP BY r, k
+        ), parts AS (
+            SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS e FROM runs
+        ), kept AS (
+            SELECT r, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS e,
+                   string_agg(substr(h, 2 * e + 1, 2 * (a - e)), '' ORDER BY a) AS k
+            FROM parts JOIN d USING (r) GROUP BY r
+        )
+        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(k, '') || substr(h, 2 * coalesce(e, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
     "op5_licences": f"""
         WITH known AS (
             SELECT sha256({licences.canonical_sql("t")}) AS digest, min(name) AS licence
