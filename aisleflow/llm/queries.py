@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aisleflow.llm import decontaminate, hidden_markov, languages, licences, near_copies, pages, repeats, sentencepieces
+from aisleflow.llm import (
+    decontaminate,
+    hidden_markov,
+    languages,
+    licences,
+    metric_search,
+    near_copies,
+    pages,
+    repeats,
+    sentencepieces,
+    weak_labels,
+)
 from aisleflow.llm.common import read_table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -70,6 +81,14 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.quality(read_table(spark, sf_dir, "documents"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepieces.encode(read_table(spark, sf_dir, "documents"), PIECES)
     return encoded.select("doc_id", F.when(F.col("ids").isNotNull(), F.size("ids")).alias("n_ids"), "ids", "round_trip")
@@ -85,6 +104,8 @@ QUERIES = {
     "op3_pages": op3_pages,
     "op4_hidden_markov": op4_hidden_markov,
     "op5_licences": op5_licences,
+    "op6_quality": op6_quality,
+    "op7_top_k": op7_top_k,
     "op8_pieces": op8_pieces,
     "op9_decontaminate": op9_decontaminate,
     "op10_near_copies": op10_near_copies,
@@ -135,6 +156,19 @@ ORACLE_SQL = {
             SELECT doc_id, sha256({licences.canonical_sql("text")}) AS digest FROM documents
         )
         SELECT doc_id, seen.digest AS digest, licence FROM seen LEFT JOIN known ON seen.digest = known.digest""",
+    "op7_top_k": """
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.r AS q, q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+            FROM v AS q JOIN v AS c ON q.r <> c.r AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10""",
     "op9_decontaminate": f"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS w FROM documents
