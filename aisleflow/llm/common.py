@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aisleflow.session import work_folder
 
@@ -14,6 +15,28 @@ U64 = np.uint64
 CACHE_WORDS = 300_000
 
 
+_recorded: list[str] | None = None
+
+
+@contextmanager
+def recorded_tables():
+    """Collects the folders that ``materialised`` writes meanwhile, for ``remove_tables``."""
+    global _recorded
+    before, _recorded = _recorded, []
+    try:
+        yield _recorded
+    finally:
+        _recorded = before
+
+
+def remove_tables(spark: SparkSession, folders: list[str]) -> None:
+    """Delete tables that ``materialised`` wrote, on whatever file system they are."""
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialised(df: DataFrame, purpose: str) -> DataFrame:
     """The frame written to the shared checkpoint folder and read back.
 
@@ -22,16 +45,28 @@ def materialised(df: DataFrame, purpose: str) -> DataFrame:
     fixed from then on.
     """
     path = work_folder(df.sparkSession, purpose)
+    if _recorded is not None:
+        _recorded.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table, with this package on the path of Python workers started from another folder."""
+def reach_package(spark: SparkSession) -> None:
+    """Put this package on the path of Python workers that are started in another folder."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key() -> Column:
+    """A text key of a document row's doc_id and text; equal rows have equal keys."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\x00"))
+    return F.md5(F.concat(told("doc_id"), F.lit("\x01"), told("text")))
+
+
 def work_groups(sizes, most: int):
     """Neighbouring items as (start, end) groups of about ``most`` units; a larger item stands alone."""
     start, held = 0, 0

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from aisleflow.llm.common import work_groups
 
@@ -210,9 +211,6 @@ def spans_of(texts: list[str | None], model: Model) -> list[tuple[str, float, li
     ]
 
 
-SPANS = "array<struct<start:int,end:int,lang:string>>"
-
-
 def _identified(model):
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
@@ -238,9 +236,25 @@ def _identified(model):
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with lang_pred, lang_score and lang_spans; a column of such a name is replaced."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_spans")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
+    kept = [f"`{c}`" for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_spans")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(*kept).mapInArrow(
-        _identified(shared), f"{fields}, lang_pred string, lang_score double, lang_spans {SPANS}"
-    )
+    own = StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("lang", StringType())])
+    added = [StructField("lang_pred", StringType()), StructField("lang_score", DoubleType()), StructField("lang_spans", ArrayType(own))]
+    return docs.select(*kept).mapInArrow(_identified(shared), StructType([*docs.select(*kept).schema, *added]))
+
+
+def _kept(model, least: float):
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.names.index("text"))
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+            for a, b in work_groups(sizes, BATCH_BYTES):
+                found = spans_of(texts.slice(a, b - a).to_pylist(), model.value)
+                yield batch.slice(a, b - a).filter(pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_()))
+
+    return run
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents, as they are, of which one language holds at least ``least`` of the letters."""
+    return docs.mapInArrow(_kept(docs.sparkSession.sparkContext.broadcast(model), least), docs.schema)

@@ -217,8 +217,8 @@ def _links(nodes: DataFrame, buckets: DataFrame, docs: DataFrame) -> DataFrame |
         first += CENTRES_A_ROUND
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, class_id (smallest doc_id of its class) and class_size in documents."""
+def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, copy) of all texts that are not null; and of each distinct text copy, doc_id, n and the root of its class."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     seen = materialised(
         docs.filter("text is not null").select("doc_id", F.md5("text").alias("copy"), "text").mapInArrow(
@@ -232,15 +232,32 @@ def classes(docs: DataFrame) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    buckets = nodes.select("node", F.explode("sketches").alias("key"))
-    links = _links(nodes, buckets, docs)
+    links = _links(nodes, nodes.select("node", F.explode("sketches").alias("key")), docs)
     plain = nodes.select("node", "copy", "doc_id", "n")
-    rooted = (
-        plain.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if links is not None
-        else plain.withColumn("root", F.col("node"))
-    )
+    if links is None:
+        return seen, plain.withColumn("root", F.col("node"))
+    return seen, plain.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, class_id (smallest doc_id of its class) and class_size in documents."""
+    seen, rooted = _rooted(docs)
     named = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
     of_copy = rooted.select("copy", "root").join(named, "root").select("copy", "class_id", "class_size")
     alone = docs.filter("text is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return seen.select("doc_id", "copy").join(of_copy, "copy").select("doc_id", "class_id", "class_size").unionByName(alone)
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents, as they are, one row of each class: of its smallest doc_id. Rows with null text stay."""
+    rooted = _rooted(docs)[1]
+    first = rooted.groupBy("root").agg(F.min_by("copy", F.struct(F.col("doc_id").isNull(), "doc_id", "copy")).alias("copy"))
+    chosen = first.join(rooted.select("copy", "doc_id"), "copy").select(
+        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00")), F.lit("\x01"), "copy")).alias("_key")
+    )
+    keyed = docs.filter("text is not null").withColumn(
+        "_key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00")), F.lit("\x01"), F.md5("text")))
+    )
+    once = Window.partitionBy("_key").orderBy("_key")
+    kept = keyed.join(chosen, "_key", "left_semi").withColumn("_n", F.row_number().over(once)).filter("_n = 1")
+    return kept.select(docs.columns).unionByName(docs.filter("text is null"))

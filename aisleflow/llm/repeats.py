@@ -35,6 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from aisleflow.llm.common import U64, materialised, mixed, sliding, work_groups
 
@@ -327,6 +328,14 @@ def _runs(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), **columns})
 
 
+def _cut_texts(chunk: pa.Table, found: pa.Table) -> pa.Table:
+    """Like ``_cut``, with what is left as text; a character that lost a byte goes."""
+    table = _cut(chunk, found)
+    k = table.column_names.index("rep_kept")
+    texts = [b.decode("utf-8", "ignore") for b in table.column(k).to_pylist()]
+    return table.set_column(k, "rep_kept", pa.array(texts, pa.string()))
+
+
 def _cut(chunk: pa.Table, found: pa.Table) -> pa.Table:
     """The documents of a chunk without the windows of smaller ids."""
     tables = []
@@ -363,8 +372,8 @@ def _cut(chunk: pa.Table, found: pa.Table) -> pa.Table:
     return pa.concat_tables(tables)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of the documents but text, and rep_kept (bytes left), rep_bytes, rep_removed, rep_spans.
+def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
+    """All columns of the documents but text, and rep_kept (bytes left, or text), rep_bytes, rep_removed, rep_spans.
 
     Input columns of these names are replaced.
     """
@@ -393,11 +402,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .applyInArrow(_runs, "chunk long, part long, counts binary, first binary, last binary, smallest binary")
     )
     found = lists.select("part", "chunk", "occurrence", "owner", "offset").join(runs, ["part", "chunk"])
-    others = docs.drop("text").schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
+    kept = StringType() if as_text else BinaryType()
+    own = [StructField(name, kind) for name, kind in zip(OWN, (kept, LongType(), LongType(), LongType()))]
     return (
         chunks.select("chunk", "ids", "lengths", "text", "rest")
         .groupBy("chunk")
         .cogroup(found.groupBy("chunk"))
-        .applyInArrow(_cut, f"{fields}, rep_kept binary, rep_bytes long, rep_removed long, rep_spans long")
+        .applyInArrow(_cut_texts if as_text else _cut, StructType([*docs.drop("text").schema, *own]))
     )
