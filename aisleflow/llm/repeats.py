@@ -238,7 +238,7 @@ def _hash_lists(parts: int):
                 order = np.argsort(value, kind="stable")
                 ordered, owner = value[order], text[order]
                 new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(order) else order
-                last = np.append(new[1:], len(order)) - 1
+                last = np.append(new[1:], len(order))[: len(new)] - 1
                 distinct, several = ordered[new], owner[new] != owner[last]
                 lists = _by_part(distinct, parts)
                 yield pa.RecordBatch.from_pydict(
