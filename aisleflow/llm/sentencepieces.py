@@ -7,9 +7,10 @@ maximum piece length of the end can still be extended; when the backpointer
 paths of all of them meet in one boundary, the ids before it are final and are
 given out, and the window starts there.
 
-Two rules of the vocabulary cut a text beforehand where every path has to pass:
-before a run of spaces, if no piece has a space after another character, and
-around characters that no longer piece holds. Encoded cuts of a task are kept in
+Rules of the vocabulary cut a text beforehand where every path has to pass: before
+a run of spaces, if no piece has a space after another character, around
+characters that no longer piece holds, and between a letter and a sign that no
+piece has behind a letter. Encoded cuts of a task are kept in
 a memo of bounded size.
 
 Ids are the best path under the scores of the model file, as the library gives
@@ -36,12 +37,13 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from aisleflow.llm.common import CACHE_WORDS, work_groups
+from aisleflow.llm.common import work_groups
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 BATCH_BYTES = 2_000_000
 MEMO_CHARS = 64
+MEMO_PARTS = 500_000
 
 
 class Vocabulary:
@@ -66,23 +68,54 @@ class Vocabulary:
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
         self.unknown = min((s for _, s in self.pieces.values()), default=0.0) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.pieces), default=1)
-        self.reach: dict[str, int] = {}
-        for piece in self.pieces:
-            self.reach[piece[:2]] = max(len(piece), self.reach.get(piece[:2], 0))
+        self.trie: dict = {}  # by character; at "" the score of the piece that ends there
+        for piece, (_, score) in self.pieces.items():
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = score
 
     @cached_property
     def cuts(self) -> re.Pattern:
         """Splits a text into parts that no piece crosses."""
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             return re.compile(r"(?s).+")
-        inner = "".join(map(re.escape, sorted({c for p in self.pieces if len(p) > 1 for c in p} - {SPACE})))
-        return re.compile(f"(?s){SPACE}*[{inner}]+|{SPACE}+|." if inner else "(?s).")
+        longer = [p for p in self.pieces if len(p) > 1]
+        inner = {c for p in longer for c in p} - {SPACE}
+        letters = {c for c in inner if c.isalpha()}
+        after_letters = {b for p in longer for a, b in zip(p, p[1:]) if a in letters}
+        many = lambda chars: f"[{''.join(map(re.escape, sorted(chars)))}]"
+        parts = [f"{SPACE}+", "."]
+        if inner:
+            parts.insert(0, f"{SPACE}*{many(inner)}+")
+        if letters and inner - letters - after_letters:  # a word ends before a sign that no piece has behind a letter
+            parts.insert(0, f"{SPACE}*{many(letters)}++(?={many(inner - letters - after_letters)})")
+        return re.compile("(?s)" + "|".join(parts))
 
     def ids_of(self, piece: str) -> list[int]:
         known = self.pieces.get(piece)
         return [known[0]] if known else [self.byte_ids[b] for b in piece.encode()]
 
 
+def extend(v: Vocabulary, text: str, start: int, end: int, score: list[float], back: list[int]) -> None:
+    """Let the best paths that end at positions from start to end go on by one piece."""
+    never, size = float("-inf"), len(text)
+    score += [never] * (size + 1 - len(score))
+    back += [0] * (size + 1 - len(back))
+    for i in range(start, end):
+        base, node, j = score[i], v.trie, i
+        while j < size:
+            node = node.get(text[j])
+            j += 1
+            if node is None:
+                break
+            own = node.get("")
+            if own is not None and base + own > score[j]:
+                score[j], back[j] = base + own, i
+        if score[i + 1] == never or "" not in v.trie.get(text[i], {}) and base + v.unknown > score[i + 1]:
+            score[i + 1], back[i + 1] = base + v.unknown, i
+
+
 class StreamingViterbi:
     """Best path over characters fed in chunks, with ids given out as soon as they are final."""
 
@@ -106,25 +139,10 @@ class StreamingViterbi:
         return self._commit(len(self.text))
 
     def _advance(self, end: int) -> None:
-        text, score, back, pieces, reach = self.text, self.score, self.back, self.v.pieces, self.v.reach
-        for i in range(self.done, end):
-            base = score[i]
-            single = pieces.get(text[i])
-            step = base + (single[1] if single else self.v.unknown)
-            if len(score) == i + 1:
-                score.append(step)
-                back.append(i)
-            elif step > score[i + 1]:
-                score[i + 1], back[i + 1] = step, i
-            for j in range(i + 2, min(i + reach.get(text[i : i + 2], 0), len(text)) + 1):
-                known = pieces.get(text[i:j])
-                while len(score) <= j:
-                    score.append(float("-inf"))
-                    back.append(i)
-                if known and base + known[1] > score[j]:
-                    score[j], back[j] = base + known[1], i
-        self.done = max(self.done, end)
-        self.widest = max(self.widest, len(text))
+        if end > self.done:
+            extend(self.v, self.text, self.done, end, self.score, self.back)
+            self.done = end
+        self.widest = max(self.widest, len(self.text))
 
     def _meeting(self) -> int:
         """The last boundary that the paths of all positions which can be extended share."""
@@ -151,34 +169,62 @@ class StreamingViterbi:
         return out
 
 
-class Encoder(dict):
-    """Encoded parts of texts; a bounded memo, forgetting costs time only."""
+class Parts(dict):
+    """Ids of parts that no piece crosses the ends of; a bounded memo, forgetting costs time only."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.v = vocabulary
 
-    def __missing__(self, part: str) -> list[int]:
-        stream = StreamingViterbi(self.v)
-        ids = stream.feed(part) + stream.finish() if len(part) > self.v.longest else _short(self.v, part)
-        if len(part) <= MEMO_CHARS:
-            if len(self) >= CACHE_WORDS:
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        if len(part) > MEMO_CHARS:
+            stream = StreamingViterbi(self.v)
+            return tuple(stream.feed(part) + stream.finish())
+        if len(self) >= MEMO_PARTS:
+            self.clear()
+        ids = self[part] = _short(self.v, part)
+        return ids
+
+
+class Encoder(dict):
+    """Ids of words with the space before them, put together from parts; a memo like that of parts."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.v, self.parts = vocabulary, Parts(vocabulary)
+        self.words_apart = not any(SPACE in p.lstrip(SPACE) for p in vocabulary.pieces)
+
+    def _cut(self, marked: str) -> list[str]:
+        return self.v.cuts.findall(marked)
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        parts = self._cut(SPACE + word)
+        ids = tuple(chain.from_iterable(map(self.parts.__getitem__, parts)))
+        if len(parts) <= 2 and len(word) <= MEMO_CHARS:
+            if len(self) >= MEMO_PARTS:
                 self.clear()
-            self[part] = ids
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        parts = self.v.cuts.findall(SPACE + text.replace(" ", SPACE))
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, parts)), np.int32)
-
-
-def _short(v: Vocabulary, part: str) -> list[int]:
-    """A part that the window holds as a whole."""
-    stream = StreamingViterbi(v)
-    stream.text = part
-    return stream.finish()
+        if self.words_apart and text[0] != " " and "  " not in text and SPACE not in text:
+            found = map(self.__getitem__, text.split(" "))
+        else:  # runs of spaces are parts of their own
+            found = map(self.parts.__getitem__, self._cut(SPACE + text.replace(" ", SPACE)))
+        return np.fromiter(chain.from_iterable(found), np.int32)
+
+
+def _short(v: Vocabulary, part: str) -> tuple[int, ...]:
+    """The ids of a part that the window holds as a whole."""
+    score, back, at = [0.0], [0], len(part)
+    extend(v, part, 0, at, score, back)
+    ids: list[int] = []
+    while at:
+        ids += v.ids_of(part[back[at] : at])[::-1]
+        at = back[at]
+    return tuple(ids[::-1])
 
 
 def stream_ids(vocabulary: Vocabulary, chunks: Iterable[str]) -> Iterator[int]:
