@@ -20,7 +20,7 @@ from aisleflow.sources import star_schema as star
 from aisleflow.sources.dimensions import load_dimensions
 from aisleflow.sources.streams import read_event_stream
 from aisleflow.sources.tables import append_table, overwrite_table, read_table
-from aisleflow.streaming.retail import RetailStream, dead_letters, for_each_batch, raw_messages
+from aisleflow.streaming.retail import RetailStream, dead_letters, footfall_30s_counts, for_each_batch, raw_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,10 @@ def _stream(spark, d) -> RetailStream:
     return _streamed[key]
 
 
+def _last_batch(stream: RetailStream) -> int:
+    return stream.spark.read.parquet(f"{stream.root}/message").agg(F.max("batch_id")).first()[0]
+
+
 @named("read_event_stream")
 def read_event_stream_lines(spark, d):
     root = work_folder(spark, "lines")
@@ -128,7 +132,60 @@ def raw_message_archive(spark, d):
 
 @query
 def stream_dead_letters(spark, d):
-    return dead_letters(spark, _stream(spark, d).root).groupBy("problem").agg(F.count("*").alias("lines"))
+    """Problems of lines of which most are unusable, found by the stream."""
+    stream = RetailStream(spark, work_folder(spark, "damaged"), _dims(spark, d))
+    stream.process(star.damaged_lines(spark, d), 0)
+    return dead_letters(spark, stream.root).groupBy("problem").agg(F.count("*").alias("lines"))
+
+
+@query
+def stream_string_ids(spark, d):
+    """Footfall of messages with text ids: organisations 1 and org1 stay apart."""
+    stream = RetailStream(spark, work_folder(spark, "texts"), _dims(spark, d), generation=messages.STRING_IDS)
+    stream.process(star.string_id_lines(spark, d), 0)
+    return stream.product("dailyCategoryFootfall")
+
+
+@query
+def stream_compacted_replay(spark, d):
+    """Visits after two batches, a compaction, the second batch again, and a third one."""
+    lines = star.message_lines(spark, d)
+    part = lambda n: lines.filter(F.pmod(F.xxhash64("value"), F.lit(3)) == n)
+    root = work_folder(spark, "compacted")
+    stream = RetailStream(spark, root, _dims(spark, d))
+    stream.process(part(0), 0)
+    stream.process(part(1), 1)
+    stream = stream.compact(1, f"{root}/state-2")
+    stream.process(part(1), 1)
+    stream.process(part(2), 2)
+    return stream.product("dailyVisit")
+
+
+@query
+def stream_new_repeat_daily(spark, d):
+    return _stream(spark, d).product("newRepeatDaily")
+
+
+@query
+def stream_monthly_repeat_visitors(spark, d):
+    return visitors.repeat_by_count(_stream(spark, d).visits_by_month(_last_batch(_stream(spark, d))))
+
+
+@query
+def stream_footfall_30s(spark, d):
+    """Footfall per rack and 30 seconds, of buckets that closed behind the watermark."""
+    root = work_folder(spark, "buckets")
+    lines = read_event_stream(spark, _message_folder(spark, d))
+    counts = footfall_30s_counts(messages.parse_location_events(lines))
+    running = (
+        counts.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{root}/counts")
+    )
+    running.awaitTermination()
+    return read_table(spark, f"{root}/counts", "rackId INT, bucket TIMESTAMP_NTZ, footfall BIGINT")
 
 
 @named("for_each_batch")
@@ -159,8 +216,7 @@ def stream_daily_visitors_category_wise(spark, d):
 @query
 def stream_user_profile(spark, d):
     stream = _stream(spark, d)
-    last = spark.read.parquet(f"{stream.root}/state/userProfile").agg(F.max("batch_id")).first()[0]
-    profile = stream.log("userProfile").as_of(last).drop("event_date")
+    profile = stream.log("userProfile").as_of(_last_batch(stream)).drop("event_date")
     return profile.select("userId", "orderId", "productId", "quantity", "categoryId", "orderTimestamp")
 
 
@@ -612,7 +668,11 @@ _on_events(
 _on_events("week_of_month", week=lambda: dates.week_of_month(_spread_day()))
 _on_events("trim_time", time=lambda: dates.trim_time("ts"), legacy=lambda: dates.trim_time("ts", True))
 _on_events(
-    "time_delta_ms", delta=lambda: dates.time_delta_ms("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    "time_delta_ms",
+    delta=lambda: dates.time_delta_ms(
+        F.col("ts") + F.expr("make_dt_interval(0, 0, 0, cast((event_id % 1999) / 1000000 as decimal(18, 6)))"),
+        F.lit("2024-01-01 00:00:00.000900").cast("timestamp_ntz"),
+    ),
 )
 _on_events("add_24h", next=lambda: dates.add_24h("ts"))
 _on_events("new_flag", flag=lambda: retail.new_flag(F.col("event_id") % 4 - 1))
@@ -785,13 +845,17 @@ def daily_visitors_by_count(spark, d):
     return visitors.daily_visitors_by_count(star.location_events(spark, d))
 
 
-def _by_count(name: str, grain: str, keep) -> None:
-    QUERIES[name] = lambda spark, d: keep(visitors.visits_by_grain(star.location_events(spark, d), grain))
+def _by_count(name: str, grain: str, keep, visits) -> None:
+    QUERIES[name] = lambda spark, d: keep(visitors.visits_by_grain(visits(spark, d), grain))
 
 
+# Every user has several events a month; single visits in longer spans are those of orders.
 for _grain, _name in (("day", "daily"), ("month", "monthly"), ("year", "yearly")):
-    _by_count(f"{_name}_new_visitors", _grain, visitors.new_by_count)
-    _by_count(f"{_name}_repeat_visitors", _grain, visitors.repeat_by_count)
+    _by_count(
+        f"{_name}_new_visitors", _grain, visitors.new_by_count,
+        star.location_events if _grain == "day" else star.order_visits,
+    )
+    _by_count(f"{_name}_repeat_visitors", _grain, visitors.repeat_by_count, star.location_events)
 
 
 @query

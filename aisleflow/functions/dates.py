@@ -49,8 +49,10 @@ def trim_time(t, legacy: bool = False) -> Column:
 
 
 def time_delta_ms(t1, t2) -> Column:
-    seconds = (_col(t1) - _col(t2)).cast("interval second").cast("decimal(20,6)")
-    return F.floor(seconds * 1000).cast("bigint")
+    """Difference in whole milliseconds of each time, so that both are cut, not their difference."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    whole = lambda t: F.floor((_col(t).cast("timestamp_ntz") - start).cast("interval second").cast("decimal(20,6)") * 1000)
+    return (whole(t1) - whole(t2)).cast("bigint")
 
 
 def add_24h(t) -> Column:

@@ -8,12 +8,14 @@
 from __future__ import annotations
 
 import argparse
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from aisleflow.plans.allergens import allergen_profile
 from aisleflow.session import build_session
 from aisleflow.sources.dimensions import load_dimensions
+from aisleflow.sources.events import GENERATIONS
 from aisleflow.sources.streams import read_event_stream
 from aisleflow.sources.tables import append_table, read_table
 from aisleflow.streaming.retail import TRIGGER, RetailStream, archive_raw_messages, for_each_batch
@@ -25,8 +27,12 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     dims = load_dimensions(read_table(spark, args.racks), read_table(spark, args.category))
     indicators = read_table(spark, args.indicators) if args.indicators else None
     stream = RetailStream(
-        spark, args.root, dims, args.events, not args.all_events, args.legacy, indicators, args.state
+        spark, args.root, dims, args.events, not args.all_events, args.legacy, indicators, args.state,
+        GENERATIONS[args.generation],
     )
+    if args.compact is not None:
+        stream.compact(args.compact, args.into)
+        return
     stream.start(read_event_stream(spark, args.messages), args.once, args.every).awaitTermination()
 
 
@@ -40,7 +46,8 @@ def run_allergens(spark: SparkSession, args: argparse.Namespace) -> None:
     """Append the profile rows the output does not hold yet, so a second run adds nothing."""
     found = allergen_profile(read_table(spark, args.profile), args.min_orders)
     stored = read_table(spark, args.output, ALLERGEN_COLUMNS)
-    append_table(found.join(stored, found.columns, "left_anti"), args.output)
+    same = reduce(lambda a, b: a & b, [F.col(f"f.{c}").eqNullSafe(F.col(f"s.{c}")) for c in found.columns])
+    append_table(found.alias("f").join(stored.alias("s"), same, "left_anti"), args.output)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -60,6 +67,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--state", help="folder of the state logs, after a compaction")
     stream.add_argument("--all-events", action="store_true", help="count exits too")
     stream.add_argument("--legacy", action="store_true", help="months from 0, years from 1900")
+    stream.add_argument("--generation", choices=list(GENERATIONS), default="current", help="of the messages")
+    stream.add_argument("--compact", type=int, help="merge the state up to this batch into --into, and stop")
+    stream.add_argument("--into", help="new folder for the state logs")
     stream.set_defaults(run=run_stream)
     archive.set_defaults(run=run_archive)
     allergens = jobs.add_parser("allergens")

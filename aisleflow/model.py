@@ -7,6 +7,8 @@ Order, item and product ids are 64-bit because they grow with the data.
 
 from __future__ import annotations
 
+import re
+
 STORE_USER = ["orgId", "storeId", "userId"]
 STORE_DAY = ["orgId", "storeId", "time"]
 CATEGORY_DAY = ["orgId", "storeId", "time", "categoryId"]
@@ -78,6 +80,31 @@ STATE_TABLES = {
         "orderTimestamp TIMESTAMP_NTZ, categoryId INT, day INT, month INT, year INT",
 }
 
+PRODUCT_TABLES = {
+    "dailyCategoryFootfall":
+        "orgId INT, storeId INT, day INT, month INT, year INT, time TIMESTAMP_NTZ, categoryId INT, footfallCount BIGINT",
+    "dailyCategorySaleWithCountAgg":
+        "orgId INT, storeId INT, day INT, month INT, year INT, time TIMESTAMP_NTZ, categoryId INT, "
+        "saleAmountAgg DOUBLE, saleCountAgg BIGINT",
+    "dailyVisitors":
+        "orgId INT, storeId INT, day INT, month INT, year INT, time TIMESTAMP_NTZ, "
+        "new_visitors BIGINT, repeated_visitors BIGINT, total BIGINT",
+    "dailyVisitorsCategoryWise":
+        "orgId INT, storeId INT, day INT, month INT, year INT, time TIMESTAMP_NTZ, categoryId INT, "
+        "converted BIGINT, failed BIGINT, total BIGINT",
+    "dailyVisit": "orgId INT, storeId INT, time TIMESTAMP_NTZ, userId STRING, VisitCount BIGINT",
+    "newRepeatDaily":
+        "orgId INT, storeId INT, time TIMESTAMP_NTZ, userId STRING, VisitCount BIGINT, New INT, Repeat INT",
+}
+
+ID_COLUMNS = ["orgId", "storeId", "rackId", "categoryId", "orderId", "productId", "orderItemId"]
+
+
+def with_text_ids(fields: str) -> str:
+    """Columns written as DDL, with every id but the user's and the event's as text."""
+    return re.sub(rf"\b({'|'.join(ID_COLUMNS)}) (INT|BIGINT)\b", r"\1 STRING", fields)
+
+
 EVENTS_TABLE = (
     "eventId STRING, orgId INT, storeId INT, userId STRING, rackId INT, "
     "locEventType INT, createdStamp TIMESTAMP_NTZ"

@@ -30,13 +30,11 @@ def listed(hot: DataFrame) -> DataFrame:
     """The hot keys as fixed rows.
 
     Both sides of a join must see the same list. The summary behind it may keep
-    other rare keys when it is run again, so it is run once and its at most
-    ``1 / HOT_SHARE`` rows are taken as they are.
+    other rare keys when it is run again, so it is run once. Of a longer list that
+    a caller gives the first ``1 / HOT_SHARE`` are taken; the list never changes
+    a result, only how evenly the work is dealt.
     """
-    limit = round(1 / HOT_SHARE)
-    rows = hot.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} hot keys given")
+    rows = hot.distinct().orderBy(*hot.columns).limit(round(1 / HOT_SHARE)).collect()
     return hot.sparkSession.createDataFrame(rows, hot.schema)
 
 

@@ -147,12 +147,18 @@ FLAG_TOTALS = (
 )
 
 
-def _grain(parts: list[str], legacy: bool = False) -> str:
+ORDER_VISITS = (
+    "(SELECT 1 AS orgId, CAST(o_custkey % 3 AS INTEGER) AS storeId, o_orderdate AS time, "
+    "CAST(o_custkey AS VARCHAR) AS userId, 1 AS VisitCount FROM orders)"
+)
+
+
+def _grain(parts: list[str], legacy: bool = False, visits: str = "visits") -> str:
     minus = {"day": "", "month": " - 1" if legacy else "", "year": " - 1900" if legacy else ""}
     columns = ", ".join(f"CAST({p}(time){minus[p]} AS INTEGER) AS {p}" for p in parts)
     return (
         f"SELECT orgId, storeId, {columns}, userId, CAST(sum(VisitCount) AS BIGINT) AS VisitCount "
-        "FROM visits GROUP BY ALL"
+        f"FROM {visits} GROUP BY ALL"
     )
 
 
@@ -190,7 +196,26 @@ _SELECTS = {
     "micro_batch": "SELECT CASE WHEN event_type = 'purchase' THEN 'CheckOutEvent' ELSE 'LocationEvent' END "
                    "AS eventType, count(*) AS lines FROM lines GROUP BY ALL",
     "raw_messages": "SELECT value AS msg FROM lines",
-    "stream_dead_letters": "SELECT value AS problem, count(*) AS lines FROM lines WHERE false GROUP BY ALL",
+    "stream_dead_letters": "SELECT CASE event_id % 8 WHEN 2 THEN 'no payload' WHEN 4 THEN 'no event type' "
+                           "WHEN 6 THEN 'missing field' ELSE 'unreadable' END AS problem, count(*) AS lines "
+                           "FROM events WHERE event_id % 8 BETWEEN 1 AND 6 GROUP BY ALL",
+    "stream_string_ids": "SELECT CASE WHEN CAST(eventId AS BIGINT) % 2 = 0 THEN '1' ELSE 'org1' END AS orgId, "
+                         f"storeId::VARCHAR AS storeId, {DAY} AS time, "
+                         "CAST(day(createdStamp) AS INTEGER) AS day, CAST(month(createdStamp) AS INTEGER) AS month, "
+                         "CAST(year(createdStamp) AS INTEGER) AS year, categoryId::VARCHAR AS categoryId, "
+                         "count(*) AS footfallCount FROM loc JOIN dims USING (rackId) GROUP BY ALL",
+    "stream_compacted_replay": f"SELECT orgId, storeId, {DAY} AS time, userId, count(*) AS VisitCount "
+                               "FROM entries GROUP BY ALL",
+    "stream_new_repeat_daily": "SELECT *, CASE WHEN VisitCount = 1 THEN 1 ELSE 0 END AS New, "
+                               "CASE WHEN VisitCount = 1 THEN 0 ELSE 1 END AS Repeat FROM "
+                               f"(SELECT orgId, storeId, {DAY} AS time, userId, count(*) AS VisitCount "
+                               "FROM entries GROUP BY ALL)",
+    "stream_monthly_repeat_visitors": "SELECT * FROM (SELECT orgId, storeId, CAST(month(createdStamp) AS INTEGER) AS month, "
+                                      "CAST(year(createdStamp) AS INTEGER) AS year, userId, count(*) AS VisitCount "
+                                      "FROM entries GROUP BY ALL) WHERE VisitCount > 1",
+    "stream_footfall_30s": "SELECT rackId, time_bucket(INTERVAL 30 SECOND, createdStamp) AS bucket, count(*) AS footfall "
+                           "FROM loc GROUP BY ALL HAVING time_bucket(INTERVAL 30 SECOND, createdStamp) + INTERVAL 90 SECOND "
+                           "<= (SELECT date_trunc('second', max(createdStamp)) FROM loc)",
     "for_each_batch": f"SELECT orgId, storeId, {DAY} AS time, userId, count(*) AS VisitCount FROM entries GROUP BY ALL",
     "stream_daily_category_footfall": _calendar(_footfall("entries"), "footfallCount"),
     "stream_daily_category_sale_summary": _calendar(
@@ -219,13 +244,13 @@ _SELECTS = {
                              "1 AS invoiceQuantity, date_trunc('second', createdStamp) AS createdStamp, 1 AS items, "
                              "productId, quantity, categoryId, CAST(unitPrice AS DOUBLE) AS unitPrice FROM buy",
     "parse_string_id_events": "SELECT eventId, 'u' || userId AS userId, "
-                              "CASE WHEN CAST(eventId AS BIGINT) % 2 = 0 THEN 1 END AS orgId, storeId, rackId, "
-                              "0 AS locEventType, date_trunc('second', createdStamp) AS createdStamp FROM loc",
-    "parse_string_id_checkouts": "SELECT 'u' || userId AS userId, CASE WHEN orderId % 2 = 0 THEN 1 END AS orgId, "
-                                 "storeId, orderId, CAST(NULL AS DOUBLE) AS invoiceAmount, "
+                              "CASE WHEN CAST(eventId AS BIGINT) % 2 = 0 THEN '1' ELSE 'org1' END AS orgId, "
+                              "storeId::VARCHAR AS storeId, rackId::VARCHAR AS rackId, 0 AS locEventType, date_trunc('second', createdStamp) AS createdStamp FROM loc",
+    "parse_string_id_checkouts": "SELECT 'u' || userId AS userId, CASE WHEN orderId % 2 = 0 THEN '1' ELSE 'org1' END AS orgId, "
+                                 "storeId::VARCHAR AS storeId, orderId::VARCHAR AS orderId, CAST(NULL AS DOUBLE) AS invoiceAmount, "
                                  "CAST(NULL AS INTEGER) AS invoiceQuantity, "
-                                 "date_trunc('second', createdStamp) AS createdStamp, 1 AS items, productId, "
-                                 "2 AS quantity, CAST(NULL AS INTEGER) AS categoryId, "
+                                 "date_trunc('second', createdStamp) AS createdStamp, 1 AS items, "
+                                 "productId::VARCHAR AS productId, 2 AS quantity, 'c' || productId AS categoryId, "
                                  "CAST(unitPrice AS DOUBLE) AS unitPrice FROM buy",
     "parse_legacy_events": "SELECT CAST(NULL AS VARCHAR) AS eventId, 'u' || userId AS userId, 'org1' AS orgId, "
                            "'s' || storeId AS storeId, 'r' || rackId AS rackId, '0' AS locEventType, "
@@ -330,7 +355,7 @@ FROM (SELECT event_id, {GOOD} AS good FROM events) WHERE event_id % 8 BETWEEN 1
                      "AS INTEGER) AS week FROM events",
     "trim_time": "SELECT event_id, date_trunc('day', ts) AS time, "
                  "date_trunc('day', ts) + (ts - date_trunc('second', ts)) AS legacy FROM events",
-    "time_delta_ms": "SELECT event_id, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000 AS delta FROM events",
+    "time_delta_ms": "SELECT event_id, (epoch_us(ts) + event_id % 1999) // 1000 - epoch_us(TIMESTAMP '2024-01-01') // 1000 AS delta FROM events",
     "add_24h": "SELECT event_id, ts + INTERVAL 24 HOUR AS next FROM events",
     "new_flag": "SELECT event_id, CASE WHEN event_id % 4 = 2 THEN 1 ELSE 0 END AS flag FROM events",
     "repeat_flag": "SELECT event_id, CASE WHEN event_id % 4 = 2 THEN 0 ELSE 1 END AS flag FROM events",
@@ -378,9 +403,9 @@ USING (orgId, storeId, time)""",
     "daily_visitors_by_count": f"SELECT *, {DMY}, new_visitors + repeated_visitors AS total FROM ({FLAG_TOTALS})",
     "daily_new_visitors": f"SELECT * FROM ({_grain(['day', 'month', 'year'])}) WHERE VisitCount = 1",
     "daily_repeat_visitors": f"SELECT * FROM ({_grain(['day', 'month', 'year'])}) WHERE VisitCount > 1",
-    "monthly_new_visitors": f"SELECT * FROM ({_grain(['month', 'year'])}) WHERE VisitCount = 1",
+    "monthly_new_visitors": f"SELECT * FROM ({_grain(['month', 'year'], visits=ORDER_VISITS)}) WHERE VisitCount = 1",
     "monthly_repeat_visitors": f"SELECT * FROM ({_grain(['month', 'year'])}) WHERE VisitCount > 1",
-    "yearly_new_visitors": f"SELECT * FROM ({_grain(['year'])}) WHERE VisitCount = 1",
+    "yearly_new_visitors": f"SELECT * FROM ({_grain(['year'], visits=ORDER_VISITS)}) WHERE VisitCount = 1",
     "yearly_repeat_visitors": f"SELECT * FROM ({_grain(['year'])}) WHERE VisitCount > 1",
     "user_profile": "SELECT userId, orgId, storeId, orderId, productId, quantity, unitPrice, discountApplied, orderItemId, "
                     "orderTimestamp, categoryId, CAST(day(createdStamp) AS INTEGER) AS day, "

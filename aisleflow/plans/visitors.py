@@ -40,8 +40,13 @@ def typed_visit_days(location: DataFrame, first_visits: DataFrame, legacy: bool
     Both sides hold at most one row per user and day, so a user with most of
     the events joins as lightly as any other.
     """
-    typed = visit_days(location).join(first_visits, STORE_USER)
-    return typed.select(*STORE_USER, "time", visit_type("time", "firstTime", legacy).alias("visitType"), "visits")
+    return typed_days(visit_days(location), first_visits, legacy)
+
+
+def typed_days(days: DataFrame, first_visits: DataFrame, legacy: bool = False) -> DataFrame:
+    """Rows of a user and day with their type beside them."""
+    typed = days.join(first_visits, STORE_USER)
+    return typed.withColumn("visitType", visit_type("time", "firstTime", legacy)).drop("firstTime")
 
 
 def user_visit_type(location: DataFrame, first_visits: DataFrame, legacy: bool = False) -> DataFrame:
@@ -91,9 +96,12 @@ def daily_visit(location: DataFrame, history: DataFrame | None = None) -> DataFr
 
 
 def new_repeat_daily(location: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    return daily_visit(location, history).withColumns(
-        {"New": new_flag("VisitCount"), "Repeat": repeat_flag("VisitCount")}
-    )
+    return with_new_and_repeat(daily_visit(location, history))
+
+
+def with_new_and_repeat(counts: DataFrame) -> DataFrame:
+    """Visit counts with the flags of the older definition."""
+    return counts.withColumns({"New": new_flag("VisitCount"), "Repeat": repeat_flag("VisitCount")})
 
 
 def daily_visitors_by_count(
@@ -117,12 +125,17 @@ GRAINS = {
 def visits_by_grain(
     location: DataFrame, grain: str, history: DataFrame | None = None, legacy: bool = False
 ) -> DataFrame:
+    return counted_by_grain(_visits(location, history), grain, legacy)
+
+
+def counted_by_grain(visits: DataFrame, grain: str, legacy: bool = False) -> DataFrame:
+    """Visit counts (visitCount of a user and time) by the calendar parts of a grain."""
     parts = {
         "day": day_of("time"),
         "month": month_of("time", legacy),
         "year": year_of("time", legacy),
     }
-    visits = _visits(location, history).select(
+    visits = visits.select(
         "orgId", "storeId", "userId", "visitCount", *[parts[p].alias(p) for p in GRAINS[grain]]
     )
     return visits_per_user(visits, ["orgId", "storeId", *GRAINS[grain], "userId"])

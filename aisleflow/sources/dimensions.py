@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from aisleflow.operators.joins import rack_category_dim
 
-BROADCAST_ROWS = 200_000
 
-
-def load_dimensions(racks: DataFrame, category: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def load_dimensions(racks: DataFrame, category: DataFrame) -> DataFrame:
     """Racks with their category, kept in memory and measured.
 
-    The rows are counted when they are stored, so the broadcast hint goes only
-    with a size that was seen. A larger dimension keeps no hint and is joined by
-    a shuffle, which every product keeps small by aggregating first.
+    Counting stores the rows, so Catalyst knows their size in bytes and chooses
+    the join by it. A large dimension is joined by a shuffle, which every product
+    keeps small by aggregating first. The caller unpersists it.
     """
     dims = rack_category_dim(racks, category).persist()
-    return F.broadcast(dims) if dims.count() <= broadcast_rows else dims
+    dims.count()
+    return dims

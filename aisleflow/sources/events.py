@@ -21,6 +21,7 @@ from aisleflow.model import (
     LOCATION_FIELDS,
     STRING_CHECKOUT_FIELDS,
     STRING_LOCATION_FIELDS,
+    with_text_ids,
 )
 
 CORRUPT = "_corrupt"
@@ -35,17 +36,19 @@ JSON_OPTIONS = {
 
 @dataclass(frozen=True)
 class Generation:
-    """One generation of messages: the payload fields of its two event types."""
+    """One generation of messages: the payload fields of its two event types, and whether ids are text."""
 
     location: str
     checkout: str
+    text_ids: bool = False
 
     def fields(self, event_type: str) -> str:
         return self.location if event_type == LOCATION_EVENT else self.checkout
 
 
 CURRENT = Generation(LOCATION_FIELDS, CHECKOUT_FIELDS)
-STRING_IDS = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS)
+STRING_IDS = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS, text_ids=True)
+GENERATIONS = {"current": CURRENT, "string-ids": STRING_IDS}
 
 # Column of a parsed line that holds the payload of an event type.
 PAYLOAD = {LOCATION_EVENT: "location", CHECKOUT_EVENT: "checkout"}
@@ -56,6 +59,9 @@ REQUIRED = {
     CHECKOUT_EVENT: ["orgId", "storeId", "userId", "createdStamp"],
 }
 
+# Without these an item is no sale.
+REQUIRED_OF_ITEM = ["productId", "categoryId", "quantity"]
+
 
 @lru_cache(maxsize=None)
 def _schema(fields: str) -> StructType:
@@ -114,11 +120,31 @@ def _problem() -> Column:
             F.col("eventType") == event_type,
             F.when(F.col(f"{column}.{CORRUPT}").isNotNull(), F.lit("unreadable"))
             .when(F.col(f"{column}.event").isNull(), F.lit("no payload"))
-            .when(missing, F.lit("missing field")),
+            .when(missing, F.lit("missing field"))
+            .when(_bad_number(event_type, column), F.lit("bad number"))
+            .when(_bad_item(event_type, column), F.lit("bad item")),
         )
     return problem
 
 
+def _no_number(text: Column) -> Column:
+    """Whether a field that is counted or compared as a number is given and is none."""
+    return text.isNotNull() & text.try_cast("int").isNull()
+
+
+def _bad_number(event_type: str, column: str) -> Column:
+    if event_type != LOCATION_EVENT:
+        return F.lit(False)
+    return _no_number(F.col(f"{column}.event.locEventType"))
+
+
+def _bad_item(event_type: str, column: str) -> Column:
+    if event_type != CHECKOUT_EVENT:
+        return F.lit(False)
+    bad = lambda i: reduce(lambda a, b: a | b, [i[n].isNull() for n in REQUIRED_OF_ITEM], _no_number(i["quantity"]))
+    return F.coalesce(F.exists(f"{column}.event.orderItems", bad), F.lit(False))
+
+
 def event_type(lines: DataFrame) -> DataFrame:
     """Each line with its event type; the payload is not looked at."""
     own = F.from_json("value", "eventType STRING", JSON_OPTIONS)["eventType"].alias("eventType")
@@ -211,8 +237,8 @@ def _legacy(lines: DataFrame, event_type: str) -> DataFrame:
 
 
 def to_current_location(rows: DataFrame) -> DataFrame:
-    """String-id location rows as current rows; ids that are no numbers become null."""
-    return _cast_like(rows, CURRENT.location)
+    """String-id location rows under the current columns; ids stay text."""
+    return _cast_like(rows, with_text_ids(CURRENT.location))
 
 
 def _cast_like(rows: DataFrame, fields: str) -> DataFrame:
@@ -222,10 +248,11 @@ def _cast_like(rows: DataFrame, fields: str) -> DataFrame:
 
 
 def to_current_checkout(rows: DataFrame) -> DataFrame:
-    """String-id checkout rows as current rows."""
-    item = _schema(CURRENT.checkout)["orderItems"].dataType.elementType
+    """String-id checkout rows under the current columns; ids stay text."""
+    fields = with_text_ids(CURRENT.checkout)
+    item = _schema(fields)["orderItems"].dataType.elementType
     items = F.transform(
         "orderItems",
         lambda i: F.struct(*[i[f.name].try_cast(f.dataType).alias(f.name) for f in item]),
     )
-    return _cast_like(rows.withColumn("orderItems", items), CURRENT.checkout)
+    return _cast_like(rows.withColumn("orderItems", items), fields)

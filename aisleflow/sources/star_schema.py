@@ -114,6 +114,19 @@ def checkout_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as visits of their customers."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("eventId"),
+        F.lit(ORG).alias("orgId"),
+        _store("o_custkey").alias("storeId"),
+        F.col("o_custkey").cast("string").alias("userId"),
+        F.lit(0).alias("rackId"),
+        F.lit(0).alias("locEventType"),
+        F.col("o_orderdate").alias("createdStamp"),
+    )
+
+
 def hot_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products holding a large share of the line items, read from their one column."""
     return hot_keys(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("productId")), ["productId"])

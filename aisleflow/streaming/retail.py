@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aisleflow.functions.dates import with_calendar
-from aisleflow.model import EVENTS_TABLE
+from aisleflow.model import EVENTS_TABLE, PRODUCT_TABLES, STORE_USER, with_text_ids
 from aisleflow.operators.aggregates import daily_category_totals, visits_per_user
 from aisleflow.plans import allergens, conversion, footfall, sales, visitors
 from aisleflow.sources.events import (
@@ -32,12 +33,12 @@ from aisleflow.sources.events import (
     to_current_location,
 )
 from aisleflow.sources.tables import overwrite_table, read_table
-from aisleflow.streaming.state import StateLog, listed_days, only_days
+from aisleflow.streaming.state import StateLog, last_compacted, mark_compacted, only_days
 
 TRIGGER = "3 seconds"
 
 # The logs products are computed from.
-LOGS = ["dailyCategoryFootFallTemp", "dailyCategorySale", "converted_static", "userVisit", "userVisitType"]
+LOGS = ["dailyCategoryFootFallTemp", "dailyCategorySale", "converted_static", "userVisit", "userFirstVisit"]
 
 
 def run_together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
@@ -80,11 +81,13 @@ def dead_letters(spark: SparkSession, root: str) -> DataFrame:
 class RetailStream:
     """Where a stream keeps its tables and how it counts.
 
-    First visits come from the ``events_path`` table another system fills, or,
-    without one, from the visits this stream has seen. ``indicators`` switches
+    First visits come from the visits this stream has seen and, if named, the
+    ``events_path`` table another system fills. Visits are stored untyped and
+    typed when a product is made, so an event that moves a user's first visit
+    also corrects the day it was on before. ``indicators`` switches
     allergy notifications on. ``state`` names the folder of the state logs when
     it is not the one below ``root``, as after a compaction. ``generation`` is
-    that of the messages; string ids are cast to the current model.
+    that of the messages; where its ids are text they stay text in every table.
     """
 
     spark: SparkSession
@@ -97,11 +100,31 @@ class RetailStream:
     state: str | None = None
     generation: Generation = CURRENT
 
+    @property
+    def state_folder(self) -> str:
+        return self.state or f"{self.root}/state"
+
+    @cached_property
+    def compacted_to(self) -> int:
+        return last_compacted(self.spark, self.state_folder)
+
+    @cached_property
+    def own_dims(self) -> DataFrame:
+        """The dimension with ids of the messages' kind."""
+        if not self.generation.text_ids:
+            return self.dims
+        return self.dims.withColumns({c: F.col(c).cast("string") for c in ("rackId", "categoryId")})
+
+    def _typed(self, fields: str) -> str:
+        return with_text_ids(fields) if self.generation.text_ids else fields
+
     def log(self, table: str) -> StateLog:
-        return StateLog(self.spark, self.state or f"{self.root}/state", table)
+        return StateLog(self.spark, self.state_folder, table, self.generation.text_ids, self.compacted_to)
 
     def product(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/product/{name}").drop("event_date")
+        """A product's rows; none if no batch has written any yet."""
+        fields = self._typed(PRODUCT_TABLES[name])
+        return read_table(self.spark, f"{self.root}/product/{name}", f"{fields}, event_date DATE").drop("event_date")
 
     def start(self, lines: DataFrame, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
         return for_each_batch(lines, self.process, f"{self.root}/checkpoint", available_now, every)
@@ -114,14 +137,15 @@ class RetailStream:
         try:
             stamp = F.coalesce("location.createdStamp", "checkout.createdStamp")
             usable = parsed.filter(F.col("problem").isNull() & stamp.isNotNull())
-            days = listed_days(usable.select(F.to_date(stamp).alias("event_date")))
             location, checkouts = self._events(parsed)
+            days = self._touched_days(usable.select(F.to_date(stamp).alias("event_date")), location, batch_id)
             items = sales.order_items(checkouts)
             run_together(self.spark, [
                 lambda: self._write_dead_letters(parsed, batch_id),
                 *self._fact_writes(location, items, batch_id),
             ])
             run_together(self.spark, [*self._product_writes(days, batch_id), *self._notification_writes(items, batch_id)])
+            days.unpersist()
         finally:
             parsed.unpersist()
 
@@ -137,32 +161,38 @@ class RetailStream:
 
     def _fact_writes(self, location: DataFrame, items: DataFrame, batch_id: int) -> list[Callable[[], None]]:
         facts = {
-            "dailyCategoryFootFallTemp": footfall.footfall_facts(location, self.dims),
-            "dailyCategorySale": sales.sale_facts(items, self.dims),
-            "converted_static": conversion.converted_facts(items, self.dims),
+            "dailyCategoryFootFallTemp": footfall.footfall_facts(location, self.own_dims),
+            "dailyCategorySale": sales.sale_facts(items, self.own_dims),
+            "converted_static": conversion.converted_facts(items, self.own_dims),
             "userVisit": visitors.visit_facts(location),
+            "userFirstVisit": visitors.user_first_visit(location),
         }
         if self.indicators is not None:
-            facts["userProfile"] = allergens.user_profile(items, self.dims, self.legacy)
-            facts["userIndicatorPurchases"] = allergens.indicator_facts(items, self.dims, self.indicators)
-
-        def write_types():
-            types = visitors.typed_visit_days(location, self._first_visits(location, batch_id), self.legacy)
-            self.log("userVisitType").write_batch(types, batch_id)
-
-        writes = [lambda t=t, df=df: self.log(t).write_batch(df, batch_id) for t, df in facts.items()]
-        return [*writes, write_types]
-
-    def _first_visits(self, location: DataFrame, batch_id: int) -> DataFrame:
+            facts["userProfile"] = allergens.user_profile(items, self.own_dims, self.legacy)
+            facts["userIndicatorPurchases"] = allergens.indicator_facts(items, self.own_dims, self._own_indicators())
+        return [lambda t=t, df=df: self.log(t).write_batch(df, batch_id) for t, df in facts.items()]
+
+    def _own_indicators(self) -> DataFrame:
+        kind = "string" if self.generation.text_ids else "bigint"
+        return self.indicators.withColumn("productId", F.col("productId").cast(kind))
+
+    def _touched_days(self, own: DataFrame, location: DataFrame, batch_id: int) -> DataFrame:
+        """The days of the batch, and the first day so far of each user whose first visit it moves back."""
+        first = visitors.user_first_visit(location).withColumnRenamed("firstTime", "new_first")
+        before = self.log("userFirstVisit").as_of(batch_id - 1).groupBy(*STORE_USER).agg(F.min("firstTime").alias("old_first"))
+        moved = first.join(before, STORE_USER).filter(F.to_date("new_first") < F.to_date("old_first"))
+        return own.unionByName(moved.select(F.to_date("old_first").alias("event_date"))).distinct().persist()
+
+    def _first_visits(self, visits: DataFrame, batch_id: int) -> DataFrame:
+        """First visits of the visitors of some days."""
+        seen = self.log("userFirstVisit").as_of(batch_id).select(*STORE_USER, F.col("firstTime").alias("createdStamp"))
         if self.events_path:
-            events = read_table(self.spark, self.events_path, EVENTS_TABLE)
-            return visitors.first_visits_of(location, events, self.entry_only)
-        log = self.log("userFirstVisit")
-        log.write_batch(visitors.user_first_visit(location), batch_id)
-        seen = log.as_of(batch_id).withColumnRenamed("firstTime", "createdStamp")
-        return visitors.first_visits_of(location, seen)
-
-    def _product_writes(self, days: list | DataFrame, batch_id: int) -> list[Callable[[], None]]:
+            events = read_table(self.spark, self.events_path, self._typed(EVENTS_TABLE))
+            events = visitors.entry_events(events) if self.entry_only else events
+            seen = seen.unionByName(events.select(*STORE_USER, "createdStamp"))
+        return visitors.first_visits_of(visits, seen)
+
+    def _product_writes(self, days: DataFrame, batch_id: int) -> list[Callable[[], None]]:
         """One job per product; each reads its own logs, so they are also planned side by side."""
 
         def log(table: str) -> DataFrame:
@@ -176,14 +206,21 @@ class RetailStream:
                 daily_category_totals(log("dailyCategorySale"), saleAmountAgg="saleAmount", saleCountAgg="sale"),
                 self.legacy,
             ),
-            "dailyVisitors": lambda: visitors.daily_visitors_of(log("userVisitType"), legacy=self.legacy),
+            "dailyVisitors": lambda: self._daily_visitors(log("userVisit"), batch_id),
             "dailyVisitorsCategoryWise": lambda: conversion.visitors_category_wise(
                 log("dailyCategoryFootFallTemp"), log("converted_static"), self.legacy
             ),
             "dailyVisit": lambda: visits_per_user(log("userVisit"), ["orgId", "storeId", "time", "userId"]),
+            "newRepeatDaily": lambda: visitors.with_new_and_repeat(
+                visits_per_user(log("userVisit"), ["orgId", "storeId", "time", "userId"])
+            ),
         }
         return [lambda n=n, make=make: self._write_product(n, make()) for n, make in products.items()]
 
+    def _daily_visitors(self, visits: DataFrame, batch_id: int) -> DataFrame:
+        typed = visitors.typed_days(visits, self._first_visits(visits, batch_id), self.legacy)
+        return visitors.daily_visitors_of(typed, legacy=self.legacy)
+
     def _write_product(self, name: str, rows: DataFrame) -> None:
         dated = rows.withColumn("event_date", F.to_date("time"))
         balanced = dated.hint("rebalance", "event_date")
@@ -194,7 +231,7 @@ class RetailStream:
         if self.indicators is None:
             return []
         users = items.select("userId").distinct()
-        counted = self.log("userIndicatorPurchases").as_of(batch_id)
+        counted = self.log("userIndicatorPurchases").as_of(max(batch_id, self.compacted_to))
         rows = allergens.notifications_of(counted.join(users, "userId", "left_semi"))
         path = f"{self.root}/notification/batch_id={batch_id}"
         return [lambda: rows.write.mode("overwrite").parquet(path)]
@@ -208,12 +245,16 @@ class RetailStream:
 
     def compact(self, batch_id: int, state: str) -> RetailStream:
         """This stream with its logs up to the batch merged into a new state folder."""
-        tables = LOGS if self.events_path else [*LOGS, "userFirstVisit"]
-        if self.indicators is not None:
-            tables = [*tables, "userProfile", "userIndicatorPurchases"]
+        tables = LOGS if self.indicators is None else [*LOGS, "userProfile", "userIndicatorPurchases"]
         run_together(self.spark, [lambda t=t: self.log(t).compact(batch_id, state) for t in tables])
+        mark_compacted(self.spark, state, batch_id)
         return replace(self, state=state)
 
+    def visits_by_month(self, batch_id: int) -> DataFrame:
+        """Visit counts per store, month and user as of a batch, for monthly new and repeat visitors."""
+        log = self.log("userVisit").as_of(batch_id).drop("event_date")
+        return visitors.counted_by_grain(log, "month", self.legacy)
+
 
 def footfall_30s_counts(location: DataFrame, late_by: str = "1 minute") -> DataFrame:
     """Footfall per rack and 30-second bucket on a stream, closed once ``late_by`` has passed."""

@@ -1,24 +1,24 @@
 """State logs: what each micro-batch added, kept as parquet by batch and event day.
 
 A batch writes its own folder and overwrites it when it is run again, so a
-replayed batch changes nothing. Reading as of a batch takes folders up to it.
+replayed batch changes nothing. Reading as of a batch takes folders up to it, and
+what a compaction merged.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aisleflow.model import STATE_TABLES, STORE_USER
+from aisleflow.model import STATE_TABLES, STORE_USER, with_text_ids
 from aisleflow.operators.aggregates import daily_category_totals, user_first_visit, visits_per_user
 from aisleflow.sources.tables import read_table
 
-MAX_LISTED_DAYS = 1000
+NO_BATCH = -1
 
 # How the rows of several batches of a log become fewer rows of the same meaning.
 MERGE = {
     "dailyCategoryFootFallTemp": lambda df: daily_category_totals(df, footfall="footfall"),
     "dailyCategorySale": lambda df: daily_category_totals(df, sale="sale", saleAmount="saleAmount"),
-    "userVisitType": lambda df: df.distinct(),
     "converted_static": lambda df: df.distinct(),
     "userVisit": lambda df: visits_per_user(df, [*STORE_USER, "time"]).withColumnRenamed("VisitCount", "visitCount"),
     "userFirstVisit": lambda df: user_first_visit(df, "firstTime"),
@@ -38,49 +38,54 @@ def _columns(table: str) -> list[str]:
 
 
 class StateLog:
-    """One log below a folder all executors can reach."""
+    """One log below a folder all executors can reach.
 
-    def __init__(self, spark: SparkSession, folder: str, table: str):
+    A compacted folder holds the merged rows of all batches up to
+    ``compacted_to`` in a base of its own. A batch up to there, run again, writes
+    nothing: the base has its rows.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, table: str, text_ids: bool = False, compacted_to: int = NO_BATCH):
         self.spark = spark
         self.table = table
+        self.schema = with_text_ids(STATE_TABLES[table]) if text_ids else STATE_TABLES[table]
         self.columns = _columns(table)
         self.path = f"{folder}/{table}"
+        self.base = f"{folder}/base/{table}"
+        self.compacted_to = compacted_to
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+    def _write(self, df: DataFrame, path: str) -> None:
         dated = df.select(*self.columns).withColumn("event_date", F.to_date(_time_column(self.table)))
         # Rebalancing by day gives few files per day and splits a day too large for one.
-        balanced = dated.hint("rebalance", "event_date")
-        balanced.write.mode("overwrite").partitionBy("event_date").parquet(f"{self.path}/batch_id={batch_id}")
+        dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        if batch_id > self.compacted_to:
+            self._write(df, f"{self.path}/batch_id={batch_id}")
 
     def as_of(self, batch_id: int) -> DataFrame:
         """All rows of the batches up to and including this one, with ``event_date``."""
-        schema = f"{STATE_TABLES[self.table]}, batch_id BIGINT, event_date DATE"
-        rows = read_table(self.spark, self.path, schema).filter(F.col("batch_id") <= batch_id)
-        return rows.select(*self.columns, "event_date")
+        rows = read_table(self.spark, self.path, f"{self.schema}, batch_id BIGINT, event_date DATE")
+        rows = rows.filter(F.col("batch_id").between(self.compacted_to + 1, batch_id))
+        base = read_table(self.spark, self.base, f"{self.schema}, event_date DATE")
+        return rows.select(*self.columns, "event_date").unionByName(base.select(*self.columns, "event_date"))
 
     def compact(self, batch_id: int, folder: str) -> None:
-        """Merge the batches up to this one into the one batch of a new folder.
-
-        A stream started with the new folder goes on from there; the old one is
-        left as it is.
-        """
+        """Merge the batches up to this one into the base of a new folder; the old one is left as it is."""
         merged = MERGE[self.table](self.as_of(batch_id).select(*self.columns))
-        StateLog(self.spark, folder, self.table).write_batch(merged, batch_id)
+        self._write(merged, StateLog(self.spark, folder, self.table).base)
 
 
-def listed_days(rows: DataFrame) -> list | DataFrame:
-    """The distinct days of ``event_date``: listed if few, else as a frame."""
-    days = rows.select("event_date").distinct()
-    listed = [r[0] for r in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    return listed if len(listed) <= MAX_LISTED_DAYS else days
+def mark_compacted(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Say up to which batch the bases of a folder reach; written when all of them are."""
+    spark.createDataFrame([(batch_id,)], "batch_id BIGINT").write.mode("overwrite").parquet(f"{folder}/compacted")
 
 
-def only_days(log: DataFrame, days: list | DataFrame) -> DataFrame:
-    """Log rows of the given days.
+def last_compacted(spark: SparkSession, folder: str) -> int:
+    last = read_table(spark, f"{folder}/compacted", "batch_id BIGINT").agg(F.max("batch_id")).first()[0]
+    return NO_BATCH if last is None else last
 
-    A batch rarely touches many days; their dates then become a partition
-    filter, so other days' files are not read. Beyond that a join selects them.
-    """
-    if isinstance(days, list):
-        return log.filter(F.col("event_date").isin(days))
+
+def only_days(log: DataFrame, days: DataFrame) -> DataFrame:
+    """Log rows of the given days; they are the log's partitions, so other days' files need not be read."""
     return log.join(days, "event_date", "left_semi")

@@ -42,7 +42,7 @@ def location(user, rack, time, org="1", store=1, event_id=0, kind=0):
     )
 
 
-def checkout(user, items, time, org="1", store=1, order=1, item_time="2016-12-08 00:00:00"):
+def checkout(user, items, time, org="1", store=1, order=1, item_time="2021-03-01 00:00:00"):
     """A checkout message; items are (product, category, quantity, price)."""
     lines = ",".join(
         f'{{"orderItemId":{n},"productId":{p},"categoryId":{c},"quantity":{q},"unitPrice":{price},'
@@ -57,51 +57,44 @@ def checkout(user, items, time, org="1", store=1, order=1, item_time="2016-12-08
 
 
 def two_users_one_day():
-    basket = [(2, 2, 1, 1000.0), (3, 3, 1, 35.0)]
+    seen = [("ann", 2, "08:05:11"), ("ann", 4, "08:07:30"), ("bob", 2, "10:40:02"), ("bob", 2, "10:55:40"), ("bob", 3, "11:01:19")]
     return [
-        location("1", 1, "2016-12-11 14:18:58", event_id=0),
-        location("1", 2, "2016-12-11 14:20:58", event_id=1),
-        location("1", 3, "2016-12-11 14:24:58", event_id=2),
-        checkout("1", basket, "2016-12-11 14:30:58"),
-        location("2", 4, "2016-12-11 14:18:58", event_id=3),
-        location("2", 2, "2016-12-11 14:20:58", event_id=4),
-        checkout("1", basket, "2016-12-11 14:30:58"),
+        *(location(user, rack, f"2021-03-04 {time}", event_id=40 + n) for n, (user, rack, time) in enumerate(seen)),
+        checkout("bob", [(201, 2, 3, 12.5), (305, 3, 1, 8.0)], "2021-03-04 11:20:00", order=7),
+        checkout("ann", [(201, 2, 1, 12.5)], "2021-03-04 09:00:45", order=8),
     ]
 
 
 def two_days():
     """Two users on two days, numeric user ids, one event that is no entry."""
     visits = [
-        (9, 1, 1, "2016-12-09 09:21:25"),
-        (10, 1, 2, "2016-12-09 09:23:19"),
-        (11, 1, 3, "2016-12-09 09:24:26"),
-        (12, 2, 4, "2016-12-09 09:48:01"),
-        (13, 2, 2, "2016-12-09 09:48:31"),
-        (14, 1, 4, "2016-12-09 09:49:29"),
-        (15, 2, 1, "2016-12-10 09:51:44"),
-        (16, 2, 2, "2016-12-10 09:52:39"),
+        (45, 3, "14 12:00:05"),
+        (45, 3, "14 12:30:00"),
+        (31, 1, "14 13:10:44"),
+        (31, 2, "15 09:00:00"),
+        (31, 3, "15 09:02:10"),
+        (31, 1, "15 18:45:59"),
+        (45, 4, "15 20:15:00"),
     ]
-    entries = [location(u, r, t, event_id=e) for e, u, r, t in visits]
-    return [location(1, 1, "2016-12-09 09:21:25", event_id=9, kind=1), *entries]
+    entries = [location(u, r, f"2022-07-{t}", event_id=70 + n) for n, (u, r, t) in enumerate(visits)]
+    return [*entries, location(31, 1, "2022-07-14 13:25:00", event_id=90, kind=1)]
 
 
 def leading_zeros():
-    """Organisation 02, rack 5524 without a category, three days."""
-    place = {"org": "02", "store": 542}
-    basket = [(1, 1, 2, 440.0), (2, 1, 1, 152.0)]
-    seen = lambda rack, time: location("1AD4", rack, time, **place)
-    sold = lambda time: checkout("1AD4", basket, time, order=16, **place)
+    """Organisation 07, rack 880 without a category, three days."""
+    place = {"org": "07", "store": 30}
+    basket = [(61, 2, 4, 2.5), (62, 2, 1, 30.0)]
+    seen = lambda rack, time: location("K9Z", rack, f"2023-02-{time}", **place)
+    sold = lambda time: checkout("K9Z", basket, f"2023-02-{time}", order=91, **place)
     return [
-        seen(1, "2016-12-01 12:18:58"),
-        sold("2016-12-01 12:11:00"),
-        seen(1, "2016-12-01 14:18:58"),
-        seen(5524, "2016-12-01 16:18:58"),
-        seen(5524, "2016-12-02 16:18:58"),
-        seen(5524, "2016-12-02 18:18:58"),
-        seen(5524, "2016-12-03 18:18:58"),
-        sold("2016-12-03 19:11:00"),
-        seen(1, "2016-12-03 18:18:58"),
-        sold("2016-12-03 19:11:00"),
+        seen(2, "10 10:10:10"),
+        sold("10 10:30:00"),
+        seen(880, "10 11:00:00"),
+        seen(880, "12 09:00:00"),
+        seen(2, "13 15:00:00"),
+        seen(2, "13 15:20:00"),
+        sold("13 15:30:00"),
+        seen(880, "13 16:00:00"),
     ]
 
 

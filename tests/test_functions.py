@@ -101,10 +101,16 @@ def test_allergen_list_drops_trailing_empty_parts(spark):
 def test_thirty_second_buckets(spark):
     from aisleflow.plans.footfall import footfall_30s
 
-    times = [f"2016-11-11 00:05:{s}" for s in ("00", "10", "15", "30", "40")]
+    times = [f"2020-05-06 09:17:{s}" for s in ("03", "29", "30", "44", "59")]
     df = spark.createDataFrame([("u1", 1, at(t)) for t in times], "userId STRING, rackId INT, createdStamp TIMESTAMP_NTZ")
     starts = [r.bucket for r in footfall_30s(df).orderBy("ts").collect()]
-    assert starts == [at("2016-11-11 00:05:00")] * 3 + [at("2016-11-11 00:05:30")] * 2
+    assert starts == [at("2020-05-06 09:17:00")] * 2 + [at("2020-05-06 09:17:30")] * 3
+
+
+def test_time_delta_cuts_each_time_to_milliseconds(spark):
+    rows_ = [("2020-01-01 00:00:01.000100", "2020-01-01 00:00:00.000900"), ("1969-12-31 23:59:59.999500", "1969-12-31 23:59:59.000400")]
+    df = spark.createDataFrame(rows_, "a STRING, b STRING").select(*(F.col(c).cast("timestamp_ntz").alias(c) for c in "ab"))
+    assert [r[0] for r in df.select(dates.time_delta_ms("a", "b")).collect()] == [1000, 999]
 
 
 def test_new_flags_null_guard(spark):

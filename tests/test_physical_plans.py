@@ -76,10 +76,8 @@ def test_category_check_stays_above_the_sums_when_large(spark, no_broadcast):
     assert tree.index("LeftSemi") < tree.index("sum(quantity")
 
 
-def test_dimension_hint_needs_a_seen_size(spark):
-    racks, category = star.racks(spark, SF), star.category(spark, SF)
-    small = load_dimensions(racks, category)
-    large = load_dimensions(racks, category, broadcast_rows=10)
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(small) and not hinted(large)
-    small.unpersist()
+def test_dimension_is_measured_and_not_hinted(spark):
+    dims = load_dimensions(star.racks(spark, SF), star.category(spark, SF))
+    assert "ResolvedHint" not in dims._jdf.queryExecution().analyzed().toString()
+    assert dims.storageLevel.useMemory
+    dims.unpersist()

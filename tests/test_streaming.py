@@ -85,7 +85,7 @@ def test_compaction_keeps_products(spark, streamed, dims):
     stream, lines = streamed
     before = contents(stream)
     stream = stream.compact(3, f"{stream.root}/state-2")
-    late = location("9", 1, "2016-12-09 10:00:00")
+    late = location("9", 1, "2022-07-14 10:00:00")
     stream.process(lines_frame(spark, [late]), 4)
     after = contents(stream)
     assert after["dailyCategorySaleWithCountAgg"] == before["dailyCategorySaleWithCountAgg"]
@@ -101,7 +101,7 @@ def test_one_batch_counts_its_events_once(spark, tmp_path, dims):
     stream = RetailStream(spark, str(tmp_path), dims)
     for _ in range(2):
         stream.process(lines_frame(spark, lines), 0)
-        assert rows(stream.product("dailyCategorySaleWithCountAgg"), "saleCountAgg", "saleAmountAgg") == [(3, 1032.0)]
+        assert rows(stream.product("dailyCategorySaleWithCountAgg"), "saleCountAgg", "saleAmountAgg") == [(5, 40.0)]
         assert rows(stream.product("dailyVisitorsCategoryWise"), "total", "converted") == [(1, 1)]
 
 
@@ -117,10 +117,10 @@ def test_late_event_changes_its_own_day_only(spark, tmp_path, dims):
 def test_first_visits_from_own_state(spark, tmp_path, dims):
     """Without an events table the stream remembers first visits itself."""
     stream = run_stream(spark, tmp_path, dims, two_days(), 1)
-    assert rows(stream.product("dailyVisitors"), "day", "new_visitors", "repeated_visitors") == [(10, 0, 1), (9, 2, 0)]
+    assert rows(stream.product("dailyVisitors"), "day", "new_visitors", "repeated_visitors") == [(14, 2, 0), (15, 0, 2)]
     stream = stream.compact(0, str(tmp_path / "state-2"))
-    stream.process(lines_frame(spark, [location(1, 1, "2016-12-11 09:00:00"), location(3, 1, "2016-12-11 09:00:00")]), 1)
-    assert rows(stream.product("dailyVisitors").filter("day = 11"), "new_visitors", "repeated_visitors") == [(1, 1)]
+    stream.process(lines_frame(spark, [location(31, 1, "2022-07-16 09:00:00"), location(88, 1, "2022-07-16 09:00:00")]), 1)
+    assert rows(stream.product("dailyVisitors").filter("day = 16"), "new_visitors", "repeated_visitors") == [(1, 1)]
 
 
 def test_notifications_for_buyers_of_the_batch(spark, tmp_path, dims):
@@ -136,10 +136,10 @@ def test_notifications_for_buyers_of_the_batch(spark, tmp_path, dims):
 
 
 def test_thirty_second_counts_close_behind_the_watermark(spark, tmp_path):
-    times = ["00:05:00", "00:05:10", "00:05:15", "00:05:30", "00:09:00", "00:09:10"]
+    times = ["09:17:03", "09:17:29", "09:17:30", "09:17:58", "09:21:00", "09:21:11"]
     (tmp_path / "in").mkdir()
-    for n, t in enumerate([*times, "00:05:20"]):
-        (tmp_path / "in" / f"{n}.txt").write_text(location("u1", 1, f"2016-11-11 {t}") + "\n")
+    for n, t in enumerate([*times, "09:17:20"]):
+        (tmp_path / "in" / f"{n}.txt").write_text(location("u1", 1, f"2020-05-06 {t}") + "\n")
         os.utime(tmp_path / "in" / f"{n}.txt", (1_500_000_000 + n, 1_500_000_000 + n))
     lines = read_event_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
     counts = footfall_30s_counts(location_rows(parse_messages(lines)), "1 minute")
@@ -149,15 +149,77 @@ def test_thirty_second_counts_close_behind_the_watermark(spark, tmp_path):
     )
     closed = spark.read.parquet(str(tmp_path / "out"))
     assert [tuple(r) for r in closed.orderBy("bucket").select(F.date_format("bucket", "mm:ss"), "footfall").collect()] == [
-        ("05:00", 3), ("05:30", 1)
+        ("17:00", 2), ("17:30", 2)
     ]
 
 
-def test_string_id_messages(spark, tmp_path, dims):
-    line = (
-        '{"eventType":"LocationEvent","event":{"eventId":"1","userId":"u1","orgId":"1","storeId":"4","rackId":"2",'
-        '"locEventType":"0","createdStamp":"2016-11-11 11:10:10"}}'
+def text_location(org, user, rack):
+    return (
+        f'{{"eventType":"LocationEvent","event":{{"eventId":"1","userId":"{user}","orgId":"{org}","storeId":"k2",'
+        f'"rackId":"{rack}","locEventType":"0","createdStamp":"2019-08-20 16:00:01"}}}}'
     )
+
+
+def test_string_id_messages_keep_organisations_apart(spark, tmp_path):
+    dims = spark.createDataFrame([("shelf5", "tea", "Tea")], "rackId STRING, categoryId STRING, categoryName STRING")
+    sale = (
+        '{"eventType":"CheckOutEvent","event":{"userId":"kim","orgId":"north","storeId":"k2","orderId":"b77",'
+        '"orderItems":[{"productId":"sku-9","categoryId":"tea","quantity":"5","unitPrice":3.75}],'
+        '"createdStamp":"2019-08-20 16:30:00"}}'
+    )
+    lines = [text_location("north", "kim", "shelf5"), text_location("south", "lee", "shelf5"), text_location("south", "kim", "none"), sale]
     stream = RetailStream(spark, str(tmp_path), dims, generation=STRING_IDS)
-    stream.process(lines_frame(spark, [line]), 0)
-    assert rows(stream.product("dailyCategoryFootfall"), "orgId", "storeId", "categoryId", "footfallCount") == [(1, 4, 2, 1)]
+    stream.process(lines_frame(spark, lines), 0)
+    assert rows(stream.product("dailyCategoryFootfall"), "orgId", "storeId", "categoryId", "footfallCount") == [
+        ("north", "k2", "tea", 1), ("south", "k2", "tea", 1)
+    ]
+    assert rows(stream.product("dailyCategorySaleWithCountAgg"), "orgId", "categoryId", "saleCountAgg") == [("north", "tea", 5)]
+    assert rows(stream.product("dailyVisitors"), "orgId", "new_visitors") == [("north", 1), ("south", 2)]
+    assert dead_letters(spark, stream.root).count() == 0
+
+
+def test_replay_of_a_compacted_batch_changes_nothing(spark, tmp_path, dims):
+    days = [[location("a", 1, "2022-07-14 09:00:00"), location("b", 1, "2022-07-14 10:00:00")], [location("a", 2, "2022-07-14 11:00:00")]]
+    stream = RetailStream(spark, str(tmp_path / "out"), dims)
+    for n, lines in enumerate(days):
+        stream.process(lines_frame(spark, lines), n)
+    stream = stream.compact(1, str(tmp_path / "state-2"))
+    before = contents(stream)
+    stream.process(lines_frame(spark, days[1]), 1)
+    assert contents(stream) == before
+    more = [location("c", 1, "2022-07-14 12:00:00")]
+    stream.process(lines_frame(spark, more), 2)
+    whole = batch_products(spark, [*days[0], *days[1], *more], dims)
+    assert contents(stream) == {name: rows(whole[name]) for name in PRODUCTS}
+
+
+@pytest.mark.parametrize("outside", [False, True])
+def test_late_first_visit_corrects_the_day_it_was_on(spark, tmp_path, dims, outside):
+    first, late = location("a", 1, "2022-07-15 09:00:00"), location("a", 1, "2022-07-14 09:00:00")
+    events = events_table(spark, str(tmp_path / "events"), [first, late]) if outside else None
+    stream = RetailStream(spark, str(tmp_path / "out"), dims, events_path=events)
+    stream.process(lines_frame(spark, [first]), 0)
+    stream.process(lines_frame(spark, [late]), 1)
+    assert rows(stream.product("dailyVisitors"), "day", "new_visitors", "repeated_visitors") == [(14, 1, 0), (15, 0, 1)]
+
+
+def test_products_without_rows_can_be_read(spark, tmp_path, dims):
+    stream = RetailStream(spark, str(tmp_path), dims)
+    assert stream.product("dailyVisitors").count() == 0
+    stream.process(lines_frame(spark, [location("a", 1, "2022-07-15 09:00:00")]), 0)
+    assert stream.product("dailyCategorySaleWithCountAgg").count() == 0
+
+
+def test_more_than_a_thousand_days_in_a_batch(spark, tmp_path, dims):
+    lines = [location("a", 1, f"{2000 + n // 300}-{n % 300 // 25 + 1:02d}-{n % 25 + 1:02d} 09:00:00") for n in range(1100)]
+    stream = RetailStream(spark, str(tmp_path), dims)
+    stream.process(lines_frame(spark, lines), 0)
+    assert stream.product("dailyCategoryFootfall").agg(F.sum("footfallCount")).first()[0] == 1100
+
+
+def test_monthly_and_flagged_visits_of_the_stream(spark, tmp_path, dims):
+    stream = run_stream(spark, tmp_path, dims, two_days(), 2)
+    months = stream.visits_by_month(1)
+    assert rows(visitors.repeat_by_count(months), "userId", "month", "VisitCount") == [("31", 7, 4), ("45", 7, 3)]
+    flags = stream.product("newRepeatDaily").groupBy("time").agg(F.sum("New").alias("n"), F.sum("Repeat").alias("r"))
+    assert sorted((r.n, r.r) for r in flags.collect()) == [(1, 1), (1, 1)]
