@@ -15,6 +15,21 @@ U64 = np.uint64
 CACHE_WORDS = 300_000
 
 
+def bucketed(df: DataFrame, purpose: str, column: str) -> DataFrame:
+    """Like ``materialised``, as a table that joins and groups by ``column`` read without a shuffle."""
+    spark = df.sparkSession
+    path = work_folder(spark, purpose)
+    if _recorded is not None:
+        _recorded.append(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(_table_name(path))
+    return spark.table(_table_name(path))
+
+
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1].replace("-", "_")
+
+
 _recorded: list[str] | None = None
 
 
@@ -33,6 +48,7 @@ def remove_tables(spark: SparkSession, folders: list[str]) -> None:
     """Delete tables that ``materialised`` wrote, on whatever file system they are."""
     context = spark.sparkContext
     for folder in folders:
+        spark.sql(f"DROP TABLE IF EXISTS `{_table_name(folder)}`")
         path = context._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -37,12 +37,14 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from aisleflow.llm.common import U64, materialised, mixed, sliding, work_groups
+from aisleflow.llm.common import U64, bucketed, materialised, mixed, sliding, work_groups
 
 WIDTH = 50
 ANCHOR = 16
 CHUNK_BYTES = 8_000_000
 PART_BYTES = 4_000_000
+BLOCK = 1 << 17
+SORT_BYTES = 1_000_000
 NO_ID = np.iinfo(np.int64).max
 OWN = ("rep_kept", "rep_bytes", "rep_removed", "rep_spans")
 
@@ -69,25 +71,27 @@ def letters(buffer: bytes) -> np.ndarray:
 
 
 def pieces(buffer: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of windows, hash and text of each piece of texts laid end to end."""
-    none = np.zeros(0, np.int64)
-    total = len(buffer)
-    if total < WIDTH:
-        return none, none, none.astype(U64), none
-    word = letters(buffer)
-    count = total - ANCHOR + 1
-    hashes = mixed(word[:count] * U64(0x9E3779B97F4A7C15) + word[8 : 8 + count])
-    lowest = sliding(hashes, WIDTH - ANCHOR + 1, np.minimum)
+    """Start, number of windows, hash and text of each piece of texts laid end to end, block by block."""
     ends = np.cumsum(lengths)
-    text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-    n = len(lowest)
-    inside = text[:n] == text[WIDTH - 1 : WIDTH - 1 + n]
-    new = np.empty(n, bool)
-    new[0] = True
-    new[1:] = (lowest[1:] != lowest[:-1]) | (text[1:n] != text[: n - 1])
-    start = np.flatnonzero(new & inside)
-    stop = np.minimum(np.append(np.flatnonzero(new), n)[np.searchsorted(np.flatnonzero(new), start, "right")], ends[text[start]] - WIDTH + 1)
-    return start, stop - start, lowest[start], text[start].astype(np.int64)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64))]
+    for block in range(0, len(buffer) - WIDTH + 1, BLOCK):
+        part = buffer[block : block + BLOCK + WIDTH - 1]
+        word = letters(part)
+        count = len(part) - ANCHOR + 1
+        lowest = sliding(mixed(word[:count] * U64(0x9E3779B97F4A7C15) + word[8 : 8 + count]), WIDTH - ANCHOR + 1, np.minimum)
+        new = np.empty(len(lowest), bool)
+        new[0] = True
+        np.not_equal(lowest[1:], lowest[:-1], out=new[1:])
+        borders = ends[np.searchsorted(ends, block) : np.searchsorted(ends, block + len(part))] - block
+        new[borders[borders < len(new)]] = True
+        start = np.flatnonzero(new)
+        stop = np.append(start[1:], len(new))
+        found.append((start + block, stop - start, lowest[start]))
+    start, n, value = (np.concatenate(x) for x in zip(*found))
+    text = np.searchsorted(ends, start, "right")
+    n = np.minimum(n, ends[np.minimum(text, len(ends) - 1)] - WIDTH + 1 - start) if len(ends) else n
+    inside = n > 0  # windows that reach into the next text are none
+    return start[inside], n[inside], value[inside], text[inside]
 
 
 def _new_from(sorted_at: np.ndarray, word: np.ndarray, width: int) -> np.ndarray:
@@ -173,24 +177,30 @@ def _solve(texts: list[bytes], hashes: np.ndarray, ids: np.ndarray) -> list[tupl
     out = [(np.zeros(1, np.int64), windows[i : i + 1], ids[i : i + 1]) for i in range(len(texts))]
     _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     shared = np.flatnonzero(counts[inverse] > 1)
-    if not len(shared):
-        return out
-    buffer = b"".join(texts[i] for i in shared)
-    sizes = windows[shared]
+    shared = shared[np.argsort(inverse[shared], kind="stable")]
+    cuts = np.flatnonzero(np.diff(inverse[shared], prepend=-1))  # all pieces of a hash are sorted together
+    sizes = np.add.reduceat(windows[shared] + WIDTH - 1, cuts) if len(cuts) else cuts
+    for a, b in work_groups(sizes.tolist(), SORT_BYTES):
+        _sort_together(texts, shared[cuts[a] : cuts[b] if b < len(cuts) else None], windows, ids, out)
+    return out
+
+
+def _sort_together(texts: list[bytes], chosen: np.ndarray, windows: np.ndarray, ids: np.ndarray, out: list) -> None:
+    """Put the runs of the chosen pieces into ``out``."""
+    buffer = b"".join(texts[i] for i in chosen)
+    sizes = windows[chosen]
     base = np.concatenate([[0], np.cumsum(sizes + WIDTH - 1)])[:-1]
     first = np.concatenate([[0], np.cumsum(sizes)])
-    starts = np.arange(first[-1]) - np.repeat(first[:-1] - base, sizes)
-    group = prefix_groups(buffer, starts)
-    own = np.repeat(ids[shared], sizes)
+    group = prefix_groups(buffer, np.arange(first[-1]) - np.repeat(first[:-1] - base, sizes))
+    own = np.repeat(ids[chosen], sizes)
     order = np.lexsort([own, group])
     new = np.concatenate([[True], np.diff(group[order]) != 0])
     least = np.empty(len(own), np.int64)
     least[order] = own[order][new][np.cumsum(new) - 1]
-    for k, i in enumerate(shared.tolist()):
+    for k, i in enumerate(chosen.tolist()):
         v = least[first[k] : first[k + 1]]
         cut = np.concatenate([[0], np.flatnonzero(np.diff(v)) + 1])
         out[i] = (cut, np.append(cut[1:], len(v)), v[cut])
-    return out
 
 
 def _chunks(batches):
@@ -245,7 +255,7 @@ def _hash_lists(parts: int):
                     {
                         "part": pa.array([p for p, _ in lists], pa.int64()),
                         "chunk": pa.array([row["chunk"]] * len(lists), pa.int64()),
-                        "hashes": pa.array([distinct[o].tobytes() for _, o in lists], pa.binary()),
+                        "hashes": pa.array([(distinct[o] >> U64(32)).astype(np.uint32).tobytes() for _, o in lists], pa.binary()),
                         "several": pa.array([np.packbits(several[o]).tobytes() for _, o in lists], pa.binary()),
                     }
                 )
@@ -254,8 +264,8 @@ def _hash_lists(parts: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Which hashes of each list more than one document has."""
-    lists = [np.frombuffer(h, U64) for h in table.column("hashes").to_pylist()]
+    """Which hashes of each list more than one document has. Half a hash tells as much in a part of fixed size."""
+    lists = [np.frombuffer(h, np.uint32) for h in table.column("hashes").to_pylist()]
     flags = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(h)) for s, h in zip(table.column("several").to_pylist(), lists)]
     distinct, inverse, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     again = counts > 1
@@ -379,11 +389,12 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.drop(*OWN)
-    chunks = materialised(
+    chunks = bucketed(
         docs.mapInArrow(_chunks, "ids binary, lengths binary, size long, text binary, rest binary").withColumn(
             "chunk", F.monotonically_increasing_id()
         ),
         "text-chunks",
+        "chunk",
     )
     size = chunks.agg(F.sum("size")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
