@@ -244,7 +244,7 @@ def append_table_rows(spark, d):
 
 @named("overwrite_table")
 def overwrite_table_days(spark, d):
-    """Days counted from history alone, then the current days' partitions replaced."""
+    """Days counted from all events, then the current days' partitions replaced by their entries."""
     path = work_folder(spark, "overwrite")
     whole = visitors.daily_visit(star.location_events(spark, d))
     entries = visitors.daily_visit(visitors.entry_events(_location(spark, d)[1]))
