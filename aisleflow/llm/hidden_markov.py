@@ -30,13 +30,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from aisleflow.llm.common import materialised, work_groups
+from aisleflow.llm.common import bucketed, materialised, work_groups
 
 STATES = 8
 CLASSES = 1 << 14
 ITERATIONS = 4
 CHUNK_BYTES = 12_000_000
-PRIOR = 200.0
+PRIOR = 3000.0
+GROUP_TOKENS = 400_000
 END = b""
 
 
@@ -84,6 +85,19 @@ def _chunks(batches):
             )
 
 
+def by_length(lengths: np.ndarray):
+    """Sequences in groups of similar length, the longest first, each of about GROUP_TOKENS tokens."""
+    order = np.argsort(-lengths, kind="stable")
+    for a, b in work_groups(lengths[order].tolist(), GROUP_TOKENS):
+        yield order[a:b]
+
+
+def taken(symbols: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The symbols of the chosen sequences, laid end to end."""
+    ends = np.cumsum(lengths)
+    return np.concatenate([symbols[ends[i] - lengths[i] : ends[i]] for i in chosen.tolist()])
+
+
 class Lattice:
     """Sequences side by side: rows in order of position, at each position the longer sequences first."""
 
@@ -149,11 +163,13 @@ def _expectations(model):
                     continue
                 symbols = np.frombuffer(row["classes"], np.int32)[np.frombuffer(row["ids"], np.int32)]
                 symbols, lengths = symbols[np.repeat(train, lengths)], lengths[train]
-                first, made, out, logp = expected_counts(Lattice(symbols, lengths), initial, moves, emissions)
-                sums[:classes] += out.T
-                sums[classes : classes + states] += made
-                sums[classes + states] += first
-                sums[classes + states + 1] += logp / states
+                for chosen in by_length(lengths):
+                    lattice = Lattice(taken(symbols, lengths, chosen), lengths[chosen])
+                    first, made, out, logp = expected_counts(lattice, initial, moves, emissions)
+                    sums[:classes] += out.T
+                    sums[classes : classes + states] += made
+                    sums[classes + states] += first
+                    sums[classes + states + 1] += logp / states
         slots = np.flatnonzero(sums.any(1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(slots.astype(np.int32)), *(pa.array(sums[slots, k]) for k in range(states))],
@@ -206,10 +222,12 @@ def _scored(model, class_sizes, n_tokens: int, n_words: int, kind: pa.DataType):
             c[counts.column("pos").to_numpy()] = counts.column("c").to_numpy()
             base = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
             within = np.log10((c + 0.5) / class_sizes.value[classes])
-            lattice = Lattice(classes[ids], lengths)
-            scale = lattice.forward(initial, moves, emissions.T[lattice.symbols])[1]
-            owner = np.concatenate([lattice.order[:a] for a in lattice.active.tolist()])
-            hidden = np.bincount(owner, np.log10(scale), len(lengths))
+            hidden = np.zeros(len(lengths))
+            for chosen in by_length(lengths):
+                lattice = Lattice(taken(classes[ids], lengths, chosen), lengths[chosen])
+                scale = lattice.forward(initial, moves, emissions.T[lattice.symbols])[1]
+                owner = np.concatenate([lattice.order[:a] for a in lattice.active.tolist()])
+                hidden[chosen] = np.bincount(owner, np.log10(scale), len(chosen))
             starts = np.cumsum(lengths) - lengths
             add = lambda x: np.add.reduceat(x[ids], starts)  # noqa: E731, B023
             out.append((row["doc_ids"], row["train"], lengths, add((c > 0).astype(np.int64)), add(base), hidden + add(within)))
@@ -232,7 +250,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
     """Per document: doc_id, train, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities)."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chunks = materialised(
+    chunks = bucketed(
         docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("_train"))
         .mapInArrow(
             _chunks,
@@ -241,6 +259,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
         )
         .withColumn("chunk", F.monotonically_increasing_id()),
         "word-chunks",
+        "chunk",
     )
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts"))).select(
         "chunk", "pos", F.col("col.words").alias("word"), F.col("col.counts").alias("n")
