@@ -10,16 +10,18 @@ longest chain of equal shingles in the order of both, and M / (n + m - M) has to
 be 0.8 or more.
 
 Equal texts are one node from the start. In every bucket of equal sketches the
-nodes are compared with its smallest node, not with each other; where that leaves
-more than one group of linked nodes in a bucket, further nodes take that place,
-a few per round, until each pair of the bucket is linked, grouped or compared.
-So the links between different texts make the same groups as all pairs would,
-and a bucket of near copies costs one comparison per copy. Groups are connected
+nodes are compared with its smallest node, not with each other. Where that leaves
+more than one group of linked nodes in a bucket, the nodes outside the smallest
+one's group are compared with each other and with that group in blocks of fixed
+size, by counts of common shingles. So the links between different texts make the
+same groups as all pairs would, and a bucket of near copies of its smallest node
+costs one comparison per copy. Groups are connected
 components by alternating star contraction.
 
-Chance of missing a pair of similarity 0.8: about 5 in ten million for long
-texts (36 sketches of 5 shingles); texts of at most 16 shingles get 16 sketches
-of 2 as well, as 5 of few shingles are hard to agree in.
+Chance of missing a pair of similarity 0.8: about 15 in a million for long texts
+(28 sketches of 5 shingles), and less for each further link of its group; texts
+of at most 6 shingles get 36 sketches of 4 as well, as 5 of few shingles are hard
+to agree in.
 
 Defined cases: a null text is alone in its class; empty texts are equal texts;
 a text without words equals only copies of itself; a text of fewer than five
@@ -41,9 +43,9 @@ from aisleflow.llm.decontaminate import words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES, SKETCH_OF = 36, 5
-SHORT, SHORT_SKETCHES, SHORT_OF = 16, 16, 2
-CENTRES_A_ROUND = 16
+SKETCHES, SKETCH_OF = 28, 5
+SHORT, SHORT_SKETCHES, SHORT_OF = 6, 36, 4
+BLOCK_NODES, BLOCK_CHARS, FEATURE_SLICE = 1024, 4_000_000, 2048
 BATCH_BYTES = 4_000_000
 SEEDS = mixed(np.arange(1, SKETCHES + SHORT_SKETCHES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
@@ -67,18 +69,22 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
 
 def _ordered(grams: np.ndarray, seeds: np.ndarray, of: int) -> np.ndarray:
     """One sketch per seed: the ``of`` shingles of smallest hash, combined in text order."""
-    block = max(1, 2_000_000 // len(grams))  # seeds at a time, so that long texts take no more memory
+    size = len(grams)
+    block = max(1, 2_000_000 // size)  # seeds at a time, so that long texts take no more memory
+    places = U64((1 << size.bit_length()) - 1)  # the low bits of a rank say where the shingle is
     out = []
     for a in range(0, len(seeds), block):
         own = seeds[a : a + block]
         ranks = (grams[None, :] ^ own[:, None]) * U64(0xD6E8FEB86659FD93)
         ranks ^= ranks >> U64(32)
         ranks *= U64(0x9E3779B97F4A7C15)
-        kept = np.argpartition(ranks, of - 1, axis=1)[:, :of] if len(grams) > of else np.tile(np.arange(len(grams)), (len(own), 1))
+        ranks &= ~places
+        ranks |= np.arange(size, dtype=U64)
+        kept = (np.partition(ranks, of - 1, axis=1)[:, :of] if size > of else ranks) & places
         kept.sort(axis=1)
         value = own.copy()
         for k in range(kept.shape[1]):
-            value = mixed(value * U64(31) + grams[kept[:, k]])
+            value = mixed(value * U64(31) + grams[kept[:, k].astype(np.int64)])
         out.append(value)
     return np.concatenate(out)
 
@@ -164,57 +170,98 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def _linked_in_cell(table: pa.Table) -> pa.Table:
+    """Links between the nodes of two blocks (or within one) that are of different groups."""
+    texts, roots, nodes = table.column("text").cast(pa.binary()).to_pylist(), table.column("root").to_numpy(), table.column("node").to_numpy()
+    first = table.column("block").to_numpy() == table.column("i").to_numpy()
+    memo = WordHashes()
+    grams = [shingles(memo.of(words_of(t))) for t in texts]
+    sizes = np.array([len(g) for g in grams], np.float32)
+    owner = np.repeat(np.arange(len(grams)), sizes.astype(np.int64))
+    slot = np.unique(np.concatenate([*grams, np.zeros(0, U64)]), return_inverse=True)[1]
+    order = np.argsort(slot, kind="stable")
+    owner, slot = owner[order], slot[order]
+    common = np.zeros((len(grams), len(grams)), np.float32)
+    for c in range(0, int(slot[-1]) + 1 if len(slot) else 0, FEATURE_SLICE):
+        a, b = np.searchsorted(slot, (c, c + FEATURE_SLICE))
+        has = np.zeros((len(grams), FEATURE_SLICE), np.float32)
+        has[owner[a:b], slot[a:b] - c] = 1
+        common += has @ has.T
+    union = np.maximum(sizes[:, None] + sizes[None, :] - common, 1)
+    close = (common >= np.float32(SIMILARITY - 1e-4) * union) & (roots[:, None] != roots[None, :])
+    same_block = table.column("i")[0] == table.column("j")[0] if len(grams) else True
+    close &= np.tri(len(grams), k=-1, dtype=bool) if same_block else first[:, None] & ~first[None, :]
+    found = [(nodes[x], nodes[y]) for x, y in np.argwhere(close).tolist() if similarity(grams[x], grams[y]) >= SIMILARITY]
+    return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+
+def _more_links(shared: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that the smallest nodes of the buckets do not have.
+
+    Where a bucket is left with several groups, the nodes it shares with others
+    of the same smallest node are dealt to blocks of fixed size, those outside
+    that node's group apart from those in it. Each block outside meets every
+    block; a group that is linked as a whole is not compared with itself.
+    """
+    rooted = components(links)
+    rows = shared.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    of_hub = rooted.select(F.col("node").alias("a"), F.col("root").alias("hub_root"))
+    members = materialised(
+        rows.join(several, "key", "left_semi")
+        .select("a", "node", "root")
+        .distinct()
+        .join(of_hub, "a", "left")
+        .withColumn("outside", F.col("root") != F.coalesce("hub_root", "a"))
+        .join(texts, "node")
+        .select("a", "node", "root", "outside", "text"),
+        "group-members",
+    )
+    blocks = lambda kind: F.greatest(
+        F.ceil(F.count(F.when(kind, 1)) / BLOCK_NODES), F.ceil(F.sum(F.when(kind, F.length("text")).otherwise(0)) / BLOCK_CHARS)
+    ).cast("int")
+    counts = members.groupBy("a").agg(blocks(F.col("outside")).alias("n_out"), blocks(~F.col("outside")).alias("n_in"))
+    h = F.xxhash64("node")
+    block = F.when(F.col("outside"), F.pmod(h, F.col("n_out"))).otherwise(F.col("n_out") + F.pmod(h, F.col("n_in"))).cast("int")
+    # A block outside meets all blocks, a block inside the blocks outside.
+    others = F.sequence(F.lit(0), F.when(F.col("outside"), F.col("n_out") + F.col("n_in")).otherwise(F.col("n_out")) - 1)
+    cells = (
+        members.join(counts.filter("n_out > 0"), "a")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(others))
+        .select("a", "node", "root", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    )
+    return cells.groupBy("a", "i", "j").applyInArrow(_linked_in_cell, "a long, b long")
+
+
 def _links(nodes: DataFrame, buckets: DataFrame, docs: DataFrame) -> DataFrame | None:
     """Verified links between nodes of one bucket, enough to connect all that are linked; None without candidates."""
-    texts = None
-    compared = links = None
-    centres = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = buckets.join(centres, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    first = 0
-    while True:
-        pairs = materialised(pairs, "pairs")
-        if pairs.isEmpty() and texts is None:
-            return None
-        if texts is None:
-            wanted = buckets.join(centres.select("key"), "key", "left_semi").select("node").distinct()
-            copies = nodes.join(wanted, "node", "left_semi").select("node", "copy", "doc_id")
-            texts = materialised(
-                docs.select("doc_id", F.md5("text").alias("copy"), "text")
-                .alias("d")
-                .join(copies.alias("c"), F.expr("d.copy = c.copy and d.doc_id <=> c.doc_id"))
-                .groupBy("node")
-                .agg(F.max("text").alias("text")),
-                "candidate-texts",
-            )
-        compare = (
-            pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-            .select("a", "b", "left", "right")
-            .mapInArrow(_compared, "a long, b long, alike boolean")
-        )
-        done = materialised(compare, "compared")
-        compared = done if compared is None else compared.unionByName(done)
-        links = compared.filter("alike")
-        grouped = (
-            buckets.join(components(links), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        )
-        mixed_keys = grouped.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        ranked = materialised(
-            grouped.join(mixed_keys, "key", "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node"))),
-            "open-buckets",
-        )
-        if ranked.filter(F.col("rank") > first + 1).isEmpty():
-            return links
-        turn = ranked.filter(F.col("rank").between(first + 1, first + CENTRES_A_ROUND))
-        pairs = (
-            turn.select("key", F.col("node").alias("a"), F.col("root").alias("own"), F.col("rank").alias("at"))
-            .join(ranked, "key")
-            .filter("rank > at and root <> own")
-            .select("a", F.col("node").alias("b"))
-            .distinct()
-            .join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        )
-        first += CENTRES_A_ROUND
+    centres = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a")
+    shared = materialised(buckets.join(centres, "key"), "shared-buckets")
+    if shared.isEmpty():
+        return None
+    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "copy", "doc_id")
+    texts = materialised(
+        docs.select("doc_id", F.md5("text").alias("copy"), "text")
+        .alias("d")
+        .join(wanted.alias("c"), F.expr("d.copy = c.copy and d.doc_id <=> c.doc_id"))
+        .groupBy("node")
+        .agg(F.max("text").alias("text")),
+        "candidate-texts",
+    )
+    links = materialised(
+        shared.filter("node <> a")
+        .select("a", F.col("node").alias("b"))
+        .distinct()
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+        .select("a", "b", "left", "right")
+        .mapInArrow(_compared, "a long, b long, alike boolean")
+        .filter("alike")
+        .select("a", "b"),
+        "links",
+    )
+    return links.unionByName(materialised(_more_links(shared, links, texts), "more-links"))
 
 
 def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
