@@ -103,7 +103,7 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     n, m = len(a), len(b)
     if not n or not m:
         return 0.0
-    band = int((1 - least) / (1 + least) * (n + m))  # a chain of this similarity skips no more shingles
+    band = int((1 - least) / (1 + least) * (n + m) + 1e-6)  # a chain of this similarity skips no more; whole numbers may come out a little below
     order = np.argsort(b, kind="stable")
     at = np.minimum(np.searchsorted(b[order], a), m - 1)
     j = order[at]

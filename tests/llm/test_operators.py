@@ -462,6 +462,31 @@ def test_similarity_follows_order():
     assert near_copies.similarity(grams, np.concatenate([grams[50:], grams[:50]])) < 0.8
 
 
+def test_similarity_equals_longest_common_subsequence():
+    """Also at exactly 0.8 with all that is added in front, where every match is as far off as can be."""
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for k, y in enumerate(b):
+                row[k + 1] = before[k] + 1 if x == y else max(before[k + 1], row[k])
+        return row[-1] / (len(a) + len(b) - row[-1])
+
+    more = np.arange(1000, 1100, dtype=np.uint64)
+    for n in range(4, 101, 4):
+        grams = np.arange(1, n + 1, dtype=np.uint64)
+        for front in (n // 4, n // 4 + 1, n // 8):
+            longer = np.concatenate([more[:front], grams])
+            for a, b in ((grams, longer), (longer, grams), (grams, np.concatenate([grams, more[:front]]))):
+                want = plain(a.tolist(), b.tolist())
+                got = near_copies.similarity(a, b)
+                assert got == want if want >= 0.8 else got < 0.8
+    memo = WordHashes()
+    a, b = (near_copies.shingles(memo.of(near_copies.words_of(t))) for t in (b"a b c d e f g h", b"x a b c d e f g h"))
+    assert near_copies.similarity(a, b) == 0.8
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(0, 30)] + [(50, 40), (40, 45)], "a BIGINT, b BIGINT")
     got = {r.node: r.root for r in near_copies.components(edges).collect()}
