@@ -18,10 +18,13 @@ same groups as all pairs would, and a bucket of near copies of its smallest node
 costs one comparison per copy. Groups are connected
 components by alternating star contraction.
 
-Chance of missing a pair of similarity 0.8: about 15 in a million for long texts
-(28 sketches of 5 shingles), and less for each further link of its group; texts
-of at most 6 shingles get 36 sketches of 4 as well, as 5 of few shingles are hard
-to agree in.
+Chance of missing a pair of similarity 0.8, by the shingles of its smaller text
+(one sketch of k finds it with C(M, k) / C(n + m - M, k) or more): at most 3 in a
+hundred million up to 30 shingles, 17 in ten million from 31 to 60, 12 in ten
+million from 61 to 100, 9 in ten million above, and less for each further link of
+its group. All texts get 36 sketches of 5 shingles. As 5 of few shingles are hard
+to agree in, texts of at most 40 shingles get 12 of 4 as well and those of at most
+16 another 16 of 2.
 
 Defined cases: a null text is alone in its class; empty texts are equal texts;
 a text without words equals only copies of itself; a text of fewer than five
@@ -43,11 +46,10 @@ from aisleflow.llm.decontaminate import words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES, SKETCH_OF = 28, 5
-SHORT, SHORT_SKETCHES, SHORT_OF = 6, 36, 4
+SKETCHES = ((36, 5, None), (12, 4, 40), (16, 2, 16))  # how many, of how many shingles, for texts of at most so many
 BLOCK_NODES, BLOCK_CHARS, FEATURE_SLICE = 1024, 4_000_000, 2048
 BATCH_BYTES = 4_000_000
-SEEDS = mixed(np.arange(1, SKETCHES + SHORT_SKETCHES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
+SEEDS = mixed(np.arange(1, sum(n for n, _, _ in SKETCHES) + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
 def shingles(hashes: np.ndarray) -> np.ndarray:
@@ -92,10 +94,12 @@ def _ordered(grams: np.ndarray, seeds: np.ndarray, of: int) -> np.ndarray:
 def sketches(grams: np.ndarray) -> np.ndarray:
     if not len(grams):
         return np.zeros(0, U64)
-    found = _ordered(grams, SEEDS[:SKETCHES], SKETCH_OF)
-    if len(grams) <= SHORT:
-        found = np.concatenate([found, _ordered(grams, SEEDS[SKETCHES:], SHORT_OF)])
-    return found
+    found, first = [], 0
+    for n, of, most in SKETCHES:
+        if most is None or len(grams) <= most:
+            found.append(_ordered(grams, SEEDS[first : first + n], of))
+        first += n
+    return np.concatenate(found)
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
