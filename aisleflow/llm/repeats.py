@@ -19,6 +19,14 @@ merged in by their first letters and the rank of the sampled suffix behind, and
 neighbours in the order are compared on their prefixes. Each group of equal
 prefixes takes the smallest document id in it.
 
+How a hot hash is split. Where the distinct pieces of one hash take more than
+``PART_BYTES`` (a common line with many different neighbours), its windows are
+dealt anew: the first place of the hash in a window cuts windows into runs of up
+to ``STEP``, and each run goes to the part of a hash of the bytes that all windows
+with that cut share. Equal windows have the same cut and the same bytes, so they
+still meet. What is still hot is dealt window by window, by a hash of all its
+bytes; then a hash has one window per chunk.
+
 At scale nothing is larger than a chunk or a part, whose sizes are fixed, times
 what pieces repeat: a piece comes once per chunk however many documents hold it.
 
@@ -45,6 +53,7 @@ CHUNK_BYTES = 8_000_000
 PART_BYTES = 4_000_000
 BLOCK = 1 << 17
 SORT_BYTES = 1_000_000
+STEP = 8
 NO_ID = np.iinfo(np.int64).max
 OWN = ("rep_kept", "rep_bytes", "rep_removed", "rep_spans")
 
@@ -274,12 +283,39 @@ def _repeated(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "again": pa.array([np.packbits(b).tobytes() for b in bits], pa.binary())})
 
 
+def _listed(buffer: bytes, start: np.ndarray, n: np.ndarray, value: np.ndarray, ids: np.ndarray, owner: np.ndarray, offset: np.ndarray, parts: int):
+    """The pieces of a chunk by part, equal ones once with their smallest id, and where they are."""
+    for p, o in _by_part(value, parts):
+        number: dict[bytes, int] = {}
+        occurrence = np.array([number.setdefault(buffer[s : s + k], len(number)) for s, k in zip(start[o].tolist(), (n[o] + WIDTH - 1).tolist())], np.int32)
+        least = np.full(len(number), NO_ID)
+        np.minimum.at(least, occurrence, ids[o])
+        values = np.empty(len(number), U64)
+        values[occurrence] = value[o]
+        yield p, {
+            "values": values, "sizes": np.array([len(t) for t in number], np.int32), "least": least, "texts": b"".join(number),
+            "occurrence": occurrence, "owner": owner[o].astype(np.int32), "offset": offset[o].astype(np.int64),
+        }
+
+
+def _lists_table(lists: list[tuple[int, int, dict]]) -> pa.Table:
+    """Rows of (part, chunk, columns), packed."""
+    out = {name.split()[0]: [] for name in PIECES.split(", ")}
+    for p, chunk, columns in lists:
+        out["part"].append(p)
+        out["chunk"].append(chunk)
+        for name, data in columns.items():
+            out[name].append(packed(data))
+    kind = lambda name: pa.int64() if name in ("part", "chunk") else pa.binary()
+    return pa.table({name: pa.array(data, kind(name)) for name, data in out.items()})
+
+
 PIECES = "part long, chunk long, values binary, sizes binary, least binary, texts binary, occurrence binary, owner binary, offset binary"
 
 
 def _piece_lists(parts: int):
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        out = {name.split()[0]: [] for name in PIECES.split(", ")}
+        out = []
         for row in chunk.to_pylist():
             buffer, ids, lengths, start, n, value, text = _own_pieces(row)
             begin = np.cumsum(lengths) - lengths
@@ -290,27 +326,107 @@ def _piece_lists(parts: int):
                 again[o] = np.unpackbits(np.frombuffer(bits[p], np.uint8), count=len(o)) > 0
             kept = again[np.searchsorted(distinct, value)]
             start, n, value, text = start[kept], n[kept], value[kept], text[kept]
-            for p, o in _by_part(value, parts):
-                number: dict[bytes, int] = {}
-                occurrence = np.array([number.setdefault(buffer[s : s + k], len(number)) for s, k in zip(start[o].tolist(), (n[o] + WIDTH - 1).tolist())], np.int32)
-                least = np.full(len(number), NO_ID)
-                np.minimum.at(least, occurrence, ids[text[o]])
-                values = np.empty(len(number), U64)
-                values[occurrence] = value[o]
-                columns = {
-                    "values": values, "sizes": np.array([len(t) for t in number], np.int32), "least": least, "texts": b"".join(number),
-                    "occurrence": occurrence, "owner": text[o].astype(np.int32), "offset": (start[o] - begin[text[o]]).astype(np.int64),
-                }
-                out["part"].append(p)
-                out["chunk"].append(row["chunk"])
-                for name, data in columns.items():
-                    out[name].append(packed(data))
-        kind = lambda name: pa.int64() if name in ("part", "chunk") else pa.binary()
-        return pa.table({name: pa.array(data, kind(name)) for name, data in out.items()})
+            out += [(p, row["chunk"], columns) for p, columns in _listed(buffer, start, n, value, ids[text], text, start - begin[text], parts)]
+        return _lists_table(out)
+
+    return run
+
+
+def _large(least: int):
+    """Bytes of the distinct pieces of each hash in a list, where they are not below ``least``."""
+
+    def run(batches):
+        for batch in batches:
+            for values, sizes in zip(batch.column("values").to_pylist(), batch.column("sizes").to_pylist()):
+                distinct, inverse = np.unique(np.frombuffer(unpacked(values), U64), return_inverse=True)
+                size = np.bincount(inverse, np.frombuffer(unpacked(sizes), np.int32), len(distinct)).astype(np.int64)
+                large = size >= least
+                yield pa.RecordBatch.from_pydict({"value": distinct[large].view(np.int64), "size": size[large]})
 
     return run
 
 
+def _hot(lists: DataFrame, chunks: int, most: int) -> np.ndarray:
+    """Hashes whose pieces may take more than ``most`` bytes in all lists; all that do are among them.
+
+    What a chunk leaves out of the sum is less than half of ``most`` over all chunks.
+    """
+    large = lists.select("values", "sizes").mapInArrow(_large(most // (2 * max(chunks, 1))), "value long, size long")
+    rows = large.groupBy("value").agg(F.sum("size").alias("size")).filter(F.col("size") > most // 2).select("value").collect()
+    return np.sort(np.array([r.value for r in rows], np.int64).view(U64))
+
+
+def _cut_again(text: bytes, sizes: np.ndarray, values: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of windows, new hash and old piece of the runs of up to ``step`` windows of pieces laid end to end."""
+    windows = sizes.astype(np.int64) - WIDTH + 1
+    piece = np.repeat(np.arange(len(sizes)), windows)
+    begin = np.cumsum(sizes, dtype=np.int64) - sizes
+    s = np.arange(len(piece)) + np.repeat(begin - np.cumsum(windows) + windows, windows)
+    word, at = letters(text), s
+    if step > 1:
+        count = len(text) - ANCHOR + 1
+        here = mixed(word[:count] * U64(0x9E3779B97F4A7C15) + word[8 : 8 + count]) == np.repeat(values, sizes)[:count]
+        anchor = np.minimum.accumulate(np.where(here, np.arange(count), len(text))[::-1])[::-1][s]
+        at = anchor - (anchor - s) // step * step
+    first = np.flatnonzero((np.diff(piece, prepend=-1) != 0) | (np.diff(at, prepend=-1) != 0))
+    shared = WIDTH - step + 1  # bytes from ``at`` on that are in each of the windows cut there
+    value, place = values[piece[first]], at[first]
+    for k in [*range(0, shared - 7, 8), shared - 8]:
+        value = mixed(value * U64(31) + word[place + k])
+    return s[first], np.diff(np.append(first, len(s))), value, piece[first]
+
+
+def _split(hot: np.ndarray, step: int, parts: int, rest: bool):
+    """Lists of the pieces of hot hashes cut again, or (``rest``) lists without those pieces."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                get = lambda name, kind: np.frombuffer(unpacked(row[name]), kind)  # noqa: E731, B023
+                text, sizes, values, least = unpacked(row["texts"]), get("sizes", np.int32), get("values", U64), get("least", np.int64)
+                occurrence, owner, offset = get("occurrence", np.int32), get("owner", np.int32), get("offset", np.int64)
+                chosen = np.isin(values, hot) != rest
+                begin = np.cumsum(sizes, dtype=np.int64) - sizes
+                text = b"".join(text[a : a + k] for a, k in zip(begin[chosen].tolist(), sizes[chosen].tolist()))
+                sizes, values, least = sizes[chosen], values[chosen], least[chosen]
+                if not len(sizes):
+                    continue
+                begin = np.cumsum(sizes, dtype=np.int64) - sizes
+                inside = chosen[occurrence]
+                occurrence, owner, offset = (np.cumsum(chosen) - 1)[occurrence[inside]], owner[inside], offset[inside]
+                if rest:
+                    start, n, value, piece = begin, sizes.astype(np.int64) - WIDTH + 1, values, np.arange(len(sizes))
+                else:
+                    start, n, value, piece = _cut_again(text, sizes, values, step)
+                counts = np.bincount(piece, minlength=len(sizes))
+                times = counts[occurrence]
+                run_at = np.repeat((np.cumsum(counts) - counts)[occurrence] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                own = np.repeat(np.arange(len(occurrence)), times)
+                of = occurrence[own]
+                lists = _listed(text, start[run_at], n[run_at], value[run_at], least[of], owner[own], offset[own] + start[run_at] - begin[of], parts)
+                yield from _lists_table([(p, row["chunk"], columns) for p, columns in lists]).to_batches()
+
+    return run
+
+
+def _without_hot(lists: DataFrame, chunks: int, parts: int, most: int) -> DataFrame:
+    """The lists, with the pieces of hot hashes dealt anew. ``list`` numbers them."""
+    numbered = lambda df, k, purpose: materialised(df.withColumn("list", F.monotonically_increasing_id() * 8 + k), purpose)
+    now, done = numbered(lists, 0, "piece-lists"), []
+    for k, step in enumerate((STEP, 1)):
+        hot = _hot(now, chunks, most)
+        if not len(hot):
+            break
+        there = F.col("part").isin(np.unique(hot % U64(parts)).tolist())
+        whole = now.filter(there).select(*[name.split()[0] for name in PIECES.split(", ")])
+        done.append(now.filter(~there))
+        done.append(numbered(whole.mapInArrow(_split(hot, step, parts, True), PIECES), 2 * k + 1, "piece-lists"))
+        now = numbered(whole.mapInArrow(_split(hot, step, parts, False), PIECES), 2 * k + 2, "piece-lists")
+    for df in done:
+        now = now.unionByName(df)
+    return now
+
+
 def _runs(table: pa.Table) -> pa.Table:
     """Sort the suffixes of a part; runs of windows with the smallest id that has them, for each list of pieces."""
     number: dict[bytes, int] = {}
@@ -335,7 +451,7 @@ def _runs(table: pa.Table) -> pa.Table:
         for k, name in enumerate(("first", "last", "smallest")):
             out[name].append(packed(np.concatenate([f[k] for f in found])))
     columns = {name: pa.array(data, pa.binary()) for name, data in out.items()}
-    return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), **columns})
+    return pa.table({"list": table.column("list"), **columns})
 
 
 def _cut_texts(chunk: pa.Table, found: pa.Table) -> pa.Table:
@@ -382,10 +498,10 @@ def _cut(chunk: pa.Table, found: pa.Table) -> pa.Table:
     return pa.concat_tables(tables)
 
 
-def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, as_text: bool = False, hot_bytes: int = PART_BYTES) -> DataFrame:
     """All columns of the documents but text, and rep_kept (bytes left, or text), rep_bytes, rep_removed, rep_spans.
 
-    Input columns of these names are replaced.
+    Input columns of these names are replaced. A hash with more than ``hot_bytes`` of different pieces is split.
     """
     spark = docs.sparkSession
     docs = docs.drop(*OWN)
@@ -396,7 +512,7 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
         "text-chunks",
         "chunk",
     )
-    size = chunks.agg(F.sum("size")).first()[0] or 0
+    size, n_chunks = chunks.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     named = chunks.select("chunk", "ids", "lengths", "text")
     again = (
@@ -404,15 +520,13 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
         .groupBy("part")
         .applyInArrow(_repeated, "chunk long, part long, again binary")
     )
-    lists = materialised(
-        named.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(_piece_lists(parts), PIECES), "piece-lists"
-    )
+    lists = _without_hot(named.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(_piece_lists(parts), PIECES), n_chunks, parts, hot_bytes)
     runs = (
-        lists.select("part", "chunk", "values", "sizes", "least", "texts")
+        lists.select("part", "list", "values", "sizes", "least", "texts")
         .groupBy("part")
-        .applyInArrow(_runs, "chunk long, part long, counts binary, first binary, last binary, smallest binary")
+        .applyInArrow(_runs, "list long, counts binary, first binary, last binary, smallest binary")
     )
-    found = lists.select("part", "chunk", "occurrence", "owner", "offset").join(runs, ["part", "chunk"])
+    found = lists.select("list", "chunk", "occurrence", "owner", "offset").join(runs, "list")
     kept = StringType() if as_text else BinaryType()
     own = [StructField(name, kind) for name, kind in zip(OWN, (kept, LongType(), LongType(), LongType()))]
     return (

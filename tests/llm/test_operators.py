@@ -164,6 +164,46 @@ def test_repeats_equal_brute_force(spark):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
 
+def hot_line_rows():
+    """A common line between different neighbours, some of them shared, a run of one letter, and copies."""
+    line = "This line is in each of the documents, whatever else they hold.\n"
+    rows = [(i, text_of(1000 + i, 12) + "\n" + line + text_of(2000 + i % 70, 12)) for i in range(90)]
+    return rows + [(200, "a" * 300), (201, "b" + "a" * 200), (202, rows[5][1]), (203, None), (204, "ab" * 90)]
+
+
+def test_repeats_with_split_hashes_equal_brute_force(spark, monkeypatch):
+    split, used = repeats._split, set()
+    monkeypatch.setattr(repeats, "_split", lambda hot, step, *more: used.add(step) or split(hot, step, *more))
+    rows = hot_line_rows()
+    out = repeats.remove_repeats(frame(spark, rows), hot_bytes=300)
+    got = sorted((r.doc_id, bytes(r.rep_kept), r.rep_bytes, r.rep_removed, r.rep_spans) for r in out.collect())
+    assert got == sorted(brute_repeats(rows))
+    assert used == {repeats.STEP, 1}
+
+
+def test_hot_hash_is_spread():
+    """Pieces of one hash with different neighbours: no new hash keeps many of their bytes, equal windows keep one hash."""
+    line = b"This line is in each of the documents, whatever else they hold.\n"
+    texts = [text_of(i, 12).encode() + b"\n" + line for i in range(3000)]
+    buffer = b"".join(texts)
+    start, n, value, _ = repeats.pieces(buffer, np.array([len(t) for t in texts]))
+    distinct, inverse, counts = np.unique(value, return_inverse=True, return_counts=True)
+    own = np.flatnonzero(inverse == max(range(len(distinct)), key=lambda k: len({buffer[s : s + c] for s, c in zip(start[inverse == k], n[inverse == k] + 49)})))
+    held = {buffer[start[i] : start[i] + n[i] + 49] for i in own}
+    before = sum(map(len, held))
+    for step, least in ((repeats.STEP, 2), (1, 500)):
+        sizes = np.array([len(t) for t in held], np.int32)
+        text = b"".join(held)
+        first, windows, new, piece = repeats._cut_again(text, sizes, np.full(len(held), value[own[0]]), step)
+        assert windows.sum() == (sizes - 49).sum() and windows.max() <= step
+        by_hash, hash_of = {}, {}
+        for s, c, v in zip(first.tolist(), windows.tolist(), new.tolist()):
+            by_hash.setdefault(v, set()).add(text[s : s + c + 49])
+            for k in range(c):
+                assert hash_of.setdefault(text[s + k : s + k + 50], v) == v
+        assert max(sum(map(len, t)) for t in by_hash.values()) * least < before
+
+
 # --- 3 pages ------------------------------------------------------------------
 
 
