@@ -14,9 +14,12 @@ from aisleflow.llm import (
     pages,
     repeats,
     sentencepieces,
+    spelling,
+    toxicity,
+    vector_codes,
     weak_labels,
 )
-from aisleflow.llm.common import read_table
+from aisleflow.llm.common import materialised, read_table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -98,6 +101,28 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.classes(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = materialised(spelling.words(read_table(spark, sf_dir, "documents").select("doc_id", "text")), "words")
+    return spelling.group_variants(counts)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), _remainder(4) != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebook = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.codebook_digest(codebook)).alias("codebooks_sha256")
+    return vector_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES = {
     "op1_languages": op1_languages,
     "op2_repeats": op2_repeats,
@@ -109,6 +134,9 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_decontaminate": op9_decontaminate,
     "op10_near_copies": op10_near_copies,
+    "op11_spelling": op11_spelling,
+    "op12_toxicity": op12_toxicity,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -121,7 +149,91 @@ def _quoted(text: str) -> str:
 
 _KNOWN_SQL = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in licences.KNOWN.items())
 
+
+
+def _codes_sql() -> str:
+    """Rounds of nearest entries and their means, each round over all parts."""
+    near = """
+        SELECT r, p, e, least FROM (
+            SELECT r, x.p, x.v, b.e,
+                   list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS least
+            FROM x JOIN b{k} AS b ON x.p = b.p)
+        QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY least, e) = 1"""
+    rounds = "".join(
+        f""", a{k} AS ({near.format(k=k)}
+        ), m{k} AS (
+            SELECT p, e, list(c ORDER BY i) AS v FROM (
+                SELECT a.p, a.e, i, floor(sum(x.v[i])::DOUBLE / count(*))::BIGINT AS c
+                FROM a{k} AS a JOIN x USING (r, p), unnest(range(1, len(x.v) + 1)) AS t(i) GROUP BY 1, 2, 3)
+            GROUP BY p, e
+        ), b{k + 1} AS (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM b{k} AS b LEFT JOIN m{k} AS m USING (p, e))"""
+        for k in range(vector_codes.ROUNDS)
+    )
+    return f"""
+        WITH v AS (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, len(embedding) // {vector_codes.PARTS} AS d,
+                   list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS q
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), x AS (
+            SELECT r, p, q[p * d + 1:(p + 1) * d] AS v FROM v, unnest(range({vector_codes.PARTS})) AS t(p)
+        ), b0 AS (SELECT p, r - 1 AS e, v FROM x WHERE r <= {vector_codes.ENTRIES}){rounds}, last AS ({near.format(k=vector_codes.ROUNDS)}
+        ), coded AS (
+            SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(least)::BIGINT AS error FROM last GROUP BY r
+        ), book AS (
+            SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS s FROM b{vector_codes.ROUNDS}
+        )
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT s FROM book) AS codebooks_sha256
+        FROM coded JOIN v USING (r)"""
+
+
+_SPELLING_SQL = f"""
+        WITH RECURSIVE nibbles AS (
+            SELECT list_transform(range(16), lambda i: list_reduce(list_prepend(i, range(4)),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        ), runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS k, run
+            FROM (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{{spelling.LEAST_LENGTH},}}')),
+                                           '{spelling.UPPER}', '{spelling.LOWER}') AS run FROM documents)
+        ), bits AS (
+            SELECT k, run, count(*) AS n, list_transform(range(2 * strlen(k)), lambda i:
+                   (instr('0123456789ABCDEF', substr(hex(encode(k)), (i + 1 - 2 * (i % 2) + 1)::BIGINT, 1)) - 1)::BIGINT) AS b
+            FROM runs GROUP BY k, run
+        ), hashed AS (
+            SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+                   lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1])), 4294967295) AS h FROM bits, nibbles
+        ), counts AS (
+            SELECT w AS word, sum(n)::BIGINT AS n FROM (
+                SELECT n, CASE WHEN h % {spelling.SPOILED} = 0
+                               THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT) ELSE run END AS w
+                FROM hashed)
+            WHERE length(w) >= {spelling.LEAST_LENGTH} GROUP BY w HAVING sum(n) >= {spelling.LEAST_COUNT}
+        ), cut AS (
+            SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM counts, unnest(range(1, length(word) + 1)) AS t(i)
+        ), near AS (
+            SELECT a.word AS word, b.word AS other FROM cut AS a JOIN cut AS b ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word)
+            WHERE a.word <> b.word
+            UNION SELECT cut.word, counts.word FROM cut JOIN counts ON cut.rest = counts.word
+            UNION SELECT counts.word, cut.word FROM cut JOIN counts ON cut.rest = counts.word
+        ), best AS (
+            SELECT near.word AS word, count(*)::BIGINT AS n_near, arg_min(other, (-c.n, encode(other))) AS other, max(c.n) AS other_n
+            FROM near JOIN counts AS c ON c.word = other GROUP BY near.word
+        ), formed AS (
+            SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+                   CASE WHEN other_n >= {spelling.RATIO} * n THEN other END AS form,
+                   CASE WHEN other_n >= {spelling.RATIO} * n THEN other_n END AS form_n
+            FROM counts LEFT JOIN best USING (word)
+        ), ends AS (
+            SELECT word, word AS root, form AS onward FROM formed
+            UNION ALL SELECT ends.word, f.word, f.form FROM ends JOIN formed AS f ON f.word = ends.onward
+        )
+        SELECT formed.word AS word, form, root, n, n_near, form_n
+        FROM formed JOIN ends ON ends.word = formed.word WHERE onward IS NULL"""
+
 ORACLE_SQL = {
+    "op11_spelling": _SPELLING_SQL,
+    "op13_vector_codes": _codes_sql(),
     "op2_repeats": f"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
