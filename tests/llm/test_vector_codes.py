@@ -59,7 +59,7 @@ def test_codes_equal_plain_rounds(spark):
 
 
 def test_wide_and_narrow_parts(spark):
-    rows = some(3, 100, d=16) + [(901, [-3e5] * 16), (902, [8388608.0] * 16), (903, [2e7] * 16)]
+    rows = some(3, 100, d=16) + [(901, [-3e5] * 16), (902, [8388608.0] + [0.5] * 15), (903, [0.5] * 15 + [-1e7])]
     check(spark, rows)
 
 
