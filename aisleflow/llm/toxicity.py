@@ -219,36 +219,6 @@ def features_of(word: str) -> list[str]:
 # --- learning -----------------------------------------------------------------
 
 
-def _distinct_features(restorer: Restorer, text: str | None, known=None) -> set[str]:
-    found = {f for word, _ in restorer.words(text) for f in features_of(word)}
-    return found if known is None else found & known
-
-
-def _feature_counts(costs, known):
-    """How many texts of each label have a feature (of ``known``, if given)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, counts = Restorer(costs.value), Counter()
-        chosen = None if known is None else known.value
-
-        def out():
-            keys = list(counts)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in keys], pa.string()), pa.array([y for _, y in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())],
-                names=["feature", "toxic", "n"],
-            )
-
-        for batch in batches:
-            for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                counts.update((f, label) for f in _distinct_features(restorer, text.as_py(), chosen))
-                if len(counts) >= FLUSH:
-                    yield out()
-                    counts.clear()
-        yield out()
-
-    return run
-
-
 class Inputs(dict):
     """The model's inputs of a text: per chosen feature its share of the words, and two sums.
 
@@ -288,6 +258,51 @@ class Inputs(dict):
         return np.concatenate([slots, [self.size - 2, self.size - 1]]), np.concatenate([np.sqrt(shares), shape])
 
 
+def _counted(per_text):
+    """How many texts of each label have a feature; ``per_text`` gives the distinct features of one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, counts = per_text(), Counter()
+
+        def out():
+            keys = list(counts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f for f, _ in keys], pa.string()), pa.array([y for _, y in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())],
+                names=["feature", "toxic", "n"],
+            )
+
+        for batch in batches:
+            for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+                counts.update((f, label) for f in find(text.as_py()))
+                if len(counts) >= FLUSH:
+                    yield out()
+                    counts.clear()
+        yield out()
+
+    return run
+
+
+def _all_features(costs):
+    """Every feature of a text."""
+
+    def start():
+        restorer = Restorer(costs.value)
+        return lambda text: {f for word, _ in restorer.words(text) for f in features_of(word)}
+
+    return _counted(start)
+
+
+def _known_features(costs, known):
+    """The features of a text that are among ``known``."""
+
+    def start():
+        names = known.value
+        inputs = Inputs(Restorer(costs.value), names)
+        return lambda text: {names[k] for written, _ in inputs.restorer.written(text) for found in inputs[written][1] for k in found}
+
+    return _counted(start)
+
+
 def _inputs(costs, features):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inputs = Inputs(Restorer(costs.value), features.value)
@@ -331,33 +346,47 @@ def _telling(counted: DataFrame, of_label: dict[int, int]) -> list[str]:
     return [r.feature for r in per.withColumn("z", z).filter("z > 4").orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).select("feature").collect()]
 
 
+def _labelled_texts(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
+    """toxic, h (a hash) and text of labelled training documents, equal texts once for each label.
+
+    Which documents those are is found from ids and digests alone; then their texts are fetched by one
+    join. Labels grow with the documents, so they are never broadcast for it.
+    """
+    marks = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    own = docs.filter(training & (F.length("text") > 0)).select("doc_id", F.md5("text").alias("digest"), F.xxhash64("text").alias("h"), "text")
+    chosen = own.drop("text").join(marks, "doc_id").groupBy("toxic", "digest").agg(F.min("doc_id").alias("doc_id"), F.min("h").alias("h"))
+    fetched = own.drop("h").join(chosen.hint("merge"), ["doc_id", "digest"])
+    return materialised(fetched.groupBy("doc_id", "digest", "toxic", "h").agg(F.any_value("text").alias("text")).select("toxic", "h", "text"), "labelled")
+
+
+def _per_label(texts: DataFrame, label: int, run) -> DataFrame:
+    own = texts.filter(F.col("toxic") == label).select("text", "toxic")
+    return own.mapInArrow(run, "feature string, toxic int, n bigint").groupBy("feature", "toxic").agg(F.sum("n").alias("n"))
+
+
 def learn(docs: DataFrame, labels: DataFrame, training: Column) -> tuple:
     """(character costs, chosen features, weights, bias) from the documents for which ``training`` holds."""
     spark = docs.sparkSession
     costs = character_model(docs)
     sent = spark.sparkContext.broadcast(costs)
-    marks = labels.filter(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-    known = docs.filter(training).select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id")).filter(F.length("text") > 0)
-    known = known.select("toxic", "text", F.xxhash64("text").alias("_h"), F.md5("text").alias("_digest"))
-    once = known.groupBy("toxic", "_digest").agg(F.min("_h").alias("h"), F.any_value("text").alias("text"))
-    once = materialised(once.select("toxic", "h", "text"), "labelled")
+    once = _labelled_texts(docs, labels, training)
     of_label = {r.toxic: r["count"] for r in once.groupBy("toxic").count().collect()}
     ones, zeros = of_label.get(1, 0), of_label.get(0, 0)
     share = (ones + 1) / (ones + zeros + 2)
     nothing = costs, [], np.zeros(2), float(np.log(share / (1 - share)))
     if not ones or not zeros:
         return nothing
-    kind = "feature string, toxic int, n bigint"
-    least = max(LEAST_TEXTS, int(LEAST_SHARE * ones))  # so the number of candidates is bounded by the features of 1 / LEAST_SHARE texts
-    positive = materialised(once.filter("toxic = 1").select("text", "toxic").mapInArrow(_feature_counts(sent, None), kind).groupBy("feature", "toxic").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "candidates")
-    candidates = spark.sparkContext.broadcast(frozenset(r.feature for r in positive.select("feature").collect()))
-    negative = once.filter("toxic = 0").select("text", "toxic").mapInArrow(_feature_counts(sent, candidates), kind).groupBy("feature", "toxic").agg(F.sum("n").alias("n"))
+    least = max(LEAST_TEXTS, int(LEAST_SHARE * ones))  # so candidates are at most the features of 1 / LEAST_SHARE texts
+    positive = _per_label(once, 1, _all_features(sent)).filter(F.col("n") >= least)
+    positive = materialised(positive, "candidates")
+    candidates = spark.sparkContext.broadcast(sorted(r.feature for r in positive.select("feature").collect()))
+    negative = _per_label(once, 0, _known_features(sent, candidates))
     chosen = _telling(positive.unionAll(negative), of_label)
     if not chosen:
         return nothing
     names = spark.sparkContext.broadcast(chosen)
     last = once.select("h").orderBy("h").limit(FIT_ROWS).agg(F.max("h")).first()[0]
-    rows = once.filter(F.col("h") <= F.lit(last)).select("text", "toxic", "h").select("text", "toxic").mapInArrow(_inputs(sent, names), "toxic int, slots binary, x binary").collect()
+    rows = once.filter(F.col("h") <= F.lit(last)).select("text", "toxic").mapInArrow(_inputs(sent, names), "toxic int, slots binary, x binary").collect()
     parts = sorted((r.toxic, bytes(r.slots), bytes(r.x)) for r in rows)  # the same order whatever task ends first
     return costs, chosen, *fit([(np.frombuffer(s, np.int64), np.frombuffer(x), y) for y, s, x in parts], len(chosen) + 2)
 
