@@ -175,7 +175,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _linked_in_cell(table: pa.Table) -> pa.Table:
-    """Links between the nodes of two blocks (or within one) that are of different groups."""
+    """Links between the nodes of two blocks (or within one), as many as it takes to connect the groups they link."""
     texts, roots, nodes = table.column("text").cast(pa.binary()).to_pylist(), table.column("root").to_numpy(), table.column("node").to_numpy()
     first = table.column("block").to_numpy() == table.column("i").to_numpy()
     memo = WordHashes()
@@ -195,7 +195,19 @@ def _linked_in_cell(table: pa.Table) -> pa.Table:
     close = (common >= np.float32(SIMILARITY - 1e-4) * union) & (roots[:, None] != roots[None, :])
     same_block = table.column("i")[0] == table.column("j")[0] if len(grams) else True
     close &= np.tri(len(grams), k=-1, dtype=bool) if same_block else first[:, None] & ~first[None, :]
-    found = [(nodes[x], nodes[y]) for x, y in np.argwhere(close).tolist() if similarity(grams[x], grams[y]) >= SIMILARITY]
+    group = {root: root for root in roots.tolist()}  # groups linked so far in this cell
+
+    def find(root: int) -> int:
+        while group[root] != root:
+            group[root] = root = group[group[root]]
+        return root
+
+    found = []
+    for x, y in np.argwhere(close).tolist():
+        a, b = find(int(roots[x])), find(int(roots[y]))
+        if a != b and similarity(grams[x], grams[y]) >= SIMILARITY:  # one link for each two groups is enough
+            group[a] = b
+            found.append((nodes[x], nodes[y]))
     return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
 
@@ -235,7 +247,8 @@ def _more_links(shared: DataFrame, links: DataFrame, texts: DataFrame) -> DataFr
         .withColumn("other", F.explode(others))
         .select("a", "node", "root", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    return cells.groupBy("a", "i", "j").applyInArrow(_linked_in_cell, "a long, b long")
+    # Dealt by all three: the join's own partitioning by the hub would put its cells in one task.
+    return cells.repartition("a", "i", "j").groupBy("a", "i", "j").applyInArrow(_linked_in_cell, "a long, b long")
 
 
 def _links(nodes: DataFrame, buckets: DataFrame, docs: DataFrame) -> DataFrame | None:
