@@ -62,6 +62,24 @@ def _letters() -> np.ndarray:
     return table
 
 
+@lru_cache(1)
+def _marks() -> np.ndarray:
+    table = np.zeros(0x110000, bool)
+    table[:0x40000] = np.fromiter((unicodedata.category(chr(c))[0] == "M" for c in range(0x40000)), bool, 0x40000)
+    return table
+
+
+def _after_a_letter(used: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """``used`` without the marks at the start of a run: a word begins with a letter, marks only go on with one."""
+    mark = mark & used
+    if not mark.any():
+        return used
+    place = np.arange(len(used))
+    gap = np.maximum.accumulate(np.where(used, -1, place))
+    letter = np.maximum.accumulate(np.where(used & ~mark, place, -1))
+    return used & (letter > gap)
+
+
 class Words:
     """Words (runs of letters) of texts laid end to end, and the trigram buckets of their letters."""
 
@@ -70,7 +88,7 @@ class Words:
         sizes = np.array([len(c) for c in codes], np.int64)
         code = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
         script = _letters()[code]
-        letter = script > 0
+        letter = _after_a_letter(script > 0, _marks()[code])
         before = np.concatenate([[False], letter[:-1]]) if len(letter) else letter
         self.at = np.flatnonzero(letter & ~before)
         ends = np.flatnonzero(before & ~letter)  # the space after each text ends its last word
