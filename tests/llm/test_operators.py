@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -99,6 +100,11 @@ def test_languages_of_mixed_and_odd_texts(spark):
     assert languages.keep_identified(frame(spark, odd_rows()), model).columns == DOCS.replace(",", "").split()[::2]
 
 
+def test_marks_alone_are_no_word():
+    w = languages.Words(["\u2764\ufe0f 123", "\ufe0fe\u0301a \u0301", "a\u0301", ""])
+    assert w.text.tolist() == [1, 2] and w.length.tolist() == [3, 2]
+
+
 def test_languages_viterbi_is_the_best_path():
     scores = np.random.default_rng(4).normal(0, 9, (7, 3)).astype(np.float32)
     label = languages._best_path(scores, np.array([0]), np.array([7]))
@@ -217,12 +223,56 @@ def test_hot_hash_is_spread():
         ("<head><title>t</title></head><p hidden>x</p><p style='display: none'>y</p>z<script>a<b</script>", "z"),
         ("<details><summary>s</summary>h</details>", "s"), ("<pre>\n a\n  b</pre>", " a\n  b"), ("&lt;a&gt; &amp;", "<a> &"),
         ("x</p>y", "x\n\ny"), ("a < b <!-- c --> d", "a < b d"), ("<div>" * 20_000 + "deep", "deep"), ("<td>stray</td>", "stray"),
+        ("<table><tr><td><h1>T</h1><p>one</p><ul><li>a<li>b</ul><td>x</table>", "T    x\n\none\n\n- a\n- b"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"),
+        ("<table><tr><td colspan=1000>a<td>b</table>", "a  b"),
+        ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b></div>", "b"),
+        ("<style>.x, #y {display:none} @media print {p {display:none}}</style><p class='w x'>a<p id=y>b<p>c", "c"),
+        ("<style>i.k{visibility:hidden}</style><i class=k>a</i><b class=k>b</b>", "b"),
+        ("<svg><title>t</title><text>in</text><path d='M'/>no<text>two</text></svg>", "in\ntwo"),
+        ("<math><mi>x</mi><annotation>y</annotation><mo>=</mo></math>", "x="),
+        ("a <b title='x > y'>b</b> <c", "a b"), ("x <a href=", "x"), ("<p title='never closed>a</p>b", "a\n\nb"),
     ],
 )
 def test_pages(page, text):
     assert pages.render(page) == text
 
 
+def test_pages_take_linear_time():
+    """Wide tables, padding, unclosed tags and quotes: twice the page is about twice the time."""
+    makers = [
+        lambda n: "<table><tr><td>" + "x" * n + "".join(f"<tr><td>{k}<td>b" for k in range(n // 16)) + "</table>",
+        lambda n: "<table><tr>" + "<td>c" * (n // 8) + "<td>" + "<p>l" * (n // 8) + "</table>",
+        lambda n: "<table>" + ("<tr>" + "<td>a" * 100) * (n // 500) + "</table>",
+        lambda n: "<a " * (n // 3), lambda n: "<a x=\"" * (n // 6), lambda n: "<a x='" * (n // 6) + ">", lambda n: "<!--" * (n // 4),
+        lambda n: "<td rowspan=9 colspan=1000>" * (n // 28), lambda n: "<table>" + "<tr><td rowspan=65534>a" * (n // 23),
+        lambda n: " " * n + "<pre>" + "a \t" * (n // 3),
+    ]
+    for make in makers:
+        took = []
+        for n in (250_000, 1_000_000):
+            began = time.perf_counter()
+            text = pages.render(make(n))
+            took.append(time.perf_counter() - began)
+            assert len(text) < 20 * n
+        assert took[1] < 8 * took[0] + 0.5, make(40)
+
+
+def test_cell_text_is_whole():
+    """Every word of random tables comes out once, whatever is padded."""
+    own = random.Random(8)
+    for _ in range(60):
+        words = [f"w{k}" * own.choice([1, 1, 30]) for k in range(own.randint(1, 40))]
+        page, left = "<table>", list(words)
+        while left:
+            page += "<tr>"
+            for _ in range(own.randint(1, 5)):
+                own_words, left = left[: own.randint(0, 4)], left[own.randint(0, 0) :]
+                left = left[len(own_words) :]
+                page += f"<td rowspan={own.randint(1, 3)} colspan={own.randint(1, 3)}>" + "<p>".join(own_words)
+        assert sorted(pages.render(page + "</table>").split()) == sorted(words)
+
+
 def test_page_rows(spark):
     df = spark.createDataFrame([(1, None, "u"), (1, "<p>a", None), (None, "", "u")], "page_id INT, html STRING, text STRING")
     assert sorted(map(tuple, pages.extract(df).collect()), key=repr) == [(1, "a"), (1, None), (None, "")]
@@ -296,6 +346,32 @@ def test_licences(spark):
     assert [r.licence for r in twice] == ["a"]
 
 
+def test_licences_as_people_keep_them(spark):
+    """Titles and copyright lines of any form, wrapped lines, another name in the BSD clause."""
+    import textwrap
+
+    known = licences.KNOWN
+    body = lambda name: known[name].split("\n\n", 2)[2]
+    wrapped = lambda text: "\n\n".join(textwrap.fill(p, 70) for p in text.split("\n\n"))
+    texts = {
+        "MIT": [
+            "The MIT License (MIT)\n\nCopyright (c) 2015 Jo Doe\n\n" + body("MIT"), "Copyright Jo Doe 2020\n\n" + body("MIT"), body("MIT"),
+            "MIT License\n\nCopyright The Foo Authors\n" + wrapped(body("MIT")), "(c) Jo Doe\nAll rights reserved.\n\n" + body("MIT").upper(),
+            "Copyright 2001 A\nCopyright (C) 2002-2009 B, C\n\n" + wrapped(body("MIT")),
+        ],
+        "BSD-3-Clause": [body("BSD-3-Clause").replace("the copyright holder nor", "Foo, Inc. nor"), "# BSD 3-Clause License\n\nCopyright (c) 2010, Foo\nAll rights reserved.\n\n" + wrapped(body("BSD-3-Clause"))],
+        "BSD-2-Clause": [wrapped(known["BSD-2-Clause"])], "ISC": [wrapped(body("ISC"))], "0BSD": [body("0BSD")], "MIT-0": [wrapped(known["MIT-0"])],
+        "Unlicense": [wrapped(known["Unlicense"])], "Zlib": [body("Zlib"), wrapped(known["Zlib"])], "BSL-1.0": [wrapped(known["BSL-1.0"])],
+    }
+    rows = [(k, text, name) for k, (name, text) in enumerate((n, t) for n, own in texts.items() for t in own)]
+    other = [body("MIT") + "\nAnd more.", body("MIT")[:-20], "MIT License", "", "Copyright 2020 Me", "words " * 40_000, "copyright me\n" * 5000]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(1000 + k, t) for k, t in enumerate(other)] + [(None, None)], "doc_id BIGINT, text STRING")
+    found = {r.doc_id: r.licence for r in licences.scan(df, licences.known_digests(spark)).collect()}
+    assert [(n, found[i]) for i, _, n in rows] == [(n, n) for _, _, n in rows]
+    assert {found[1000 + k] for k in range(len(other))} | {found[None]} == {None}
+    assert licences.scan(df.limit(0), licences.known_digests(spark)).count() == 0
+
+
 # --- 6 weak labels ----------------------------------------------------------------
 
 
@@ -310,6 +386,50 @@ def test_accuracies_are_recovered():
     assert abs(share - 0.8) < 0.05 and np.allclose(g, good, atol=0.03) and np.allclose(b, bad, atol=0.1)
 
 
+def test_votes_equal_plain_counting():
+    """The labellers against regular expressions over random texts."""
+    import regex
+
+    def plain(text):
+        words, lines, size = text.split(), [x for x in text.split("\n") if x], len(text)
+        n, letters = len(words), max(len(regex.findall(r"\p{L}", text)), 1)
+        symbols = len(regex.findall(r"[^\p{L}\p{N}\s.,;:'’\"()-]", text)) / max(size, 1)
+        upper = len(regex.findall(r"\p{Lu}", text)) / letters
+        stuck = sum(a == b for a, b in zip(words, words[1:])) / max(n, 1)
+        repeated = 1 - len(set(lines)) / max(len(lines), 1)
+        ends = len(regex.findall(r"[.;:,](?=\s|\Z)", text)) / max(n, 1)
+        single = sum(len(w) == 1 and not regex.match(r"[\p{L}\p{N}]", w) for w in words) / max(n, 1)
+        mean = size / max(n, 1)
+        pick = lambda bad, good: 0 if bad else 1 if good else None
+        return [
+            pick(symbols > 0.05, symbols < 0.01), pick(upper > 0.4, upper < 0.15), pick(stuck > 0.1, stuck < 0.03) if n >= 20 else None,
+            pick(repeated > 0.3, repeated < 0.1) if len(lines) >= 4 else None, pick(ends == 0 or ends > 0.5, 0.03 <= ends <= 0.3) if n >= 20 else None,
+            pick(single > 0.1, single == 0) if n >= 5 else None, pick(mean < 3 or mean > 14, 4 <= mean <= 9) if n >= 5 else None,
+        ]
+
+    own = random.Random(6)
+    pieces = ["word", "Word", "WORD", "été", "Ω", "12", "#", "###", ".", "end.", "a,b", "日本", "|", "’", "\n", "\t", "x" * 30, "same same"]
+    for _ in range(400):
+        text = "".join(own.choice(pieces) + own.choice([" ", " ", "\n", ""]) for _ in range(own.randint(0, 60)))
+        assert weak_labels.votes_of(text, text.split()) == plain(text), text
+
+
+def test_accuracies_equal_those_of_single_documents():
+    """Expectation-maximisation over pattern counts is that over documents one by one."""
+    own = np.random.default_rng(9)
+    votes = own.integers(-1, 2, (600, 5))
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    grouped = weak_labels.fit_accuracies(patterns, counts.astype(float))
+    single = weak_labels.fit_accuracies(votes, np.ones(len(votes)))
+    assert all(np.allclose(a, b) for a, b in zip(grouped, single))
+
+
+def test_quality_is_the_same_whatever_order_rows_come_in(spark):
+    rows = [(k, text_of(k, 30) + ("." if k % 3 else " ###" * 9)) for k in range(60)]
+    scores = [sorted(map(tuple, weak_labels.quality(frame(spark, r).repartition(n), 40).collect())) for r, n in ((rows, 1), (rows[::-1], 5))]
+    assert scores[0] == scores[1]
+
+
 def test_quality_agrees_with_given_labels(spark):
     sf = "/root/testdata/sf0.01"
     out = QUERIES["op6_quality"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
