@@ -84,7 +84,7 @@ def _stream(spark, d) -> RetailStream:
         star.location_events(spark, d).withColumn("createdStamp", whole_seconds).write.parquet(events)
         dims = load_dimensions(star.racks(spark, d), star.category(spark, d))
         stream = RetailStream(
-            spark, root, dims, events_path=events, indicators=star.rack_indicators(spark, d)
+            spark, root, dims, events_path=events, indicators=star.rack_indicators(spark, d), monthly=True
         )
         lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=2)
         stream.start(lines, available_now=True).awaitTermination()
@@ -168,7 +168,24 @@ def stream_new_repeat_daily(spark, d):
 
 @query
 def stream_monthly_repeat_visitors(spark, d):
-    return visitors.repeat_by_count(_stream(spark, d).visits_by_month(_last_batch(_stream(spark, d))))
+    """Users seen more than once in a month, from the table the stream rewrites by month."""
+    return visitors.repeat_by_count(_stream(spark, d).monthly_visits())
+
+
+@query
+def stream_monthly_new_visitors(spark, d):
+    return visitors.new_by_count(_stream(spark, d).monthly_visits())
+
+
+@query
+def stream_legacy(spark, d):
+    """Visits from messages of the oldest generation, in two batches."""
+    lines = star.legacy_lines(spark, d)
+    part = lambda n: lines.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
+    stream = RetailStream(spark, work_folder(spark, "oldest"), _dims(spark, d), generation=messages.LEGACY)
+    stream.process(part(0), 0)
+    stream.process(part(1), 1)
+    return stream.product("dailyVisit")
 
 
 @query

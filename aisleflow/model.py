@@ -58,20 +58,12 @@ LEGACY_FIELDS = (
 # share one struct.
 LEGACY_OTHER_TIME = "checkOuttime TIMESTAMP_NTZ"
 
-# State logs: what a batch adds, merged with the batch's facts by the products.
+# State logs: what a batch adds, merged with what earlier batches added by the products.
+# All facts share one log; its rows say by ``table`` what they are.
 STATE_TABLES = {
-    "dailyCategoryFootFallTemp":
-        "orgId INT, storeId INT, time TIMESTAMP_NTZ, categoryId INT, footfall BIGINT",
-    "dailyCategorySale":
-        "orgId INT, storeId INT, time TIMESTAMP_NTZ, categoryId INT, sale BIGINT, saleAmount DOUBLE",
-    "userVisitType":
-        "orgId INT, storeId INT, userId STRING, time TIMESTAMP_NTZ, visitType STRING",
-    "converted_static":
-        "orgId INT, storeId INT, userId STRING, categoryId INT, time TIMESTAMP_NTZ",
-    "userVisit":
-        "orgId INT, storeId INT, userId STRING, time TIMESTAMP_NTZ, visitCount BIGINT",
-    "userFirstVisit":
-        "orgId INT, storeId INT, userId STRING, firstTime TIMESTAMP_NTZ",
+    "facts":
+        "orgId INT, storeId INT, userId STRING, categoryId INT, time TIMESTAMP_NTZ, "
+        "n BIGINT, amount DOUBLE, firstTime TIMESTAMP_NTZ",
     "userIndicatorPurchases":
         "userId STRING, time TIMESTAMP_NTZ, purchasedCount BIGINT",
     "userProfile":
@@ -80,6 +72,15 @@ STATE_TABLES = {
         "orderTimestamp TIMESTAMP_NTZ, categoryId INT, day INT, month INT, year INT",
 }
 
+# The logs of single facts: which rows of the fact log they are, and their columns.
+FACT_VIEWS = {
+    "dailyCategoryFootFallTemp": ("footfall", ["orgId", "storeId", "time", "categoryId", "n AS footfall"]),
+    "dailyCategorySale": ("sale", ["orgId", "storeId", "time", "categoryId", "n AS sale", "amount AS saleAmount"]),
+    "converted_static": ("buyer", ["orgId", "storeId", "userId", "categoryId", "time"]),
+    "userVisit": ("visit", ["orgId", "storeId", "userId", "time", "n AS visitCount"]),
+    "userFirstVisit": ("visit", ["orgId", "storeId", "userId", "firstTime"]),
+}
+
 PRODUCT_TABLES = {
     "dailyCategoryFootfall":
         "orgId INT, storeId INT, day INT, month INT, year INT, time TIMESTAMP_NTZ, categoryId INT, footfallCount BIGINT",
@@ -96,6 +97,9 @@ PRODUCT_TABLES = {
     "newRepeatDaily":
         "orgId INT, storeId INT, time TIMESTAMP_NTZ, userId STRING, VisitCount BIGINT, New INT, Repeat INT",
 }
+MONTHLY_VISIT = "orgId INT, storeId INT, month INT, year INT, userId STRING, VisitCount BIGINT"
+# All products are one table; each row has the columns of its own.
+PRODUCT_COLUMNS = ", ".join(dict.fromkeys(c for fields in PRODUCT_TABLES.values() for c in fields.split(", ")))
 
 ID_COLUMNS = ["orgId", "storeId", "rackId", "categoryId", "orderId", "productId", "orderItemId"]
 

@@ -210,11 +210,16 @@ _SELECTS = {
                                "CASE WHEN VisitCount = 1 THEN 0 ELSE 1 END AS Repeat FROM "
                                f"(SELECT orgId, storeId, {DAY} AS time, userId, count(*) AS VisitCount "
                                "FROM entries GROUP BY ALL)",
-    "stream_monthly_repeat_visitors": "SELECT * FROM (SELECT orgId, storeId, CAST(month(createdStamp) AS INTEGER) AS month, "
-                                      "CAST(year(createdStamp) AS INTEGER) AS year, userId, count(*) AS VisitCount "
-                                      "FROM entries GROUP BY ALL) WHERE VisitCount > 1",
-    "stream_footfall_30s": "SELECT rackId, time_bucket(INTERVAL 30 SECOND, createdStamp) AS bucket, count(*) AS footfall "
-                           "FROM loc GROUP BY ALL HAVING time_bucket(INTERVAL 30 SECOND, createdStamp) + INTERVAL 90 SECOND "
+    **{
+        f"stream_monthly_{name}_visitors": "SELECT * FROM (SELECT orgId, storeId, CAST(month(createdStamp) AS INTEGER) AS month, "
+                                           "CAST(year(createdStamp) AS INTEGER) AS year, userId, count(*) AS VisitCount "
+                                           f"FROM entries GROUP BY ALL) WHERE VisitCount {test}"
+        for name, test in (("repeat", "> 1"), ("new", "= 1"))
+    },
+    "stream_legacy": f"SELECT 'org1' AS orgId, 's' || storeId AS storeId, {DAY} AS time, 'u' || userId AS userId, "
+                     "count(*) AS VisitCount FROM loc GROUP BY ALL",
+    "stream_footfall_30s": "SELECT * FROM (SELECT rackId, time_bucket(INTERVAL 30 SECOND, createdStamp) AS bucket, "
+                           "count(*) AS footfall FROM loc GROUP BY rackId, bucket) WHERE bucket + INTERVAL 90 SECOND "
                            "<= (SELECT date_trunc('second', max(createdStamp)) FROM loc)",
     "for_each_batch": f"SELECT orgId, storeId, {DAY} AS time, userId, count(*) AS VisitCount FROM entries GROUP BY ALL",
     "stream_daily_category_footfall": _calendar(_footfall("entries"), "footfallCount"),

@@ -36,11 +36,15 @@ JSON_OPTIONS = {
 
 @dataclass(frozen=True)
 class Generation:
-    """One generation of messages: the payload fields of its two event types, and whether ids are text."""
+    """One generation of messages: the payload fields of its two event types, and whether ids are text.
+
+    The oldest one has an envelope and names of its own; they are read into those of the text ids.
+    """
 
     location: str
     checkout: str
     text_ids: bool = False
+    oldest: bool = False
 
     def fields(self, event_type: str) -> str:
         return self.location if event_type == LOCATION_EVENT else self.checkout
@@ -48,7 +52,8 @@ class Generation:
 
 CURRENT = Generation(LOCATION_FIELDS, CHECKOUT_FIELDS)
 STRING_IDS = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS, text_ids=True)
-GENERATIONS = {"current": CURRENT, "string-ids": STRING_IDS}
+LEGACY = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS, text_ids=True, oldest=True)
+GENERATIONS = {"current": CURRENT, "string-ids": STRING_IDS, "legacy": LEGACY}
 
 # Column of a parsed line that holds the payload of an event type.
 PAYLOAD = {LOCATION_EVENT: "location", CHECKOUT_EVENT: "checkout"}
@@ -94,14 +99,17 @@ def parse_messages(lines: DataFrame, generation: Generation = CURRENT) -> DataFr
     filled = lines.filter(F.trim("value") != "")
     head = F.from_json("value", f"eventType STRING, {CORRUPT} STRING", JSON_OPTIONS).alias("head")
     typed = filled.select("value", _computed_once(head)).select("value", "head.*")
-    payloads = [
-        F.when(
-            F.col("eventType") == event_type,
-            F.from_json("value", _envelope(generation.fields(event_type)), JSON_OPTIONS),
-        ).alias(column)
-        for event_type, column in PAYLOAD.items()
-    ]
-    parsed = typed.select("value", "eventType", CORRUPT, _computed_once(*payloads))
+    if generation.oldest:
+        parsed = _oldest_payloads(typed)
+    else:
+        payloads = [
+            F.when(
+                F.col("eventType") == event_type,
+                F.from_json("value", _envelope(generation.fields(event_type)), JSON_OPTIONS),
+            ).alias(column)
+            for event_type, column in PAYLOAD.items()
+        ]
+        parsed = typed.select("value", "eventType", CORRUPT, _computed_once(*payloads))
     return parsed.select(
         "value",
         "eventType",
@@ -110,6 +118,44 @@ def parse_messages(lines: DataFrame, generation: Generation = CURRENT) -> DataFr
     )
 
 
+def _oldest_payloads(typed: DataFrame) -> DataFrame:
+    """Payloads of the oldest generation under the names of the text-id one.
+
+    Its location events all mark an entry, its cart becomes the order items.
+    """
+    own = F.from_json("value", f"Event STRUCT<{LEGACY_FIELDS}>, {CORRUPT} STRING", JSON_OPTIONS).alias("m")
+    other = F.from_json("value", f"Event STRUCT<{LEGACY_OTHER_TIME}>", JSON_OPTIONS)["Event"]["checkOuttime"].alias("late")
+    read = typed.select("value", "eventType", CORRUPT, _computed_once(own, other))
+    m = F.col("m.Event")
+    given = {
+        LOCATION_EVENT: {"locEventType": F.lit("0"), "createdStamp": m["time"]},
+        CHECKOUT_EVENT: {
+            "createdStamp": F.coalesce(m["checkOutTime"], F.col("late")),
+            "orderItems": F.transform(
+                m["cart"],
+                lambda i: _named(
+                    STRING_CHECKOUT_FIELDS, "orderItems",
+                    {"productId": i["productId"], "categoryId": i["categoryId"], "quantity": i["quantity"], "unitPrice": i["price"]},
+                ),
+            ),
+        },
+    }
+    has = {n: m[n] for n in _names(LEGACY_FIELDS)}
+    columns = []
+    for event_type, column in PAYLOAD.items():
+        fields = LEGACY.fields(event_type)
+        event = F.when(m.isNotNull(), _named(fields, None, {**has, **given[event_type]}))
+        payload = F.struct(event.alias("event"), F.col(f"m.{CORRUPT}").alias(CORRUPT))
+        columns.append(F.when(F.col("eventType") == event_type, payload).alias(column))
+    return read.select("value", "eventType", CORRUPT, *columns)
+
+
+def _named(fields: str, inside: str | None, values: dict[str, Column]) -> Column:
+    """A struct of the fields (or of the items of one of them), from the values there are; the others are null."""
+    kind = _schema(fields) if inside is None else _schema(fields)[inside].dataType.elementType
+    return F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind])
+
+
 def _problem() -> Column:
     problem = F.when(F.col(CORRUPT).isNotNull(), F.lit("unreadable")).when(
         F.col("eventType").isNull(), F.lit("no event type")

@@ -1,8 +1,8 @@
 """The retail stream: messages in, daily products out, one micro-batch at a time.
 
 A batch archives its lines, parses them once, writes what it adds to the state
-logs under its batch id, and rewrites the products of the days it touched from
-the logs. Log folders are overwritten by a replay, and products read the logs up
+logs under its batch id in one job, and rewrites the products of the days it touched from
+the logs in another. Log folders are overwritten by a replay, and products read the logs up
 to the batch, so each event counts once however often the batch is run. A late
 event changes the products of its own day.
 """
@@ -12,16 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from datetime import date
 from functools import cached_property
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aisleflow.functions.dates import with_calendar
-from aisleflow.model import EVENTS_TABLE, PRODUCT_TABLES, STORE_USER, with_text_ids
-from aisleflow.operators.aggregates import daily_category_totals, visits_per_user
-from aisleflow.plans import allergens, conversion, footfall, sales, visitors
+from aisleflow.model import EVENTS_TABLE, FACT_VIEWS, MONTHLY_VISIT, PRODUCT_COLUMNS, PRODUCT_TABLES, STORE_USER, with_text_ids
+from aisleflow.plans import allergens, sales, visitors
+from aisleflow.plans.facts import batch_facts
+from aisleflow.plans.products import daily_products
 from aisleflow.sources.events import (
     CURRENT,
     Generation,
@@ -33,12 +34,11 @@ from aisleflow.sources.events import (
     to_current_location,
 )
 from aisleflow.sources.tables import overwrite_table, read_table
-from aisleflow.streaming.state import StateLog, last_compacted, mark_compacted, only_days
+from aisleflow.streaming.state import FactView, StateLog, fact_rows, last_compacted, mark_compacted, only_days
 
 TRIGGER = "3 seconds"
 
-# The logs products are computed from.
-LOGS = ["dailyCategoryFootFallTemp", "dailyCategorySale", "converted_static", "userVisit", "userFirstVisit"]
+INDICATOR_LOGS = ["userProfile", "userIndicatorPurchases"]
 
 
 def run_together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
@@ -49,6 +49,10 @@ def run_together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
             running.result()
 
 
+def _names(fields: str) -> list[str]:
+    return [part.split()[0] for part in fields.split(", ")]
+
+
 def for_each_batch(
     lines: DataFrame, run, checkpoint: str, available_now: bool = False, every: str = TRIGGER
 ) -> StreamingQuery:
@@ -88,6 +92,7 @@ class RetailStream:
     allergy notifications on. ``state`` names the folder of the state logs when
     it is not the one below ``root``, as after a compaction. ``generation`` is
     that of the messages; where its ids are text they stay text in every table.
+    ``monthly`` adds visit counts per user and month; a batch rewrites the months it touched.
     """
 
     spark: SparkSession
@@ -99,6 +104,7 @@ class RetailStream:
     indicators: DataFrame | None = None
     state: str | None = None
     generation: Generation = CURRENT
+    monthly: bool = False
 
     @property
     def state_folder(self) -> str:
@@ -118,13 +124,15 @@ class RetailStream:
     def _typed(self, fields: str) -> str:
         return with_text_ids(fields) if self.generation.text_ids else fields
 
-    def log(self, table: str) -> StateLog:
-        return StateLog(self.spark, self.state_folder, table, self.generation.text_ids, self.compacted_to)
+    def log(self, table: str) -> StateLog | FactView:
+        own = "facts" if table in FACT_VIEWS else table
+        log = StateLog(self.spark, self.state_folder, own, self.generation.text_ids, self.compacted_to)
+        return FactView(log, table) if table in FACT_VIEWS else log
 
     def product(self, name: str) -> DataFrame:
         """A product's rows; none if no batch has written any yet."""
-        fields = self._typed(PRODUCT_TABLES[name])
-        return read_table(self.spark, f"{self.root}/product/{name}", f"{fields}, event_date DATE").drop("event_date")
+        rows = read_table(self.spark, f"{self.root}/product", f"{self._typed(PRODUCT_COLUMNS)}, product STRING, event_date DATE")
+        return rows.filter(F.col("product") == name).select(*_names(PRODUCT_TABLES[name]))
 
     def start(self, lines: DataFrame, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
         return for_each_batch(lines, self.process, f"{self.root}/checkpoint", available_now, every)
@@ -138,14 +146,20 @@ class RetailStream:
             stamp = F.coalesce("location.createdStamp", "checkout.createdStamp")
             usable = parsed.filter(F.col("problem").isNull() & stamp.isNotNull())
             location, checkouts = self._events(parsed)
-            days = self._touched_days(usable.select(F.to_date(stamp).alias("event_date")), location, batch_id)
+            touched = self._touched_days(usable.select(F.to_date(stamp).alias("event_date")), location, batch_id)
             items = sales.order_items(checkouts)
+            days: list[date] = []  # at most the calendar's days
             run_together(self.spark, [
+                lambda: days.extend(r.event_date for r in touched.collect()),
                 lambda: self._write_dead_letters(parsed, batch_id),
-                *self._fact_writes(location, items, batch_id),
+                lambda: self.log("facts").write_batch(batch_facts(location, items, self.own_dims), batch_id),
+                *self._indicator_writes(items, batch_id),
+            ])
+            run_together(self.spark, [
+                lambda: self._write_products(sorted(days), batch_id),
+                *([lambda: self._write_months(days, batch_id)] if self.monthly and days else []),
+                *self._notification_writes(items, batch_id),
             ])
-            run_together(self.spark, [*self._product_writes(days, batch_id), *self._notification_writes(items, batch_id)])
-            days.unpersist()
         finally:
             parsed.unpersist()
 
@@ -159,18 +173,14 @@ class RetailStream:
     def _write_dead_letters(self, parsed: DataFrame, batch_id: int) -> None:
         dead_letter(parsed).write.mode("overwrite").parquet(f"{self.root}/dead_letter/batch_id={batch_id}")
 
-    def _fact_writes(self, location: DataFrame, items: DataFrame, batch_id: int) -> list[Callable[[], None]]:
-        facts = {
-            "dailyCategoryFootFallTemp": footfall.footfall_facts(location, self.own_dims),
-            "dailyCategorySale": sales.sale_facts(items, self.own_dims),
-            "converted_static": conversion.converted_facts(items, self.own_dims),
-            "userVisit": visitors.visit_facts(location),
-            "userFirstVisit": visitors.user_first_visit(location),
+    def _indicator_writes(self, items: DataFrame, batch_id: int) -> list[Callable[[], None]]:
+        if self.indicators is None:
+            return []
+        logs = {
+            "userProfile": allergens.user_profile(items, self.own_dims, self.legacy),
+            "userIndicatorPurchases": allergens.indicator_facts(items, self.own_dims, self._own_indicators()),
         }
-        if self.indicators is not None:
-            facts["userProfile"] = allergens.user_profile(items, self.own_dims, self.legacy)
-            facts["userIndicatorPurchases"] = allergens.indicator_facts(items, self.own_dims, self._own_indicators())
-        return [lambda t=t, df=df: self.log(t).write_batch(df, batch_id) for t, df in facts.items()]
+        return [lambda t=t, df=df: self.log(t).write_batch(df, batch_id) for t, df in logs.items()]
 
     def _own_indicators(self) -> DataFrame:
         kind = "string" if self.generation.text_ids else "bigint"
@@ -181,50 +191,48 @@ class RetailStream:
         first = visitors.user_first_visit(location).withColumnRenamed("firstTime", "new_first")
         before = self.log("userFirstVisit").as_of(batch_id - 1).groupBy(*STORE_USER).agg(F.min("firstTime").alias("old_first"))
         moved = first.join(before, STORE_USER).filter(F.to_date("new_first") < F.to_date("old_first"))
-        return own.unionByName(moved.select(F.to_date("old_first").alias("event_date"))).distinct().persist()
+        return own.unionByName(moved.select(F.to_date("old_first").alias("event_date"))).distinct()
 
-    def _first_visits(self, visits: DataFrame, batch_id: int) -> DataFrame:
-        """First visits of the visitors of some days."""
-        seen = self.log("userFirstVisit").as_of(batch_id).select(*STORE_USER, F.col("firstTime").alias("createdStamp"))
+    def _visits_seen(self, facts: DataFrame) -> DataFrame:
+        """Times of visits that may be a user's first, by this stream's facts and the events table."""
+        seen = fact_rows(facts, "userFirstVisit").drop("event_date")
         if self.events_path:
             events = read_table(self.spark, self.events_path, self._typed(EVENTS_TABLE))
             events = visitors.entry_events(events) if self.entry_only else events
-            seen = seen.unionByName(events.select(*STORE_USER, "createdStamp"))
-        return visitors.first_visits_of(visits, seen)
-
-    def _product_writes(self, days: DataFrame, batch_id: int) -> list[Callable[[], None]]:
-        """One job per product; each reads its own logs, so they are also planned side by side."""
-
-        def log(table: str) -> DataFrame:
-            return only_days(self.log(table).as_of(batch_id), days).drop("event_date")
-
-        products = {
-            "dailyCategoryFootfall": lambda: with_calendar(
-                daily_category_totals(log("dailyCategoryFootFallTemp"), footfallCount="footfall"), self.legacy
-            ),
-            "dailyCategorySaleWithCountAgg": lambda: with_calendar(
-                daily_category_totals(log("dailyCategorySale"), saleAmountAgg="saleAmount", saleCountAgg="sale"),
-                self.legacy,
-            ),
-            "dailyVisitors": lambda: self._daily_visitors(log("userVisit"), batch_id),
-            "dailyVisitorsCategoryWise": lambda: conversion.visitors_category_wise(
-                log("dailyCategoryFootFallTemp"), log("converted_static"), self.legacy
-            ),
-            "dailyVisit": lambda: visits_per_user(log("userVisit"), ["orgId", "storeId", "time", "userId"]),
-            "newRepeatDaily": lambda: visitors.with_new_and_repeat(
-                visits_per_user(log("userVisit"), ["orgId", "storeId", "time", "userId"])
-            ),
-        }
-        return [lambda n=n, make=make: self._write_product(n, make()) for n, make in products.items()]
-
-    def _daily_visitors(self, visits: DataFrame, batch_id: int) -> DataFrame:
-        typed = visitors.typed_days(visits, self._first_visits(visits, batch_id), self.legacy)
-        return visitors.daily_visitors_of(typed, legacy=self.legacy)
-
-    def _write_product(self, name: str, rows: DataFrame) -> None:
+            seen = seen.unionByName(events.select(*STORE_USER, F.col("createdStamp").alias("firstTime")))
+        return seen
+
+    def _write_products(self, days: list[date], batch_id: int) -> None:
+        """All products of the touched days, by one job from one reading of the logs."""
+        if not days:
+            return
+        every = self.log("facts").as_of(batch_id)
+        rows = daily_products(only_days(every, days), self._visits_seen(every), self.legacy)
         dated = rows.withColumn("event_date", F.to_date("time"))
-        balanced = dated.hint("rebalance", "event_date")
-        overwrite_table(balanced, f"{self.root}/product/{name}", ["event_date"])
+        names = [c for c in [*_names(PRODUCT_COLUMNS), "product", "event_date"] if c in dated.columns]
+        # One file per day holds all products, by product, so that a reader skips the row groups of others.
+        laid = dated.select(*names).hint("rebalance", "event_date").sortWithinPartitions("event_date", "product")
+        overwrite_table(laid, f"{self.root}/product", ["event_date"])
+
+    def _write_months(self, days: list[date], batch_id: int) -> None:
+        """Visit counts per store, user and month of the months the days are in."""
+        visits = self.log("userVisit").as_of(batch_id)
+        months = sorted({d.replace(day=1) for d in days})
+        month = F.trunc("event_date", "month")
+        own = visits.filter(month.isin(months)).withColumn("event_month", month).drop("event_date")
+        counts = visitors.counted_by_grain(own, "month", self.legacy)
+        dated = counts.withColumn("event_month", F.make_date(*self._month_start()))
+        overwrite_table(dated.hint("rebalance", "event_month"), f"{self.root}/monthlyVisit", ["event_month"])
+
+    def monthly_visits(self) -> DataFrame:
+        """Visit counts per store, user and month, as the batches so far have them."""
+        fields = self._typed(MONTHLY_VISIT)
+        return read_table(self.spark, f"{self.root}/monthlyVisit", f"{fields}, event_month DATE").drop("event_month")
+
+    def _month_start(self) -> tuple[Column, Column, Column]:
+        """The day a monthly row is filed under, from its year and month."""
+        back = 1900 if self.legacy else 0
+        return F.col("year") + F.lit(back), F.col("month") + F.lit(1 if self.legacy else 0), F.lit(1)
 
     def _notification_writes(self, items: DataFrame, batch_id: int) -> list[Callable[[], None]]:
         """Notifications for the users who bought something in this batch."""
@@ -245,16 +253,11 @@ class RetailStream:
 
     def compact(self, batch_id: int, state: str) -> RetailStream:
         """This stream with its logs up to the batch merged into a new state folder."""
-        tables = LOGS if self.indicators is None else [*LOGS, "userProfile", "userIndicatorPurchases"]
+        tables = ["facts"] if self.indicators is None else ["facts", *INDICATOR_LOGS]
         run_together(self.spark, [lambda t=t: self.log(t).compact(batch_id, state) for t in tables])
         mark_compacted(self.spark, state, batch_id)
         return replace(self, state=state)
 
-    def visits_by_month(self, batch_id: int) -> DataFrame:
-        """Visit counts per store, month and user as of a batch, for monthly new and repeat visitors."""
-        log = self.log("userVisit").as_of(batch_id).drop("event_date")
-        return visitors.counted_by_grain(log, "month", self.legacy)
-
 
 def footfall_30s_counts(location: DataFrame, late_by: str = "1 minute") -> DataFrame:
     """Footfall per rack and 30-second bucket on a stream, closed once ``late_by`` has passed."""

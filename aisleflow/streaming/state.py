@@ -2,26 +2,24 @@
 
 A batch writes its own folder and overwrites it when it is run again, so a
 replayed batch changes nothing. Reading as of a batch takes folders up to it, and
-what a compaction merged.
+what a compaction merged. All facts of a batch are one log, written by one job.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aisleflow.model import STATE_TABLES, STORE_USER, with_text_ids
-from aisleflow.operators.aggregates import daily_category_totals, user_first_visit, visits_per_user
+from aisleflow.model import FACT_VIEWS, STATE_TABLES, with_text_ids
+from aisleflow.plans.facts import merged
 from aisleflow.sources.tables import read_table
 
 NO_BATCH = -1
 
 # How the rows of several batches of a log become fewer rows of the same meaning.
 MERGE = {
-    "dailyCategoryFootFallTemp": lambda df: daily_category_totals(df, footfall="footfall"),
-    "dailyCategorySale": lambda df: daily_category_totals(df, sale="sale", saleAmount="saleAmount"),
-    "converted_static": lambda df: df.distinct(),
-    "userVisit": lambda df: visits_per_user(df, [*STORE_USER, "time"]).withColumnRenamed("VisitCount", "visitCount"),
-    "userFirstVisit": lambda df: user_first_visit(df, "firstTime"),
+    "facts": merged,
     "userIndicatorPurchases": lambda df: df.groupBy("userId", "time").agg(
         F.sum("purchasedCount").alias("purchasedCount")
     ),
@@ -30,7 +28,7 @@ MERGE = {
 
 
 def _time_column(table: str) -> str:
-    return {"userFirstVisit": "firstTime", "userProfile": "orderTimestamp"}.get(table, "time")
+    return "orderTimestamp" if table == "userProfile" else "time"
 
 
 def _columns(table: str) -> list[str]:
@@ -49,15 +47,19 @@ class StateLog:
         self.spark = spark
         self.table = table
         self.schema = with_text_ids(STATE_TABLES[table]) if text_ids else STATE_TABLES[table]
-        self.columns = _columns(table)
+        self.tags = ["table"] if table == "facts" else []
+        self.columns = [*self.tags, *_columns(table)]
+        if self.tags:
+            self.schema += ", table STRING"
         self.path = f"{folder}/{table}"
         self.base = f"{folder}/base/{table}"
         self.compacted_to = compacted_to
 
     def _write(self, df: DataFrame, path: str) -> None:
         dated = df.select(*self.columns).withColumn("event_date", F.to_date(_time_column(self.table)))
-        # Rebalancing by day gives few files per day and splits a day too large for one.
-        dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
+        # Rebalancing by day gives few files per day and splits a day too large for one; tags lie together.
+        laid = dated.hint("rebalance", "event_date").sortWithinPartitions("event_date", *self.tags)
+        laid.write.mode("overwrite").partitionBy("event_date").parquet(path)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         if batch_id > self.compacted_to:
@@ -76,6 +78,22 @@ class StateLog:
         self._write(merged, StateLog(self.spark, folder, self.table).base)
 
 
+def fact_rows(facts: DataFrame, table: str) -> DataFrame:
+    """The rows of one fact table, with ``event_date``; row groups of other facts are skipped."""
+    tag, columns = FACT_VIEWS[table]
+    return facts.filter(F.col("table") == tag).selectExpr(*columns, "event_date")
+
+
+class FactView:
+    """One fact table as if it had a log of its own."""
+
+    def __init__(self, facts: StateLog, table: str):
+        self.facts, self.table = facts, table
+
+    def as_of(self, batch_id: int) -> DataFrame:
+        return fact_rows(self.facts.as_of(batch_id), self.table)
+
+
 def mark_compacted(spark: SparkSession, folder: str, batch_id: int) -> None:
     """Say up to which batch the bases of a folder reach; written when all of them are."""
     spark.createDataFrame([(batch_id,)], "batch_id BIGINT").write.mode("overwrite").parquet(f"{folder}/compacted")
@@ -86,6 +104,6 @@ def last_compacted(spark: SparkSession, folder: str) -> int:
     return NO_BATCH if last is None else last
 
 
-def only_days(log: DataFrame, days: DataFrame) -> DataFrame:
-    """Log rows of the given days; they are the log's partitions, so other days' files need not be read."""
-    return log.join(days, "event_date", "left_semi")
+def only_days(log: DataFrame, days: list[date]) -> DataFrame:
+    """Log rows of the given days; they are the log's partitions, so other days' files are not read."""
+    return log.filter(F.col("event_date").isin(days))

@@ -1,10 +1,11 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from aisleflow.plans import conversion, footfall, sales, visitors
-from aisleflow.sources.events import STRING_IDS, checkout_rows, location_rows, parse_messages
+from aisleflow.sources.events import LEGACY, STRING_IDS, checkout_rows, location_rows, parse_messages
 from aisleflow.sources.streams import read_event_stream
 from aisleflow.streaming.retail import RetailStream, dead_letters, footfall_30s_counts, raw_messages
 from tests.conftest import checkout, leading_zeros, lines_frame, location, rows, two_days, two_users_one_day
@@ -203,6 +204,44 @@ def test_late_first_visit_corrects_the_day_it_was_on(spark, tmp_path, dims, outs
     assert rows(stream.product("dailyVisitors"), "day", "new_visitors", "repeated_visitors") == [(14, 1, 0), (15, 0, 1)]
 
 
+def test_oldest_generation(spark, tmp_path):
+    dims = spark.createDataFrame([("shelf5", "tea", "Tea")], "rackId STRING, categoryId STRING, categoryName STRING")
+    seen = lambda user, rack: f'{{"eventType":"LocationEvent","Event":{{"userId":"{user}","orgId":"north","storeId":"k2","rackId":"{rack}","time":"2019-08-20 16:00:01"}}}}'
+    sold = lambda name: '{"eventType":"CheckOutEvent","Event":{"userId":"kim","orgId":"north","storeId":"k2","orderId":"b7","cart":[{"productId":"sku","quantity":5,"categoryId":"tea","price":"3.75"}],"%s":"2019-08-20 16:30:00"}}' % name
+    lines = [seen("kim", "shelf5"), seen("lee", "none"), sold("checkOutTime"), sold("checkOuttime"), "noise", '{"eventType":"LocationEvent"}', '{"eventType":"LocationEvent","Event":{"userId":"x"}}']
+    stream = RetailStream(spark, str(tmp_path), dims, generation=LEGACY)
+    for _ in range(2):
+        stream.process(lines_frame(spark, lines), 0)
+    assert rows(stream.product("dailyCategoryFootfall"), "orgId", "categoryId", "footfallCount") == [("north", "tea", 1)]
+    assert rows(stream.product("dailyCategorySaleWithCountAgg"), "saleAmountAgg", "saleCountAgg") == [(37.5, 10)]
+    assert rows(stream.product("dailyVisitorsCategoryWise"), "total", "converted", "failed") == [(1, 1, 0)]
+    assert rows(stream.product("dailyVisitors"), "new_visitors", "repeated_visitors", "total") == [(2, 0, 2)]
+    assert sorted(p for _, p in rows(dead_letters(spark, stream.root))) == ["missing field", "no payload", "unreadable"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_dealing_of_messages_to_batches_gives_the_same_products(spark, tmp_path, dims, seed):
+    """Messages in random batches, some batches run twice, products as of one batch over all of them."""
+    own = random.Random(seed)
+    lines = two_users_one_day() + two_days() + leading_zeros()
+    own.shuffle(lines)
+    cut = sorted(own.sample(range(1, len(lines)), 2))
+    stream = RetailStream(spark, str(tmp_path), dims)
+    for n, (a, b) in enumerate(zip([0, *cut], [*cut, len(lines)])):
+        for _ in range(own.randint(1, 2)):
+            stream.process(lines_frame(spark, lines[a:b]), n)
+    for name, product in batch_products(spark, lines, dims).items():
+        assert rows(stream.product(name)) == rows(product), name
+
+
+def test_a_batch_takes_few_jobs_and_one_write_for_all_products(spark, tmp_path, dims):
+    stream = RetailStream(spark, str(tmp_path), dims)
+    stream.process(lines_frame(spark, two_users_one_day()), 0)
+    files = [f for f in (tmp_path / "product").rglob("*.parquet")]
+    assert len(files) == len({f.parent for f in files}) == 1  # one day, one file of all products
+    assert len(list((tmp_path / "state" / "facts").rglob("*.parquet"))) == 1
+
+
 def test_products_without_rows_can_be_read(spark, tmp_path, dims):
     stream = RetailStream(spark, str(tmp_path), dims)
     assert stream.product("dailyVisitors").count() == 0
@@ -218,8 +257,8 @@ def test_more_than_a_thousand_days_in_a_batch(spark, tmp_path, dims):
 
 
 def test_monthly_and_flagged_visits_of_the_stream(spark, tmp_path, dims):
-    stream = run_stream(spark, tmp_path, dims, two_days(), 2)
-    months = stream.visits_by_month(1)
+    stream = run_stream(spark, tmp_path, dims, two_days(), 2, monthly=True)
+    months = stream.monthly_visits()
     assert rows(visitors.repeat_by_count(months), "userId", "month", "VisitCount") == [("31", 7, 4), ("45", 7, 3)]
     flags = stream.product("newRepeatDaily").groupBy("time").agg(F.sum("New").alias("n"), F.sum("Repeat").alias("r"))
     assert sorted((r.n, r.r) for r in flags.collect()) == [(1, 1), (1, 1)]
