@@ -510,13 +510,13 @@ def profiled_users(spark, d):
 @query
 def allergen_products(spark, d):
     purchases = star.checkout_items(spark, d).select("userId", "orderId", "productId", "quantity")
-    return joins.allergen_products(purchases, star.allergen_indicators(spark, d), star.hot_products(spark, d))
+    return joins.allergen_products(purchases, star.allergen_indicators(spark, d))
 
 
 @query
 def allergen_profile_input(spark, d):
     return allergens.user_allergen_profile_input(
-        star.checkout_items(spark, d), star.store_products(spark, d), star.hot_products(spark, d)
+        star.checkout_items(spark, d), star.store_products(spark, d)
     )
 
 
@@ -887,7 +887,6 @@ def allergy_notifications(spark, d):
         star.checkout_items(spark, d),
         star.allergen_indicators(spark, d),
         star.purchase_items(spark, d).select(*allergens.PURCHASE),
-        star.hot_products(spark, d),
     )
 
 

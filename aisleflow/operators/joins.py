@@ -2,8 +2,8 @@
 
 Dimensions carry no hint here: Catalyst broadcasts them when their files, or the
 measured rows of ``load_dimensions``, are small and shuffles them otherwise.
-Joins of row-grain facts go through ``spread_lookup_join``, which keeps a hot
-key from piling up when its other side is too large to broadcast.
+Joins of row-grain facts go through ``lookup_join``, where a hot key is cut when
+the join runs and its other side is too large to broadcast.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from aisleflow.model import CALENDAR, CATEGORY_DAY, STORE_DAY, STORE_USER
-from aisleflow.operators.skew import spread_lookup_join
+from aisleflow.operators.skew import lookup_join
 
 
 def rack_category_dim(racks: DataFrame, category: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def rack_category_dim(racks: DataFrame, category: DataFrame) -> DataFrame:
 
 def location_with_category(location: DataFrame, dims: DataFrame) -> DataFrame:
     """Location events with their categories; events at unknown racks drop out."""
-    return spread_lookup_join(location, dims, ["rackId"])
+    return lookup_join(location, dims, ["rackId"])
 
 
 def items_with_category(items: DataFrame, dims: DataFrame, fanout: bool = False) -> DataFrame:
@@ -31,8 +31,8 @@ def items_with_category(items: DataFrame, dims: DataFrame, fanout: bool = False)
     """
     known = dims.select("categoryId")
     if fanout:
-        return spread_lookup_join(items, known, ["categoryId"]).select(items.columns)
-    return spread_lookup_join(items, known.distinct(), ["categoryId"], "left_semi").select(items.columns)
+        return lookup_join(items, known, ["categoryId"]).select(items.columns)
+    return lookup_join(items, known.distinct(), ["categoryId"], "left_semi").select(items.columns)
 
 
 def sums_of_known_category(sums: DataFrame, dims: DataFrame, fanout: bool = False) -> DataFrame:
@@ -50,7 +50,7 @@ def sale_count_with_amount(counts: DataFrame, amounts: DataFrame) -> DataFrame:
 
 def visits_with_first_visit(visits: DataFrame, first_visits: DataFrame) -> DataFrame:
     """Visits with the user's first visit to the store; unknown users drop out."""
-    return spread_lookup_join(visits, first_visits, STORE_USER)
+    return lookup_join(visits, first_visits, STORE_USER)
 
 
 def new_repeat_outer(repeated: DataFrame, new: DataFrame) -> DataFrame:
@@ -71,34 +71,30 @@ def store_conversion_join(total: DataFrame, converted: DataFrame) -> DataFrame:
 def profiled_users(qualifying: DataFrame, profile: DataFrame) -> DataFrame:
     """Profile rows of qualifying users, matched on the user alone across stores."""
     users = qualifying.select("userId").distinct()
-    return spread_lookup_join(profile, users, ["userId"], "left_semi")
+    return lookup_join(profile, users, ["userId"], "left_semi")
 
 
-def allergen_products(
-    purchases: DataFrame, indicators: DataFrame, hot_products: DataFrame | None = None
-) -> DataFrame:
-    return spread_lookup_join(purchases, indicators, ["productId"], hot=hot_products)
+def allergen_products(purchases: DataFrame, indicators: DataFrame) -> DataFrame:
+    return lookup_join(purchases, indicators, ["productId"])
 
 
-def allergen_profile_input(
-    items: DataFrame, products: DataFrame, hot_products: DataFrame | None = None
-) -> DataFrame:
+def allergen_profile_input(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with the allergens of their product.
 
     The older form paired every item with every product of its store; the
     product id in the key keeps each item to its own product.
     """
-    return spread_lookup_join(items, products, ["orgId", "storeId", "productId"], hot=hot_products)
+    return lookup_join(items, products, ["orgId", "storeId", "productId"])
 
 
 def minor_to_rack(beacon_events: DataFrame, beacons: DataFrame) -> DataFrame:
     """Beacon events with the rack of their beacon; unknown beacons keep a null rack."""
-    return spread_lookup_join(beacon_events, beacons, ["minorId"], "left")
+    return lookup_join(beacon_events, beacons, ["minorId"], "left")
 
 
 def product_code_lookup(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items sold by code with the product behind it; unknown codes keep null ids."""
-    return spread_lookup_join(items, products, ["productCode"], "left")
+    return lookup_join(items, products, ["productCode"], "left")
 
 
 def unknown_codes(looked_up: DataFrame, found: str) -> DataFrame:

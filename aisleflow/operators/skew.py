@@ -2,77 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
-HOT_SHARE = 0.001
-
-
-def hot_keys(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Every key combination holding at least ``share`` of the rows.
-
-    One pass with a summary of at most ``1 / share`` keys per task. It may also
-    name less frequent keys, but never more than ``1 / share`` keys in all.
-    """
-    frequent = facts.select(F.struct(*on).alias("k")).stat.freqItems(["k"], share)
-    return frequent.select(F.explode("k_freqItems").alias("k")).select("k.*")
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate lets it broadcast the frame of its own accord."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
 
-def listed(hot: DataFrame) -> DataFrame:
-    """The hot keys as fixed rows.
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join row-grain facts with a lookup by equality, facts being the kept side.
 
-    Both sides of a join must see the same list. The summary behind it may keep
-    other rare keys when it is run again, so it is run once. Of a longer list that
-    a caller gives the first ``1 / HOT_SHARE`` are taken; the list never changes
-    a result, only how evenly the work is dealt.
-    """
-    rows = hot.distinct().orderBy(*hot.columns).limit(round(1 / HOT_SHARE)).collect()
-    return hot.sparkSession.createDataFrame(rows, hot.schema)
-
-
-def spread_lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None
-) -> DataFrame:
-    """Join facts with a lookup by equality, hot keys spread over all shuffle partitions.
-
-    A lookup small enough to be broadcast is joined as it is: its facts are not
-    shuffled, so no key can pile up. Beyond that size, facts of a hot key are
-    dealt out over ``n`` salts and its lookup rows are repeated for each of
-    them; all other rows keep salt 0 and are shuffled once. A salt comes from
-    the row's content and its input partition: rows of one key spread by their
-    content, equal copies by where they are read, and a task run again after a
-    lost executor gives the same salts whatever order its rows arrive in.
-
-    ``hot`` may give the hot values of some of the ``on`` columns, from
-    ``hot_keys`` of a table cheaper to read than ``facts``; without it they are
-    found in ``facts``. Which keys it names never changes the result.
+    The strategy is found when the join runs, from what was measured by then: a lookup that is
+    small is broadcast, and of a shuffled join adaptive execution cuts partitions that a hot
+    key (or rows without a key) made large into pieces of the advisory size, each joined with the
+    same lookup rows. Facts are the side that may be cut in each of the kinds allowed here. Nothing is looked
+    at while the plan is built, and no list of hot keys has a limit.
+    ``session.ENGINE_CONF`` lets the cut cost another shuffle where a grouping follows.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"facts must be the kept side, not {how}")
-    if is_small(lookup):
-        return facts.join(lookup, on, how)
-    # More salts than partitions, so that their hashes fill the partitions evenly.
-    salts = 4 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fixed = listed(hot_keys(facts, on) if hot is None else hot)
-    named = fixed.columns
-    flagged = F.broadcast(fixed.withColumn("_hot", F.lit(True)))
-
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    dealt = F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    salted = facts.join(flagged, named, "left").select(
-        *facts.columns, F.when(F.col("_hot") | no_key, dealt).otherwise(F.lit(0)).alias("_salt")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.join(flagged, named, "left").select(*lookup.columns, F.explode(copies).alias("_salt"))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return facts.join(lookup, on, how)
 
 
 def repeat_rows(df: DataFrame, count_column: str, chunk: int = 10_000) -> DataFrame:

@@ -54,16 +54,14 @@ def user_profile(items: DataFrame, dims: DataFrame, legacy: bool = False) -> Dat
     )
 
 
-def indicated_purchases(
-    purchases: DataFrame, indicators: DataFrame, hot_products: DataFrame | None = None
-) -> DataFrame:
+def indicated_purchases(purchases: DataFrame, indicators: DataFrame) -> DataFrame:
     """Purchases of indicator products, with how often the product is listed.
 
     An indicator listed several times counts each time; listings are counted
     per product first, so that every purchase is joined once.
     """
     listed = indicators.groupBy("productId").agg(F.count(F.lit(1)).alias("listings"))
-    return allergen_products(purchases, listed, hot_products)
+    return allergen_products(purchases, listed)
 
 
 def notifications_of(counts: DataFrame) -> DataFrame:
@@ -72,15 +70,10 @@ def notifications_of(counts: DataFrame) -> DataFrame:
     return totals.withColumn("Allergy", allergy_flag("purchasedCount"))
 
 
-def allergy_notifications(
-    current: DataFrame,
-    indicators: DataFrame,
-    stored: DataFrame | None = None,
-    hot_products: DataFrame | None = None,
-) -> DataFrame:
+def allergy_notifications(current: DataFrame, indicators: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Per user, how often indicator products were bought and what that says."""
     purchases = union_history(current.select(*PURCHASE), stored).select("userId", "productId")
-    bought = indicated_purchases(purchases, indicators, hot_products)
+    bought = indicated_purchases(purchases, indicators)
     return notifications_of(bought.withColumnRenamed("listings", "purchasedCount"))
 
 
@@ -92,9 +85,7 @@ def indicator_facts(items: DataFrame, dims: DataFrame, indicators: DataFrame) ->
     return bought.groupBy("userId", "time").agg(F.sum("listings").alias("purchasedCount"))
 
 
-def user_allergen_profile_input(
-    items: DataFrame, products: DataFrame, hot_products: DataFrame | None = None
-) -> DataFrame:
+def user_allergen_profile_input(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with their product's allergens: the rows profiles are built from."""
     rows = items.select("orgId", "storeId", "userId", "createdStamp", "productId")
-    return joins.allergen_profile_input(rows, products, hot_products)
+    return joins.allergen_profile_input(rows, products)

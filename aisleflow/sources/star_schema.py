@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aisleflow.functions.dates import trim_time
-from aisleflow.operators.skew import hot_keys, spread_lookup_join
 
 # First day of the current part of the events; earlier ones are the stored history.
 EVENTS_SPLIT = "2024-01-16"
@@ -98,7 +97,7 @@ def checkout_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as sold items of their order's customer and day."""
     lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     orders = table(spark, sf_dir, "orders")
-    return spread_lookup_join(lines, orders, ["o_orderkey"]).select(
+    return lines.join(orders, "o_orderkey").select(
         F.col("o_custkey").cast("string").alias("userId"),
         F.lit(ORG).alias("orgId"),
         _store("o_custkey").alias("storeId"),
@@ -127,11 +126,6 @@ def order_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hot_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products holding a large share of the line items, read from their one column."""
-    return hot_keys(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("productId")), ["productId"])
-
-
 def checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as nested checkouts of none, one or two items (line number mod 3)."""
     item = lambda n: F.struct(

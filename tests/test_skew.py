@@ -1,9 +1,13 @@
 """One key holding a third of all rows: same results, even work."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from aisleflow.operators.skew import hot_keys, is_small, repeat_rows, spread_lookup_join
+from aisleflow.model import STORE_USER
+from aisleflow.operators import joins
+from aisleflow.operators.skew import lookup_join, repeat_rows
 from tests.conftest import rows
 
 N = 60_000
@@ -39,67 +43,74 @@ def counted(df):
 @pytest.mark.parametrize("on", [["k"], ["k", "g"]])
 def test_same_rows_as_a_plain_join(facts, lookup, large_lookups, how, on):
     side = lookup if len(on) == 2 else lookup.select("k", "v")
-    assert counted(spread_lookup_join(facts, side, on, how)) == counted(facts.join(side, on, how))
+    assert counted(lookup_join(facts, side, on, how)) == counted(facts.join(side, on, how))
 
 
 def test_lookup_rows_may_repeat(facts, lookup, large_lookups):
     side = lookup.select("k", "v")
     side = side.union(side.filter("k < 10"))
-    assert counted(spread_lookup_join(facts, side, ["k"])) == counted(facts.join(side, "k"))
+    assert counted(lookup_join(facts, side, ["k"])) == counted(facts.join(side, "k"))
 
 
 def test_only_kept_fact_joins(facts, lookup):
     with pytest.raises(ValueError):
-        spread_lookup_join(facts, lookup, ["k"], "full")
-
-
-def test_hot_key_is_found_and_the_list_is_bounded(facts):
-    found = [r.k for r in hot_keys(facts, ["k"], 0.01).collect()]
-    assert 7 in found and len(found) <= 100
-
-
-def test_hot_rows_are_dealt_to_many_partitions(spark, facts, lookup, large_lookups):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    per_task = lambda df: df.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
-    try:
-        side = lookup.select("k", "v")
-        sizes, plain = per_task(spread_lookup_join(facts, side, ["k"])), per_task(facts.join(side, "k"))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(plain) == 1
-    assert len(sizes) >= 4 and max(r["count"] for r in sizes) <= 0.5 * sum(r["count"] for r in sizes)
-
-
-def test_hot_keys_may_come_from_elsewhere_and_name_part_of_the_key(spark, facts, lookup, large_lookups):
-    hot = spark.createDataFrame([(7,), (8,), (99,)], "k BIGINT")
-    joined = spread_lookup_join(facts, lookup, ["k", "g"], hot=hot)
-    assert counted(joined) == counted(facts.join(lookup, ["k", "g"]))
+        lookup_join(facts, lookup, ["k"], "full")
 
 
-def test_a_long_hot_list_changes_nothing(spark, facts, lookup, large_lookups):
-    side, hot = lookup.select("k", "v"), spark.range(2000).withColumnRenamed("id", "k")
-    assert counted(spread_lookup_join(facts, side, ["k"], hot=hot)) == counted(facts.join(side, "k"))
+@pytest.fixture
+def small_scale(spark, large_lookups):
+    """Adaptive execution at the size of these rows."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key in conf:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_salts_do_not_depend_on_row_order(spark, facts, lookup, large_lookups):
-    """The rows of each input partition, sorted one way or the other, go to the same salts."""
-    hot = spark.createDataFrame([(7,)], "k BIGINT")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+@pytest.mark.parametrize("grouped", [False, True])
+def test_hot_rows_are_dealt_to_many_tasks(spark, facts, lookup, small_scale, how, grouped):
+    """The plan that ran cuts the hot partition, also where a grouping by the key follows."""
+    joined = lookup_join(facts.withColumn("n", F.rand(3)), lookup.select("k", "v"), ["k"], how)
+    if grouped:
+        joined = joined.groupBy("k").agg(F.sum("n").alias("n"))
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_spreads_over_partitions(spark, facts, lookup, small_scale):
+    joined = lookup_join(facts.withColumn("n", F.rand(3)), lookup.select("k", "v"), ["k"])
+    tasks = Counter(r.p for r in joined.select("k", "n", F.spark_partition_id().alias("p")).collect() if r.k == 7)
+    assert len(tasks) >= 4 and max(tasks.values()) <= 0.5 * sum(tasks.values())
+
+
+def test_building_plans_starts_no_job(spark, facts, lookup, dims):
+    """Every row-grain join, from frames that exist."""
+    one = spark.createDataFrame([("u", 1, 1, 2, 1, 1, "x", 3, "a")], "userId STRING, orgId INT, storeId INT, rackId INT, categoryId INT, productId INT, productCode STRING, minorId INT, Allergens STRING")
+    spark.sparkContext.setJobGroup("building", "plans")
     try:
-        spread = [
-            rows(spread_lookup_join(facts.sortWithinPartitions(order), lookup.select("k", "v"), ["k"], hot=hot)
-                 .groupBy("k", "g", F.spark_partition_id().alias("p")).count())
-            for order in (F.col("g"), F.col("g").desc())
-        ]
+        for build in (
+            lambda: joins.location_with_category(one, dims.select("rackId", "categoryName")), lambda: joins.items_with_category(one, dims),
+            lambda: joins.items_with_category(one, dims, fanout=True), lambda: joins.visits_with_first_visit(one, one.select(*STORE_USER)),
+            lambda: joins.profiled_users(one, one), lambda: joins.allergen_products(one, one.select("productId")),
+            lambda: joins.allergen_profile_input(one, one.select("orgId", "storeId", "productId")),
+            lambda: joins.minor_to_rack(one, one.select("minorId")), lambda: joins.product_code_lookup(one, one.select("productCode")),
+            lambda: lookup_join(facts, lookup, ["k", "g"], "left"),
+        ):
+            build()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert spread[0] == spread[1]
+        spark.sparkContext._jsc.clearJobGroup()
 
 
-def test_small_lookup_is_joined_as_it_is(facts, lookup):
-    assert is_small(lookup)
-    tree = spread_lookup_join(facts, lookup.select("k", "v"), ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in tree and "_salt" not in tree
+def test_small_lookup_is_broadcast(facts, lookup):
+    tree = lookup_join(facts, lookup.select("k", "v"), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in tree
 
 
 def test_repeat_rows_cuts_large_counts(spark):
