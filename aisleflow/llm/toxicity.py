@@ -5,8 +5,9 @@ for another copy of the letter before it, or, if it is neither letter nor digit,
 nothing or for the end of a word. A Viterbi search over this lattice finds the letters that are
 likeliest under a character model of four letters, whose counts come from all documents. Only
 words with a sign of disguise go through it (a digit or sign inside, three equal letters in a row,
-two doubled ones, or a run of single characters with separators); what surrounds a word and has no
-reading is cut off first. Other words are what they are.
+two doubled ones, or a run of single characters with separators). Signs around a word that have no
+reading, and a sign written twice or more at either end of it, are cut off first. Other words are
+what they are.
 
 Score: the features of a text are the restored words and their first ``PREFIXES`` letters.
 Those that training documents with label 1 have more often than others (counted over all
@@ -46,16 +47,15 @@ READ, REPEAT, DROP, END = 2.0, 1.5, 1.0, 2.5  # costs in nats
 SYMBOLS, ORDER = 28, 4  # end of a word, a to z, digit
 EDGE, DIGIT = 0, 27
 SMOOTH = 0.5
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (4, 6)
 MOST_FEATURES, FIT_ROWS, LEAST_SHARE, LEAST_TEXTS = 1024, 20_000, 0.005, 3
 STEPS, RIDGE, TOXIC_FROM = 400, 1e-4, 0.3
 BATCH_BYTES, FLUSH = 4_000_000, 200_000
 
 _LETTER = re.compile(r"[^\W\d_]")
 _SINGLE = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,3}){2,}[^\W_](?!\S)")
-_THRICE = re.compile(r"(.)\1\1")
-_TWICE = re.compile(r"(.)\1.*(.)\2")
-_PLAIN = re.compile(r"[^\W\d_]+\Z")
+_DOUBLED = re.compile(r"(.)\1(?:\1|.*(.)\2)")
+_ORNAMENT = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+$")
 _NO_READING = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in READINGS)
 
 # --- character model ----------------------------------------------------------
@@ -164,9 +164,9 @@ def restore(written: str, costs: list[float]) -> str:
 
 def disguised(word: str) -> bool:
     """Whether a word without its outer signs shows a sign of disguise."""
-    if not _PLAIN.match(word):
+    if not word.isalpha():
         return any(c.isalpha() for c in word)
-    return bool(_THRICE.search(word) or _TWICE.search(word))
+    return bool(_DOUBLED.search(word))
 
 
 class Restorer(dict):
@@ -185,7 +185,9 @@ class Restorer(dict):
 
     def plain(self, written: str) -> tuple[str, ...]:
         """The words behind a written word, without a look at the memo."""
-        core = written.strip(_NO_READING)
+        if written.isalpha() and not _DOUBLED.search(written):
+            return (written,)
+        core = _ORNAMENT.sub("", written.strip(_NO_READING)).strip(_NO_READING)
         return tuple(restore(core, self.costs).split()) if disguised(core) else (core,) if core else ()
 
     def written(self, text: str | None) -> list[tuple[str, int]]:
