@@ -20,7 +20,15 @@ from aisleflow.sources import star_schema as star
 from aisleflow.sources.dimensions import load_dimensions
 from aisleflow.sources.streams import read_event_stream
 from aisleflow.sources.tables import append_table, overwrite_table, read_table
-from aisleflow.streaming.retail import RetailStream, dead_letters, footfall_30s_counts, for_each_batch, raw_messages
+from aisleflow.streaming.retail import (
+    RetailStream,
+    dead_letters,
+    distinct_daily_visitors,
+    footfall_30s_counts,
+    for_each_batch,
+    raw_messages,
+    write_complete,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,6 +213,28 @@ def stream_footfall_30s(spark, d):
     return read_table(spark, f"{root}/counts", "rackId INT, bucket TIMESTAMP_NTZ, footfall BIGINT")
 
 
+@query
+def stream_distinct_visitors(spark, d):
+    """Distinct visitors per store and day, of messages that all come twice, by native streaming distinct."""
+    root = work_folder(spark, "distinct")
+    folder = f"{root}/messages"
+    lines = star.message_lines(spark, d)
+    lines.unionAll(lines).repartition(4).write.text(folder)
+    counts = distinct_daily_visitors(messages.parse_location_events(read_event_stream(spark, folder)))
+    write_complete(counts, f"{root}/counts", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return read_table(spark, f"{root}/counts", "orgId INT, storeId INT, time TIMESTAMP_NTZ, visitors BIGINT")
+
+
+@query
+def stream_chained(spark, d):
+    """Visits per user and day by a second stream, which reads the archive that the first one writes."""
+    stream = RetailStream(spark, work_folder(spark, "chained"), _dims(spark, d))
+    lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=2)
+    stream.start_archive(lines, available_now=True).awaitTermination()
+    stream.start_from_archive(available_now=True).awaitTermination()
+    return stream.product("dailyVisit")
+
+
 @named("for_each_batch")
 def for_each_batch_products(spark, d):
     return _stream(spark, d).product("dailyVisit")

@@ -33,7 +33,14 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.compact is not None:
         stream.compact(args.compact, args.into)
         return
-    stream.start(read_event_stream(spark, args.messages), args.once, args.every).awaitTermination()
+    lines = read_event_stream(spark, args.messages)
+    if args.chained:
+        archiving = stream.start_archive(lines, args.once, args.every)
+        if args.once:
+            archiving.awaitTermination()
+        stream.start_from_archive(args.once, args.every).awaitTermination()
+    else:
+        stream.start(lines, args.once, args.every).awaitTermination()
 
 
 def run_archive(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -69,6 +76,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--legacy", action="store_true", help="months from 0, years from 1900")
     stream.add_argument("--generation", choices=list(GENERATIONS), default="current", help="of the messages")
     stream.add_argument("--compact", type=int, help="merge the state up to this batch into --into, and stop")
+    stream.add_argument("--chained", action="store_true", help="archive by a stream of its own and make products from its archive")
     stream.add_argument("--into", help="new folder for the state logs")
     stream.set_defaults(run=run_stream)
     archive.set_defaults(run=run_archive)

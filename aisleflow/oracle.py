@@ -221,6 +221,8 @@ _SELECTS = {
     "stream_footfall_30s": "SELECT * FROM (SELECT rackId, time_bucket(INTERVAL 30 SECOND, createdStamp) AS bucket, "
                            "count(*) AS footfall FROM loc GROUP BY rackId, bucket) WHERE bucket + INTERVAL 90 SECOND "
                            "<= (SELECT date_trunc('second', max(createdStamp)) FROM loc)",
+    "stream_distinct_visitors": f"SELECT orgId, storeId, {DAY} AS time, count(DISTINCT userId) AS visitors FROM loc GROUP BY ALL",
+    "stream_chained": f"SELECT orgId, storeId, {DAY} AS time, userId, count(*) AS VisitCount FROM entries GROUP BY ALL",
     "for_each_batch": f"SELECT orgId, storeId, {DAY} AS time, userId, count(*) AS VisitCount FROM entries GROUP BY ALL",
     "stream_daily_category_footfall": _calendar(_footfall("entries"), "footfallCount"),
     "stream_daily_category_sale_summary": _calendar(

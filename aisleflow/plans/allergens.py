@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from aisleflow.functions.dates import day_of, month_of, trim_time, year_of
 from aisleflow.functions.retail import allergen_list, allergy_flag
+from aisleflow.model import STORE_USER
 from aisleflow.operators.aggregates import union_history, user_order_count
 from aisleflow.operators.joins import allergen_products, items_with_category
 from aisleflow.operators import joins
@@ -24,14 +25,21 @@ def explode_allergens(profile: DataFrame) -> DataFrame:
 
 
 def allergen_profile(profile: DataFrame, min_orders: int = 3) -> DataFrame:
-    """The allergens met by users with enough orders.
+    """The allergens met by users with enough orders in any one store.
 
-    Allergens are made distinct per user before users are checked, so a user
-    with most of the orders joins as a handful of rows.
+    The profile is read once. Its rows become one per store and user, with the orders
+    counted and the allergens as a set, which the allergens there are bound; a window
+    over the stores of a user then says whether one of them has enough orders.
     """
-    met = explode_allergens(profile.select("orgId", "storeId", "userId", "Allergens")).distinct()
-    users = profile_users(profile, min_orders).select("userId").distinct()
-    return met.join(users, "userId", "left_semi").select("orgId", "storeId", "userId", "Allergen")
+    met = profile.filter(F.col("userId").isNotNull()).select(
+        *STORE_USER, "orderId", F.explode_outer(allergen_list("Allergens")).alias("Allergen")
+    )
+    per_store = met.groupBy(*STORE_USER).agg(
+        F.count_distinct("orderId").alias("OrderCount"), F.collect_set("Allergen").alias("met")
+    )
+    most = F.max("OrderCount").over(Window.partitionBy("userId"))
+    profiled = per_store.withColumn("most", most).filter(F.col("most") >= min_orders)
+    return profiled.select(*STORE_USER, F.explode("met").alias("Allergen"))
 
 
 def user_profile(items: DataFrame, dims: DataFrame, legacy: bool = False) -> DataFrame:

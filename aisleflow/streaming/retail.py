@@ -1,10 +1,10 @@
 """The retail stream: messages in, daily products out, one micro-batch at a time.
 
-A batch archives its lines, parses them once, writes what it adds to the state
-logs under its batch id in one job, and rewrites the products of the days it touched from
-the logs in another. Log folders are overwritten by a replay, and products read the logs up
-to the batch, so each event counts once however often the batch is run. A late
-event changes the products of its own day.
+A batch archives its lines, parses them once and writes what it adds to the state
+logs under its batch id in one job. From the merged facts of the days it touched and its
+own it then rewrites those days' products, and beside that their merged facts. Log folders
+are overwritten by a replay, which is made from the logs up to the batch, so each event
+counts once however often the batch is run. A late event changes the products of its own day.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from aisleflow.sources.events import (
     to_current_location,
 )
 from aisleflow.sources.tables import overwrite_table, read_table
-from aisleflow.streaming.state import FactView, StateLog, fact_rows, last_compacted, mark_compacted, only_days
+from aisleflow.streaming.state import DayState, FactView, StateLog, fact_rows, last_compacted, mark_compacted, only_days
 
 TRIGGER = "3 seconds"
 
@@ -53,17 +53,16 @@ def _names(fields: str) -> list[str]:
     return [part.split()[0] for part in fields.split(", ")]
 
 
+def _trigger(available_now: bool, every: str) -> dict:
+    return {"availableNow": True} if available_now else {"processingTime": every}
+
+
 def for_each_batch(
     lines: DataFrame, run, checkpoint: str, available_now: bool = False, every: str = TRIGGER
 ) -> StreamingQuery:
     """Run ``run(batch_df, batch_id)`` per micro-batch; progress is kept in the checkpoint."""
-    trigger = {"availableNow": True} if available_now else {"processingTime": every}
-    return (
-        lines.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(available_now, every)).start()
 
 
 def archive_raw_messages(lines: DataFrame, root: str, batch_id: int) -> str:
@@ -114,6 +113,10 @@ class RetailStream:
     def compacted_to(self) -> int:
         return last_compacted(self.spark, self.state_folder)
 
+    @cached_property
+    def days(self) -> DayState:
+        return DayState(self.log("facts"), self.state_folder)
+
     @cached_property
     def own_dims(self) -> DataFrame:
         """The dimension with ids of the messages' kind."""
@@ -137,27 +140,51 @@ class RetailStream:
     def start(self, lines: DataFrame, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
         return for_each_batch(lines, self.process, f"{self.root}/checkpoint", available_now, every)
 
+    def start_archive(self, lines: DataFrame, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
+        """Keep every line by a query of its own, which never waits for products."""
+        kept = lines.select(F.col("value").alias("msg")).writeStream.format("parquet")
+        kept = kept.option("checkpointLocation", f"{self.root}/archive-checkpoint").trigger(**_trigger(available_now, every))
+        return kept.start(f"{self.root}/archive")
+
+    def start_from_archive(self, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
+        """Make products from what ``start_archive`` has kept, at their own pace and with their own checkpoint."""
+        kept = self.spark.readStream.schema("msg STRING").parquet(f"{self.root}/archive").withColumnRenamed("msg", "value")
+        return for_each_batch(kept, self.process_kept, f"{self.root}/checkpoint", available_now, every)
+
+    def archived(self) -> DataFrame:
+        """The lines that ``start_archive`` has kept."""
+        return read_table(self.spark, f"{self.root}/archive", "msg STRING")
+
     def process(self, lines: DataFrame, batch_id: int) -> None:
         # Parsing reads the archive, so the source is read once per batch.
         archive = archive_raw_messages(lines, self.root, batch_id)
-        kept = read_table(self.spark, archive, "msg STRING").withColumnRenamed("msg", "value")
-        parsed = parse_messages(kept, self.generation).persist()
+        self.process_kept(read_table(self.spark, archive, "msg STRING").withColumnRenamed("msg", "value"), batch_id)
+
+    def process_kept(self, lines: DataFrame, batch_id: int) -> None:
+        """Products from lines that are archived already."""
+        parsed = parse_messages(lines, self.generation).persist()
         try:
             stamp = F.coalesce("location.createdStamp", "checkout.createdStamp")
             usable = parsed.filter(F.col("problem").isNull() & stamp.isNotNull())
             location, checkouts = self._events(parsed)
-            touched = self._touched_days(usable.select(F.to_date(stamp).alias("event_date")), location, batch_id)
+            self.days.seed(batch_id)
+            follows = self.days.follows(batch_id)
+            before = self.days.newest() if follows else self.log("facts").as_of(batch_id - 1)
+            touched = self._touched_days(usable.select(F.to_date(stamp).alias("event_date")), location, before)
             items = sales.order_items(checkouts)
-            days: list[date] = []  # at most the calendar's days
+            found: list = []  # at most the calendar's days
             run_together(self.spark, [
-                lambda: days.extend(r.event_date for r in touched.collect()),
+                lambda: found.extend(touched.collect()),
                 lambda: self._write_dead_letters(parsed, batch_id),
                 lambda: self.log("facts").write_batch(batch_facts(location, items, self.own_dims), batch_id),
                 *self._indicator_writes(items, batch_id),
             ])
+            days, own_days = sorted(r.event_date for r in found), [r.event_date for r in found if r.own]
+            facts = before.unionByName(self.log("facts").batch(batch_id)) if follows else self.log("facts").as_of(batch_id)
             run_together(self.spark, [
-                lambda: self._write_products(sorted(days), batch_id),
-                *([lambda: self._write_months(days, batch_id)] if self.monthly and days else []),
+                lambda: self._write_products(facts, days),
+                *([lambda: self.days.write(facts, own_days, batch_id)] if batch_id > self.compacted_to else []),
+                *([lambda: self._write_months(facts, days)] if self.monthly and days else []),
                 *self._notification_writes(items, batch_id),
             ])
         finally:
@@ -186,12 +213,15 @@ class RetailStream:
         kind = "string" if self.generation.text_ids else "bigint"
         return self.indicators.withColumn("productId", F.col("productId").cast(kind))
 
-    def _touched_days(self, own: DataFrame, location: DataFrame, batch_id: int) -> DataFrame:
-        """The days of the batch, and the first day so far of each user whose first visit it moves back."""
+    def _touched_days(self, own: DataFrame, location: DataFrame, before: DataFrame) -> DataFrame:
+        """The batch's own days, and the first day so far of each user whose first visit it moves back."""
         first = visitors.user_first_visit(location).withColumnRenamed("firstTime", "new_first")
-        before = self.log("userFirstVisit").as_of(batch_id - 1).groupBy(*STORE_USER).agg(F.min("firstTime").alias("old_first"))
-        moved = first.join(before, STORE_USER).filter(F.to_date("new_first") < F.to_date("old_first"))
-        return own.unionByName(moved.select(F.to_date("old_first").alias("event_date"))).distinct()
+        known = fact_rows(before, "userFirstVisit").groupBy(*STORE_USER).agg(F.min("firstTime").alias("old_first"))
+        moved = first.join(known, STORE_USER).filter(F.to_date("new_first") < F.to_date("old_first"))
+        days = own.withColumn("own", F.lit(True)).unionByName(
+            moved.select(F.to_date("old_first").alias("event_date"), F.lit(False).alias("own"))
+        )
+        return days.groupBy("event_date").agg(F.max("own").alias("own"))
 
     def _visits_seen(self, facts: DataFrame) -> DataFrame:
         """Times of visits that may be a user's first, by this stream's facts and the events table."""
@@ -202,21 +232,20 @@ class RetailStream:
             seen = seen.unionByName(events.select(*STORE_USER, F.col("createdStamp").alias("firstTime")))
         return seen
 
-    def _write_products(self, days: list[date], batch_id: int) -> None:
-        """All products of the touched days, by one job from one reading of the logs."""
+    def _write_products(self, facts: DataFrame, days: list[date]) -> None:
+        """All products of the touched days, by one job from one reading of the facts."""
         if not days:
             return
-        every = self.log("facts").as_of(batch_id)
-        rows = daily_products(only_days(every, days), self._visits_seen(every), self.legacy)
+        rows = daily_products(only_days(facts, days), self._visits_seen(facts), self.legacy)
         dated = rows.withColumn("event_date", F.to_date("time"))
         names = [c for c in [*_names(PRODUCT_COLUMNS), "product", "event_date"] if c in dated.columns]
         # One file per day holds all products, by product, so that a reader skips the row groups of others.
         laid = dated.select(*names).hint("rebalance", "event_date").sortWithinPartitions("event_date", "product")
         overwrite_table(laid, f"{self.root}/product", ["event_date"])
 
-    def _write_months(self, days: list[date], batch_id: int) -> None:
+    def _write_months(self, facts: DataFrame, days: list[date]) -> None:
         """Visit counts per store, user and month of the months the days are in."""
-        visits = self.log("userVisit").as_of(batch_id)
+        visits = fact_rows(facts, "userVisit")
         months = sorted({d.replace(day=1) for d in days})
         month = F.trunc("event_date", "month")
         own = visits.filter(month.isin(months)).withColumn("event_month", month).drop("event_date")
@@ -259,6 +288,26 @@ class RetailStream:
         return replace(self, state=state)
 
 
+def distinct_daily_visitors(location: DataFrame, late_by: str = "1 day") -> DataFrame:
+    """Distinct visitors per store and day, counted by the stream itself and not from logs.
+
+    Exact for events no later than ``late_by`` of at least a day: a user's key is forgotten
+    that long after the user's first event of the day, when any other event of that day is
+    too late to be taken. To be written in complete mode.
+    """
+    ts = F.col("createdStamp").cast("timestamp")
+    visits = location.filter(F.col("userId").isNotNull()).withColumns({"ts": ts, "time": F.date_trunc("day", "createdStamp").cast("timestamp_ntz")})
+    once = visits.withWatermark("ts", late_by).dropDuplicatesWithinWatermark([*STORE_USER, "time"])
+    return once.groupBy("orgId", "storeId", "time").agg(F.count(F.lit(1)).alias("visitors"))
+
+
+def write_complete(counts: DataFrame, path: str, checkpoint: str, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
+    """Rewrite a table with all counts so far, batch by batch."""
+    keep = lambda batch, _: overwrite_table(batch, path)
+    writer = counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(available_now, every)).start()
+
+
 def footfall_30s_counts(location: DataFrame, late_by: str = "1 minute") -> DataFrame:
     """Footfall per rack and 30-second bucket on a stream, closed once ``late_by`` has passed."""
     events = location.withColumn("ts", F.col("createdStamp").cast("timestamp")).withWatermark("ts", late_by)

@@ -3,6 +3,8 @@
 A batch writes its own folder and overwrites it when it is run again, so a
 replayed batch changes nothing. Reading as of a batch takes folders up to it, and
 what a compaction merged. All facts of a batch are one log, written by one job.
+Beside the log, the facts of each day are kept merged, so that a batch reads one
+version of a day instead of everything the log has of it.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aisleflow.model import FACT_VIEWS, STATE_TABLES, with_text_ids
 from aisleflow.plans.facts import merged
-from aisleflow.sources.tables import read_table
+from aisleflow.sources.tables import overwrite_table, read_table
 
 NO_BATCH = -1
 
@@ -65,6 +67,11 @@ class StateLog:
         if batch_id > self.compacted_to:
             self._write(df, f"{self.path}/batch_id={batch_id}")
 
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows of one batch, with ``event_date``; no other batch's folder is listed."""
+        rows = read_table(self.spark, f"{self.path}/batch_id={batch_id}", f"{self.schema}, event_date DATE")
+        return rows.select(*self.columns, "event_date")
+
     def as_of(self, batch_id: int) -> DataFrame:
         """All rows of the batches up to and including this one, with ``event_date``."""
         rows = read_table(self.spark, self.path, f"{self.schema}, batch_id BIGINT, event_date DATE")
@@ -78,6 +85,73 @@ class StateLog:
         self._write(merged, StateLog(self.spark, folder, self.table).base)
 
 
+class DayState:
+    """The facts of each day, merged over the batches so far.
+
+    A day has two slots, and a batch writes the one that does not hold the newest
+    version before it: what a batch reads is never what it writes. The log stays the
+    truth. A batch run again, one older than a version, and one that a compaction
+    holds are made from the log; a version newer than the batch is left as it is.
+    ``versions`` says which batch wrote which slot, two entries a calendar day at most.
+    """
+
+    SLOTS = (0, 1)
+
+    def __init__(self, log: StateLog, folder: str):
+        self.log, self.spark, self.path = log, log.spark, f"{folder}/days"
+        self.versions: dict[date, dict[int, int]] = {}
+        for r in self._rows().groupBy("event_date", "slot").agg(F.max("batch").alias("batch")).collect():
+            self.versions.setdefault(r.event_date, {})[r.slot] = r.batch
+
+    def _rows(self) -> DataFrame:
+        return read_table(self.spark, self.path, f"{self.log.schema}, batch BIGINT, event_date DATE, slot INT")
+
+    def seed(self, batch_id: int) -> None:
+        """Merge what the log has of earlier batches where there is no state yet, as after a compaction."""
+        if not self.versions and batch_id > max(self.log.compacted_to, 0):
+            before = self.log.as_of(batch_id - 1)
+            days = [r.event_date for r in before.select("event_date").distinct().collect()]
+            self.write(before, [d for d in days if d], batch_id - 1)
+
+    def follows(self, batch_id: int) -> bool:
+        """Whether all versions are of earlier batches, so that they and the batch's own facts are everything."""
+        versions = (b for slots in self.versions.values() for b in slots.values())
+        return batch_id > self.log.compacted_to and all(b < batch_id for b in versions)
+
+    def newest(self) -> DataFrame:
+        """The newest version of every day; files of other versions are not read."""
+        held = F.lit(False)
+        for slot in self.SLOTS:
+            days = [d for d, slots in self.versions.items() if max(slots, key=slots.get) == slot]
+            if days:
+                held |= (F.col("slot") == slot) & F.col("event_date").isin(days)
+        return self._rows().filter(held).select(*self.log.columns, "event_date")
+
+    def _slot(self, day: date, batch_id: int) -> int:
+        """Where a batch writes a day: its own slot again, or the one without the newest version."""
+        slots = self.versions.get(day, {})
+        own = [s for s, b in slots.items() if b == batch_id]
+        return own[0] if own else 1 - max(slots, key=slots.get) if slots else 0
+
+    def write(self, facts: DataFrame, days: list[date], batch_id: int) -> None:
+        """The days' facts up to the batch as its version, but for days that have a newer one."""
+        slot_of = {
+            d: self._slot(d, batch_id) for d in days if all(b <= batch_id for b in self.versions.get(d, {}).values())
+        }
+        if not slot_of:
+            return
+        rows = merged(only_days(facts, list(slot_of)).select(*self.log.columns)).select(*self.log.columns)
+        day = F.to_date(_time_column(self.log.table))
+        in_second = day.isin([d for d, s in slot_of.items() if s == 1])
+        versioned = rows.withColumns({
+            "batch": F.lit(batch_id).cast("bigint"), "event_date": day, "slot": F.when(in_second, 1).otherwise(0)
+        })
+        laid = versioned.hint("rebalance", "event_date").sortWithinPartitions("event_date", *self.log.tags)
+        overwrite_table(laid, self.path, ["event_date", "slot"])
+        for d, slot in slot_of.items():
+            self.versions.setdefault(d, {})[slot] = batch_id
+
+
 def fact_rows(facts: DataFrame, table: str) -> DataFrame:
     """The rows of one fact table, with ``event_date``; row groups of other facts are skipped."""
     tag, columns = FACT_VIEWS[table]

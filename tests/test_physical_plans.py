@@ -7,7 +7,7 @@ import re
 import pytest
 
 from aisleflow.catalog import QUERIES
-from aisleflow.plans import footfall, sales
+from aisleflow.plans import allergens, footfall, sales
 from aisleflow.sources import star_schema as star
 from aisleflow.sources.dimensions import load_dimensions
 
@@ -81,3 +81,12 @@ def test_dimension_is_measured_and_not_hinted(spark):
     assert "ResolvedHint" not in dims._jdf.queryExecution().analyzed().toString()
     assert dims.storageLevel.useMemory
     dims.unpersist()
+
+
+def test_allergen_profile_reads_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "profile")
+    fields = "orgId INT, storeId INT, userId STRING, orderId BIGINT, Allergens STRING"
+    spark.createDataFrame([(1, 1, "a", n, "egg,milk") for n in range(3)], fields).write.parquet(path)
+    found = allergens.allergen_profile(spark.read.parquet(path))
+    assert plan(found).count("Scan parquet") == 2  # once in the tree, once in the list of nodes
+    assert sorted(r.Allergen for r in found.collect()) == ["egg", "milk"]

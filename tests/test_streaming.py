@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from aisleflow.plans import conversion, footfall, sales, visitors
 from aisleflow.sources.events import LEGACY, STRING_IDS, checkout_rows, location_rows, parse_messages
 from aisleflow.sources.streams import read_event_stream
-from aisleflow.streaming.retail import RetailStream, dead_letters, footfall_30s_counts, raw_messages
+from aisleflow.streaming.retail import RetailStream, dead_letters, distinct_daily_visitors, footfall_30s_counts, raw_messages, write_complete
 from tests.conftest import checkout, leading_zeros, lines_frame, location, rows, two_days, two_users_one_day
 
 PRODUCTS = (
@@ -262,3 +262,70 @@ def test_monthly_and_flagged_visits_of_the_stream(spark, tmp_path, dims):
     assert rows(visitors.repeat_by_count(months), "userId", "month", "VisitCount") == [("31", 7, 4), ("45", 7, 3)]
     flags = stream.product("newRepeatDaily").groupBy("time").agg(F.sum("New").alias("n"), F.sum("Repeat").alias("r"))
     assert sorted((r.n, r.r) for r in flags.collect()) == [(1, 1), (1, 1)]
+
+
+def test_a_batch_does_not_read_the_logs_of_earlier_batches(spark, tmp_path, dims):
+    """Earlier logs are spoilt; the merged days and the batch's own log are all that the next batch needs."""
+    lines = two_users_one_day() + two_days() + leading_zeros()
+    stream = RetailStream(spark, str(tmp_path), dims, monthly=True)
+    for n in range(2):
+        stream.process(lines_frame(spark, lines[n::4]), n)
+    for log in (tmp_path / "state" / "facts").rglob("*.parquet"):
+        log.write_bytes(b"spoilt")
+    again = RetailStream(spark, str(tmp_path), dims, monthly=True)  # as after a restart
+    for n in range(2, 4):
+        again.process(lines_frame(spark, lines[n::4]), n)
+    for name, product in batch_products(spark, lines, dims).items():
+        assert rows(again.product(name)) == rows(product), name
+
+
+def test_merged_days_keep_two_versions_and_equal_the_log(spark, tmp_path, dims):
+    lines = two_users_one_day() + two_days() + leading_zeros()
+    stream = RetailStream(spark, str(tmp_path), dims)
+    for n in range(4):
+        stream.process(lines_frame(spark, lines[n::4]), n)
+    slots = list((tmp_path / "state" / "days").glob("event_date=*/slot=*"))
+    assert len(slots) <= 2 * len({s.parent for s in slots})
+    columns = ["table", "orgId", "storeId", "userId", "categoryId", "time", "n", "amount", "firstTime"]
+    from aisleflow.plans.facts import merged
+
+    assert rows(stream.days.newest(), *columns) == rows(merged(stream.log("facts").as_of(3)), *columns)
+
+
+def test_an_older_batch_run_again_leaves_newer_days_alone(spark, tmp_path, dims):
+    days = [[location("a", 1, "2022-07-14 09:00:00")], [location("b", 1, "2022-07-14 10:00:00")], [location("c", 2, "2022-07-14 11:00:00")]]
+    stream = RetailStream(spark, str(tmp_path), dims)
+    for n in (0, 1, 0, 2):
+        stream.process(lines_frame(spark, days[n]), n)
+    whole = batch_products(spark, sum(days, []), dims)
+    assert contents(stream) == {name: rows(whole[name]) for name in PRODUCTS}
+
+
+def test_a_second_stream_reads_the_archive_of_the_first(spark, tmp_path, dims):
+    lines = two_users_one_day() + two_days() + ["noise"]
+    write_files(tmp_path / "in", lines[:6], 2)
+    stream = RetailStream(spark, str(tmp_path / "out"), dims)
+    source = lambda: read_event_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+    stream.start_archive(source(), available_now=True).awaitTermination()
+    assert stream.product("dailyVisit").count() == 0  # archived, not yet looked at
+    stream.start_from_archive(available_now=True).awaitTermination()
+    (tmp_path / "in" / "more.txt").write_text("\n".join(lines[6:]) + "\n")
+    stream.start_archive(source(), available_now=True).awaitTermination()
+    stream.start_from_archive(available_now=True).awaitTermination()
+    assert sorted(r.msg for r in stream.archived().collect()) == sorted(lines)
+    for name, product in batch_products(spark, lines, dims).items():
+        assert rows(stream.product(name)) == rows(product), name
+    assert rows(dead_letters(spark, stream.root)) == [("noise", "unreadable")]
+
+
+def test_native_distinct_visitors_across_batches(spark, tmp_path):
+    times = [("u1", "06 09:00"), ("u1", "06 21:00"), ("u2", "06 22:00"), ("u1", "07 08:00"), ("u1", "06 09:00"), ("u2", "07 23:00"), (None, "07 23:30")]
+    (tmp_path / "in").mkdir()
+    for n, (user, t) in enumerate(times):
+        line = location(user or "x", 1, f"2020-05-{t}:00")
+        (tmp_path / "in" / f"{n}.txt").write_text((line if user else line.replace('"x"', "null")) + "\n")
+        os.utime(tmp_path / "in" / f"{n}.txt", (1_500_000_000 + n, 1_500_000_000 + n))
+    lines = read_event_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+    counts = distinct_daily_visitors(location_rows(parse_messages(lines)))
+    write_complete(counts, str(tmp_path / "out"), str(tmp_path / "ckpt"), available_now=True).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select(F.dayofmonth("time"), "visitors")) == [(6, 2), (7, 2)]
