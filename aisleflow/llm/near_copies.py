@@ -237,12 +237,14 @@ def _more_links(shared: DataFrame, links: DataFrame, texts: DataFrame) -> DataFr
         F.ceil(F.count(F.when(kind, 1)) / BLOCK_NODES), F.ceil(F.sum(F.when(kind, F.length("text")).otherwise(0)) / BLOCK_CHARS)
     ).cast("int")
     counts = members.groupBy("a").agg(blocks(F.col("outside")).alias("n_out"), blocks(~F.col("outside")).alias("n_in"))
+    # Stored, so that its size is known: while it is small it is broadcast, and a hub's members are not dealt by the hub.
+    counts = materialised(counts.filter("n_out > 0"), "hub-blocks")
     h = F.xxhash64("node")
     block = F.when(F.col("outside"), F.pmod(h, F.col("n_out"))).otherwise(F.col("n_out") + F.pmod(h, F.col("n_in"))).cast("int")
     # A block outside meets all blocks, a block inside the blocks outside.
     others = F.sequence(F.lit(0), F.when(F.col("outside"), F.col("n_out") + F.col("n_in")).otherwise(F.col("n_out")) - 1)
     cells = (
-        members.join(counts.filter("n_out > 0"), "a")
+        members.join(counts, "a")
         .withColumn("block", block)
         .withColumn("other", F.explode(others))
         .select("a", "node", "root", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
