@@ -17,7 +17,13 @@ starts with the k-th best of a bounded sample of rows as its bound; it is reache
 by real rows, so nothing within the answer is ever cut. A window then merges the
 cells' answers.
 
-Defined cases: rows with a null id, a null vector, an empty one or one with a
+Scores are exact whatever the size of the components: they are taken in doubles
+while no product passes 2 ** 52, in 64-bit integers up to 2 ** 62, in Python's
+integers beyond. Bounds carry a slack for the rounding of distances, so large
+vectors only lose pruning.
+
+Defined cases: a component beyond a 64-bit integer counts as the largest or smallest
+one; a score beyond one is given as such, and ranked by its exact value; rows with a null id, a null vector, an empty one or one with a
 null or non-finite component take no part; vectors of another length than the
 query's are no candidates for it; rows with the same id are rows of their own;
 equal scores go to the smaller id. Other columns are not looked at.
@@ -26,6 +32,7 @@ equal scores go to the smaller id. Other columns are not looked at.
 from __future__ import annotations
 
 import heapq
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -95,27 +102,52 @@ class Tree:
 class Best:
     """The k best (score, smaller id first) so far, and the bound that they set on the distance."""
 
-    def __init__(self, k: int, start: float, reach: float):
+    def __init__(self, k: int, start: float, reach: float, dim: int = 0):
         self.k, self.reach, self.bound_score = k, reach, start
+        self.slack = 1e-3 + 4e-7 * float(np.sqrt((dim + 1) * reach))  # several times the rounding of a distance
         self.score = np.zeros(0, np.int64)
         self.vec, self.row = self.score, self.score
         self._set()
 
     def _set(self) -> None:
-        self.bound = np.sqrt(max(self.reach - 2 * self.bound_score, 0.0)) * (1 + 1e-9) + 1e-3
+        self.bound = np.sqrt(max(self.reach * (1 + 1e-12) - 2 * self.bound_score, 0.0)) * (1 + 1e-9) + self.slack
 
     def add(self, score: np.ndarray, vec: np.ndarray, row: np.ndarray) -> None:
         score, vec, row = (np.concatenate(x) for x in ((self.score, score), (self.vec, vec), (self.row, row)))
-        kept = np.lexsort([row, vec, -score])[: self.k]
+        if score.dtype == object:
+            kept = sorted(range(len(score)), key=lambda i: (-score[i], vec[i], row[i]))[: self.k]
+        else:
+            kept = np.lexsort([row, vec, -score])[: self.k]
         self.score, self.vec, self.row = score[kept], vec[kept], row[kept]
         if len(kept) == self.k and self.score[-1] > self.bound_score:
             self.bound_score = float(self.score[-1])
             self._set()
 
 
+IN_DOUBLES, IN_LONGS = 2.0**52, 2.0**62
+
+
+def inner_products(vectors: np.ndarray, query: np.ndarray, size: float) -> np.ndarray:
+    """Exact inner products, of absolute value up to ``size``, of whole vectors with a whole query."""
+    if size < IN_DOUBLES:
+        return (vectors.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
+    if size < IN_LONGS:
+        return vectors.astype(np.int64) @ query.astype(np.int64)
+    own = query.tolist()
+    return np.array([*(sum(map(mul, v, own)) for v in vectors.tolist()), None], object)[:-1]
+
+
+def _sortable(scores: np.ndarray) -> tuple[list, list, list, list]:
+    """Scores as 64-bit integers, and in three parts whose order is that of the exact scores."""
+    exact, low = [int(s) for s in scores], (1 << 62) - 1
+    given = [min(max(s, -(1 << 63)), (1 << 63) - 1) for s in exact]
+    return given, [s >> 124 for s in exact], [s >> 62 & low for s in exact], [s & low for s in exact]
+
+
 def search(query: np.ndarray, own_row: int, trees: list[tuple], best: Best) -> int:
     """Best-first through trees given as (tree, vectors, ids, rows), vectors in tree order; number of distances computed."""
-    point = np.append(query, 0.0)
+    point = np.append(query.astype(np.float64), 0.0)
+    size = best.reach  # |q|^2 + M^2 is at least twice any inner product
     computed = 0
 
     def away(centres: np.ndarray) -> np.ndarray:
@@ -138,7 +170,7 @@ def search(query: np.ndarray, own_row: int, trees: list[tuple], best: Best) -> i
             near = near[rows[near] != own_row]
             if len(near):
                 computed += len(near)
-                best.add((vectors[near] @ query).astype(np.int64), ids[near], rows[near])
+                best.add(inner_products(vectors[near], query, size), ids[near], rows[near])
             continue
         skip = np.abs(tree.parent[a:b] - d) - tree.radius[a:b]
         near = a + np.flatnonzero(skip <= best.bound)
@@ -169,7 +201,7 @@ def _grown(longest: dict):
                 "radius": pa.array([tree.radius.tobytes()]),
                 "parent": pa.array([tree.parent.tobytes()]),
                 "to_centre": pa.array([tree.to_centre.tobytes()]),
-                "vectors": pa.array([vectors[tree.order].tobytes()]),
+                "vectors": pa.array([np.array(table.column("v").to_pylist(), np.int64)[tree.order].tobytes()]),
                 "ids": pa.array([table.column("vec_id").to_numpy()[tree.order].tobytes()]),
                 "rows": pa.array([table.column("row").to_numpy()[tree.order].tobytes()]),
             }
@@ -190,24 +222,27 @@ def _read_tree(row: dict) -> tuple:
         setattr(tree, name, np.frombuffer(row[name]))
     tree.centre = np.frombuffer(row["centre"]).reshape(len(tree.radius), -1)
     tree.first, tree.last, tree.leaf = row["shape"]["first"], row["shape"]["last"], row["shape"]["leaf"]
-    vectors = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
+    vectors = np.frombuffer(row["vectors"], np.int64).reshape(-1, row["dim"])
     return tree, vectors, np.frombuffer(row["ids"], np.int64), np.frombuffer(row["rows"], np.int64)
 
 
+FOUND = ("query_id", "query_row", "vec_id", "score", "high", "middle", "low")
+
+
 def _answered(k: int, longest: dict):
     def run(trees: pa.Table, queries: pa.Table) -> pa.Table:
         read = [_read_tree(row) for row in trees.to_pylist()]
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[] for _ in FOUND]
         if read:
             for q in queries.to_pylist():
-                query = np.array(q["v"], np.float64)
-                best = Best(k, q["start"], float(query @ query) + longest[q["dim"]])
+                query = np.array(q["v"], np.int64)
+                length = float((query.astype(np.float64) ** 2).sum())
+                best = Best(k, q["start"], length + longest[q["dim"]], q["dim"])
                 search(query, q["row"], read, best)
-                out[0] += [q["vec_id"]] * len(best.score)
-                out[1] += [q["row"]] * len(best.score)
-                out[2] += best.vec.tolist()
-                out[3] += best.score.tolist()
-        return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(("query_id", "query_row", "vec_id", "score"), out)})
+                same = [[q[c]] * len(best.score) for c in ("vec_id", "row")]
+                for column, values in zip(out, [*same, best.vec.tolist(), *_sortable(best.score)]):
+                    column += values
+        return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(FOUND, out)})
 
     return run
 
@@ -230,7 +265,8 @@ def _placed(pivots: dict, sample: dict, trees: dict, k: int):
                     own, of = sample[dim]
                     scores = of[own != row] @ v
                     if len(scores) >= k:
-                        bound = float(np.partition(scores, -k)[-k])
+                        rounding = 1e-9 * float(v @ v + (of * of).sum(1).max())
+                        bound = float(np.partition(scores, -k)[-k]) - (rounding if rounding >= 1 else 0.0)
                 start.append(bound)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree, pa.int64()), pa.array(start)], names=[*batch.schema.names, "tree", "start"])
 
@@ -253,10 +289,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP) -> DataFrame:
         .withColumn("row", F.monotonically_increasing_id()),
         "vectors",
     )
-    length = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
+    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     longest = {r.dim: float(r.m) for r in table.groupBy("dim").agg(F.max(length).alias("m")).collect()}
-    if max(longest.values(), default=0.0) >= 2**53:
-        raise ValueError("inner products of these vectors do not fit exact arithmetic")
     by_hash = Window.partitionBy("dim").orderBy(F.xxhash64("row"), "row")
     bounded = table.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= SAMPLE).select("dim", "row", "v").collect()
     sample = {}
@@ -281,7 +315,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP) -> DataFrame:
     found = (
         by_tree.groupBy("g", "b", "dim")
         .cogroup(by_query.groupBy("g", "b", "dim"))
-        .applyInArrow(_answered(k, longest), "query_id long, query_row long, vec_id long, score long")
+        .applyInArrow(_answered(k, longest), ", ".join(f"{c} long" for c in FOUND))
     )
-    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.desc("high"), F.desc("middle"), F.desc("low"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

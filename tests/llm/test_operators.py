@@ -463,6 +463,27 @@ def test_top_k_with_ties_duplicates_and_odd_vectors(spark):
     assert metric_search.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def _exact_top(rows, every, k=10):
+    """Top k by Python's integers."""
+    good = [(i, [max(min(math.floor(1024 * x), 2**63 - 1), -(2**63)) for x in v]) for i, v in rows]
+    want = []
+    for a, (i, v) in enumerate(good):
+        if i % every == 0:
+            found = sorted((-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(good) if a != b)[:k]
+            want += [(i, n, j, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, j) in enumerate(found, 1)]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("scale", [1e5, 3e6, 1e12, 1e300])
+def test_top_k_of_large_components_is_exact(spark, scale):
+    """Products past 2 ** 53, 2 ** 63 and 2 ** 126, beside ordinary vectors and with ties."""
+    own = np.random.default_rng(8)
+    rows = [(i, own.normal(0, scale, 4).tolist()) for i in range(120)] + [(i, own.normal(0, 1, 4).tolist()) for i in range(120, 200)]
+    rows += [(200 + i, rows[i][1]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>").repartition(3)
+    assert sorted(map(tuple, metric_search.top_k(df, F.col("vec_id") % 20 == 0).collect())) == _exact_top(rows, 20)
+
+
 def test_search_skips_distances():
     own = np.random.default_rng(6)
     centres = own.normal(0, 500, (20, 8))
