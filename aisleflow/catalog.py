@@ -7,6 +7,7 @@ on their order in the last digits.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -196,6 +197,24 @@ def stream_legacy(spark, d):
     return stream.product("dailyVisit")
 
 
+@query
+def stream_mixed_generations(spark, d):
+    """Visits and sales of one stream whose batches hold lines of all three generations."""
+    three = [star.message_lines(spark, d), star.string_id_lines(spark, d), star.legacy_lines(spark, d)]
+    lines = reduce(DataFrame.unionAll, three)
+    part = lambda n: lines.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
+    stream = RetailStream(spark, work_folder(spark, "mixed"), _dims(spark, d), generation=messages.MIXED)
+    stream.process(part(0), 0)
+    stream.process(part(1), 1)
+    visits = stream.product("dailyVisit").select(
+        F.lit("visits").alias("product"), "orgId", "storeId", "time", F.col("userId").alias("key"), F.col("VisitCount").alias("n")
+    )
+    sold = stream.product("dailyCategorySaleWithCountAgg").select(
+        F.lit("units").alias("product"), "orgId", "storeId", "time", F.col("categoryId").alias("key"), F.col("saleCountAgg").alias("n")
+    )
+    return visits.unionAll(sold)
+
+
 @query
 def stream_footfall_30s(spark, d):
     """Footfall per rack and 30 seconds, of buckets that closed behind the watermark."""

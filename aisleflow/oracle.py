@@ -218,6 +218,13 @@ _SELECTS = {
     },
     "stream_legacy": f"SELECT 'org1' AS orgId, 's' || storeId AS storeId, {DAY} AS time, 'u' || userId AS userId, "
                      "count(*) AS VisitCount FROM loc GROUP BY ALL",
+    "stream_mixed_generations": f"SELECT 'visits' AS product, orgId, storeId, {DAY} AS time, userId AS key, count(*) AS n FROM ("
+                                "SELECT orgId::VARCHAR AS orgId, storeId::VARCHAR AS storeId, userId, createdStamp FROM entries "
+                                "UNION ALL SELECT CASE WHEN CAST(eventId AS BIGINT) % 2 = 0 THEN '1' ELSE 'org1' END, "
+                                "storeId::VARCHAR, 'u' || userId, createdStamp FROM loc "
+                                "UNION ALL SELECT 'org1', 's' || storeId, 'u' || userId, createdStamp FROM loc) GROUP BY ALL "
+                                f"UNION ALL SELECT 'units', orgId::VARCHAR, storeId::VARCHAR, {DAY}, categoryId::VARCHAR, "
+                                f"CAST(sum(quantity) AS BIGINT) FROM {KNOWN_BUY} GROUP BY ALL",
     "stream_footfall_30s": "SELECT * FROM (SELECT rackId, time_bucket(INTERVAL 30 SECOND, createdStamp) AS bucket, "
                            "count(*) AS footfall FROM loc GROUP BY rackId, bucket) WHERE bucket + INTERVAL 90 SECOND "
                            "<= (SELECT date_trunc('second', max(createdStamp)) FROM loc)",

@@ -39,12 +39,14 @@ class Generation:
     """One generation of messages: the payload fields of its two event types, and whether ids are text.
 
     The oldest one has an envelope and names of its own; they are read into those of the text ids.
+    Where generations are mixed each line is read by its own envelope, and ids are text.
     """
 
     location: str
     checkout: str
     text_ids: bool = False
     oldest: bool = False
+    mixed: bool = False
 
     def fields(self, event_type: str) -> str:
         return self.location if event_type == LOCATION_EVENT else self.checkout
@@ -53,7 +55,8 @@ class Generation:
 CURRENT = Generation(LOCATION_FIELDS, CHECKOUT_FIELDS)
 STRING_IDS = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS, text_ids=True)
 LEGACY = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS, text_ids=True, oldest=True)
-GENERATIONS = {"current": CURRENT, "string-ids": STRING_IDS, "legacy": LEGACY}
+MIXED = Generation(STRING_LOCATION_FIELDS, STRING_CHECKOUT_FIELDS, text_ids=True, mixed=True)
+GENERATIONS = {"current": CURRENT, "string-ids": STRING_IDS, "legacy": LEGACY, "mixed": MIXED}
 
 # Column of a parsed line that holds the payload of an event type.
 PAYLOAD = {LOCATION_EVENT: "location", CHECKOUT_EVENT: "checkout"}
@@ -99,17 +102,12 @@ def parse_messages(lines: DataFrame, generation: Generation = CURRENT) -> DataFr
     filled = lines.filter(F.trim("value") != "")
     head = F.from_json("value", f"eventType STRING, {CORRUPT} STRING", JSON_OPTIONS).alias("head")
     typed = filled.select("value", _computed_once(head)).select("value", "head.*")
-    if generation.oldest:
-        parsed = _oldest_payloads(typed)
+    if generation.mixed:
+        parsed = _mixed_payloads(typed)
+    elif generation.oldest:
+        parsed = _oldest_payloads(typed, F.col("value"))
     else:
-        payloads = [
-            F.when(
-                F.col("eventType") == event_type,
-                F.from_json("value", _envelope(generation.fields(event_type)), JSON_OPTIONS),
-            ).alias(column)
-            for event_type, column in PAYLOAD.items()
-        ]
-        parsed = typed.select("value", "eventType", CORRUPT, _computed_once(*payloads))
+        parsed = _payloads(typed, generation)
     return parsed.select(
         "value",
         "eventType",
@@ -118,14 +116,41 @@ def parse_messages(lines: DataFrame, generation: Generation = CURRENT) -> DataFr
     )
 
 
-def _oldest_payloads(typed: DataFrame) -> DataFrame:
-    """Payloads of the oldest generation under the names of the text-id one.
+def _payloads(typed: DataFrame, generation: Generation) -> DataFrame:
+    payloads = [
+        F.when(
+            F.col("eventType") == event_type,
+            F.from_json("value", _envelope(generation.fields(event_type)), JSON_OPTIONS),
+        ).alias(column)
+        for event_type, column in PAYLOAD.items()
+    ]
+    return typed.select("value", "eventType", CORRUPT, _computed_once(*payloads))
+
+
+def _mixed_payloads(typed: DataFrame) -> DataFrame:
+    """Payloads of lines of all generations under the names of the text-id one.
+
+    Current messages have the same names, so their numbers are read as text. Only a line that
+    holds no payload by these names is read a second time, as one of the oldest generation.
+    """
+    newer = _payloads(typed, MIXED).select("value", "eventType", CORRUPT, F.struct(*PAYLOAD.values()).alias("newer"))
+    found = [F.col(f"newer.{c}.{part}").isNotNull() for c in PAYLOAD.values() for part in ("event", CORRUPT)]
+    left = F.when(~reduce(lambda a, b: a | b, found), F.col("value"))
+    read = _oldest_payloads(newer, left)
+    return read.select(
+        "value", "eventType", CORRUPT,
+        *[F.when(left.isNull(), F.col(f"newer.{c}")).otherwise(F.col(c)).alias(c) for c in PAYLOAD.values()],
+    )
+
+
+def _oldest_payloads(typed: DataFrame, text: Column) -> DataFrame:
+    """Payloads of the oldest generation, read from ``text``, under the names of the text-id one.
 
     Its location events all mark an entry, its cart becomes the order items.
     """
-    own = F.from_json("value", f"Event STRUCT<{LEGACY_FIELDS}>, {CORRUPT} STRING", JSON_OPTIONS).alias("m")
-    other = F.from_json("value", f"Event STRUCT<{LEGACY_OTHER_TIME}>", JSON_OPTIONS)["Event"]["checkOuttime"].alias("late")
-    read = typed.select("value", "eventType", CORRUPT, _computed_once(own, other))
+    own = F.from_json(text, f"Event STRUCT<{LEGACY_FIELDS}>, {CORRUPT} STRING", JSON_OPTIONS).alias("m")
+    other = F.from_json(text, f"Event STRUCT<{LEGACY_OTHER_TIME}>", JSON_OPTIONS)["Event"]["checkOuttime"].alias("late")
+    read = typed.select("*", _computed_once(own, other))
     m = F.col("m.Event")
     given = {
         LOCATION_EVENT: {"locEventType": F.lit("0"), "createdStamp": m["time"]},
@@ -147,7 +172,7 @@ def _oldest_payloads(typed: DataFrame) -> DataFrame:
         event = F.when(m.isNotNull(), _named(fields, None, {**has, **given[event_type]}))
         payload = F.struct(event.alias("event"), F.col(f"m.{CORRUPT}").alias(CORRUPT))
         columns.append(F.when(F.col("eventType") == event_type, payload).alias(column))
-    return read.select("value", "eventType", CORRUPT, *columns)
+    return read.select(*typed.columns, *columns)
 
 
 def _named(fields: str, inside: str | None, values: dict[str, Column]) -> Column:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aisleflow.plans import conversion, footfall, sales, visitors
-from aisleflow.sources.events import LEGACY, STRING_IDS, checkout_rows, location_rows, parse_messages
+from aisleflow.sources.events import LEGACY, MIXED, STRING_IDS, checkout_rows, location_rows, parse_messages
 from aisleflow.sources.streams import read_event_stream
 from aisleflow.streaming.retail import RetailStream, dead_letters, distinct_daily_visitors, footfall_30s_counts, raw_messages, write_complete
 from tests.conftest import checkout, leading_zeros, lines_frame, location, rows, two_days, two_users_one_day
@@ -219,6 +219,52 @@ def test_oldest_generation(spark, tmp_path):
     assert sorted(p for _, p in rows(dead_letters(spark, stream.root))) == ["missing field", "no payload", "unreadable"]
 
 
+def test_lines_of_three_generations_in_one_batch(spark, tmp_path):
+    """Each line is read by its own envelope; numbers become text and lose leading zeros."""
+    dims = spark.createDataFrame([("2", "4", "Four"), ("shelf5", "tea", "Tea")], "rackId STRING, categoryId STRING, categoryName STRING")
+    oldest = lambda event: '{"eventType":"%s","Event":{"userId":"kim","orgId":"north","storeId":"k2",%s}}' % event
+    lines = [
+        location("ann", 2, "2019-08-20 09:00:00", org="07"),
+        checkout("ann", [(10, 4, 3, 2.5)], "2019-08-20 09:30:00", org="07"),
+        text_location("north", "kim", "shelf5"),
+        oldest(("LocationEvent", '"rackId":"shelf5","time":"2019-08-20 17:00:01"')),
+        oldest(("CheckOutEvent", '"orderId":"b7","cart":[{"productId":"sku","quantity":5,"categoryId":"tea","price":"3.75"}],"checkOuttime":"2019-08-20 16:30:00"')),
+    ]
+    bad = [
+        "noise",
+        '{"eventType":"LocationEvent"}',
+        '{"eventType":"LocationEvent","Event":{"userId":"x"}}',
+        oldest(("LocationEvent", '"rackId":"r","time":"some day"')),
+        location("ann", 2, "some day"),
+        checkout("ann", [], "2019-08-20 09:30:00").replace('"orderItems":[]', '"orderItems":[{"productId":"p","categoryId":"c","quantity":"many"}]'),
+    ]
+    stream = RetailStream(spark, str(tmp_path), dims, generation=MIXED)
+    for _ in range(2):
+        stream.process(lines_frame(spark, lines + bad + ['{"eventType":"Heartbeat","Event":{}}']), 0)
+    assert rows(stream.product("dailyCategoryFootfall"), "orgId", "storeId", "categoryId", "footfallCount") == [
+        ("7", "1", "4", 1), ("north", "k2", "tea", 2)
+    ]
+    assert rows(stream.product("dailyCategorySaleWithCountAgg"), "orgId", "categoryId", "saleAmountAgg", "saleCountAgg") == [
+        ("7", "4", 7.5, 3), ("north", "tea", 18.75, 5)
+    ]
+    assert rows(stream.product("dailyVisit"), "userId", "VisitCount") == [("ann", 1), ("kim", 2)]
+    problems = {v: p for v, p in rows(dead_letters(spark, stream.root))}
+    assert [problems.get(line) for line in bad] == [
+        "unreadable", "no payload", "missing field", "unreadable", "unreadable", "bad item"
+    ]
+    assert len(problems) == len(bad)
+
+
+@pytest.mark.parametrize("generation, lines", [(LEGACY, "legacy_lines"), (STRING_IDS, "string_id_lines")])
+def test_a_mixed_stream_reads_one_generation_as_its_own_does(spark, generation, lines):
+    from aisleflow.sources import star_schema
+
+    text = getattr(star_schema, lines)(spark, "/root/testdata/sf0.001")
+    own, mixed = parse_messages(text, generation), parse_messages(text, MIXED)
+    assert own.columns == mixed.columns
+    assert own.exceptAll(mixed).count() == mixed.exceptAll(own).count() == 0
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_any_dealing_of_messages_to_batches_gives_the_same_products(spark, tmp_path, dims, seed):
     """Messages in random batches, some batches run twice, products as of one batch over all of them."""
