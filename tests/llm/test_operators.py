@@ -4,6 +4,7 @@ import math
 import random
 import time
 import zlib
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -600,6 +601,63 @@ def changed(text, edits, seed):
     return " ".join(words)
 
 
+def pairs_alike(texts, least=0.8):
+    """All pairs of indexes of texts whose shingles align to ``least`` or more, by prefix filter and plain alignment."""
+    memo = WordHashes()
+    grams = [near_copies.shingles(memo.of(near_copies.words_of(t.encode()))).tolist() for t in texts]
+    often = Counter(g for own in grams for g in own)
+    holders, pairs = {}, set()
+    for b, own in enumerate(grams):
+        place = {g: k for k, g in enumerate(own)}
+        rarest = sorted(own, key=lambda g: (often[g], g))[: len(own) - math.ceil(least * len(own) - 1e-9) + 1]
+        for a in {a for g in rarest for a in holders.get(g, ())}:
+            tails = []
+            for k in (place[g] for g in grams[a] if g in place):
+                at = bisect_left(tails, k)
+                tails[at : at + 1] = [k]
+            if len(tails) >= least * (len(own) + len(grams[a]) - len(tails)) - 1e-9:
+                pairs.add((a, b))
+        for g in rarest:
+            holders.setdefault(g, []).append(b)
+    return pairs
+
+
+def test_no_pair_of_a_whole_table_is_lost(spark):
+    """Every pair of different texts of 0.8 or more is in one class, and a class holds nothing that such pairs do not connect."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").filter("text is not null").collect()
+    texts = list(dict.fromkeys(r.text for r in docs))
+    pairs = pairs_alike(texts)
+    number = {t: k for k, t in enumerate(texts)}
+    class_of = {r.doc_id: r.class_id for r in QUERIES["op10_near_copies"](spark, sf).collect()}
+    found = {number[r.text]: class_of[r.doc_id] for r in docs}
+    together = sum(found[a] == found[b] for a, b in pairs)
+    print(f"{len(docs)} documents, {len(texts)} texts, {len(pairs)} pairs, {together} of them in one class")
+    assert pairs and together >= 0.9 * len(pairs)
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    groups = {}
+    for k, c in found.items():
+        groups.setdefault(c, set()).add(find(k))
+    assert all(len(g) == 1 for g in groups.values())
+
+
+def test_pairs_alike_equal_the_aligned_comparison_of_all():
+    texts = [changed(text_of(s % 3, 40 + s), s % 4, s) for s in range(12)] + ["a b c d e f g h", "x a b c d e f g h", "a b", "a b"]
+    memo = WordHashes()
+    grams = [near_copies.shingles(memo.of(near_copies.words_of(t.encode()))) for t in texts]
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if near_copies.similarity(grams[a], grams[b]) >= 0.8}
+    assert pairs_alike(texts) == want
+
+
 def test_classes_equal_all_pairs(spark):
     base = [text_of(s, 150) for s in range(6)]
     rows = [(100 + i, t) for i, t in enumerate(base)]
