@@ -7,7 +7,6 @@ on their order in the last digits.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -76,26 +75,39 @@ def _events(spark, d):
 _streamed: dict[tuple[str, str], RetailStream] = {}
 
 
+def _files_per_quarter(spark) -> int:
+    """So many files that four times as many keep all cores busy."""
+    return -(-spark.sparkContext.defaultParallelism // 4)
+
+
 def _message_folder(spark, d) -> str:
-    """Message lines as several text files, as a folder would receive them."""
+    """Message lines as four times ``_files_per_quarter`` text files, as a folder would receive them."""
     folder = work_folder(spark, "messages")
-    star.message_lines(spark, d).repartition(4).write.text(folder)
+    star.message_lines(spark, d, 4 * _files_per_quarter(spark)).write.text(folder)
     return folder
 
 
+def _dealt(spark, lines: DataFrame, n: int) -> list[DataFrame]:
+    """Lines in n parts by their hash, made once and stored for all of them."""
+    folder = work_folder(spark, "dealt")
+    lines.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(n)).cast("int")).write.partitionBy("part").parquet(folder)
+    stored = read_table(spark, folder, "value STRING, part INT")
+    return [stored.filter(F.col("part") == k).select("value") for k in range(n)]
+
+
 def _stream(spark, d) -> RetailStream:
-    """The retail stream run over all messages, two files a batch; once per session and folder."""
+    """The retail stream run over all messages, half of the files a batch; once per session and folder."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _streamed:
         root = work_folder(spark, "retail")
         events = f"{root}/events"
         whole_seconds = F.substring(F.col("createdStamp").cast("string"), 1, 19).cast("timestamp_ntz")
-        star.location_events(spark, d).withColumn("createdStamp", whole_seconds).write.parquet(events)
+        star.to_location_events(star.spread_events(spark, d)).withColumn("createdStamp", whole_seconds).write.parquet(events)
         dims = load_dimensions(star.racks(spark, d), star.category(spark, d))
         stream = RetailStream(
             spark, root, dims, events_path=events, indicators=star.rack_indicators(spark, d), monthly=True
         )
-        lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=2)
+        lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=2 * _files_per_quarter(spark))
         stream.start(lines, available_now=True).awaitTermination()
         _streamed[key] = stream
     return _streamed[key]
@@ -128,7 +140,7 @@ def micro_batch(spark, d):
         counts = messages.event_type(lines).groupBy("eventType").count()
         counts.write.mode("overwrite").parquet(f"{root}/counts/batch_id={batch_id}")
 
-    lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=1)
+    lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=_files_per_quarter(spark))
     for_each_batch(lines, count_types, f"{root}/checkpoint", available_now=True).awaitTermination()
     counts = read_table(spark, f"{root}/counts", "eventType STRING, count BIGINT, batch_id BIGINT")
     return counts.groupBy("eventType").agg(F.sum("count").alias("lines"))
@@ -158,15 +170,14 @@ def stream_string_ids(spark, d):
 @query
 def stream_compacted_replay(spark, d):
     """Visits after two batches, a compaction, the second batch again, and a third one."""
-    lines = star.message_lines(spark, d)
-    part = lambda n: lines.filter(F.pmod(F.xxhash64("value"), F.lit(3)) == n)
+    parts = _dealt(spark, star.message_lines(spark, d), 3)
     root = work_folder(spark, "compacted")
     stream = RetailStream(spark, root, _dims(spark, d))
-    stream.process(part(0), 0)
-    stream.process(part(1), 1)
+    stream.process(parts[0], 0)
+    stream.process(parts[1], 1)
     stream = stream.compact(1, f"{root}/state-2")
-    stream.process(part(1), 1)
-    stream.process(part(2), 2)
+    stream.process(parts[1], 1)
+    stream.process(parts[2], 2)
     return stream.product("dailyVisit")
 
 
@@ -189,23 +200,18 @@ def stream_monthly_new_visitors(spark, d):
 @query
 def stream_legacy(spark, d):
     """Visits from messages of the oldest generation, in two batches."""
-    lines = star.legacy_lines(spark, d)
-    part = lambda n: lines.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
     stream = RetailStream(spark, work_folder(spark, "oldest"), _dims(spark, d), generation=messages.LEGACY)
-    stream.process(part(0), 0)
-    stream.process(part(1), 1)
+    for batch_id, part in enumerate(_dealt(spark, star.legacy_lines(spark, d), 2)):
+        stream.process(part, batch_id)
     return stream.product("dailyVisit")
 
 
 @query
 def stream_mixed_generations(spark, d):
     """Visits and sales of one stream whose batches hold lines of all three generations."""
-    three = [star.message_lines(spark, d), star.string_id_lines(spark, d), star.legacy_lines(spark, d)]
-    lines = reduce(DataFrame.unionAll, three)
-    part = lambda n: lines.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
     stream = RetailStream(spark, work_folder(spark, "mixed"), _dims(spark, d), generation=messages.MIXED)
-    stream.process(part(0), 0)
-    stream.process(part(1), 1)
+    for batch_id, part in enumerate(_dealt(spark, star.mixed_lines(spark, d), 2)):
+        stream.process(part, batch_id)
     visits = stream.product("dailyVisit").select(
         F.lit("visits").alias("product"), "orgId", "storeId", "time", F.col("userId").alias("key"), F.col("VisitCount").alias("n")
     )
@@ -237,8 +243,8 @@ def stream_distinct_visitors(spark, d):
     """Distinct visitors per store and day, of messages that all come twice, by native streaming distinct."""
     root = work_folder(spark, "distinct")
     folder = f"{root}/messages"
-    lines = star.message_lines(spark, d)
-    lines.unionAll(lines).repartition(4).write.text(folder)
+    twice = F.explode(F.array(F.col("value"), F.col("value"))).alias("value")
+    star.message_lines(spark, d, 4 * _files_per_quarter(spark)).select(twice).write.text(folder)
     counts = distinct_daily_visitors(messages.parse_location_events(read_event_stream(spark, folder)))
     write_complete(counts, f"{root}/counts", f"{root}/checkpoint", available_now=True).awaitTermination()
     return read_table(spark, f"{root}/counts", "orgId INT, storeId INT, time TIMESTAMP_NTZ, visitors BIGINT")
@@ -248,7 +254,7 @@ def stream_distinct_visitors(spark, d):
 def stream_chained(spark, d):
     """Visits per user and day by a second stream, which reads the archive that the first one writes."""
     stream = RetailStream(spark, work_folder(spark, "chained"), _dims(spark, d))
-    lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=2)
+    lines = read_event_stream(spark, _message_folder(spark, d), max_files_per_trigger=2 * _files_per_quarter(spark))
     stream.start_archive(lines, available_now=True).awaitTermination()
     stream.start_from_archive(available_now=True).awaitTermination()
     return stream.product("dailyVisit")

@@ -34,6 +34,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_events(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """Events dealt evenly over tasks, for costly work on each row.
+
+    A file is read by no more tasks than it has row groups, which may be one. Adaptive execution
+    finds the number of parts unless it is given; the ids may be null or repeated, so the time helps to deal.
+    """
+    keys = ["event_id", "user_id", "ts"]
+    events = table(spark, sf_dir, "events")
+    return events.repartition(parts, *keys) if parts else events.repartition(*keys)
+
+
 def split_time(df: DataFrame, day: str = EVENTS_SPLIT) -> tuple[DataFrame, DataFrame]:
     """Rows before the day and rows from it on."""
     start = F.lit(day).cast("timestamp_ntz")
@@ -65,8 +76,11 @@ def category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def location_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").filter(F.col("event_type") != "purchase")
-    return events.select(
+    return to_location_events(table(spark, sf_dir, "events"))
+
+
+def to_location_events(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("event_type") != "purchase").select(
         F.col("event_id").cast("string").alias("eventId"),
         F.lit(ORG).alias("orgId"),
         _store("event_id").alias("storeId"),
@@ -221,9 +235,8 @@ def _second() -> Column:
     return F.substring(F.col("ts").cast("string"), 1, 19)
 
 
-def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as the JSON lines tills and sensors send, ids with leading zeros."""
-    events = table(spark, sf_dir, "events")
+def _message_line() -> Column:
+    """The line of an event as tills and sensors send it."""
     head = (
         '"userId":"', F.col("user_id").cast("string"), '","orgId":0', F.lit(str(ORG)),
         ',"storeId":', _store("event_id").cast("string"),
@@ -242,12 +255,17 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ',"discountApplied":0.0,"createdStamp":"', _second(), '"}],"invoiceAmount":', price,
         ',"invoiceQuantity":1,"createdStamp":"', _second(), '"},"eventType":"CheckOutEvent"}',
     )
-    return events.select(F.when(F.col("event_type") == "purchase", checkout).otherwise(location).alias("value"))
+    return F.when(F.col("event_type") == "purchase", checkout).otherwise(location)
+
+
+def message_lines(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """Events as the JSON lines tills and sensors send, ids with leading zeros."""
+    return spread_events(spark, sf_dir, parts).select(_message_line().alias("value"))
 
 
 def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message lines of which most are unusable, each in one of seven ways by event id."""
-    events = table(spark, sf_dir, "events")
+    events = spread_events(spark, sf_dir)
     event_id = F.col("event_id").cast("string")
     good = _json(
         '{"eventType":"LocationEvent","event":{"eventId":', event_id,
@@ -267,9 +285,8 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(line.alias("value"))
 
 
-def string_id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location events and checkouts of the string-id generation; some ids are no numbers."""
-    events = table(spark, sf_dir, "events")
+def _string_id_line() -> Column:
+    """The line of an event in the string-id generation."""
     org = F.when(F.col("event_id") % 2 == 0, "1").otherwise("org1")
     head = (
         '"userId":"u', F.col("user_id").cast("string"), '","orgId":"', org,
@@ -285,12 +302,16 @@ def string_id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         '","quantity":"2","unitPrice":', F.col("value").cast("decimal(18,2)").cast("string"),
         '}],"createdStamp":"', _second(), '"}}',
     )
-    return events.select(F.when(F.col("event_type") == "purchase", checkout).otherwise(location).alias("value"))
+    return F.when(F.col("event_type") == "purchase", checkout).otherwise(location)
 
 
-def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location events and checkouts of the oldest generation, in both time spellings."""
-    events = table(spark, sf_dir, "events")
+def string_id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location events and checkouts of the string-id generation; some ids are no numbers."""
+    return spread_events(spark, sf_dir).select(_string_id_line().alias("value"))
+
+
+def _legacy_line() -> Column:
+    """The line of an event in the oldest generation."""
     head = (
         '"userId":"u', F.col("user_id").cast("string"), '","orgId":"org1","storeId":"s',
         _store("event_id").cast("string"), '"',
@@ -305,7 +326,18 @@ def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         '","cart":[{"productId":"p', _k().cast("string"), '","quantity":2,"categoryId":"c1","price":',
         F.col("value").cast("decimal(18,2)").cast("string"), '}],"', spelling, '":"', _second(), '"}}',
     )
-    return events.select(F.when(F.col("event_type") == "purchase", checkout).otherwise(location).alias("value"))
+    return F.when(F.col("event_type") == "purchase", checkout).otherwise(location)
+
+
+def legacy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location events and checkouts of the oldest generation, in both time spellings."""
+    return spread_events(spark, sf_dir).select(_legacy_line().alias("value"))
+
+
+def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a line of all three generations, so that every task has as many of each."""
+    lines = F.array(_message_line(), _string_id_line(), _legacy_line())
+    return spread_events(spark, sf_dir).select(F.explode(lines).alias("value"))
 
 
 def visit_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:

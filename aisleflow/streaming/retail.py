@@ -37,6 +37,7 @@ from aisleflow.sources.tables import overwrite_table, read_table
 from aisleflow.streaming.state import DayState, FactView, StateLog, fact_rows, last_compacted, mark_compacted, only_days
 
 TRIGGER = "3 seconds"
+ARCHIVE_ROW_GROUP = 16 << 20  # bytes before compression
 
 INDICATOR_LOGS = ["userProfile", "userIndicatorPurchases"]
 
@@ -66,9 +67,13 @@ def for_each_batch(
 
 
 def archive_raw_messages(lines: DataFrame, root: str, batch_id: int) -> str:
-    """Keep every line as it came, before anything is parsed; gives the archive's folder."""
+    """Keep every line as it came, before anything is parsed; gives the archive's folder.
+
+    Small row groups let many tasks parse a large file.
+    """
     folder = f"{root}/message/batch_id={batch_id}"
-    lines.select(F.col("value").alias("msg")).write.mode("overwrite").parquet(folder)
+    kept = lines.select(F.col("value").alias("msg")).write.mode("overwrite")
+    kept.option("parquet.block.size", ARCHIVE_ROW_GROUP).parquet(folder)
     return folder
 
 
@@ -162,8 +167,12 @@ class RetailStream:
 
     def process_kept(self, lines: DataFrame, batch_id: int) -> None:
         """Products from lines that are archived already."""
-        parsed = parse_messages(lines, self.generation).persist()
+        parsed = parse_messages(lines, self.generation)
+        # Only dead letters need their text; the other lines are kept by their fields alone.
+        parsed = parsed.withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value"))).persist()
         try:
+            # One job alone parses and fills the cache; jobs side by side would wait for each other or parse twice.
+            self._write_dead_letters(parsed, batch_id)
             stamp = F.coalesce("location.createdStamp", "checkout.createdStamp")
             usable = parsed.filter(F.col("problem").isNull() & stamp.isNotNull())
             location, checkouts = self._events(parsed)
@@ -175,7 +184,6 @@ class RetailStream:
             found: list = []  # at most the calendar's days
             run_together(self.spark, [
                 lambda: found.extend(touched.collect()),
-                lambda: self._write_dead_letters(parsed, batch_id),
                 lambda: self.log("facts").write_batch(batch_facts(location, items, self.own_dims), batch_id),
                 *self._indicator_writes(items, batch_id),
             ])

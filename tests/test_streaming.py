@@ -375,3 +375,58 @@ def test_native_distinct_visitors_across_batches(spark, tmp_path):
     counts = distinct_daily_visitors(location_rows(parse_messages(lines)))
     write_complete(counts, str(tmp_path / "out"), str(tmp_path / "ckpt"), available_now=True).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")).select(F.dayofmonth("time"), "visitors")) == [(6, 2), (7, 2)]
+
+
+def test_messages_of_one_row_group_keep_all_cores_busy(spark):
+    """The events are one file of one row group; its lines are made, stored and read by as many tasks as there are cores."""
+    from aisleflow import catalog
+    from aisleflow.sources import star_schema
+
+    d = "/root/testdata/sf0.001"
+    folder = catalog._message_folder(spark, d)
+    written = [f for f in os.listdir(folder) if f.endswith(".txt") and os.path.getsize(f"{folder}/{f}")]
+    assert len(written) >= spark.sparkContext.defaultParallelism
+    assert spark.read.text(folder).exceptAll(star_schema.message_lines(spark, d)).count() == 0
+    assert spark.read.text(folder).count() == spark.read.parquet(f"{d}/events.parquet").count()
+
+
+def test_dealt_lines_are_whole(spark):
+    from aisleflow import catalog
+
+    lines = spark.createDataFrame([(t,) for t in ("a", "a", "b", "c", "", None, None)], "value STRING")
+    parts = [[r.value for r in part.collect()] for part in catalog._dealt(spark, lines, 3)]
+    assert sorted(sum(parts, []), key=str) == sorted(["a", "a", "b", "c", "", None, None], key=str)
+    assert sum("a" in part for part in parts) == 1
+
+
+def test_mixed_lines_are_those_of_each_generation(spark):
+    from aisleflow.sources import star_schema as star
+
+    d = "/root/testdata/sf0.001"
+    mixed, own = star.mixed_lines(spark, d), star.message_lines(spark, d).unionAll(star.string_id_lines(spark, d)).unionAll(star.legacy_lines(spark, d))
+    assert mixed.exceptAll(own).count() == own.exceptAll(mixed).count() == 0
+
+
+def test_a_large_archive_file_is_read_by_many_tasks(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from aisleflow.streaming.retail import archive_raw_messages
+
+    lines = spark.range(0, 400_000, 1, 1).select(F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2(F.col("id").cast("string"), 256)).alias("value"))
+    folder = archive_raw_messages(lines, str(tmp_path), 0)
+    file, = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert pq.ParquetFile(f"{folder}/{file}").metadata.num_row_groups >= 3
+    assert raw_messages(spark, str(tmp_path)).count() == 400_000
+
+
+def test_a_batch_parses_its_lines_in_one_job_before_the_others(spark, tmp_path, dims, monkeypatch):
+    """Jobs that run side by side find the parsed lines stored; before, each of them could parse."""
+    from aisleflow.streaming import retail
+
+    seen, together = [], retail.run_together
+    stored = lambda: sum(i.numCachedPartitions() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    before = stored()
+    monkeypatch.setattr(retail, "run_together", lambda s, jobs: (seen.append(stored() - before), together(s, jobs)))
+    RetailStream(spark, str(tmp_path), dims).process(lines_frame(spark, two_days() + ["no json"]), 0)
+    assert seen[0] > 0
+    assert [r.value for r in dead_letters(spark, str(tmp_path)).collect()] == ["no json"]
