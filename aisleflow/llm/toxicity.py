@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +63,7 @@ _NO_READING = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and
 
 def _symbols() -> np.ndarray:
     """The symbol of each byte of lower-cased text; anything but a-z and digits ends a word."""
-    table = np.zeros(256, np.int64)
+    table = np.zeros(256, np.uint8)
     table[ord("a") : ord("z") + 1] = np.arange(1, 27)
     table[ord("0") : ord("9") + 1] = DIGIT
     return table
@@ -76,12 +76,13 @@ def gram_counts(texts: list[str | None]) -> np.ndarray:
     """Counts of the runs of ORDER symbols of the texts; a word's first letters follow ends of words."""
     data = np.frombuffer((" " + " ".join(t.lower() for t in texts if t) + " ").encode("utf-8", "replace"), np.uint8)
     s = _SYMBOL[data]
-    s = s[np.concatenate([[True], (s[1:] != EDGE) | (s[:-1] != EDGE)])]  # one end between words
-    start = np.concatenate([[0], np.maximum.accumulate(np.where(s == EDGE, np.arange(len(s)), 0))[:-1]])  # the end before each place
-    code = s.copy()
+    s = s[np.concatenate([[True], (s[1:] != EDGE) | (s[:-1] != EDGE)])].astype(np.int32)  # one end between words
+    code, inside = s.copy(), s != EDGE
     for back in range(1, ORDER):
-        place = np.arange(len(s)) - back
-        code += np.where(place >= start, s[np.maximum(place, 0)], EDGE) * SYMBOLS**back
+        earlier = s[:-back]
+        for between in range(1, back):  # an end of a word hides what is before it
+            earlier = earlier * inside[between : len(s) - back + between]
+        code[back:] += earlier * SYMBOLS**back
     return np.bincount(code[1:], minlength=SYMBOLS**ORDER)
 
 
@@ -187,18 +188,22 @@ class Restorer(dict):
         """The words behind a written word, without a look at the memo."""
         if written.isalpha() and not _DOUBLED.search(written):
             return (written,)
-        core = _ORNAMENT.sub("", written.strip(_NO_READING)).strip(_NO_READING)
+        core = written.strip(_NO_READING)
+        if not core.isalpha():
+            core = _ORNAMENT.sub("", core).strip(_NO_READING)
         return tuple(restore(core, self.costs).split()) if disguised(core) else (core,) if core else ()
 
-    def written(self, text: str | None) -> list[tuple[str, int]]:
+    def written(self, text: str | None) -> Iterable[tuple[str, int]]:
         """Written words of a text with their counts; runs of single characters are words with blanks inside."""
         if not text:
-            return []
+            return ()
         text = text.lower()
         spaced = _SINGLE.findall(text)
         if spaced:
             text = _SINGLE.sub(" ", text)
-        return [*Counter(text.split()).items(), *Counter(spaced).items()]
+        counts = Counter(text.split())
+        counts.update(spaced)  # never among the others, which have no blanks
+        return counts.items()
 
     def words(self, text: str | None) -> list[tuple[str, int]]:
         """Restored words of a text and how often each written word they come from occurs."""
@@ -221,6 +226,9 @@ def features_of(word: str) -> list[str]:
 # --- learning -----------------------------------------------------------------
 
 
+NO_FEATURE: tuple[int, list[list[int]]] = (1, [])
+
+
 class Inputs(dict):
     """The model's inputs of a text: per chosen feature its share of the words, and two sums.
 
@@ -234,14 +242,23 @@ class Inputs(dict):
         self.heads = {f[: PREFIXES[0]] for f in features}
 
     def __missing__(self, written: str) -> tuple[int, list[list[int]]]:
-        words = self.restorer.run(written) if " " in written else self.restorer.plain(written)
-        some = [w for w in words if (w + "=")[: PREFIXES[0]] in self.heads]
-        value = len(words), [found for w in some if (found := [self.at[f] for f in features_of(w) if f in self.at])]
+        if written.isalpha() and not _DOUBLED.search(written):  # most words: what they are
+            value = self.of_word(written)
+        else:
+            words = self.restorer.run(written) if " " in written else self.restorer.plain(written)
+            value = len(words), [found for w in words for found in self.of_word(w)[1]]
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[written] = value
         return value
 
+    def of_word(self, word: str) -> tuple[int, list[list[int]]]:
+        """A word, and its chosen features if it has any."""
+        if (word if len(word) >= PREFIXES[0] else word + "=")[: PREFIXES[0]] not in self.heads:
+            return NO_FEATURE
+        found = [self.at[f] for f in features_of(word) if f in self.at]
+        return (1, [found]) if found else NO_FEATURE
+
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         counts: dict[int, int] = {}
         total = hits = 0

@@ -146,3 +146,35 @@ def test_without_labels_or_documents(spark):
     assert [r.score for r in toxicity.score(docs, toxicity.learn(docs, none, F.lit(True))).collect()] == [pytest.approx(0.5)]
     empty = docs.limit(0)
     assert toxicity.score(empty, toxicity.learn(empty, none, F.lit(True))).collect() == []
+
+
+def test_words_with_signs_around_them_take_no_search_for_ornaments(monkeypatch):
+    """A word that is letters once its outer signs are off is done with; texts have one in every sentence."""
+
+    class Never:
+        def sub(self, *_):
+            raise AssertionError("searched")
+
+    words = ["word.", "(word)", "word!!", "word,", "word***"]
+    restorer = toxicity.Restorer(np.zeros(28**4))
+    before = [restorer.plain(w) for w in words]
+    monkeypatch.setattr(toxicity, "_ORNAMENT", Never())
+    assert [restorer.plain(w) for w in words if w.strip(toxicity._NO_READING).isalpha()] == [b for w, b in zip(words, before) if w.strip(toxicity._NO_READING).isalpha()]
+
+
+@pytest.mark.parametrize("known", [3, 400])
+def test_inputs_are_those_of_the_restored_words(costs, known):
+    """The short way of plain words gives what restored words and all their features give."""
+    texts = ["idiot idiots, 1d10t!! a b.c ... i.d.i.o.t treelle", "plain words only", "", None, "42 !! x", "ab abc= abcd"]
+    restorer = toxicity.Restorer(costs)
+    every = [[(toxicity.features_of(w), n) for w, n in restorer.words(t)] for t in texts]
+    chosen = sorted({f for own in every for fs, _ in own for f in fs})[:known]
+    inputs, at = toxicity.Inputs(toxicity.Restorer(costs), chosen), {f: k for k, f in enumerate(chosen)}
+    for text, own in zip(texts, every):
+        total, shares = sum(n for _, n in own), {}
+        for features, n in own:
+            for f in features:
+                if f in at:
+                    shares[at[f]] = shares.get(at[f], 0) + n
+        slots, x = inputs.of(text)
+        assert {int(k): v for k, v in zip(slots[:-2], x[:-2])} == pytest.approx({k: math.sqrt(n / total) for k, n in shares.items()})
