@@ -10,9 +10,11 @@ to as many trees as their number asks for, so equal vectors in any number fill
 trees of one size. A tree has pages of nodes with a centre, a covering radius and
 the distance to the parent's centre; leaf pages hold vectors and their distance
 to the centre. Query blocks meet tree groups in the cells of a grid. In a cell
-each query goes through the pages of all trees best-first, by their lower bound
-on the distance, and ends when that exceeds the k-th best. Before a distance is
-computed, |d(q, parent) - d(child, parent)| minus the radius is tried. Each query
+the queries of a block go down the trees together: a node is met by those whose lower
+bound on the distance (by its radius, and by |d(q, parent) - d(child, parent)| minus the
+radius) does not exceed the k-th best, and leaf pages come nearest first. One product of
+matrices then gives the scores of a page for all queries that reach it. Queries whose scores
+may pass 2 ** 52 go through the pages of all trees one by one, best-first. Each query
 starts with the k-th best of a bounded sample of rows as its bound; it is reached
 by real rows, so nothing within the answer is ever cut. A window then merges the
 cells' answers.
@@ -183,6 +185,74 @@ def search(query: np.ndarray, own_row: int, trees: list[tuple], best: Best) -> i
     return computed
 
 
+class Bests:
+    """``Best`` of many queries, whose scores are whole numbers that doubles hold."""
+
+    def __init__(self, k: int, starts: np.ndarray, reaches: np.ndarray, dim: int):
+        self.k, self.reach, self.bound_score = k, reaches, starts.copy()
+        self.slack = 1e-3 + 4e-7 * np.sqrt((dim + 1) * reaches)
+        self.score = np.full((len(starts), k), -np.inf)
+        self.vec = np.full(self.score.shape, np.iinfo(np.int64).max)
+        self.row = self.vec.copy()
+        self.bound = np.empty(len(starts))
+        self._set(np.arange(len(starts)))
+
+    def _set(self, at: np.ndarray) -> None:
+        rest = np.maximum(self.reach[at] * (1 + 1e-12) - 2 * self.bound_score[at], 0.0)
+        self.bound[at] = np.sqrt(rest) * (1 + 1e-9) + self.slack[at]
+
+    def add(self, at: np.ndarray, score: np.ndarray, vec: np.ndarray, row: np.ndarray) -> None:
+        """Scores of the queries ``at`` (lines) with the vectors of a page (columns); -inf for none."""
+        hit = np.flatnonzero((score >= np.maximum(self.bound_score[at], self.score[at, -1])[:, None]).any(1))
+        at, score = at[hit], score[hit]
+        beside = lambda own, new: np.concatenate([own[at], np.broadcast_to(new, score.shape)], axis=1)
+        found = beside(self.score, score), beside(self.vec, vec), beside(self.row, row)
+        kept = np.lexsort([found[2], found[1], -found[0]], axis=-1)[:, : self.k]
+        self.score[at], self.vec[at], self.row[at] = (np.take_along_axis(x, kept, axis=1) for x in found)
+        nearer = at[self.score[at, -1] > self.bound_score[at]]
+        self.bound_score[nearer] = self.score[nearer, -1]
+        self._set(nearer)
+
+
+def _pages(points: np.ndarray, trees: list[tuple], bests: Bests) -> list[tuple]:
+    """Leaf pages as (lower bounds, tree, node, queries that may have an answer there)."""
+    pages = []
+    for t, (tree, *_) in enumerate(trees):
+        away = distances(points, tree.centre[:1])[:, 0]
+        nodes = [(np.maximum(away - tree.radius[0], 0.0), 0, np.arange(len(points)), away)]
+        for lows, n, at, away in nodes:
+            reached = lows <= bests.bound[at]
+            lows, at, away = lows[reached], at[reached], away[reached]
+            if not len(at):
+                continue
+            if tree.leaf[n]:
+                pages.append((lows, t, n, at))
+                continue
+            a, b = tree.first[n], tree.last[n]
+            skip = np.abs(tree.parent[a:b] - away[:, None]) - tree.radius[a:b]
+            found = distances(points[at], tree.centre[a:b])
+            lows = np.maximum(np.maximum(found - tree.radius[a:b], skip), 0.0)
+            nodes += [(lows[:, c], a + c, at, found[:, c]) for c in range(b - a)]
+    return sorted(pages, key=lambda page: (page[0].min(), *page[1:3]))
+
+
+def search_all(queries: np.ndarray, own_rows: np.ndarray, trees: list[tuple], bests: Bests) -> int:
+    """``search`` for many queries at once; number of inner products computed."""
+    points = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
+    computed = 0
+    for lows, t, n, at in _pages(points, trees, bests):
+        at = at[lows <= bests.bound[at]]
+        if not len(at):
+            continue
+        tree, vectors, ids, rows = trees[t]
+        own = slice(tree.first[n], tree.last[n])
+        scores = queries[at] @ vectors[own].astype(np.float64).T
+        scores[own_rows[at][:, None] == rows[own]] = -np.inf
+        computed += scores.size
+        bests.add(at, scores, ids[own], rows[own])
+    return computed
+
+
 def _matrix(column) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
@@ -233,15 +303,27 @@ def _answered(k: int, longest: dict):
     def run(trees: pa.Table, queries: pa.Table) -> pa.Table:
         read = [_read_tree(row) for row in trees.to_pylist()]
         out: list[list] = [[] for _ in FOUND]
-        if read:
-            for q in queries.to_pylist():
-                query = np.array(q["v"], np.int64)
-                length = float((query.astype(np.float64) ** 2).sum())
-                best = Best(k, q["start"], length + longest[q["dim"]], q["dim"])
-                search(query, q["row"], read, best)
-                same = [[q[c]] * len(best.score) for c in ("vec_id", "row")]
-                for column, values in zip(out, [*same, best.vec.tolist(), *_sortable(best.score)]):
-                    column += values
+
+        def give(q: dict, score: np.ndarray, vec: np.ndarray) -> None:
+            same = [[q[c]] * len(score) for c in ("vec_id", "row")]
+            for column, values in zip(out, [*same, vec.tolist(), *_sortable(score)]):
+                column += values
+
+        asked = queries.to_pylist() if read else []
+        vectors = [np.array(q["v"], np.int64) for q in asked]
+        reach = np.array([float((v.astype(np.float64) ** 2).sum()) + longest[q["dim"]] for q, v in zip(asked, vectors)])
+        together = np.flatnonzero(reach < IN_DOUBLES)
+        if len(together):
+            of = lambda name, kind: np.array([asked[n][name] for n in together], kind)
+            bests = Bests(k, of("start", np.float64), reach[together], asked[0]["dim"])  # a cell has vectors of one length
+            search_all(np.array([vectors[n] for n in together], np.float64), of("row", np.int64), read, bests)
+            for n, score, vec in zip(together, bests.score, bests.vec):
+                there = score > -np.inf
+                give(asked[n], score[there].astype(np.int64), vec[there])
+        for n in np.flatnonzero(reach >= IN_DOUBLES):
+            best = Best(k, asked[n]["start"], float(reach[n]), asked[n]["dim"])
+            search(vectors[n], asked[n]["row"], read, best)
+            give(asked[n], best.score, best.vec)
         return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(FOUND, out)})
 
     return run

@@ -745,3 +745,33 @@ def test_components(spark):
 def test_crc_matches_sql(spark):
     got = spark.range(5).select(F.crc32(F.col("id").cast("string").cast("binary")).alias("c")).collect()
     assert [r.c for r in got] == [zlib.crc32(str(i).encode()) for i in range(5)]
+
+
+def test_queries_searched_together_find_what_each_finds_alone():
+    """Scores, ties to the smaller id and then row, own rows left out, and pages skipped."""
+    own = np.random.default_rng(7)
+    centres = own.normal(0, 500, (20, 8))
+    vectors = np.floor(centres[own.integers(0, 20, 4000)] + own.normal(0, 5, (4000, 8)))
+    vectors[3000:3200] = vectors[0]  # many equal scores
+    longest, forest = float((vectors**2).sum(1).max()), []
+    for part in (np.arange(0, 1700), np.arange(1700, 4000)):
+        tree = metric_search.Tree(vectors[part], longest)
+        rows = part[tree.order]
+        forest.append((tree, vectors[rows].astype(np.int64), rows // 2, rows))  # two rows of each id
+    asked = np.arange(0, 4000, 50)
+    reach = (vectors[asked] ** 2).sum(1) + longest
+    bests = metric_search.Bests(10, np.full(len(asked), -np.inf), reach, 8)
+    computed = metric_search.search_all(vectors[asked], asked, forest, bests)
+    assert computed < 0.5 * len(asked) * len(vectors)
+    for n, row in enumerate(asked):
+        best = metric_search.Best(10, -float("inf"), float(reach[n]), 8)
+        metric_search.search(vectors[row].astype(np.int64), row, forest, best)
+        assert (bests.score[n].tolist(), bests.vec[n].tolist(), bests.row[n].tolist()) == (best.score.tolist(), best.vec.tolist(), best.row.tolist())
+
+
+def test_fewer_rows_than_answers_leave_places_empty():
+    vectors = np.array([[1.0, 0.0], [0.0, 2.0], [3.0, 1.0]])
+    tree = metric_search.Tree(vectors, 10.0)
+    bests = metric_search.Bests(10, np.full(3, -np.inf), (vectors**2).sum(1) + 10.0, 2)
+    metric_search.search_all(vectors, np.arange(3), [(tree, vectors[tree.order].astype(np.int64), tree.order, tree.order)], bests)
+    assert (bests.score > -np.inf).sum(1).tolist() == [2, 2, 2]
