@@ -12,15 +12,17 @@ id that holds them. A piece that is alone with its hash in the whole table is
 settled too: its windows are where it is.
 
 How a part sorts the suffixes of its other pieces. Letters are 8 bytes; the
-difference cover {1, 2} modulo 3 samples letters. Sampled triples of letters (24
-bytes) are sorted and named, the recursion sorts the names (it ends after one
-step, as two names and two bytes are WIDTH bytes), the remaining suffixes are
-merged in by their first letters and the rank of the sampled suffix behind, and
-neighbours in the order are compared on their prefixes. Each group of equal
-prefixes takes the smallest document id in it.
+difference cover {1, 2} modulo 3 samples letters. Letters are ranked. Sampled
+triples of letters (24 bytes) are sorted and named, the recursion sorts the names
+(it ends after one step, as two names and two bytes are WIDTH bytes), the
+remaining suffixes are merged in by their first letters and the rank of the
+sampled suffix behind, and neighbours in the order are compared on their
+prefixes. Each group of equal prefixes takes the smallest document id in it. The
+hashes of a part are sorted ``SORT_BYTES`` at a time, so that the arrays of a
+sort stay in the processor's cache.
 
 How a hot hash is split. Where the distinct pieces of one hash take more than
-``PART_BYTES`` (a common line with many different neighbours), its windows are
+``HOT_BYTES`` (a common line with many different neighbours), its windows are
 dealt anew: the first place of the hash in a window cuts windows into runs of up
 to ``STEP``, and each run goes to the part of a hash of the bytes that all windows
 with that cut share. Equal windows have the same cut and the same bytes, so they
@@ -50,21 +52,38 @@ from aisleflow.llm.common import U64, bucketed, materialised, mixed, sliding, wo
 WIDTH = 50
 ANCHOR = 16
 CHUNK_BYTES = 8_000_000
-PART_BYTES = 4_000_000
+PART_BYTES = 8_000_000
+HOT_BYTES = 4_000_000
 BLOCK = 1 << 17
-SORT_BYTES = 1_000_000
+SORT_BYTES = 1 << 16
+LIST_PIECES = 1 << 16
 STEP = 8
 NO_ID = np.iinfo(np.int64).max
 OWN = ("rep_kept", "rep_bytes", "rep_removed", "rep_spans")
 
 
-def packed(values) -> bytes:
-    data = values if isinstance(values, bytes) else values.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(data)
+_compressor, _decompressor = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def packed(data: bytes) -> bytes:
+    return _compressor.compress(data)
 
 
 def unpacked(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _decompressor.decompress(data)
+
+
+def _together(*columns: np.ndarray) -> bytes:
+    """Columns of the same length as one value."""
+    return packed(b"".join(x.tobytes() for x in columns))
+
+
+def _apart(data: bytes, *kinds: type) -> list[np.ndarray]:
+    """The columns of ``_together``."""
+    data = unpacked(data)
+    sizes = [np.dtype(kind).itemsize for kind in kinds]
+    n = len(data) // sum(sizes)
+    return [np.frombuffer(data, kind, n, n * sum(sizes[:k])) for k, kind in enumerate(kinds)]
 
 
 def letters(buffer: bytes) -> np.ndarray:
@@ -97,119 +116,134 @@ def pieces(buffer: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         stop = np.append(start[1:], len(new))
         found.append((start + block, stop - start, lowest[start]))
     start, n, value = (np.concatenate(x) for x in zip(*found))
-    text = np.searchsorted(ends, start, "right")
+    text = np.repeat(np.arange(len(ends)), np.diff(np.searchsorted(start, ends), prepend=0))
     n = np.minimum(n, ends[np.minimum(text, len(ends) - 1)] - WIDTH + 1 - start) if len(ends) else n
     inside = n > 0  # windows that reach into the next text are none
     return start[inside], n[inside], value[inside], text[inside]
 
 
-def _new_from(sorted_at: np.ndarray, word: np.ndarray, width: int) -> np.ndarray:
-    """Whether each suffix of a sorted list differs in its first bytes from the one before."""
-    out = np.zeros(len(sorted_at), bool)
-    if len(out):
-        out[0] = True
-    for k in [*range(0, width - 7, 8), width - 8]:
-        own = word[sorted_at + k]
-        out[1:] |= own[1:] != own[:-1]
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """The dense rank of each item, from 0."""
+    order = np.argsort(key)
+    own = key[order]
+    rank = np.zeros(len(key), np.int64)
+    rank[order[1:]] = np.cumsum(own[1:] != own[:-1])
+    return rank
+
+
+def _joined(*keys: np.ndarray) -> np.ndarray:
+    """One number for several whole numbers from 0, in the same order, the first most important."""
+    out, bits = keys[0], int(keys[0].max(initial=0)).bit_length()
+    for key in keys[1:]:
+        more = int(key.max(initial=0)).bit_length()
+        if bits + more > 63:
+            out = _ranks(out)
+            bits = int(out.max(initial=0)).bit_length()
+        out, bits = out << more | key, bits + more
     return out
 
 
-def _ranks(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Order by keys, the first most important, and the dense rank of each item."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    new = np.zeros(len(order), np.int64)
-    for key in keys:
-        own = key[order]
-        new[1:] |= own[1:] != own[:-1]
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new)
-    return order, rank
+def _below(place: np.ndarray, size: int) -> np.ndarray:
+    """For each of ``size`` places how many items have a smaller one."""
+    count = np.bincount(place, minlength=size)
+    return np.cumsum(count) - count
 
 
 def prefix_groups(buffer: bytes, starts: np.ndarray) -> np.ndarray:
     """A number for each suffix start, equal if the first WIDTH bytes are, in order of the suffixes.
 
     Difference-cover suffix sorting; ``starts`` are in increasing order and have
-    WIDTH bytes behind them.
+    WIDTH bytes behind them. Letters are ranked once, so that every key of a
+    sort is one number.
     """
     word = letters(buffer)
-    limit = len(word) - 72
+    letter = _ranks(word)
     wanted = np.zeros(len(word), bool)
     for k in (0, 8, 16):
-        wanted[np.minimum(starts + k, limit)] = True
+        wanted[starts + k] = True
     at = np.flatnonzero(wanted)
-    sampled_at = at[(at // 8) % 3 > 0]
-    named = np.zeros(len(word), bool)
-    named[sampled_at] = named[np.minimum(sampled_at + 24, len(word) - 24)] = True
-    named_at = np.flatnonzero(named)
+    sampled_at = at[at // 8 % 3 > 0]
+    wanted[:] = False
+    wanted[sampled_at] = wanted[sampled_at + 24] = True
+    named_at = np.flatnonzero(wanted)
     # Sort sampled triples of letters and name them.
-    _, rank = _ranks([word[named_at], word[named_at + 8], word[named_at + 16]])
     name = np.zeros(len(word), np.int64)
-    name[named_at] = rank
+    name[named_at] = _ranks(_joined(letter[named_at], letter[named_at + 8], letter[named_at + 16]))
     # Recurse on the names: two of them and the next two bytes are WIDTH bytes.
-    behind = np.minimum(sampled_at + 24, len(word) - 24)
-    order, rank = _ranks([name[sampled_at], name[behind], word[np.minimum(sampled_at + 48, len(word) - 1)] >> U64(48)])
-    sorted_at = sampled_at[order]
-    depth = {}
-    for width in (WIDTH - 8, WIDTH - 16):
+    key = _joined(name[sampled_at], name[sampled_at + 24], (word[sampled_at + 48] >> U64(48)).astype(np.int64))
+    order = np.argsort(key)
+    sorted_at, key = sampled_at[order], key[order]
+    differs = lambda x: x[1:] != x[:-1]
+    place = np.zeros(len(word), np.int64)
+    place[sorted_at[1:]] = np.cumsum(differs(key))
+    depth, new = {}, differs(name[sorted_at]) | differs(letter[sorted_at + 24])
+    for width, more in ((WIDTH - 16, [26]), (WIDTH - 8, [32, 34])):
+        longer = new.copy()
+        for k in more:
+            longer |= differs(letter[sorted_at + k])
         depth[width] = np.zeros(len(word), np.int64)
-        depth[width][sorted_at] = np.cumsum(_new_from(sorted_at, word, width))
+        depth[width][sorted_at[1:]] = np.cumsum(longer)
     # Merge the remaining suffixes: against class 1 by one letter, against class 2 by two, and the rank behind.
-    kind = (starts // 8) % 3
+    kind = starts // 8 % 3
     smaller = np.zeros(len(starts), np.int64)
+    rest = np.flatnonzero(kind == 0)
     for other, width in ((1, WIDTH - 8), (2, WIDTH - 16)):
-        both = np.flatnonzero((kind == 0) | (kind == other))
+        both = np.concatenate([rest, np.flatnonzero(kind == other)])
         at = starts[both]
-        keys = [word[at + k] for k in range(0, WIDTH - width, 8)] + [depth[width][at + WIDTH - width]]
-        order, rank = _ranks(keys)
-        ranked = rank[order]
-        first = np.concatenate([[0], np.flatnonzero(np.diff(ranked)) + 1]) if len(order) else np.zeros(0, np.int64)
-        is_rest = kind[both[order]] == 0
-        rest_before = np.concatenate([[0], np.cumsum(is_rest)])[first][ranked] if len(order) else first
-        other_before = np.concatenate([[0], np.cumsum(~is_rest)])[first][ranked] if len(order) else first
+        rank = _ranks(_joined(*(letter[at + k] for k in range(0, WIDTH - width, 8)), depth[width][at + WIDTH - width]))
+        of_rest, of_other = rank[: len(rest)], rank[len(rest) :]
+        rest_before, other_before = _below(of_rest, len(rank)), _below(of_other, len(rank))
         # A remaining suffix counts the smaller sampled ones, a sampled suffix the smaller remaining ones.
-        smaller[both[order]] += np.where(is_rest, other_before + (rest_before if other == 1 else 0), rest_before)
-    sampled_starts = np.flatnonzero(kind > 0)
-    if len(sampled_starts):
-        place = np.zeros(len(word), np.int64)
-        place[sorted_at] = np.cumsum(_new_from(sorted_at, word, WIDTH))
-        order, rank = _ranks([place[starts[sampled_starts]]])
-        ranked = rank[order]
-        first = np.concatenate([[0], np.flatnonzero(np.diff(ranked)) + 1])
-        smaller[sampled_starts[order]] += first[ranked]
+        smaller[rest] += other_before[of_rest]
+        if other == 1:
+            smaller[rest] += rest_before[of_rest]
+        smaller[both[len(rest) :]] += rest_before[of_other]
+    own = np.flatnonzero(kind > 0)
+    at = place[starts[own]]
+    smaller[own] += _below(at, len(word))[at]
     return smaller
 
 
-def _solve(texts: list[bytes], hashes: np.ndarray, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each distinct piece: starts, ends and smallest ids of its runs of windows."""
-    windows = np.array([len(t) - WIDTH + 1 for t in texts], np.int64)
-    out = [(np.zeros(1, np.int64), windows[i : i + 1], ids[i : i + 1]) for i in range(len(texts))]
+def _flat(counts: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of chosen items that have ``counts`` entries from ``starts`` on: how many each has, and the places of all entries."""
+    times = counts[chosen]
+    ends = np.cumsum(times, dtype=np.int64)
+    return times, np.repeat(starts[chosen] - ends + times, times) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _solve(texts: list[bytes], hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How many runs of windows each distinct piece has, and starts, ends and smallest ids of the runs."""
+    windows = np.fromiter(map(len, texts), np.int64, len(texts)) - WIDTH + 1
     _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    shared = np.flatnonzero(counts[inverse] > 1)
+    is_shared = counts[inverse] > 1
+    shared = np.flatnonzero(is_shared)
     shared = shared[np.argsort(inverse[shared], kind="stable")]
     cuts = np.flatnonzero(np.diff(inverse[shared], prepend=-1))  # all pieces of a hash are sorted together
     sizes = np.add.reduceat(windows[shared] + WIDTH - 1, cuts) if len(cuts) else cuts
+    alone = np.flatnonzero(~is_shared)
+    found = [(alone, np.ones(len(alone), np.int64), np.zeros(len(alone), np.int64), windows[alone], ids[alone])]
     for a, b in work_groups(sizes.tolist(), SORT_BYTES):
-        _sort_together(texts, shared[cuts[a] : cuts[b] if b < len(cuts) else None], windows, ids, out)
-    return out
-
-
-def _sort_together(texts: list[bytes], chosen: np.ndarray, windows: np.ndarray, ids: np.ndarray, out: list) -> None:
-    """Put the runs of the chosen pieces into ``out``."""
-    buffer = b"".join(texts[i] for i in chosen)
-    sizes = windows[chosen]
-    base = np.concatenate([[0], np.cumsum(sizes + WIDTH - 1)])[:-1]
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    group = prefix_groups(buffer, np.arange(first[-1]) - np.repeat(first[:-1] - base, sizes))
-    own = np.repeat(ids[chosen], sizes)
-    order = np.lexsort([own, group])
-    new = np.concatenate([[True], np.diff(group[order]) != 0])
-    least = np.empty(len(own), np.int64)
-    least[order] = own[order][new][np.cumsum(new) - 1]
-    for k, i in enumerate(chosen.tolist()):
-        v = least[first[k] : first[k + 1]]
-        cut = np.concatenate([[0], np.flatnonzero(np.diff(v)) + 1])
-        out[i] = (cut, np.append(cut[1:], len(v)), v[cut])
+        chosen = shared[cuts[a] : cuts[b] if b < len(cuts) else None]
+        found.append((chosen, *_sort_together([texts[i] for i in chosen.tolist()], windows[chosen], ids[chosen])))
+    piece, n, *runs = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(piece)
+    _, at = _flat(n, np.cumsum(n) - n, order)
+    return n[order], *(x[at] for x in runs)
+
+
+def _sort_together(texts: list[bytes], windows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number, starts, ends and smallest ids of the runs of pieces whose windows are sorted together."""
+    first = np.cumsum(windows) - windows
+    piece = np.repeat(np.arange(len(windows)), windows)
+    group = prefix_groups(b"".join(texts), np.arange(len(piece)) + piece * (WIDTH - 1))
+    smallest = np.full(len(piece), NO_ID)
+    np.minimum.at(smallest, group, ids[piece])
+    least = smallest[group]
+    new = np.ones(len(piece), bool)
+    new[1:] = (least[1:] != least[:-1]) | (piece[1:] != piece[:-1])
+    cut = np.flatnonzero(new)
+    own = piece[cut]
+    return np.bincount(own, minlength=len(windows)), cut - first[own], np.append(cut[1:], len(piece)) - first[own], least[cut]
 
 
 def _chunks(batches):
@@ -243,22 +277,29 @@ def _own_pieces(row: dict) -> tuple:
 
 
 def _by_part(values: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
-    part = (values % U64(parts)).astype(np.int64)
+    part = (values % U64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)  # two bytes are sorted by counting
     order = np.argsort(part, kind="stable")
-    cut = np.flatnonzero(np.diff(part[order], prepend=-1))
+    cut = np.flatnonzero(np.diff(part[order].astype(np.int64), prepend=-1))
     return [(int(part[o[0]]), o) for o in np.split(order, cut[1:])] if len(order) else []
 
 
+def _sorted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of values, and where in it each distinct one begins."""
+    order = np.argsort(values)
+    own = values[order]
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    return order, np.flatnonzero(new)
+
+
 def _hash_lists(parts: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 _, _, _, _, _, value, text = _own_pieces(row)
-                order = np.argsort(value, kind="stable")
-                ordered, owner = value[order], text[order]
-                new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(order) else order
-                last = np.append(new[1:], len(order))[: len(new)] - 1
-                distinct, several = ordered[new], owner[new] != owner[last]
+                order, new = _sorted(value)
+                distinct, owner = value[order[new]], text[order]
+                several = np.minimum.reduceat(owner, new) != np.maximum.reduceat(owner, new) if len(new) else new
                 lists = _by_part(distinct, parts)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -285,32 +326,38 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 def _listed(buffer: bytes, start: np.ndarray, n: np.ndarray, value: np.ndarray, ids: np.ndarray, owner: np.ndarray, offset: np.ndarray, parts: int):
     """The pieces of a chunk by part, equal ones once with their smallest id, and where they are."""
-    for p, o in _by_part(value, parts):
+    lists = _by_part(value, parts)
+    for a, b in work_groups([len(o) for _, o in lists], LIST_PIECES):
+        o = np.concatenate([o for _, o in lists[a:b]])
         number: dict[bytes, int] = {}
-        occurrence = np.array([number.setdefault(buffer[s : s + k], len(number)) for s, k in zip(start[o].tolist(), (n[o] + WIDTH - 1).tolist())], np.int32)
+        occurrence = [number.setdefault(buffer[s : s + k], len(number)) for s, k in zip(start[o].tolist(), (n[o] + WIDTH - 1).tolist())]
+        occurrence = np.array(occurrence, np.int32)
         least = np.full(len(number), NO_ID)
         np.minimum.at(least, occurrence, ids[o])
         values = np.empty(len(number), U64)
         values[occurrence] = value[o]
-        yield p, {
-            "values": values, "sizes": np.array([len(t) for t in number], np.int32), "least": least, "texts": b"".join(number),
-            "occurrence": occurrence, "owner": owner[o].astype(np.int32), "offset": offset[o].astype(np.int64),
-        }
-
-
-def _lists_table(lists: list[tuple[int, int, dict]]) -> pa.Table:
-    """Rows of (part, chunk, columns), packed."""
-    out = {name.split()[0]: [] for name in PIECES.split(", ")}
-    for p, chunk, columns in lists:
-        out["part"].append(p)
-        out["chunk"].append(chunk)
-        for name, data in columns.items():
-            out[name].append(packed(data))
-    kind = lambda name: pa.int64() if name in ("part", "chunk") else pa.binary()
-    return pa.table({name: pa.array(data, kind(name)) for name, data in out.items()})
+        sizes = np.fromiter(map(len, number), np.int32, len(number))
+        owners, offsets = owner[o].astype(np.int32), offset[o].astype(np.int32)
+        # Equal pieces are of one part, so those of a part have neighbouring numbers.
+        stop = np.cumsum([len(o) for _, o in lists[a:b]])
+        known = np.maximum.accumulate(occurrence)[stop - 1] + 1
+        texts, at, u = list(number), 0, 0
+        for (p, _), end, v in zip(lists[a:b], stop.tolist(), known.tolist()):
+            heads = _together(values[u:v], sizes[u:v], least[u:v])
+            yield p, heads, packed(b"".join(texts[u:v])), _together(occurrence[at:end] - np.int32(u), owners[at:end], offsets[at:end])
+            at, u = end, v
+
+
+def _lists_table(chunk: int, lists) -> pa.Table:
+    """Rows of the lists of a chunk."""
+    part, *columns = [*zip(*lists)] or [()] * 4
+    return pa.table(
+        {"part": pa.array(part, pa.int64()), "chunk": pa.array([chunk] * len(part), pa.int64())}
+        | {name: pa.array(data, pa.binary()) for name, data in zip(("heads", "texts", "places"), columns)}
+    )
 
 
-PIECES = "part long, chunk long, values binary, sizes binary, least binary, texts binary, occurrence binary, owner binary, offset binary"
+PIECES = "part long, chunk long, heads binary, texts binary, places binary"
 
 
 def _piece_lists(parts: int):
@@ -319,15 +366,16 @@ def _piece_lists(parts: int):
         for row in chunk.to_pylist():
             buffer, ids, lengths, start, n, value, text = _own_pieces(row)
             begin = np.cumsum(lengths) - lengths
-            distinct = np.unique(value)
-            again = np.zeros(len(distinct), bool)
+            order, new = _sorted(value)
+            distinct, again = value[order[new]], np.zeros(len(new), bool)
             bits = dict(zip(answers.column("part").to_pylist(), answers.column("again").to_pylist()))
             for p, o in _by_part(distinct, parts):
                 again[o] = np.unpackbits(np.frombuffer(bits[p], np.uint8), count=len(o)) > 0
-            kept = again[np.searchsorted(distinct, value)]
+            kept = np.empty(len(value), bool)
+            kept[order] = np.repeat(again, np.diff(new, append=len(value)))
             start, n, value, text = start[kept], n[kept], value[kept], text[kept]
-            out += [(p, row["chunk"], columns) for p, columns in _listed(buffer, start, n, value, ids[text], text, start - begin[text], parts)]
-        return _lists_table(out)
+            out.append(_lists_table(row["chunk"], _listed(buffer, start, n, value, ids[text], text, start - begin[text], parts)))
+        return pa.concat_tables(out)
 
     return run
 
@@ -337,11 +385,12 @@ def _large(least: int):
 
     def run(batches):
         for batch in batches:
-            for values, sizes in zip(batch.column("values").to_pylist(), batch.column("sizes").to_pylist()):
-                distinct, inverse = np.unique(np.frombuffer(unpacked(values), U64), return_inverse=True)
-                size = np.bincount(inverse, np.frombuffer(unpacked(sizes), np.int32), len(distinct)).astype(np.int64)
+            for heads in batch.column("heads").to_pylist():
+                values, sizes, _ = _apart(heads, U64, np.int32, np.int64)
+                order, new = _sorted(values)
+                size = np.add.reduceat(sizes[order], new, dtype=np.int64)
                 large = size >= least
-                yield pa.RecordBatch.from_pydict({"value": distinct[large].view(np.int64), "size": size[large]})
+                yield pa.RecordBatch.from_pydict({"value": values[order[new[large]]].view(np.int64), "size": size[large]})
 
     return run
 
@@ -351,7 +400,7 @@ def _hot(lists: DataFrame, chunks: int, most: int) -> np.ndarray:
 
     What a chunk leaves out of the sum is less than half of ``most`` over all chunks.
     """
-    large = lists.select("values", "sizes").mapInArrow(_large(most // (2 * max(chunks, 1))), "value long, size long")
+    large = lists.select("heads").mapInArrow(_large(most // (2 * max(chunks, 1))), "value long, size long")
     rows = large.groupBy("value").agg(F.sum("size").alias("size")).filter(F.col("size") > most // 2).select("value").collect()
     return np.sort(np.array([r.value for r in rows], np.int64).view(U64))
 
@@ -382,9 +431,8 @@ def _split(hot: np.ndarray, step: int, parts: int, rest: bool):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                get = lambda name, kind: np.frombuffer(unpacked(row[name]), kind)  # noqa: E731, B023
-                text, sizes, values, least = unpacked(row["texts"]), get("sizes", np.int32), get("values", U64), get("least", np.int64)
-                occurrence, owner, offset = get("occurrence", np.int32), get("owner", np.int32), get("offset", np.int64)
+                text, (values, sizes, least) = unpacked(row["texts"]), _apart(row["heads"], U64, np.int32, np.int64)
+                occurrence, owner, offset = _apart(row["places"], np.int32, np.int32, np.int32)
                 chosen = np.isin(values, hot) != rest
                 begin = np.cumsum(sizes, dtype=np.int64) - sizes
                 text = b"".join(text[a : a + k] for a, k in zip(begin[chosen].tolist(), sizes[chosen].tolist()))
@@ -399,12 +447,11 @@ def _split(hot: np.ndarray, step: int, parts: int, rest: bool):
                 else:
                     start, n, value, piece = _cut_again(text, sizes, values, step)
                 counts = np.bincount(piece, minlength=len(sizes))
-                times = counts[occurrence]
-                run_at = np.repeat((np.cumsum(counts) - counts)[occurrence] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                times, run_at = _flat(counts, np.cumsum(counts) - counts, occurrence)
                 own = np.repeat(np.arange(len(occurrence)), times)
                 of = occurrence[own]
                 lists = _listed(text, start[run_at], n[run_at], value[run_at], least[of], owner[own], offset[own] + start[run_at] - begin[of], parts)
-                yield from _lists_table([(p, row["chunk"], columns) for p, columns in lists]).to_batches()
+                yield from _lists_table(row["chunk"], lists).to_batches()
 
     return run
 
@@ -432,26 +479,28 @@ def _runs(table: pa.Table) -> pa.Table:
     number: dict[bytes, int] = {}
     rows, values, ids = [], [], []
     for row in table.to_pylist():
+        value, sizes, least = _apart(row["heads"], U64, np.int32, np.int64)
         text, at, own = unpacked(row["texts"]), 0, []
-        for size in np.frombuffer(unpacked(row["sizes"]), np.int32).tolist():
+        for size in sizes.tolist():
             own.append(number.setdefault(text[at : at + size], len(number)))
             at += size
         rows.append(np.array(own, np.int64))
-        values.append(np.frombuffer(unpacked(row["values"]), U64))
-        ids.append(np.frombuffer(unpacked(row["least"]), np.int64))
+        values.append(value)
+        ids.append(least)
     every = np.concatenate(rows)
     least, value = np.full(len(number), NO_ID), np.empty(len(number), U64)
     np.minimum.at(least, every, np.concatenate(ids))
     value[every] = np.concatenate(values)
-    runs = _solve(list(number), value, least)
-    out = {"counts": [], "first": [], "last": [], "smallest": []}
-    for own in rows:
-        found = [runs[i] for i in own.tolist()]
-        out["counts"].append(packed(np.array([len(f[0]) for f in found], np.int32)))
-        for k, name in enumerate(("first", "last", "smallest")):
-            out[name].append(packed(np.concatenate([f[k] for f in found])))
-    columns = {name: pa.array(data, pa.binary()) for name, data in out.items()}
-    return pa.table({"list": table.column("list"), **columns})
+    counts, *runs = _solve(list(number), value, least)
+    times, at = _flat(counts, np.cumsum(counts) - counts, every)
+    times = times.astype(np.int32)
+    first, last, smallest = runs[0][at].astype(np.int32), runs[1][at].astype(np.int32), runs[2][at]
+    stop = np.cumsum([len(own) for own in rows])
+    found, a, u = [], 0, 0
+    for b, v in zip(stop.tolist(), np.cumsum(times, dtype=np.int64)[stop - 1].tolist()):
+        found.append(packed(b"".join(x.tobytes() for x in (times[a:b], first[u:v], last[u:v], smallest[u:v]))))
+        a, u = b, v
+    return pa.table({"list": table.column("list"), "chunk": table.column("chunk"), "runs": pa.array(found, pa.binary())})
 
 
 def _cut_texts(chunk: pa.Table, found: pa.Table) -> pa.Table:
@@ -462,6 +511,26 @@ def _cut_texts(chunk: pa.Table, found: pa.Table) -> pa.Table:
     return table.set_column(k, "rep_kept", pa.array(texts, pa.string()))
 
 
+def _windows_gone(found: pa.Table, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of windows in a chunk that a smaller id has."""
+    runs, places = ({k: x for k, x in zip(found.column("list").to_pylist(), found.column(name).to_pylist()) if x} for name in ("runs", "places"))
+    columns, base = [], 0
+    for k, where in places.items():
+        occurrence, owner, offset = _apart(where, np.int32, np.int32, np.int32)
+        data, n = unpacked(runs.pop(k)), int(occurrence.max()) + 1
+        total = (len(data) - 4 * n) // 16
+        counts, first, last = np.split(np.frombuffer(data, np.int32, n + 2 * total), (n, n + total))
+        columns.append((occurrence + base, owner, offset, counts, first, last, np.frombuffer(data, np.int64, total, 4 * n + 8 * total)))
+        base += n
+    if not columns:
+        return begin[:0], begin[:0]
+    occurrence, owner, offset, counts, first, last, least = (np.concatenate(x) for x in zip(*columns))
+    times, at = _flat(counts, np.cumsum(counts, dtype=np.int64) - counts, occurrence)
+    gone = least[at] < np.repeat(ids[owner], times)
+    at, start = at[gone], np.repeat(begin[owner] + offset, times)[gone]
+    return start + first[at], start + last[at]
+
+
 def _cut(chunk: pa.Table, found: pa.Table) -> pa.Table:
     """The documents of a chunk without the windows of smaller ids."""
     tables = []
@@ -469,36 +538,27 @@ def _cut(chunk: pa.Table, found: pa.Table) -> pa.Table:
         buffer, ids, lengths = unpacked(row["text"]), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64)
         begin = np.cumsum(lengths) - lengths
         change = np.zeros(len(buffer) + 1, np.int32)
-        for f in found.to_pylist():
-            get = lambda name, kind: np.frombuffer(unpacked(f[name]), kind)  # noqa: E731, B023
-            counts, first, last, least = get("counts", np.int32), get("first", np.int64), get("last", np.int64), get("smallest", np.int64)
-            occurrence, owner, offset = get("occurrence", np.int32), get("owner", np.int32), get("offset", np.int64)
-            times = counts[occurrence]
-            run_at = np.repeat((np.cumsum(counts) - counts)[occurrence] - np.cumsum(times) + times, times) + np.arange(times.sum())
-            own = np.repeat(np.arange(len(occurrence)), times)
-            gone = least[run_at] < ids[owner[own]]
-            at = begin[owner[own[gone]]] + offset[own[gone]]
-            np.add.at(change, at + first[run_at[gone]], 1)
-            np.add.at(change, at + last[run_at[gone]] + WIDTH - 1, -1)
-        removed = np.cumsum(change)[:-1] > 0
+        first, last = _windows_gone(found, ids, begin)
+        np.add.at(change, first, 1)
+        np.add.at(change, last + WIDTH - 1, -1)
+        removed = np.cumsum(change, dtype=np.int32)[:-1] > 0
         opens = removed.copy()
         opens[1:] &= ~removed[:-1]
         opens[begin[lengths > 0]] = removed[begin[lengths > 0]]  # a run does not reach into the next text
-        total = np.concatenate([[0], np.cumsum(removed)])
-        spans = np.concatenate([[0], np.cumsum(opens)])
+        total, spans = (np.concatenate([np.zeros(1, np.int32), np.cumsum(x, dtype=np.int32)]) for x in (removed, opens))
         kept = np.frombuffer(buffer, np.uint8)[~removed].tobytes()
         n_removed = total[begin + lengths] - total[begin]
         at = np.concatenate([[0], np.cumsum(lengths - n_removed)]).tolist()
         rest = pa.ipc.open_stream(unpacked(row["rest"])).read_all()
         columns = {
             "rep_kept": pa.array([kept[a:b] for a, b in zip(at, at[1:])], pa.binary()),
-            "rep_bytes": pa.array(lengths), "rep_removed": pa.array(n_removed), "rep_spans": pa.array(spans[begin + lengths] - spans[begin]),
+            "rep_bytes": pa.array(lengths), "rep_removed": pa.array(n_removed, pa.int64()), "rep_spans": pa.array(spans[begin + lengths] - spans[begin], pa.int64()),
         }
         tables.append(pa.table({**{n: rest.column(n) for n in rest.column_names}, **columns}))
     return pa.concat_tables(tables)
 
 
-def remove_repeats(docs: DataFrame, as_text: bool = False, hot_bytes: int = PART_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, as_text: bool = False, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """All columns of the documents but text, and rep_kept (bytes left, or text), rep_bytes, rep_removed, rep_spans.
 
     Input columns of these names are replaced. A hash with more than ``hot_bytes`` of different pieces is split.
@@ -521,12 +581,9 @@ def remove_repeats(docs: DataFrame, as_text: bool = False, hot_bytes: int = PART
         .applyInArrow(_repeated, "chunk long, part long, again binary")
     )
     lists = _without_hot(named.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(_piece_lists(parts), PIECES), n_chunks, parts, hot_bytes)
-    runs = (
-        lists.select("part", "list", "values", "sizes", "least", "texts")
-        .groupBy("part")
-        .applyInArrow(_runs, "list long, counts binary, first binary, last binary, smallest binary")
-    )
-    found = lists.select("list", "chunk", "occurrence", "owner", "offset").join(runs, "list")
+    runs = lists.select("part", "list", "chunk", "heads", "texts").groupBy("part").applyInArrow(_runs, "list long, chunk long, runs binary")
+    # Both halves of a list go straight to its chunk, so that no join moves them first.
+    found = lists.select("list", "chunk", "places").unionByName(runs, allowMissingColumns=True)
     kept = StringType() if as_text else BinaryType()
     own = [StructField(name, kind) for name, kind in zip(OWN, (kept, LongType(), LongType(), LongType()))]
     return (

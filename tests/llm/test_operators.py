@@ -188,6 +188,31 @@ def test_repeats_with_split_hashes_equal_brute_force(spark, monkeypatch):
     assert used == {repeats.STEP, 1}
 
 
+def test_sorting_a_part_takes_few_sorts_of_its_letters():
+    """Pieces of few hashes with different neighbours, as chance makes more of them the larger the table is."""
+    own = random.Random(9)
+    texts = list({text_of(n, 9)[:30] + " one of the common words " + text_of(n + 10**6, 9)[:30] for n in range(12_000)})
+    texts = [t.encode() for t in texts if len(t.encode()) >= 50]
+    hashes = np.array([own.randrange(300) for _ in texts], np.uint64)
+    ids = np.arange(len(texts))
+    word = repeats.letters(b"".join(texts))
+
+    def least(run):
+        took = []
+        for _ in range(3):
+            begun = time.process_time()
+            run()
+            took.append(time.process_time() - begun)
+        return min(took)
+
+    assert least(lambda: repeats._solve(texts, hashes, ids)) < 5 * least(lambda: np.argsort(word, kind="stable"))
+
+
+def test_runs_reach_their_chunks_without_a_join(spark):
+    plan = repeats.remove_repeats(frame(spark, hot_line_rows()))._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan
+
+
 def test_hot_hash_is_spread():
     """Pieces of one hash with different neighbours: no new hash keeps many of their bytes, equal windows keep one hash."""
     line = b"This line is in each of the documents, whatever else they hold.\n"
