@@ -325,7 +325,7 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 
 def _listed(buffer: bytes, start: np.ndarray, n: np.ndarray, value: np.ndarray, ids: np.ndarray, owner: np.ndarray, offset: np.ndarray, parts: int):
-    """The pieces of a chunk by part, equal ones once with their smallest id, and where they are."""
+    """The pieces of a chunk by part, equal ones once with their smallest id, and where they are; before them the most bytes of one hash."""
     lists = _by_part(value, parts)
     for a, b in work_groups([len(o) for _, o in lists], LIST_PIECES):
         o = np.concatenate([o for _, o in lists[a:b]])
@@ -337,6 +337,8 @@ def _listed(buffer: bytes, start: np.ndarray, n: np.ndarray, value: np.ndarray,
         values = np.empty(len(number), U64)
         values[occurrence] = value[o]
         sizes = np.fromiter(map(len, number), np.int32, len(number))
+        of_hash, (order, new) = np.empty(len(number), np.int64), _sorted(values)
+        of_hash[order] = np.repeat(np.add.reduceat(sizes[order], new, dtype=np.int64), np.diff(new, append=len(order)))
         owners, offsets = owner[o].astype(np.int32), offset[o].astype(np.int32)
         # Equal pieces are of one part, so those of a part have neighbouring numbers.
         stop = np.cumsum([len(o) for _, o in lists[a:b]])
@@ -344,20 +346,21 @@ def _listed(buffer: bytes, start: np.ndarray, n: np.ndarray, value: np.ndarray,
         texts, at, u = list(number), 0, 0
         for (p, _), end, v in zip(lists[a:b], stop.tolist(), known.tolist()):
             heads = _together(values[u:v], sizes[u:v], least[u:v])
-            yield p, heads, packed(b"".join(texts[u:v])), _together(occurrence[at:end] - np.int32(u), owners[at:end], offsets[at:end])
+            places = _together(occurrence[at:end] - np.int32(u), owners[at:end], offsets[at:end])
+            yield p, int(of_hash[u:v].max()), heads, packed(b"".join(texts[u:v])), places
             at, u = end, v
 
 
 def _lists_table(chunk: int, lists) -> pa.Table:
     """Rows of the lists of a chunk."""
-    part, *columns = [*zip(*lists)] or [()] * 4
+    part, most, *columns = [*zip(*lists)] or [()] * 5
     return pa.table(
-        {"part": pa.array(part, pa.int64()), "chunk": pa.array([chunk] * len(part), pa.int64())}
+        {"part": pa.array(part, pa.int64()), "chunk": pa.array([chunk] * len(part), pa.int64()), "most": pa.array(most, pa.int64())}
         | {name: pa.array(data, pa.binary()) for name, data in zip(("heads", "texts", "places"), columns)}
     )
 
 
-PIECES = "part long, chunk long, heads binary, texts binary, places binary"
+PIECES = "part long, chunk long, most long, heads binary, texts binary, places binary"
 
 
 def _piece_lists(parts: int):
@@ -400,7 +403,8 @@ def _hot(lists: DataFrame, chunks: int, most: int) -> np.ndarray:
 
     What a chunk leaves out of the sum is less than half of ``most`` over all chunks.
     """
-    large = lists.select("heads").mapInArrow(_large(most // (2 * max(chunks, 1))), "value long, size long")
+    least = most // (2 * max(chunks, 1))
+    large = lists.filter(F.col("most") >= least).select("heads").mapInArrow(_large(least), "value long, size long")
     rows = large.groupBy("value").agg(F.sum("size").alias("size")).filter(F.col("size") > most // 2).select("value").collect()
     return np.sort(np.array([r.value for r in rows], np.int64).view(U64))
 
